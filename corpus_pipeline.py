@@ -1,5 +1,55 @@
-"""placeholder"""
-ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+"""A corpus from raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes
+each as Parquet to the shared folder and gives the next one what it reads back.
+All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyloom.llm import decontaminate, language_crf, near_dups, packing
+from tallyloom.llm.common import Work, table
+from tallyloom.llm.registry import vocabulary
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents in which no learned language is found."""
+    return language_crf.keep_written(spark, docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: similarity 0.8 or more on five-word shingles."""
+    return near_dups.deduplicate(spark, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold an item of the benchmark, within its edit budget."""
+    return decontaminate.without_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the documents' pieces in sequences of 2048 tokens."""
+    return packing.pack_documents(spark, docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: SQL can't express the learned and the packed; tests hold the stages against brute force.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    work = Work(spark, "pipeline")
+    for name, stage in STAGES:
+        docs = work.save(stage(spark, docs, sf_dir), name)
+    return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, rans_files
+from . import chat, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, pseudo_likelihood, rans_files, unigram_counts
 from .common import Work, table
 
 
@@ -16,6 +16,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score_corpus(spark, table(spark, sf_dir, "documents"))
+
+
+def op2_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = language_crf.labelled(spark, docs.select("doc_id", "text"), language_crf.learn(docs))
+    return rows.select("doc_id", language_crf.held_out().alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op5_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     one = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -23,6 +41,15 @@ def op5_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(turns))
 
 
+def op6_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming_topk.sign_code("embedding").alias("code"))
+    return hamming_topk.top_k(spark, rows, rows.filter("id % 50 = 0").withColumnRenamed("id", "query_id"))
+
+
+def op7_benchmark_edit_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.found(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -33,11 +60,60 @@ def op9_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_files.read_ids(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op5_chat_prefix_targets, op8_best_fit_packing, op9_rans_token_files)}
+def op10_odd_sketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(spark, table(spark, sf_dir, "documents"), near_dups.Similarity(width=2, percent=80))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_masked_pseudo_likelihood,
+        op2_license_compression,
+        op3_unigram_counts,
+        op4_language_crf,
+        op5_chat_prefix_targets,
+        op6_hamming_topk,
+        op7_benchmark_edit_matches,
+        op8_best_fit_packing,
+        op9_rans_token_files,
+        op10_odd_sketch_near_dups,
+    )
+}
 
 _ESCAPED = "(length({0}) + length({0}) - length(replace({0}, '\\', '')) + length({0}) - length(replace({0}, '<', '')) + length({0}) - length(replace({0}, '#', '')))"
 
+_CODE = " + ".join(f"(CASE WHEN embedding[{i + 1}] > 0 AND NOT isnan(embedding[{i + 1}]) THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END)" for i in range(64))
+
 ORACLE = {
+    "op6_hamming_topk": f"""
+WITH codes AS (SELECT DISTINCT vec_id AS id, {_CODE} AS code FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) >= 64),
+ranked AS (
+  SELECT q.id AS query_id, c.id, bit_count(xor(q.code, c.code))::INTEGER AS distance,
+    row_number() OVER (PARTITION BY q.id, q.code ORDER BY bit_count(xor(q.code, c.code)), c.id)::INTEGER AS rank
+  FROM codes q JOIN codes c ON q.id <> c.id WHERE q.id % 50 = 0
+)
+SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
+""",
+    "op10_odd_sketch_near_dups": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words
+),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  WHERE least(p.n, q.n) * 100 >= greatest(p.n, q.n) * 80
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sizes s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = s.doc_id
+""",
     "op5_chat_prefix_targets": rf"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -1,4 +1,5 @@
 """The library's queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from .queries import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]

@@ -4,9 +4,9 @@ Pieces of one length are alike, so the program is over the histogram of
 lengths, at most ``capacity`` numbers however large the corpus.  A
 configuration says how many pieces of each length share a sequence.
 Multiplicative weights hold a price for each length, a knapsack by dynamic
-programming finds the configuration of most value under these prices, and its
-share is rounded down to whole sequences; what is left over is completed by
-best fit on the histogram.  Pieces then find their places by their rank within
+programming finds the configuration of most value under these prices, over and
+over; the shares are rounded down to whole sequences, and what is left over is
+completed by best fit on the histogram.  Pieces then find their places by their rank within
 their length, by arithmetic on the plan.
 """
 
@@ -64,45 +64,106 @@ def _complete(left: np.ndarray, lengths: np.ndarray, copies: dict[int, int], cap
     return copies
 
 
-def solve(histogram: dict[int, int], capacity: int, *, iterations: int = 150, rate: float = 0.5) -> tuple[list[tuple[dict[int, int], int]], float]:
-    """Configurations (length to copies) with the number of sequences of each, and the program's lower bound.
+def _program(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int, rate: float) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Multiplicative weights on the program: configurations by index with their shares, and the best dual bound.
+
+    A length's weight falls by rate with each time that it has been covered
+    whole; its first price is the length itself, which no perfect filling
+    betters.  A step covers the configuration's scarcest length once.  At last
+    shares are scaled so that they cover as much as there is.
+    """
+    covered, shares, bound = np.zeros(len(lengths)), {}, 0.0
+    for _ in range(rounds):
+        prices = lengths * np.exp(-rate * (covered - covered.min()))
+        value, copies = knapsack(lengths, prices, capacity)
+        bound = max(bound, float((prices * need).sum()) / value)
+        step = min(need[i] / n for i, n in copies.items())
+        for i, n in copies.items():
+            covered[i] += n * step / need[i]
+        key = tuple(sorted(copies.items()))
+        shares[key] = shares.get(key, 0.0) + step
+    scale = float((lengths * need).sum() / (lengths * need * covered).sum()) if shares else 0.0
+    return [(dict(c), x * scale) for c, x in shares.items()], bound
+
+
+class _Plan:
+    """Whole sequences, taken from what is left of each length."""
+
+    def __init__(self, histogram: dict[int, int], capacity: int):
+        self.lengths = np.array(sorted(histogram), np.int64)
+        self.left = np.array([histogram[int(x)] for x in self.lengths], np.int64)
+        self.capacity = capacity
+        self.rows: list[tuple[dict[int, int], int]] = []
+        if len(self.lengths) and self.lengths[-1] == capacity:
+            self.use({len(self.lengths) - 1: 1}, int(self.left[-1]))
+
+    def use(self, copies: dict[int, int], most: int) -> int:
+        """Completes a configuration and takes it up to most times; how often."""
+        copies = _complete(self.left, self.lengths, copies, self.capacity)
+        times = min(most, min(int(self.left[i]) // n for i, n in copies.items()))
+        for i, n in copies.items():
+            self.left[i] -= n * times
+        self.rows.append(({int(self.lengths[i]): n for i, n in sorted(copies.items())}, times))
+        return times
+
+    def finish(self) -> int:
+        """Best fit for what is left, longest first: each step uses up a length.  The number of sequences."""
+        while self.left.any():
+            i = int(np.flatnonzero(self.left)[-1])
+            self.use({i: 1}, int(self.left[i]))
+        return sum(times for _, times in self.rows)
+
+
+def solve(histogram: dict[int, int], capacity: int, *, rounds: int = 300, rate: float = 1.0, classes: int = 160) -> tuple[list[tuple[dict[int, int], int]], float]:
+    """Configurations (length to copies) with the number of sequences of each, and a lower bound.
 
     histogram: pieces by length, 1 to capacity.  The plan holds each piece
-    exactly once.  The bound is the best dual value that the prices gave; no
-    packing has fewer sequences.
+    exactly once.  With more than classes distinct lengths, neighbouring ones
+    share a row of the program, at the longest of them.  Its shares are rounded
+    down on the real lengths.  A second rounding prices the real lengths and
+    takes whole steps at once; the plan of fewer sequences stays.  The bound is
+    by tokens or, without such classes, the program's dual: no packing has
+    fewer sequences.
     """
     lengths = np.array(sorted(histogram), np.int64)
     if len(lengths) and not 1 <= lengths[0] <= lengths[-1] <= capacity:
         raise ValueError("a length lies outside 1 to capacity")
-    need = np.array([histogram[int(x)] for x in lengths], np.int64)
-    left, plan, bound = need.copy(), [], float(-(-int((lengths * need).sum()) // capacity))
-
-    def use(copies: dict[int, int], times: int) -> None:
-        for i, n in copies.items():
-            left[i] -= n * times
-        plan.append(({int(lengths[i]): n for i, n in sorted(copies.items())}, times))
-
-    if len(lengths) and lengths[-1] == capacity:
-        use({len(lengths) - 1: 1}, int(left[-1]))
-    for _ in range(iterations):
-        # lengths of few pieces are left to the completion
-        live = np.flatnonzero(left > 1)
-        if len(live) < 2:
-            break
-        # weights fall as a length gets covered; the first prices are the lengths themselves
-        covered = 1 - left[live] / need[live]
-        prices = lengths[live] / capacity * np.exp(-rate * (covered - covered.min()))
-        value, copies = knapsack(lengths[live], prices, capacity)
-        bound = max(bound, float((prices * need[live]).sum()) / value)
-        copies = {int(live[i]): min(n, int(left[live[i]])) for i, n in copies.items()}
-        copies = _complete(left, lengths, copies, capacity)
-        # a step covers half of what is left of its scarcest length, in whole sequences
-        most = min(int(left[i]) // n for i, n in copies.items())
-        use(copies, max(1, most // 2))
-    while left.any():  # best fit, longest first: each step uses up a length
-        copies = _complete(left, lengths, {int(np.flatnonzero(left)[-1]): 1}, capacity)
-        use(copies, min(int(left[i]) // n for i, n in copies.items()))
-    return plan, bound
+    first, second = _Plan(histogram, capacity), _Plan(histogram, capacity)
+    bound = float(-(-sum(n * k for n, k in histogram.items()) // capacity))
+    live = np.flatnonzero(first.left)
+    if len(live) > 1:
+        of = np.minimum(np.arange(len(live)) * classes // max(len(live), classes), classes - 1)
+        ends = np.append(np.flatnonzero(np.diff(of)), len(live) - 1)
+        starts = np.append(0, ends[:-1] + 1)
+        need = np.add.reduceat(first.left[live], starts)
+        shares, dual = _program(lengths[live[ends]], need, capacity, rounds, rate)
+        if len(ends) == len(live):
+            bound = max(bound, dual + histogram.get(capacity, 0))
+        for by_class, share in sorted(shares, key=lambda x: -x[1]):
+            times = int(share)  # rounded down
+            while times > 0:
+                copies: dict[int, int] = {}
+                for k, n in by_class.items():
+                    for i in live[starts[k] : ends[k] + 1][::-1]:
+                        if took := min(n, int(first.left[i])):
+                            copies[int(i)] = took
+                            n -= took
+                        if not n:
+                            break
+                if not copies:
+                    break
+                times -= first.use(copies, times)
+        whole = second.left.copy()
+        for _ in range(rounds // 2):
+            open_ = np.flatnonzero(second.left > 1)  # lengths of one piece are left to best fit
+            if len(open_) < 2:
+                break
+            covered = 1 - second.left[open_] / whole[open_]
+            _, by = knapsack(lengths[open_], lengths[open_] * np.exp(-rate * (covered - covered.min())), capacity)
+            copies = {int(open_[i]): min(n, int(second.left[open_[i]])) for i, n in by.items()}
+            # half of what is left of the scarcest length
+            second.use(copies, max(1, min(int(second.left[i]) // n for i, n in copies.items()) // 2))
+    return min((plan.finish(), k, plan.rows) for k, plan in enumerate((first, second)))[2], bound
 
 
 class Places:
@@ -156,7 +217,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = 2048, iterations: int = 150) -> DataFrame:
+def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = 2048) -> DataFrame:
     """pieces (doc_id, piece, length and any others) with sequence_id and offset.
 
     Every row gets a place of its own, repeated rows too; sequences are
@@ -166,7 +227,7 @@ def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = 2048, iterat
     pieces = pieces.drop("sequence_id", "offset")
     pieces = Work(spark, "pack").save(pieces, "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan, _ = solve(histogram, capacity, iterations=iterations)
+    plan, _ = solve(histogram, capacity)
     shared = spark.sparkContext.broadcast(Places(plan))
 
     # ranks within a length, in groups small enough for one task however many pieces share it

@@ -132,7 +132,7 @@ def name_match(names: DataFrame, samples: DataFrame) -> DataFrame:
     if len(rows) > 10_000:
         raise ValueError("more than 10000 samples")
     known = F.array(*[F.lit(x) for x in rows]) if rows else F.array().cast("array<string>")
-    found = F.filter(known, lambda s: F.col("name").rlike(F.concat(F.lit(r"(?i)(^|[^A-Za-z0-9])\Q"), s, F.lit(r"\E($|[^A-Za-z0-9])"))))
+    found = F.filter(known, lambda s: F.rlike("name", F.concat(F.lit(r"(?i)(^|[^A-Za-z0-9])\Q"), s, F.lit(r"\E($|[^A-Za-z0-9])"))))
     named = names.select("name", found.alias("found"))
     return named.select("name", F.when(F.size("found") > 1, F.raise_error(F.concat(F.lit("several samples: "), F.col("name")))).otherwise(F.try_element_at("found", F.lit(1))).alias("sample"))
 

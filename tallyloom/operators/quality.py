@@ -88,7 +88,7 @@ def artifact_contract(files: DataFrame, contracts: list[tuple[str, str, int]]) -
     """label, found, needed, status: files of a size over 0 that match a pattern; contracts is a list of the caller's."""
     known = F.array(*[F.struct(F.lit(n).alias("label"), F.lit(p).alias("pattern"), F.lit(k).alias("needed")) for n, p, k in contracts])
     one = files.sparkSession.range(1).select(F.explode(known).alias("c")).select("c.*")
-    hits = files.filter("size > 0").withColumn("c", F.explode(known)).filter(F.col("path").rlike(F.col("c.pattern"))).groupBy("c.label").agg(F.count("*").alias("found"))
+    hits = files.filter("size > 0").withColumn("c", F.explode(known)).filter(F.rlike("path", "c.pattern")).groupBy("c.label").agg(F.count("*").alias("found"))
     out = one.join(hits, "label", "left").withColumn("found", F.coalesce("found", F.lit(0)))
     return out.select("label", "found", "needed", F.when(F.col("found") >= F.col("needed"), "PASS").otherwise("FAIL").alias("status"))
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import contextlib
-import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,11 +57,12 @@ class Work:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-@contextlib.contextmanager
-def scratch() -> Iterator[str]:
-    """A folder of the driver's own, for files that never leave it."""
-    path = tempfile.mkdtemp(prefix="tallyloom-")
-    try:
-        yield path
-    finally:
-        shutil.rmtree(path, ignore_errors=True)
+_WORKER: dict[Hashable, Any] = {}
+
+
+def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: one thing at a time, so that stages don't add up in memory."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]

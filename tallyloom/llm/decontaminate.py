@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import per_worker
+
 #: Characters of items that are broadcast at once; a larger test set takes several passes.
 BLOCK_CHARS = 8_000_000
 
@@ -120,10 +122,6 @@ class Finder:
 
 RESULT = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.LongType()), T.StructField("end", T.LongType())]))
 
-#: A worker's, by run.
-_AT_WORK: dict[str, Finder] = {}
-
-
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Distinct items in runs of BLOCK_CHARS, as they come from the cluster."""
     block, size = [], 0
@@ -144,11 +142,12 @@ def _matcher(shared, rate: float):
 
     @F.pandas_udf(RESULT)
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if run not in _AT_WORK:
-            if len(_AT_WORK) > 1:
-                _AT_WORK.clear()
-            _AT_WORK[run] = Finder(shared.value, rate)
-        finder = _AT_WORK[run]
+        finders = per_worker("finders", dict)  # a task may hold texts against several blocks in turn
+        if run not in finders:
+            if len(finders) > 1:
+                finders.clear()
+            finders[run] = Finder(shared.value, rate)
+        finder = finders[run]
         for texts in batches:
             yield pd.Series([[{"item_id": i, "distance": d, "end": e} for i, d, e in finder.find(x if isinstance(x, str) else None)] for x in texts])
 

@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import per_worker
+
 BUCKETS = 1 << 16
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 300_000
 #: Words that are labelled together.
-BATCH_WORDS = 1_500_000
+BATCH_WORDS = 1_000_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -179,50 +181,61 @@ def fit(samples: list[tuple[str, str]], *, rounds: int = 30, sequence: int = 120
     return Model(labels, weights.astype(np.float32), moves.astype(np.float32))
 
 
+class _Words(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.names)
+        self.names.append(word)
+        return n
+
+    def forget(self, keep: int) -> None:
+        for word in self.names[keep:]:
+            del self[word]
+        del self.names[keep:]
+
+
 class Labeller:
     def __init__(self, model: Model):
         self.model = model
-        self.kept: dict[str, int] = {}
-        self.table = np.zeros((1024, len(model.labels)), np.float32)
-
-    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of a table for these words."""
-        kept = self.kept
-        missing = list(set(words).difference(kept))
-        if not missing:
-            return np.fromiter(map(kept.__getitem__, words), np.int64, len(words)), self.table
-        each = [features(x) for x in missing]
-        first = np.concatenate([[0], np.cumsum([len(x) for x in each])[:-1]]).astype(np.int64)
-        new = np.add.reduceat(self.model.weights[np.array([y for x in each for y in x], np.int64)], first)
-        base = len(kept)
-        room = max(0, min(KEPT_WORDS - base, len(missing)))
-        if base + room > len(self.table):
-            grown = np.zeros((max(2 * len(self.table), base + room), self.table.shape[1]), np.float32)
-            grown[:base] = self.table[:base]
-            self.table = grown
-        self.table[base : base + room] = new[:room]
-        kept.update(zip(missing[:room], range(base, base + room), strict=True))
-        if room == len(missing):
-            return np.fromiter(map(kept.__getitem__, words), np.int64, len(words)), self.table
-        rest = dict(zip(missing[room:], range(base + room, base + len(missing)), strict=True))
-        ids = np.fromiter((kept[x] if x in kept else rest[x] for x in words), np.int64, len(words))
-        return ids, np.concatenate([self.table[: base + room], new[room:]])
-
-    def word_posteriors(self, texts: list[list[str]]) -> tuple[np.ndarray, Packed]:
-        """Of all words, text after text."""
-        words = [x for text in texts for x in text]
-        packed = Packed(np.array([len(x) for x in texts], np.int64))
-        ids, table = self._ids(words)
-        scores = np.empty((len(words), table.shape[1]), np.float32)
-        scores[packed.place] = table[ids]
-        return posteriors(scores, self.model.transition, packed)[packed.place], packed
+        self.words = _Words()
+        #: Scores by number.
+        self.table = np.zeros((0, len(model.labels)), np.float32)
+
+    def _score_new(self) -> None:
+        parts = [self.table]
+        for at in range(len(self.table), len(self.words.names), 10_000):
+            each = [features(x) for x in self.words.names[at : min(at + 10_000, len(self.words.names))]]
+            first = np.concatenate([[0], np.cumsum([len(x) for x in each])[:-1]]).astype(np.int64)
+            parts.append(np.add.reduceat(self.model.weights[np.array([y for x in each for y in x], np.int64)], first))
+        self.table = np.concatenate(parts) if len(parts) > 1 else self.table
+
+    def word_posteriors(self, texts: list[list[str] | np.ndarray]) -> tuple[np.ndarray, Packed]:
+        """Of all words, text after text; a text is its words or their numbers."""
+        numbers = [x if isinstance(x, np.ndarray) else self.numbers(x) for x in texts]
+        self._score_new()
+        packed = Packed(np.array([len(x) for x in numbers], np.int64))
+        scores = np.empty((int(packed.lengths.sum()), self.table.shape[1]), np.float32)
+        scores[packed.place] = self.table[np.concatenate(numbers)]
+        found = posteriors(scores, self.model.transition, packed)[packed.place]
+        if len(self.words) > KEPT_WORDS:
+            self.words.forget(KEPT_WORDS)
+            self.table = self.table[:KEPT_WORDS].copy()
+        return found, packed
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
 
     def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and mean posterior of each text."""
         names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if not self.model.labels:
             return names, scores
-        run: list[tuple[int, list[str]]] = []
+        run: list[tuple[int, np.ndarray]] = []
         size = 0
         for i, text in enumerate([*texts, None]):
             if i == len(texts) or size >= BATCH_WORDS:
@@ -235,22 +248,11 @@ class Labeller:
                         names[j], scores[j] = self.model.labels[top], min(1.0, max(0.0, float(mean[top])))
                 run, size = [], 0
             if i < len(texts) and (words := words_of(text)):
-                run.append((i, words))
+                run.append((i, self.numbers(words)))
                 size += len(words)
         return names, scores
 
 
-#: A worker's, by the run that learned its model.
-_AT_WORK: dict[str, Labeller] = {}
-
-
-def _labeller(run: str, model: Model) -> Labeller:
-    if run not in _AT_WORK:
-        _AT_WORK.clear()
-        _AT_WORK[run] = Labeller(model)
-    return _AT_WORK[run]
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that are never learned from; a null doc_id is none of them, and isn't learned from either."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
@@ -294,7 +296,7 @@ def labelled(spark: SparkSession, docs: DataFrame, model: Model, name: str = "la
 
     @F.pandas_udf(RESULT)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        labeller = _labeller(run, shared.value)
+        labeller = per_worker(("labeller", run), lambda: Labeller(shared.value))
         for texts in batches:
             names, scores = labeller.label([x if isinstance(x, str) else None for x in texts])
             yield pd.DataFrame({"lang_pred": names, "score": scores})

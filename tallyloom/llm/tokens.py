@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import re
 from array import array
-from functools import lru_cache
 
 import regex
 
+from .common import per_worker
+
 #: Pieces that a worker keeps, about 150 bytes each.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 #: Longer pieces are not kept.
 KEPT_LENGTH = 40
 
@@ -96,10 +97,9 @@ class TextEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:
     """One for each worker process."""
-    return TextEncoder(path)
+    return per_worker(("encoder", path), lambda: TextEncoder(path))
 
 
 def in_runs(texts: list[str | None], most_chars: int = 4_000_000):

@@ -13,16 +13,17 @@ seen, up to a bound.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import per_worker
+
 #: Fixed values of the tokenizer's rules.
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 
 
 class UnigramCounter(dict):
@@ -80,10 +81,9 @@ class UnigramCounter(dict):
         return pieces, total
 
 
-@lru_cache(maxsize=2)
 def counter(model_file: str) -> UnigramCounter:
     """One for each worker process: the pieces and scores as the model file lists them."""
-    return UnigramCounter(pieces_of(model_file))
+    return per_worker(("unigram", model_file), lambda: UnigramCounter(pieces_of(model_file)))
 
 
 def pieces_of(model_file: str) -> list[tuple[str, float]]:

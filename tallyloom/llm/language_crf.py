@@ -304,8 +304,12 @@ def labelled(spark: SparkSession, docs: DataFrame, model: Model, name: str = "la
     return docs.drop(name).withColumn(name, predict("text"))
 
 
-def keep_written(spark: SparkSession, docs: DataFrame, *, least: float = 0.5) -> DataFrame:
-    """docs without those that no learned language fits: undetermined, or of a lower score."""
+def keep_written(spark: SparkSession, docs: DataFrame, *, least: float = 0.3) -> DataFrame:
+    """docs without those that no learned language fits: undetermined, or of a lower score.
+
+    A text that switches evenly between two or three languages has a mean
+    posterior of a half or a third in each, and stays.
+    """
     model = learn(docs)
     kept = labelled(spark, docs, model, "_language").filter((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= least))
     return kept.drop("_language")

@@ -86,6 +86,25 @@ def _program(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int,
     return [(dict(c), x * scale) for c, x in shares.items()], bound
 
 
+def lower_bound(histogram: dict[int, int], capacity: int) -> int:
+    """No packing has fewer sequences: Martello and Toth's bound.
+
+    Pieces over half of the capacity never share a sequence; what is at least
+    as long as a threshold and doesn't fit beside them needs room of its own.
+    """
+    lengths = np.array(sorted(histogram), np.int64)
+    need = np.array([histogram[int(x)] for x in lengths], np.int64)
+    best = 0
+    for least in (0, *lengths[lengths <= capacity // 2].tolist()):
+        alone = need[lengths > capacity - least].sum()
+        big = (lengths <= capacity - least) & (2 * lengths > capacity)
+        small = (2 * lengths <= capacity) & (lengths >= least)
+        beside = need[big].sum() * capacity - (lengths[big] * need[big]).sum()
+        rest = (lengths[small] * need[small]).sum() - beside
+        best = max(best, int(alone + need[big].sum()) + max(0, -(-int(rest) // capacity)))
+    return best
+
+
 class _Plan:
     """Whole sequences, taken from what is left of each length."""
 
@@ -121,15 +140,15 @@ def solve(histogram: dict[int, int], capacity: int, *, rounds: int = 300, rate:
     exactly once.  With more than classes distinct lengths, neighbouring ones
     share a row of the program, at the longest of them.  Its shares are rounded
     down on the real lengths.  A second rounding prices the real lengths and
-    takes whole steps at once; the plan of fewer sequences stays.  The bound is
-    by tokens or, without such classes, the program's dual: no packing has
-    fewer sequences.
+    takes whole steps at once; the plan of fewer sequences stays.  No packing
+    has fewer sequences than the bound: lower_bound or, without such classes,
+    the program's dual.
     """
     lengths = np.array(sorted(histogram), np.int64)
     if len(lengths) and not 1 <= lengths[0] <= lengths[-1] <= capacity:
         raise ValueError("a length lies outside 1 to capacity")
     first, second = _Plan(histogram, capacity), _Plan(histogram, capacity)
-    bound = float(-(-sum(n * k for n, k in histogram.items()) // capacity))
+    bound = float(lower_bound(histogram, capacity))
     live = np.flatnonzero(first.left)
     if len(live) > 1:
         of = np.minimum(np.arange(len(live)) * classes // max(len(live), classes), classes - 1)

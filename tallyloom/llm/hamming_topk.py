@@ -91,7 +91,8 @@ def top_k(spark: SparkSession, index: DataFrame, queries: DataFrame, *, k: int =
             again = earlier[0] if earlier else F.lit(False)
             for x in earlier[1:]:
                 again = again | x
-            pairs = probes.alias("p").join(cut.alias("c"), (F.col("p.segment") == F.col("c.segment")) & (F.col("p.value") == F.col("c.value")) & (d <= covered) & ~again).select("query", "code", "n", d.alias("distance"))
+            # merged: Spark would take the spelled-out values for as few as the queries, and broadcast them
+            pairs = probes.alias("p").join(cut.hint("merge").alias("c"), (F.col("p.segment") == F.col("c.segment")) & (F.col("p.value") == F.col("c.value")) & (d <= covered) & ~again).select("query", "code", "n", d.alias("distance"))
         else:
             pairs = _all_values(pending, entries)
         near = Window.partitionBy("query").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)

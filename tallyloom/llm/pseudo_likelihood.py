@@ -5,27 +5,34 @@ sum of these conditional log-probabilities is the document's score.  The network
 has a table of vectors for each place of the window, their sum through tanh,
 and two softmaxes: over groups of words, and over the words of the group.
 
-The vocabulary comes from the word counts of the whole corpus.  Training passes
-over the whole corpus in rounds: each task masks a share of the places of every
-text, another share each round, and follows their gradient from the shared
-parameters; the tasks' results are averaged, weighted by their words, in three
-levels, so that no step gathers the results of all tasks.
+The vocabulary is every word of the corpus.  The network tells the most frequent
+ones apart and the buckets that the others share; the rest of a bucketed word's
+probability, its share of the bucket, comes from the counts of the whole corpus
+by a join, so that nothing that is gathered grows with the input.
+
+Training passes over the whole corpus in rounds: each task masks the places of
+every text share by share, other shares each round, until every place has been a
+target, and follows their gradient from the shared parameters; the tasks'
+results are averaged, weighted by their words, in three levels, so that no step
+gathers the results of all tasks.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Work
 
-#: Words of the vocabulary, by frequency; the rest share BUCKETS ids by hash.
+#: Words that the network tells apart, by frequency; the rest share BUCKETS ids by hash.
 GROUPS = 32
 SIZE = GROUPS * GROUPS
 BUCKETS = 64
@@ -33,6 +40,8 @@ SIDE = 2
 DIM = 16
 #: Words that pass through the network at once.
 BATCH = 20_000
+#: Words of the texts whose bucketed words are looked up together.
+BLOCK_WORDS = 1_000_000
 #: Into how many groups the tasks' results are averaged, level after level.
 FANS = (1024, 32, 1)
 
@@ -41,28 +50,46 @@ def words_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-@dataclass
-class Vocabulary:
-    ids: dict[str, int]
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids; words outside the vocabulary share the last BUCKETS ids."""
-        words = words_of(text)
-        get, low = self.ids.get, SIZE - BUCKETS
-        return np.fromiter((y if (y := get(x)) is not None else low + _bucket(x) for x in words), np.int64, len(words))
 
+class _Ids(dict):
+    """Ids of words, with as many bucketed words as fit."""
 
-class _Buckets(dict):
     def __missing__(self, word: str) -> int:
-        import zlib
-
-        found = zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+        found = SIZE - BUCKETS + _bucket(word)
         if len(self) < 200_000:
             self[word] = found
         return found
 
 
-_bucket = _Buckets().__getitem__
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.names)
+        self.names.append(word)
+        return n
+
+
+@dataclass
+class Vocabulary:
+    ids: dict[str, int]
+    _known: _Ids | None = field(default=None, init=False, repr=False, compare=False)
+
+    def encode_words(self, words: list[str]) -> np.ndarray:
+        """Ids; words that the network doesn't tell apart share the last BUCKETS ids."""
+        if self._known is None:
+            self._known = _Ids(self.ids)
+        return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_words(words_of(text))
 
 
 @dataclass
@@ -176,23 +203,35 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """The most frequent words of all texts, and how often each id occurs."""
-    counted = docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # the frequent ones first; what the rest adds up to comes from their hash in the network's first biases
+def count_words(docs: DataFrame) -> DataFrame:
+    """word, n: every word of all texts, and how often it occurs."""
+    return docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocabulary, np.ndarray]:
+    """The most frequent words of all texts, and how often each id, word or bucket, occurs; counted is count_words(docs), if at hand."""
+    counted = count_words(docs) if counted is None else counted
     top = counted.orderBy(F.desc("n"), "word").limit(SIZE - BUCKETS).collect()
-    ids = {r.word: i for i, r in enumerate(top)}
     counts = np.zeros(SIZE)
     counts[: len(top)] = [r.n for r in top]
-    counts[SIZE - BUCKETS :] = max(1.0, counts[max(0, len(top) - 1)])
-    return Vocabulary(ids), counts
+    for r in counted.groupBy((F.crc32(F.col("word").cast("binary")) % BUCKETS).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        counts[SIZE - BUCKETS + r.bucket] = r.n
+    for r in top:
+        counts[SIZE - BUCKETS + _bucket(r.word)] -= r.n
+    return Vocabulary({r.word: i for i, r in enumerate(top)}), counts
+
 
+def _runs(vocab: Vocabulary, column: pa.Array, rare: Callable[[list[str], np.ndarray], None] | None = None) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Rows, their ids end to end and their lengths, some BATCH words at a time; a longer text comes alone.
 
-def _runs(vocab: Vocabulary, column: pa.Array) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Rows, their ids end to end and their lengths, some BATCH words at a time; a longer text comes alone."""
+    rare is told the words and ids of each row, in order.
+    """
     rows, parts, size = [], [], 0
     for i, x in enumerate(column):
-        ids = vocab.encode(x.as_py())
+        words = words_of(x.as_py())
+        ids = vocab.encode_words(words)
+        if rare:
+            rare(words, ids)
         if size and size + len(ids) > BATCH:
             yield rows, np.concatenate(parts), np.array([len(p) for p in parts])
             rows, parts, size = [], [], 0
@@ -203,15 +242,24 @@ def _runs(vocab: Vocabulary, column: pa.Array) -> Iterator[tuple[list[int], np.n
         yield rows, np.concatenate(parts), np.array([len(p) for p in parts])
 
 
-def _masked(around: np.ndarray, ids: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return around[chosen], ids[chosen]
+def targets(lengths: np.ndarray, turn: int, rounds: int, mask_one_in: int) -> Iterator[np.ndarray]:
+    """The places that a round masks, one in mask_one_in of each text at a time, from an offset by the text.
+
+    Over rounds 0 to rounds - 1 every place comes, once if rounds is at most mask_one_in.
+    """
+    n = np.repeat(lengths, lengths)
+    at = np.arange(len(n)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    share = (at + n) % mask_one_in
+    for k in range(mask_one_in):
+        if k % rounds == turn % mask_one_in:
+            yield np.flatnonzero(share == k)
 
 
 def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, *, rounds: int = 2, mask_one_in: int = 8, step: float = 0.1) -> Network:
     """The network after some rounds over all texts.
 
-    A round masks one place in mask_one_in of each text, other places each
-    round, and is the weighted mean of the tasks' results.
+    A step masks one place in mask_one_in of each text; the rounds together take
+    every place.  A round is the weighted mean of the tasks' results.
     """
     net = Network.initial(counts)
     parts = 16
@@ -225,28 +273,30 @@ def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, counts: np.nd
 
             vocab, flat = shared.value
             own, squares = Network(flat.copy()), np.full(len(flat), 1e-3, np.float32)
-            seen, waiting, size = 0, [], 0
+            seen, waiting, sizes = 0, [[] for _ in range(mask_one_in)], [0] * mask_one_in
 
-            def follow():
+            def follow(k):
                 nonlocal seen
-                around, ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                around, ids = (np.concatenate(x) for x in zip(*waiting[k], strict=True))
                 grad = Network(np.zeros(len(flat), np.float32))
                 log_probs(own, around, ids, grad)
                 grad.flat /= math.sqrt(len(ids))
                 np.add(squares, grad.flat * grad.flat, out=squares)
                 own.flat[:] += step * grad.flat / np.sqrt(squares)
                 seen += len(ids)
+                waiting[k], sizes[k] = [], 0
 
             for batch in batches:
                 for _, ids, lengths in _runs(vocab, batch.column(0)):
-                    chosen = np.arange((turn * 3 + len(ids)) % mask_one_in, len(ids), mask_one_in)
-                    waiting.append(_masked(windows(ids, lengths), ids, chosen))
-                    size += len(chosen)
-                    if size >= 4096:
-                        follow()
-                        waiting, size = [], 0
-            if size:
-                follow()
+                    around = windows(ids, lengths)
+                    for k, chosen in enumerate(targets(lengths, turn, rounds, mask_one_in)):
+                        waiting[k].append((around[chosen], ids[chosen]))
+                        sizes[k] += len(chosen)
+                        if sizes[k] >= 4096:
+                            follow(k)
+            for k, size in enumerate(sizes):
+                if size:
+                    follow(k)
             if seen:
                 part = TaskContext.get().partitionId()
                 blocks = [own.flat[k * width : (k + 1) * width].tolist() for k in range(parts)]
@@ -270,35 +320,88 @@ def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, counts: np.nd
     return net
 
 
-def score(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, net: Network, counts: np.ndarray | None = None, counted: DataFrame | None = None) -> DataFrame:
     """doc_id, n_words, log_prob (the sum over all words), mean_log_prob for each row of docs (doc_id, text).
 
+    With counts (of vocabulary) and counted (word, n) a bucketed word's
+    log-probability is its bucket's plus log n / the bucket's count, where a word
+    that counted lacks is taken as seen once; without them it is its bucket's.
+
     Null texts and texts without a word have 0 words, log_prob 0 and no mean.
     Null doc_ids and repeated rows are kept as they are; other columns are not
     looked at.
     """
-    shared = spark.sparkContext.broadcast((vocab, net.flat))
+    whole = counted is not None
+    low = SIZE - BUCKETS
+    shared = spark.sparkContext.broadcast((vocab, net.flat, np.log(np.maximum(counts[low:], 1)) if whole else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, flat = shared.value
+        from pyspark import TaskContext
+
+        vocab, flat, logs = shared.value
         net = Network(flat)
+        # a block is a run of rows that number their bucketed words together
+        block, seen, numbers = TaskContext.get().partitionId() << 32, 0, _Numbers()
         for batch in batches:
             n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for rows, ids, lengths in _runs(vocab, batch.column(1)):
+            blocks, begins, fresh, rare = [], [], [], []
+
+            def bucketed(words, ids, blocks=blocks, begins=begins, fresh=fresh, rare=rare):
+                nonlocal block, seen, numbers
+                if seen >= BLOCK_WORDS:
+                    block, seen, numbers = block + 1, 0, _Numbers()
+                seen += len(words)
+                begins.append(len(numbers.names))
+                own = [words[i] for i in np.flatnonzero(ids >= low).tolist()]
+                rare.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
+                blocks.append(block)
+                fresh.append(numbers.names[begins[-1] :])
+
+            for rows, ids, lengths in _runs(vocab, batch.column(1), bucketed if whole else None):
                 n[rows] = lengths
                 if not len(ids):
                     continue
                 around = windows(ids, lengths)
-                found = np.concatenate([log_probs(net, around[k : k + BATCH], ids[k : k + BATCH]) for k in range(0, len(ids), BATCH)])
+                found = np.concatenate([log_probs(net, around[k : k + BATCH], ids[k : k + BATCH]) for k in range(0, len(ids), BATCH)]).astype(np.float64)
+                if whole:
+                    found[ids >= low] -= logs[ids[ids >= low] - low]
                 full = lengths > 0
-                total[np.array(rows)[full]] = np.add.reduceat(found.astype(np.float64), (np.cumsum(lengths) - lengths)[full])
-            mean = [t / k if k else None for t, k in zip(total.tolist(), n.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(mean, pa.float64())], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+                total[np.array(rows)[full]] = np.add.reduceat(found, (np.cumsum(lengths) - lengths)[full])
+            if not whole:
+                yield _scores(batch.column(0), n, total)
+                continue
+            ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(blocks, pa.int64()), pa.array(begins, pa.int32()), pa.array(fresh, pa.list_(pa.string())), lists], names=["doc_id", "n_words", "log_prob", "block", "begin", "fresh", "rare"])
+
+    schema = "doc_id long, n_words long, log_prob double"
+    docs = docs.select("doc_id", "text")
+    if not whole:
+        return docs.mapInArrow(run, schema + ", mean_log_prob double")
+    rows = Work(spark, "pseudo-likelihood").save(docs.mapInArrow(run, schema + ", block long, begin int, fresh array<string>, rare array<int>"), "rows")
+    words = rows.select("block", "begin", F.posexplode("fresh").alias("at", "word")).select(F.col("block").alias("of"), (F.col("begin") + F.col("at")).alias("number"), "word")
+    # a word seen once has log n = 0
+    found = words.join(counted.filter("n > 1").hint("merge"), "word").select("of", "number", F.log("n").alias("log_n"))
+
+    def add(rows: pa.Table, found: pa.Table) -> pa.Table:
+        rare = rows.column("rare").combine_chunks()
+        numbers = np.asarray(rare.flatten())
+        logs = np.zeros(int(numbers.max(initial=-1)) + 1)
+        logs[np.asarray(found.column("number"))] = np.asarray(found.column("log_n"))
+        lengths = np.asarray(rare.value_lengths())
+        total = np.asarray(rows.column("log_prob")) + np.bincount(np.repeat(np.arange(len(lengths)), lengths), logs[numbers], len(lengths))
+        return pa.Table.from_batches([_scores(rows.column("doc_id").combine_chunks(), np.asarray(rows.column("n_words")), total)])
+
+    return rows.select("doc_id", "n_words", "log_prob", "block", "rare").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(add, schema + ", mean_log_prob double")
+
+
+def _scores(doc_ids: pa.Array, n: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    mean = [t / k if k else None for t, k in zip(total.tolist(), n.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([doc_ids, pa.array(n), pa.array(total), pa.array(mean, pa.float64())], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
 
 
 def score_corpus(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Counts, trains and scores; see vocabulary, train and score."""
-    vocab, counts = vocabulary(docs)
-    return score(spark, docs, vocab, train(spark, docs, vocab, counts))
+    """Counts, trains and scores; see count_words, vocabulary, train and score."""
+    counted = Work(spark, "word-counts").save(count_words(docs), "words")
+    vocab, counts = vocabulary(docs, counted)
+    return score(spark, docs, vocab, train(spark, docs, vocab, counts), counts, counted)

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -161,6 +162,41 @@ def test_training_learns_both_sides(spark):
     assert by[1] > flat[1] + 0.5 and by[1] > by[2] + 0.5
 
 
+def test_every_word_is_scored_itself(spark, monkeypatch):
+    monkeypatch.setattr(pl, "BLOCK_WORDS", 300)
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{min(rng.randrange(3000), rng.randrange(3000))}" for _ in range(rng.randrange(0, 90)))) for i in range(120)]
+    rows += [(500, "w1 onlyhere w2"), (501, "w1 thrice w2"), (501, "w1 thrice w2"), (None, "thrice ünïcode"), (502, None), (503, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    n = Counter(w for _, t in rows for w in pl.words_of(t))
+    counted = pl.count_words(docs)
+    vocab, counts = pl.vocabulary(docs, counted)
+    low = pl.SIZE - pl.BUCKETS
+    totals = Counter()
+    for w, k in n.items():
+        totals[int(vocab.encode(w)[0])] += k
+    assert len(n) > low and counts.tolist() == [totals[i] for i in range(pl.SIZE)]
+    net = network(5)
+    found = pl.score(spark, docs, vocab, net, counts, counted).collect()
+
+    def want(text):
+        ids = vocab.encode(text)
+        return plain_log_prob(net, ids) + sum(np.log(n[w] / totals[i]) for w, i in zip(pl.words_of(text), ids.tolist(), strict=True) if i >= low)
+
+    got = sorted((str(r.doc_id), r.n_words, r.log_prob) for r in found)
+    expected = sorted((str(d), len(pl.words_of(t)), want(t)) for d, t in rows)
+    assert [x[:2] for x in got] == [x[:2] for x in expected]
+    assert np.allclose([x[2] for x in got], [x[2] for x in expected], rtol=1e-4)
+
+
+def test_rounds_mask_every_place():
+    lengths = np.array([5, 0, 17, 1, 40])
+    for rounds, one_in in ((2, 8), (4, 8), (3, 8), (1, 8)):
+        chosen = [x for turn in range(rounds) for x in pl.targets(lengths, turn, rounds, one_in)]
+        assert sorted(np.concatenate(chosen)) == list(range(63))
+        assert len(chosen) == one_in
+
+
 def test_empty_corpus(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pl.score_corpus(spark, docs).count() == 0

@@ -1,9 +1,10 @@
 """License scans: how much a license's wording helps to compress a block.
 
-Lines that could speak of a license are candidate blocks.  Each is compressed by
-itself and with every template as raw dictionary; templates are ranked by the
-size that they save, and the best is confirmed by the exact differences in
-wording between it and the block.
+Runs of neighbouring lines around those that could speak of a license, joined
+across line breaks, are searched for the places that a template fits by the
+exact differences in wording.  The lines of such a place are the block: it is
+compressed by itself and with the template as raw dictionary, and every template
+that saves something is told, except within one that saves more.
 """
 
 from __future__ import annotations
@@ -17,29 +18,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Short notices and opening passages of public licenses; ``#`` stands for a version or a year.
-TEMPLATES = {
-    "apache": "Licensed under the Apache License, Version #.",
-    "apache-notice": "Licensed under the Apache License, Version # (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "mit": "Released under the MIT License.",
-    "mit-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
-    "gpl": "This work is licensed under the GNU General Public License, version #.",
-    "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version # of the License, or (at your option) any later version.",
-    "bsd-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. #.",
-    "isc-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
-    "cc-by": "Licensed under CC BY #.",
-    "cc-by-sa": "Licensed under CC BY-SA #.",
-    "cc-by-nc": "Licensed under CC BY-NC #.",
-    "cc-by-nc-sa": "Licensed under CC BY-NC-SA #.",
-    "cc-by-nd": "Licensed under CC BY-ND #.",
-    "all-rights-reserved": "Copyright # All rights reserved.",
-}
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_BSD_2 = f"{_BSD}: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+#: Whole texts, opening passages and short notices of public licenses; ``#`` stands for a version or a year.
+TEMPLATES = (
+    ("apache", "Licensed under the Apache License, Version #."),
+    ("apache", "under the Apache License #"),
+    ("apache-notice", "Licensed under the Apache License, Version # (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("mit", "Released under the MIT License."),
+    ("mit", "under the MIT License"),
+    ("mit-notice", _MIT),
+    ("mit-text", f"{_MIT}, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("gpl", "This work is licensed under the GNU General Public License, version #."),
+    ("gpl", "under the GNU General Public License"),
+    ("gpl-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version # of the License, or (at your option) any later version."),
+    ("bsd", "under the BSD License"),
+    ("bsd-notice", _BSD),
+    ("bsd-2-text", f"{_BSD_2} {_BSD_END}"),
+    ("bsd-3-text", f"{_BSD_2} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. {_BSD_END}"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. #."),
+    ("mpl", "under the Mozilla Public License"),
+    ("isc", "under the ISC License"),
+    ("isc-notice", _ISC),
+    ("isc-text", f"{_ISC}, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("cc-by", "Licensed under CC BY #."),
+    ("cc-by-sa", "Licensed under CC BY-SA #."),
+    ("cc-by-nc", "Licensed under CC BY-NC #."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA #."),
+    ("cc-by-nd", "Licensed under CC BY-ND #."),
+    ("all-rights-reserved", "Copyright # All rights reserved."),
+)
 #: Fixed value: a line with none of these is no candidate.
 CANDIDATE = r"(?i)licen[sc]e|copyright|permission|redistribut|public domain|rights reserved|free software|creative commons|\bCC BY"
 
+_KEY = re.compile(CANDIDATE)
+#: Marks of a comment at a line's beginning.
+_MARK = re.compile(r"^\s*(?:#+|//+|/?\*+/?|--+|;+|%+|dnl\b|rem\b)(?:\s+|$)", re.IGNORECASE)
+#: Words that may stand between those of a template; lines further off are another block.
+SLACK = 64
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*|#")
 _VERSION = re.compile(r"\d+(?:[.\-]\d+)*")
+_NUMBER = re.compile(f"#|{_VERSION.pattern}")
 
 
 def wording(text: str) -> str:
@@ -53,52 +75,130 @@ def _prepared():
 
     plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
     out = []
-    for name, template in TEMPLATES.items():
+    for name, template in TEMPLATES:
         text = wording(template)
         kept = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         out.append((name, _WORD.findall(text), zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=kept)))
-    return plain, out
+    return plain, out, max(len(words) for _, words, _ in out)
 
 
-def scan_block(block: str, least_cover: float = 0.9) -> tuple | None:
-    """(license, version, plain size, saved, cover, missing words, added words) of a block, or None.
+def _may_fit(template: list[str], words: list[str], least_cover: float) -> bool:
+    own = set(template)
+    return len(own.difference(words)) <= (1 - least_cover) * len(template) + 1e-9
+
+
+def _places(template: list[str], words: list[str], least_cover: float) -> Iterator[tuple[list[int], list[str], list[str]]]:
+    """(places of its words, missing words, added words) of each place of a block that a template fits.
 
-    Winners are tried in the order of what they save, then of more words, then
-    of the list.  One is confirmed if its words stand in the block in order up
-    to the share least_cover and nothing that its words are about is denied: no
-    other license's letters (as the -sa of cc by-sa) stand where they end.
+    Its words stand there in order up to the share least_cover, and nothing that
+    they are about is denied: no other license's letters (as the -sa of cc
+    by-sa) stand where they end.
     """
-    text = wording(block)
-    if not text:
-        return None
-    plain, templates = _prepared()
-    size = len(plain.compress(text.encode()))
-    words = _WORD.findall(text)
-    ranked = sorted(((size - len(c.compress(text.encode())), len(t), -k) for k, (_, t, c) in enumerate(templates)), reverse=True)
-    for saved, _, k in ranked:
-        if saved <= 0:
-            break
-        name, template, _ = templates[-k]
-        codes = difflib.SequenceMatcher(None, template, words, autojunk=False).get_opcodes()
-        same = sum(b - a for op, a, b, _, _ in codes if op == "equal")
-        if same < least_cover * len(template):
+    matcher = difflib.SequenceMatcher(None, [], template, autojunk=False)
+    open_ = [(0, len(words))]
+    while open_:
+        low, high = open_.pop()
+        # template is the second sequence, so that its index is made once
+        if not _may_fit(template, words[low:high], least_cover):
             continue
+        matcher.set_seq1(words[low:high])
+        at, in_template, size = matcher.find_longest_match()
+        if not size:
+            continue
+        begin = max(low, low + at - in_template - SLACK)
+        end = min(high, low + at + len(template) - in_template + SLACK)
+        codes = difflib.SequenceMatcher(None, template, words[begin:end], autojunk=False).get_opcodes()
+        same = [begin + k for op, _, _, c, d in codes if op == "equal" for k in range(c, d)]
         missing = [w for op, a, b, _, _ in codes if op in ("replace", "delete") for w in template[a:b]]
-        first = min(c for op, _, _, c, _ in codes if op == "equal")
-        last = max(d for op, _, _, _, d in codes if op == "equal")
-        added = [w for op, _, _, c, d in codes if op in ("replace", "insert") for w in words[max(c, first) : min(d, last)]]
-        if any(len(x) <= 8 and x not in ("the", "a", "an") for x in missing) and len(template) < 12:
-            continue  # a short notice has no word to spare
-        version = _VERSION.search(block)
-        return name, version.group() if version and "#" in template else None, size, saved, same / len(template), missing, added
-    return None
+        first, last = (same[0], same[-1] + 1) if same else (0, 0)
+        fits = len(same) >= least_cover * len(template) and not (len(template) < 12 and any(len(x) <= 8 and x not in ("the", "a", "an") for x in missing))
+        if fits:
+            added = [w for op, _, _, c, d in codes if op in ("replace", "insert") for w in words[max(begin + c, first) : min(begin + d, last)]]
+            yield same, missing, added
+            open_ += [(low, first), (last, high)]
+        else:
+            # nothing fits around the longest common run
+            open_ += [(low, low + at), (low + at + size, high)]
+
+
+def _found(lines: list[str], least_cover: float) -> list[tuple]:
+    """(first line, *fields) of every confirmed template of a block, in the order of the lines."""
+    bare = [wording(_MARK.sub("", x)) for x in lines]
+    words, line_of, numbers = [], [], []
+    for k, text in enumerate(bare):
+        own = _WORD.findall(text)
+        words += own
+        found = iter(_NUMBER.findall(_MARK.sub("", lines[k])))
+        numbers += [next(found) if x == "#" else None for x in own]
+        line_of += [k] * len(own)
+    if not words:
+        return []
+    plain, templates, _ = _prepared()
+
+    def size(compressor, text: str) -> int:
+        return len(compressor.compress(text.encode()))
+
+    fits = []
+    for k, (name, template, compressor) in enumerate(templates):
+        if not _may_fit(template, words, least_cover):
+            continue
+        for same, missing, added in _places(template, words, least_cover):
+            a, b = line_of[same[0]], line_of[same[-1]]
+            text = " ".join(filter(None, bare[a : b + 1]))
+            own = size(plain, text)
+            saved = own - size(compressor, text)
+            if saved > 0:
+                version = next((numbers[x] for x in same if words[x] == "#" and numbers[x] != "#"), None)
+                fits.append((saved, len(template), -k, same, (a, name, version, own, saved, len(same) / len(template), missing, added)))
+    out, taken = [], set()
+    for _, _, _, same, fields in sorted(fits, key=lambda x: (-x[0], -x[1], -x[2], x[3])):
+        # a wording within a confirmed one tells nothing more
+        if not taken.issuperset(same):
+            taken.update(same)
+            out.append((same[0], fields))
+    return [fields for _, fields in sorted(out, key=lambda x: x[0])]
+
+
+def scan_block(block: str, least_cover: float = 0.9) -> tuple | None:
+    """(license, version, plain size, saved, cover, missing words, added words) of the winner of a block, or None.
+
+    Winners are those that save most, then those of more words, then the list's
+    first.
+    """
+    found = _found(block.split("\n"), least_cover)
+    return max(found, key=lambda x: x[4])[1:] if found else None
+
+
+def scan_text(text: str, least_cover: float = 0.9) -> list[tuple]:
+    """(line, license, version, ...) of every confirmed template of a text's blocks; its line from 0 is the first of the wording."""
+    lines = text.split("\n")
+    keys = [k for k, line in enumerate(lines) if _KEY.search(line)]
+    if not keys:
+        return []
+    reach = _prepared()[2] + SLACK
+    sizes = [len(line.split()) for line in lines]
+    runs: list[list[int]] = []
+    for k in keys:
+        low, n = k, 0
+        while low > 0 and n < reach:
+            low -= 1
+            n += sizes[low]
+        high, n = k + 1, 0
+        while high < len(lines) and n < reach:
+            n += sizes[high]
+            high += 1
+        if runs and low <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], high)
+        else:
+            runs.append([low, high])
+    return [(low + line, *rest) for low, high in runs for line, *rest in _found(lines[low:high], least_cover)]
 
 
 FIELDS = [("doc_id", pa.int64()), ("block", pa.int32()), ("license", pa.string()), ("version", pa.string()), ("plain_bytes", pa.int64()), ("saved_bytes", pa.int64()), ("cover", pa.float64()), ("missing", pa.list_(pa.string())), ("added", pa.list_(pa.string()))]
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """One row for each confirmed block of docs (doc_id, text): doc_id, block (its line from 0), license, version, plain_bytes, saved_bytes, cover, missing, added.
+    """One row for each confirmed wording of docs (doc_id, text): doc_id, block (its first line from 0), license, version, plain_bytes, saved_bytes, cover, missing, added.
 
     Null and empty texts give none.  Null doc_ids and repeated rows are kept as
     they are; other columns are not looked at.
@@ -107,11 +207,10 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, block, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if found := scan_block(text):
-                    rows.append((doc_id, block, *found))
+            for doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                rows += [(doc_id, *found) for found in scan_text(text)]
             cols = list(zip(*rows, strict=True)) if rows else [[] for _ in FIELDS]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, FIELDS, strict=True)], names=[n for n, _ in FIELDS])
 
-    candidates = docs.select("doc_id", "text").filter(F.col("text").rlike(CANDIDATE)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("block", "line")).filter(F.col("line").rlike(CANDIDATE))
+    candidates = docs.select("doc_id", "text").filter(F.col("text").rlike(CANDIDATE))
     return candidates.mapInArrow(run, "doc_id long, block int, license string, version string, plain_bytes long, saved_bytes long, cover double, missing array<string>, added array<string>")

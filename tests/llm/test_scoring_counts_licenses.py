@@ -84,6 +84,28 @@ def test_scan_table(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_wrapped_notices_and_every_license(spark):
+    wrapped = """Copyright (c) 2019 Someone
+ * Permission is hereby granted, free of charge, to any person
+ * obtaining a copy of this software and associated documentation
+ * files (the "Software"), to deal in the Software without
+ * restriction, as long as it lasts."""
+    rows = [
+        (1, "before\n" + wrapped + "\nafter"),
+        (2, "This project is licensed under the MIT License."),
+        (3, "Licensed under CC BY 4.0, or at your choice licensed under the Apache License, Version 2.0."),
+        (4, "Released under the MIT License.\nReleased under the MIT License."),
+        (5, "This work is licensed under the GNU General\nPublic License, version 3."),
+        (6, "Released under the MIT License. Some words. Released under the MIT License."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.block, r.license, r.version) for r in license_scan.scan_licenses(df).collect())
+    assert found == [(1, 2, "mit-notice", None), (2, 0, "mit", None), (3, 0, "apache", "2.0"), (3, 0, "cc-by", "4.0"), (4, 0, "mit", None), (4, 1, "mit", None), (5, 0, "gpl", "3"), (6, 0, "mit", None), (6, 0, "mit", None)]
+    whole = dict(license_scan.TEMPLATES)["mit-text"].split()
+    text = "\n".join(" ".join(whole[k : k + 9]) for k in range(0, len(whole), 9))
+    assert [x[:2] for x in license_scan.scan_text("Some title\n\n" + text)] == [(2, "mit-text")]
+
+
 # --- scoring
 
 

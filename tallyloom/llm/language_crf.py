@@ -5,6 +5,10 @@ word itself as a lexicon entry, affixes, letter n-grams); learned transitions
 join neighbouring words, and forward-backward gives each word's posterior.  A
 document's language is the one with the highest mean posterior.
 
+Posteriors add up to 1 over the learned languages, whatever the text.  Whether it
+is in any of them is told by its fit: how likely its words' letters are, each
+word in the language that suits it best, against held-out rows.
+
 Learning takes a bounded sample of labelled rows and cuts it into spans that it
 strings together across languages, so that switches occur; labelling takes
 every word of every text.
@@ -99,6 +103,42 @@ class Model:
     labels: list[str]
     weights: np.ndarray
     transition: np.ndarray
+    #: Log-probabilities of hashed letter trigrams by label.
+    trigrams: np.ndarray | None = None
+    #: Median of held-out rows' means, variance of these, and of words within rows; None: too few rows to tell.
+    usual: tuple[float, float, float] | None = None
+
+
+def familiarity(trigrams: np.ndarray, each: list[list[int]], words: list[str]) -> np.ndarray:
+    """Mean log-probability of each word's trigrams in the label that suits it best; each are its features."""
+    threes = [x[-min(len(w), 40) :] for x, w in zip(each, words, strict=True)]
+    sizes = np.array([len(x) for x in threes])
+    sums = np.add.reduceat(trigrams[np.array([y for x in threes for y in x], np.int64)], np.cumsum(sizes) - sizes)
+    return (sums / sizes[:, None]).max(axis=1)
+
+
+def fit_trigrams(samples: list[tuple[str, str]], labels: list[str], least_rows: int = 20) -> tuple[np.ndarray, tuple[float, float, float] | None]:
+    """Trigrams of three rows in four of each label, and what is usual in the fourth."""
+    counts, held, seen = np.full((BUCKETS, len(labels)), 0.5), [], dict.fromkeys(labels, 0)
+    for text, label in samples:
+        words = words_of(text)
+        seen[label] += 1
+        if not words:
+            continue
+        if seen[label] % 4 == 0:
+            held.append(words)
+        else:
+            flat = [y for w in words for y in features(w)[-min(len(w), 40) :]]
+            counts[:, labels.index(label)] += np.bincount(np.array(flat, np.int64), minlength=BUCKETS)
+    trigrams = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    if len(held) < least_rows:
+        return trigrams, None
+    rows = [familiarity(trigrams, [features(w) for w in words], words).astype(np.float64) for words in held]
+    means = np.array([x.mean() for x in rows])
+    usual = float(np.median(means))
+    between = (1.4826 * float(np.median(np.abs(means - usual)))) ** 2
+    within = float(np.median([x.var() for x in rows if len(x) > 1] or [0.0]))
+    return trigrams, (usual, between, within)
 
 
 def gradient(weights: np.ndarray, transition: np.ndarray, flat: np.ndarray, first: np.ndarray, ids: np.ndarray, gold: np.ndarray, packed: Packed) -> tuple[np.ndarray, np.ndarray]:
@@ -143,8 +183,9 @@ def fit(samples: list[tuple[str, str]], *, rounds: int = 30, sequence: int = 120
     rng = np.random.default_rng(seed)
     samples = sorted(samples)
     labels = sorted({label for _, label in samples})
+    trigrams, usual = fit_trigrams(samples, labels)
     if len(labels) < 2:
-        return Model(labels, np.zeros((BUCKETS, len(labels)), np.float32), np.zeros((len(labels), len(labels)), np.float32))
+        return Model(labels, np.zeros((BUCKETS, len(labels)), np.float32), np.zeros((len(labels), len(labels)), np.float32), trigrams, usual)
     known: dict[str, int] = {}
     spans: list[tuple[int, list[int]]] = []
     for text, label in samples:
@@ -178,7 +219,7 @@ def fit(samples: list[tuple[str, str]], *, rounds: int = 30, sequence: int = 120
             g -= decay * x
             total += g * g
             x += 0.3 * g / np.sqrt(total)
-    return Model(labels, weights.astype(np.float32), moves.astype(np.float32))
+    return Model(labels, weights.astype(np.float32), moves.astype(np.float32), trigrams, usual)
 
 
 class _Words(dict):
@@ -205,44 +246,63 @@ class Labeller:
         self.words = _Words()
         #: Scores by number.
         self.table = np.zeros((0, len(model.labels)), np.float32)
+        self.known = np.zeros(0, np.float32)
 
     def _score_new(self) -> None:
-        parts = [self.table]
+        parts, known = [self.table], [self.known]
         for at in range(len(self.table), len(self.words.names), 10_000):
-            each = [features(x) for x in self.words.names[at : min(at + 10_000, len(self.words.names))]]
+            names = self.words.names[at : min(at + 10_000, len(self.words.names))]
+            each = [features(x) for x in names]
             first = np.concatenate([[0], np.cumsum([len(x) for x in each])[:-1]]).astype(np.int64)
             parts.append(np.add.reduceat(self.model.weights[np.array([y for x in each for y in x], np.int64)], first))
-        self.table = np.concatenate(parts) if len(parts) > 1 else self.table
+            known.append(familiarity(self.model.trigrams, each, names))
+        if len(parts) > 1:
+            self.table, self.known = np.concatenate(parts), np.concatenate(known)
 
     def word_posteriors(self, texts: list[list[str] | np.ndarray]) -> tuple[np.ndarray, Packed]:
         """Of all words, text after text; a text is its words or their numbers."""
+        found, packed, _ = self._words(texts)
+        return found, packed
+
+    def _words(self, texts: list[list[str] | np.ndarray]) -> tuple[np.ndarray, Packed, np.ndarray]:
+        """Posteriors and familiarity of all words."""
         numbers = [x if isinstance(x, np.ndarray) else self.numbers(x) for x in texts]
         self._score_new()
         packed = Packed(np.array([len(x) for x in numbers], np.int64))
         scores = np.empty((int(packed.lengths.sum()), self.table.shape[1]), np.float32)
-        scores[packed.place] = self.table[np.concatenate(numbers)]
+        flat = np.concatenate(numbers)
+        scores[packed.place], known = self.table[flat], self.known[flat]
         found = posteriors(scores, self.model.transition, packed)[packed.place]
         if len(self.words) > KEPT_WORDS:
             self.words.forget(KEPT_WORDS)
-            self.table = self.table[:KEPT_WORDS].copy()
-        return found, packed
+            self.table, self.known = self.table[:KEPT_WORDS].copy(), self.known[:KEPT_WORDS].copy()
+        return found, packed, known
 
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
 
-    def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and mean posterior of each text."""
-        names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    def label(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, mean posterior and fit of each text.
+
+        The fit is how many standard deviations of held-out rows the mean
+        familiarity of its words lies above theirs; 0 if nothing tells.
+        """
+        names, scores, fits = [UNDETERMINED] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         if not self.model.labels:
-            return names, scores
+            return names, scores, fits
         run: list[tuple[int, np.ndarray]] = []
         size = 0
         for i, text in enumerate([*texts, None]):
             if i == len(texts) or size >= BATCH_WORDS:
                 if run:
-                    found, packed = self.word_posteriors([x for _, x in run])
+                    found, packed, known = self._words([x for _, x in run])
                     first = np.cumsum(packed.lengths) - packed.lengths
                     means = np.add.reduceat(found, first) / packed.lengths[:, None]
+                    if self.model.usual:
+                        usual, between, within = self.model.usual
+                        own = np.add.reduceat(known.astype(np.float64), first) / packed.lengths
+                        for (j, _), z in zip(run, (own - usual) / np.sqrt(between + within / packed.lengths + 1e-9), strict=True):
+                            fits[j] = float(z)
                     for (j, _), mean in zip(run, means, strict=True):
                         top = int(mean.argmax())
                         names[j], scores[j] = self.model.labels[top], min(1.0, max(0.0, float(mean[top])))
@@ -250,7 +310,7 @@ class Labeller:
             if i < len(texts) and (words := words_of(text)):
                 run.append((i, self.numbers(words)))
                 size += len(words)
-        return names, scores
+        return names, scores, fits
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -283,13 +343,13 @@ def learn(docs: DataFrame, *, per_label: int = 300, most_chars: int = 4000, most
     return fit([(text, lang) for lang, texts in chosen.items() for text in texts])
 
 
-RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
 
 
 def labelled(spark: SparkSession, docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
-    """docs, all columns, with a struct (lang_pred, score) made of the text alone.
+    """docs, all columns, with a struct (lang_pred, score, fit) made of the text alone.
 
-    A null text, or one without a letter, is ``und`` with score 0.  A column of
+    A null text, or one without a letter, is ``und`` with score and fit 0.  A column of
     that name is replaced.
     """
     shared, run = spark.sparkContext.broadcast(model), uuid.uuid4().hex
@@ -298,18 +358,18 @@ def labelled(spark: SparkSession, docs: DataFrame, model: Model, name: str = "la
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = per_worker(("labeller", run), lambda: Labeller(shared.value))
         for texts in batches:
-            names, scores = labeller.label([x if isinstance(x, str) else None for x in texts])
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+            names, scores, fits = labeller.label([x if isinstance(x, str) else None for x in texts])
+            yield pd.DataFrame({"lang_pred": names, "score": scores, "fit": fits})
 
     return docs.drop(name).withColumn(name, predict("text"))
 
 
-def keep_written(spark: SparkSession, docs: DataFrame, *, least: float = 0.3) -> DataFrame:
-    """docs without those that no learned language fits: undetermined, or of a lower score.
+def keep_written(spark: SparkSession, docs: DataFrame, *, least_fit: float = -8.0) -> DataFrame:
+    """docs without those that no learned language fits: undetermined, or of a lower fit.
 
-    A text that switches evenly between two or three languages has a mean
-    posterior of a half or a third in each, and stays.
+    The fit takes each word in the language that suits it best, so it doesn't
+    depend on their number, and a text that switches between languages stays.
     """
     model = learn(docs)
-    kept = labelled(spark, docs, model, "_language").filter((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= least))
+    kept = labelled(spark, docs, model, "_language").filter((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.fit") >= least_fit))
     return kept.drop("_language")

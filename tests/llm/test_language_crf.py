@@ -102,6 +102,18 @@ def test_documents(spark):
     assert kept.count() >= len(rows) + 3
 
 
+def test_unlearned_language_and_gibberish_go(spark):
+    rng = random.Random(11)
+    rows = [(i, text, lang) for i, (text, lang) in enumerate(samples(120, rng))]
+    other = [(1000 + i, " ".join("".join(rng.choice(["zsw", "pły", "gdź", "hob"]) for _ in range(rng.randrange(1, 4))) for _ in range(30)), None) for i in range(20)]
+    junk = [(2000 + i, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(30)), None) for i in range(20)]
+    switched = [(3000 + i, " ".join(w for _ in range(3) for lang in SYLLABLES for w in words(lang, 4, rng)), None) for i in range(20)]
+    for learned in (set(SYLLABLES), {"aa", "bb"}):
+        own = [r for r in rows if r[2] in learned]
+        docs = spark.createDataFrame(own + other + junk + (switched if len(learned) == 3 else []), "doc_id long, text string, lang string")
+        assert sorted(r.doc_id for r in crf.keep_written(spark, docs).collect()) == [r[0] for r in own] + ([r[0] for r in switched] if len(learned) == 3 else [])
+
+
 def test_few_or_no_labels(spark):
     docs = spark.createDataFrame([(1, "only one", "aa"), (3, "kind of label", "aa")], "doc_id long, text string, lang string")
     assert {r.language.lang_pred for r in crf.labelled(spark, docs, crf.learn(docs)).collect()} == {"aa"}

@@ -5,15 +5,17 @@ lengths, at most ``capacity`` numbers however large the corpus.  A
 configuration says how many pieces of each length share a sequence.
 Multiplicative weights hold a price for each length, a knapsack by dynamic
 programming finds the configuration of most value under these prices, over and
-over; the shares are rounded down to whole sequences, and what is left over is
-completed by best fit on the histogram.  Pieces then find their places by their rank within
-their length, by arithmetic on the plan.
+over; the shares are rounded to whole sequences, the program is solved again for
+what is left, and best fit takes the few pieces that no share holds.  Pieces
+then find their places by their rank within their length, by arithmetic on the
+plan.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,67 +24,75 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Work
-from .tokens import encoder, in_runs
+from .tokens import encoder, in_runs, with_end
 
 #: Rows that share a length are ranked in groups of about this size.
 RANK_GROUP = 50_000
 
 
-def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, dict[int, int]]:
-    """The most value that fits, each length any number of times: value and copies by index."""
-    best = np.zeros(capacity + 1)
-    chosen = np.full(capacity + 1, -1)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        if k := fits[room]:
-            value = best[room - lengths[:k]] + prices[:k]
-            top = int(value.argmax())
-            if value[top] > best[room]:
-                best[room], chosen[room] = value[top], top
-    copies: dict[int, int] = {}
-    room = capacity
-    while room:
-        if (i := int(chosen[room])) < 0:
-            room -= 1
-        else:
-            copies[i] = copies.get(i, 0) + 1
-            room -= int(lengths[i])
-    return float(best[capacity]), copies
-
-
-def _complete(left: np.ndarray, lengths: np.ndarray, copies: dict[int, int], capacity: int) -> dict[int, int]:
-    """Adds to a configuration what fits best, longest first, within what is left."""
-    room = capacity - sum(int(lengths[i]) * n for i, n in copies.items())
-    i = int(np.searchsorted(lengths, room, side="right")) - 1
-    while i >= 0 and room >= lengths[0]:
-        i = min(i, int(np.searchsorted(lengths, room, side="right")) - 1)
-        if n := min(room // int(lengths[i]), int(left[i]) - copies.get(i, 0)):
-            copies[i] = copies.get(i, 0) + n
-            room -= n * int(lengths[i])
-        i -= 1
-    return copies
-
-
-def _program(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int, rate: float) -> tuple[list[tuple[dict[int, int], float]], float]:
-    """Multiplicative weights on the program: configurations by index with their shares, and the best dual bound.
+class Knapsack:
+    """The most value that fits each room up to capacity, each length any number of times: dynamic programming."""
+
+    def __init__(self, lengths: np.ndarray, prices: np.ndarray, capacity: int):
+        self.lengths, self.prices, self.capacity = lengths, prices, capacity
+        self.best, self.chosen = best, chosen = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+        fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
+        back, priced = np.ascontiguousarray(lengths), np.ascontiguousarray(prices)
+        for room in range(1, capacity + 1):
+            best[room] = best[room - 1]
+            if k := fits[room]:
+                value = best[room - back[:k]]
+                value += priced[:k]
+                top = int(value.argmax())
+                if value[top] > best[room]:
+                    best[room], chosen[room] = value[top], top
+
+    def copies(self, room: int) -> dict[int, int]:
+        """How often each length, by its index, stands in the best filling of a room."""
+        out: dict[int, int] = {}
+        while room:
+            if (i := int(self.chosen[room])) < 0:
+                room -= 1
+            else:
+                out[i] = out.get(i, 0) + 1
+                room -= int(self.lengths[i])
+        return out
+
+    def with_length(self, i: int) -> tuple[float, dict[int, int]]:
+        """The best filling that holds length i: value and copies."""
+        room = self.capacity - int(self.lengths[i])
+        out = self.copies(room)
+        out[i] = out.get(i, 0) + 1
+        return float(self.prices[i] + self.best[room]), out
+
+
+def program(lengths: np.ndarray, need: np.ndarray, capacity: int, *, rounds: int, rate: float = 0.5, columns: int = 48, near: float = 0.002) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """The configuration program by multiplicative weights: configurations by index with their shares, and the best dual bound.
 
     A length's weight falls by rate with each time that it has been covered
     whole; its first price is the length itself, which no perfect filling
-    betters.  A step covers the configuration's scarcest length once.  At last
-    shares are scaled so that they cover as much as there is.
+    betters.  A round prices the knapsack once and covers the lengths that are
+    behind, at most columns of them, each by the best filling that holds it if
+    that is worth the best of all but a share near; a step covers the filling's
+    scarcest length once.  The bound is that of the prices, as dual values.  At
+    last the shares are scaled so that they hold as much as there is.
     """
-    covered, shares, bound = np.zeros(len(lengths)), {}, 0.0
+    covered, bound = np.zeros(len(lengths)), 0.0
+    shares: dict[tuple, float] = {}
     for _ in range(rounds):
-        prices = lengths * np.exp(-rate * (covered - covered.min()))
-        value, copies = knapsack(lengths, prices, capacity)
-        bound = max(bound, float((prices * need).sum()) / value)
-        step = min(need[i] / n for i, n in copies.items())
-        for i, n in copies.items():
-            covered[i] += n * step / need[i]
-        key = tuple(sorted(copies.items()))
-        shares[key] = shares.get(key, 0.0) + step
-    scale = float((lengths * need).sum() / (lengths * need * covered).sum()) if shares else 0.0
+        sack = Knapsack(lengths, lengths * np.exp(-rate * (covered - covered.min())), capacity)
+        most = float(sack.best[capacity])
+        bound = max(bound, float((sack.prices * need).sum()) / most)
+        for k, i in enumerate(np.argsort(covered, kind="stable")[:columns].tolist()):
+            value, copies = sack.with_length(i) if k else (most, sack.copies(capacity))
+            if value < (1 - near) * most:
+                continue
+            step = min(need[j] / n for j, n in copies.items())
+            for j, n in copies.items():
+                covered[j] += n * step / need[j]
+            key = tuple(sorted(copies.items()))
+            shares[key] = shares.get(key, 0.0) + step
+    scale = float((lengths * need).sum() / (lengths * need * covered).sum())
     return [(dict(c), x * scale) for c, x in shares.items()], bound
 
 
@@ -105,84 +115,89 @@ def lower_bound(histogram: dict[int, int], capacity: int) -> int:
     return best
 
 
-class _Plan:
-    """Whole sequences, taken from what is left of each length."""
-
-    def __init__(self, histogram: dict[int, int], capacity: int):
-        self.lengths = np.array(sorted(histogram), np.int64)
-        self.left = np.array([histogram[int(x)] for x in self.lengths], np.int64)
-        self.capacity = capacity
-        self.rows: list[tuple[dict[int, int], int]] = []
-        if len(self.lengths) and self.lengths[-1] == capacity:
-            self.use({len(self.lengths) - 1: 1}, int(self.left[-1]))
-
-    def use(self, copies: dict[int, int], most: int) -> int:
-        """Completes a configuration and takes it up to most times; how often."""
-        copies = _complete(self.left, self.lengths, copies, self.capacity)
-        times = min(most, min(int(self.left[i]) // n for i, n in copies.items()))
-        for i, n in copies.items():
-            self.left[i] -= n * times
-        self.rows.append(({int(self.lengths[i]): n for i, n in sorted(copies.items())}, times))
-        return times
-
-    def finish(self) -> int:
-        """Best fit for what is left, longest first: each step uses up a length.  The number of sequences."""
-        while self.left.any():
-            i = int(np.flatnonzero(self.left)[-1])
-            self.use({i: 1}, int(self.left[i]))
+def _complete(left: np.ndarray, lengths: np.ndarray, copies: dict[int, int], capacity: int) -> dict[int, int]:
+    """Adds to a configuration what fits best, longest first, within what is left."""
+    room = capacity - sum(int(lengths[i]) * n for i, n in copies.items())
+    i = int(np.searchsorted(lengths, room, side="right")) - 1
+    while i >= 0 and room >= lengths[0]:
+        i = min(i, int(np.searchsorted(lengths, room, side="right")) - 1)
+        if n := min(room // int(lengths[i]), int(left[i]) - copies.get(i, 0)):
+            copies[i] = copies.get(i, 0) + n
+            room -= n * int(lengths[i])
+        i -= 1
+    return copies
+
+
+@dataclass
+class Plan:
+    """rows: configurations (length to copies) with the number of sequences of each; no packing has fewer than bound.
+
+    shared: sequences that are the program's configurations; the others come
+    from best fit.
+    """
+
+    rows: list[tuple[dict[int, int], int]]
+    bound: float
+    shared: int
+
+    @property
+    def sequences(self) -> int:
         return sum(times for _, times in self.rows)
 
 
-def solve(histogram: dict[int, int], capacity: int, *, rounds: int = 300, rate: float = 1.0, classes: int = 160) -> tuple[list[tuple[dict[int, int], int]], float]:
-    """Configurations (length to copies) with the number of sequences of each, and a lower bound.
+def solve(histogram: dict[int, int], capacity: int, *, rounds: int | None = None, passes: int = 24) -> Plan:
+    """The plan for pieces by length, 1 to capacity; it holds each piece exactly once.
 
-    histogram: pieces by length, 1 to capacity.  The plan holds each piece
-    exactly once.  With more than classes distinct lengths, neighbouring ones
-    share a row of the program, at the longest of them.  Its shares are rounded
-    down on the real lengths.  A second rounding prices the real lengths and
-    takes whole steps at once; the plan of fewer sequences stays.  No packing
-    has fewer sequences than the bound: lower_bound or, without such classes,
-    the program's dual.
+    The program is solved over all lengths and its shares are rounded: each
+    configuration is taken as often as its share's whole part says, or, where
+    no share reaches one, once if what is left holds it, by falling shares.
+    The program is then solved again for what is left, and so on, at most
+    passes times.  What the last rounding leaves is packed by best fit, longest
+    first.
     """
     lengths = np.array(sorted(histogram), np.int64)
     if len(lengths) and not 1 <= lengths[0] <= lengths[-1] <= capacity:
         raise ValueError("a length lies outside 1 to capacity")
-    first, second = _Plan(histogram, capacity), _Plan(histogram, capacity)
-    bound = float(lower_bound(histogram, capacity))
-    live = np.flatnonzero(first.left)
-    if len(live) > 1:
-        of = np.minimum(np.arange(len(live)) * classes // max(len(live), classes), classes - 1)
-        ends = np.append(np.flatnonzero(np.diff(of)), len(live) - 1)
-        starts = np.append(0, ends[:-1] + 1)
-        need = np.add.reduceat(first.left[live], starts)
-        shares, dual = _program(lengths[live[ends]], need, capacity, rounds, rate)
-        if len(ends) == len(live):
-            bound = max(bound, dual + histogram.get(capacity, 0))
-        for by_class, share in sorted(shares, key=lambda x: -x[1]):
-            times = int(share)  # rounded down
-            while times > 0:
-                copies: dict[int, int] = {}
-                for k, n in by_class.items():
-                    for i in live[starts[k] : ends[k] + 1][::-1]:
-                        if took := min(n, int(first.left[i])):
-                            copies[int(i)] = took
-                            n -= took
-                        if not n:
-                            break
-                if not copies:
-                    break
-                times -= first.use(copies, times)
-        whole = second.left.copy()
-        for _ in range(rounds // 2):
-            open_ = np.flatnonzero(second.left > 1)  # lengths of one piece are left to best fit
-            if len(open_) < 2:
+    rounds = rounds or min(3000, max(200, 400_000_000 // (capacity * (300 + len(lengths)))))
+    left = np.array([histogram[int(x)] for x in lengths], np.int64)
+    rows: list[tuple[dict[int, int], int]] = []
+    bound, shared = float(lower_bound(histogram, capacity)), 0
+
+    def use(copies: dict[int, int], most: int) -> int:
+        times = min(most, min(int(left[i]) // n for i, n in copies.items()))
+        if times > 0:
+            for i, n in copies.items():
+                left[i] -= n * times
+            rows.append(({int(lengths[i]): n for i, n in sorted(copies.items())}, times))
+        return max(times, 0)
+
+    for turn in range(passes):
+        live = np.flatnonzero(left)
+        if len(live) < 2:
+            break
+        shares, dual = program(lengths[live], left[live], capacity, rounds=rounds if turn == 0 else rounds // 5)
+        if turn == 0:
+            bound = max(bound, dual)
+        taken = 0
+        shares.sort(key=lambda x: -x[1])
+        for by, share in shares:
+            if share < 1:
                 break
-            covered = 1 - second.left[open_] / whole[open_]
-            _, by = knapsack(lengths[open_], lengths[open_] * np.exp(-rate * (covered - covered.min())), capacity)
-            copies = {int(open_[i]): min(n, int(second.left[open_[i]])) for i, n in by.items()}
-            # half of what is left of the scarcest length
-            second.use(copies, max(1, min(int(second.left[i]) // n for i, n in copies.items()) // 2))
-    return min((plan.finish(), k, plan.rows) for k, plan in enumerate((first, second)))[2], bound
+            taken += use({int(live[i]): n for i, n in by.items()}, int(share))
+        if taken < len(shares) // 10:
+            # few whole parts: the largest shares once each, up to a third of what the program asks for
+            most = max(1.0, sum(x for _, x in shares) / 3)
+            for by, _ in shares:
+                if taken >= most:
+                    break
+                taken += use({int(live[i]): n for i, n in by.items()}, 1)
+        shared += taken
+        if not taken:
+            break
+    while left.any():
+        i = int(np.flatnonzero(left)[-1])
+        use(_complete(left, lengths, {i: 1}, capacity), int(left[i]))
+    return Plan(rows, bound, shared)
 
 
 class Places:
@@ -216,22 +231,22 @@ def cut_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_
     the first piece takes what doesn't divide.  Null and empty texts are one
     piece with the end id.  Null doc_ids and repeated rows are kept as they are.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in in_runs(texts):
-                out: list[tuple] = []
-                for key, ids in zip(keys[a:b], encoder(tokenizer).encode(texts[a:b]), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    at, size, piece = 0, (n - 1) % capacity + 1, 0
-                    while at < n:
-                        out.append((key, piece, at, size, zlib.crc32(ids[4 * at : 4 * (at + size)])))
-                        at, size, piece = at + size, capacity, piece + 1
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int32(), *[pa.int64()] * 3], strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for a, b in in_runs(batch.column(1)):
+                ids, sizes = with_end(*encoder(tokenizer).encode(batch.column(1).slice(a, b - a)), end_id)
+                pieces = -(-sizes // capacity)
+                of = np.repeat(np.arange(b - a), pieces)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                first = (sizes - 1) % capacity + 1
+                length = np.where(piece, capacity, first[of])
+                start = np.where(piece, first[of] + (piece - 1) * capacity, 0)
+                raw, ends = memoryview(ids).cast("B"), 4 * np.cumsum(length)
+                crc = [zlib.crc32(raw[x:y]) for x, y in zip((ends - 4 * length).tolist(), ends.tolist(), strict=True)]
+                cols = [batch.column(0).slice(a, b - a).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -244,18 +259,18 @@ def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = 2048) -> Dat
     gives none.  Columns named sequence_id or offset are replaced.
     """
     pieces = pieces.drop("sequence_id", "offset")
-    pieces = Work(spark, "pack").save(pieces, "pieces")
-    histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan, _ = solve(histogram, capacity)
-    shared = spark.sparkContext.broadcast(Places(plan))
+    # the rows' numbers are written with them, so that they stay the same however often they are read
+    rows = Work(spark, "pack").save(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    histogram = {r.length: r.n for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    shared = spark.sparkContext.broadcast(Places(solve(histogram, capacity).rows))
 
     # ranks within a length, in groups small enough for one task however many pieces share it
-    groups = max(1, -(-max(histogram.values(), default=0) // RANK_GROUP), spark.sparkContext.defaultParallelism * 4 if max(histogram.values(), default=0) > 1000 else 1)
-    rest = [c for c in pieces.columns if c not in ("doc_id", "piece", "length")]
-    rows = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", *rest), F.lit(groups)))
+    most = max(histogram.values(), default=0)
+    groups = max(1, -(-most // RANK_GROUP), spark.sparkContext.defaultParallelism * 4 if most > 1000 else 1)
+    rows = rows.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     bases = rows.groupBy("length", "_group").agg(F.count("*").alias("_n")).select("length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("length", "_group").orderBy("doc_id", "piece", *rest)
+    inside = Window.partitionBy("length", "_group").orderBy("_row")
     ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1).join(bases, ["length", "_group"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
 
     @F.pandas_udf("sequence_id long, offset long")

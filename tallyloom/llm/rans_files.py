@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Work
-from .tokens import encoder, in_runs
+from .tokens import encoder, in_runs, with_end
 
 LANES = 1024
 STRIDE = 256
@@ -149,8 +149,27 @@ class Frame:
                 place += len(short)
         return table.symbols[out]
 
+    def _whole(self, table: FrequencyTable, marks: int) -> np.ndarray:
+        """The ids of the first stretches, all of full length, side by side: each checkpoint has its own states and place."""
+        out = np.empty((marks, self.stride, self.lanes), np.uint32)
+        x, place = self.states[:marks].astype(np.uint64), self.places[:marks].astype(np.int64)
+        mask, bits, half = np.uint64((1 << BITS) - 1), np.uint64(BITS), np.uint64(32)
+        for step in range(self.stride):
+            slot = x & mask
+            symbol = table.slot[slot]
+            out[:, step] = symbol
+            x = table.freq[symbol] * (x >> bits) + slot - table.first[symbol]
+            short = x < _LOW
+            rank = np.cumsum(short, axis=1)
+            x[short] = (x[short] << half) | self.words[(place[:, None] + rank - 1)[short]]
+            place += rank[:, -1]
+        return table.symbols[out.ravel()]
+
     def decode(self, table: FrequencyTable) -> np.ndarray:
-        parts = [self.stretch(table, k) for k in range(len(self.places))]
+        """All ids, those of full stretches in parallel."""
+        marks = self.n // (self.stride * self.lanes)
+        parts = [self._whole(table, marks)] if marks else []
+        parts += [self.stretch(table, k) for k in range(marks, len(self.places))]
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
         if zlib.crc32(ids.astype("<u4").tobytes()) != self.crc:
             raise ValueError("the decoded ids' checksum doesn't match")
@@ -160,10 +179,9 @@ class Frame:
 _BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start_in_part", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray) -> bytes:
     """In two bytes each, where they fit."""
-    wide = np.frombuffer(ids, "<u4")
-    return wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else ids
+    return ids.astype("<u2" if ids.max(initial=0) < 1 << 16 else "<u4").tobytes()
 
 
 def _widen(buffer, n: int) -> np.ndarray:
@@ -177,28 +195,27 @@ def _tokenize(path: str, end_id: int):
         part, block, start = TaskContext.get().partitionId(), 0, 0
         docs: list = []
         lengths: list[int] = []
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         size = 0
-        end = struct.pack("<I", end_id)
 
         def flush():
             nonlocal block, start, docs, lengths, ids, size
-            row = [part, block, start, size, docs, lengths, _narrow(b"".join(ids))]
+            row = [part, block, start, size, docs, lengths, _narrow(np.concatenate(ids))]
             block, start = block + 1, start + size
             docs, lengths, ids, size = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _BLOCKS.types, strict=True)], schema=_BLOCKS)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in in_runs(texts):
-                for key, found in zip(keys[a:b], encoder(path).encode(texts[a:b]), strict=True):
-                    n = len(found) // 4 + 1
+            for a, b in in_runs(batch.column(1)):
+                found, sizes = with_end(*encoder(path).encode(batch.column(1).slice(a, b - a)), end_id)
+                at = 0
+                for key, n in zip(batch.column(0).slice(a, b - a).to_pylist(), sizes.tolist(), strict=True):
                     if size and size + n > BLOCK_IDS:
                         yield flush()
                     docs.append(key)
                     lengths.append(n)
-                    ids += [found, end]
-                    size += n
+                    ids.append(found[at : at + n])
+                    size, at = size + n, at + n
         if docs:
             yield flush()
 
@@ -222,13 +239,15 @@ def write_ids(spark: SparkSession, docs: DataFrame, tokenizer: str, path: str, *
 
     Ids stand in ascending doc_id order: frames by (part, block), documents in
     a frame as listed.  A null or empty text has only its end id; null doc_ids
-    come first; rows that share a doc_id stand side by side, ordered by text.
+    come first; rows that share a doc_id stand one after another, ordered by a hash
+    of their texts and then by text, over several partitions if they are many.
     An empty table gives no frame.  Other columns of docs are not looked at.
     """
     work = Work(spark, "rans")
     rows = docs.select("doc_id", "text")
     # sorted by whole texts on ties, so that a task that runs again makes the same block
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = [F.col("doc_id").asc_nulls_first(), "hash"]
+    rows = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text").drop("hash")
     blocks = work.save(rows.mapInArrow(_tokenize(tokenizer, end_id), "part int, block int, start_in_part long, n_ids long, doc_ids array<long>, lengths array<long>, ids binary"), "ids")
     counts = blocks.select("ids", "n_ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts.coalesce(1).write.parquet(f"{path}/table")

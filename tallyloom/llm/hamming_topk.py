@@ -1,10 +1,12 @@
 """Exact top-k by Hamming distance: incremental multi-index hashing.
 
-A code of 64 bits is cut into m segments.  A code within distance m * (r + 1) - 1
-of a query agrees with it in at least one segment up to r bits, so looking up,
-in each segment's index, all values within r bits of the query's finds them
-all.  r grows until a query's kth verified neighbour lies within that distance;
-then nothing unseen can be nearer, and the query is done.
+A code of 64 bits is cut into m segments of about log2(entries) bits.  Radii grow
+one after another: at radius r the values that differ from the query's in exactly
+r bits are looked up, segment by segment, and what smaller radii found stays.  A
+code that no look-up has found after segment s (from 0) differs in more than r
+bits in s + 1 segments and in more than r - 1 in the others, so every code within
+distance m * r + s has been seen: once a query's kth verified neighbour lies
+there, the query is done.
 
 Equal codes are one entry of the index, which carries as many of the smallest
 ids as a result can show, so a code that a third of all rows share costs no more
@@ -14,7 +16,9 @@ than another.  Equal queries are one query.
 from __future__ import annotations
 
 import json
+from functools import reduce
 from itertools import combinations
+from math import comb, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,10 +26,10 @@ from pyspark.sql import functions as F
 from .common import Work
 
 BITS = 64
-#: Bits of a segment up to which changed values are spelled out and looked up.
-MOST_FLIPS = 6
-#: Queries of a block that is held against all entries.
-QUERY_BLOCK = 1000
+#: Look-ups of one query up to which a radius takes all segments in one step.
+FEW = 64
+#: Look-ups that one task spells out.
+SPELLED = 500_000
 
 
 def sign_code(vector: str | Column) -> Column:
@@ -45,26 +49,32 @@ def sign_code(vector: str | Column) -> Column:
     return F.when(F.size(v) >= BITS, code)
 
 
-def _segment(code: Column, k: int, width: int) -> Column:
-    return F.shiftrightunsigned(code, k * width).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+def _cuts(entries: int) -> list[tuple[int, int]]:
+    """First bit and width of each segment: no wider than log2(entries), so that all values of one are no more than the entries."""
+    width = max(1, min(32, int(log2(max(entries, 2)))))
+    m = -(-BITS // width)
+    ends = [BITS * k // m for k in range(m + 1)]
+    return [(a, b - a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _segment(code: Column, cut: tuple[int, int]) -> Column:
+    return F.shiftrightunsigned(code, cut[0]).bitwiseAND(F.lit((1 << cut[1]) - 1).cast("long"))
 
 
 def _distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def top_k(spark: SparkSession, index: DataFrame, queries: DataFrame, *, k: int = 10, segments: int = 4) -> DataFrame:
+def top_k(spark: SparkSession, index: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     """query_id, rank, id, distance: for each query its k nearest rows of the index by (distance, id).
 
     index: id, code; queries: query_id, code (64 bits).  A row whose id is the
     query's own is not its neighbour.  Rows with a null id or code are left
     out, queries with a null id or code too.  Rows that repeat an id with one code
     count once; an id with several codes counts with each, a query_id too and
-    gives k rows for each code.  With fewer than k rows all are given.
+    gives k rows for each code.  With fewer than k rows all are given.  Other
+    columns are not looked at.
     """
-    if BITS % segments:
-        raise ValueError("segments has to divide 64")
-    width = BITS // segments
     work = Work(spark, "hamming")
     rows = index.select("id", "code").dropna().distinct()
     smallest = Window.partitionBy("code").orderBy("id")
@@ -72,59 +82,52 @@ def top_k(spark: SparkSession, index: DataFrame, queries: DataFrame, *, k: int =
     kept = rows.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= k + 1)
     entries = work.save(kept.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "entries")
     asked = work.save(queries.select("query_id", "code").dropna().distinct(), "asked")
-    pending = work.save(asked.select("code").distinct(), "pending")
-    cut = work.save(
-        entries.select("code", F.size("ids").alias("n"), F.posexplode(F.array(*[_segment(F.col("code"), s, width) for s in range(segments)])).alias("segment", "value")),
-        "segments",
-    )
-    hits: DataFrame | None = None
-    for radius in range(min(width, MOST_FLIPS) + 1):
-        # beyond MOST_FLIPS looking up every value there is, so every entry, costs less
-        covered = BITS if radius == min(width, MOST_FLIPS) else segments * (radius + 1) - 1
-        if covered < BITS:
-            flips = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
-            probes = pending.select(F.col("code").alias("query"), F.posexplode(F.array(*[_segment(F.col("code"), s, width) for s in range(segments)])).alias("segment", "own"))
-            probes = probes.select("query", "segment", F.explode(F.transform(F.from_json(F.lit(json.dumps(flips)), "array<bigint>"), lambda x: x.bitwiseXOR(F.col("own")))).alias("value"))
-            d = _distance(F.col("query"), F.col("code"))
-            # a pair is taken in the first segment that finds it, so none comes twice
-            earlier = [(F.col("p.segment") > s) & (F.bit_count(_segment(F.col("query").bitwiseXOR(F.col("code")), s, width)) <= radius) for s in range(segments - 1)]
-            again = earlier[0] if earlier else F.lit(False)
-            for x in earlier[1:]:
-                again = again | x
-            # merged: Spark would take the spelled-out values for as few as the queries, and broadcast them
-            pairs = probes.alias("p").join(cut.hint("merge").alias("c"), (F.col("p.segment") == F.col("c.segment")) & (F.col("p.value") == F.col("c.value")) & (d <= covered) & ~again).select("query", "code", "n", d.alias("distance"))
-        else:
-            pairs = _all_values(pending, entries)
-        near = Window.partitionBy("query").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
-        # entries that can reach the result: fewer than k + 1 rows are nearer
-        reach = work.save(pairs.withColumn("_nearer", F.coalesce(F.sum("n").over(near), F.lit(0))).filter(F.col("_nearer") <= k).drop("_nearer"), "reach")
-        if covered >= BITS:
-            hits = reach if hits is None else hits.union(reach)
-            break
-        full = reach.groupBy("query").agg(F.sum("n").alias("n")).filter(F.col("n") >= k + 1).select("query")
-        done = work.save(reach.join(full, "query", "left_semi"), "done")
-        hits = done if hits is None else hits.union(done)
-        pending = work.save(pending.join(full.withColumnRenamed("query", "code"), "code", "left_anti"), "pending")
-        if pending.isEmpty():
+    pending = work.save(asked.select(F.col("code").alias("query")).distinct(), "pending")
+    cuts = _cuts(entries.count())
+    m, parallel = len(cuts), spark.sparkContext.defaultParallelism
+    cut = work.save(entries.select("code", F.size("ids").alias("n"), F.col("ids")[0].alias("first"), F.posexplode(F.array(*[_segment(F.col("code"), c) for c in cuts])).alias("segment", "value")), "segments")
+    nearest = Window.partitionBy("query").orderBy("distance", "first")
+    found, done = None, []
+    for radius, segments in _steps(cuts):
+        if not (left := pending.count()):
             break
-    order = Window.partitionBy("query_id", "query").orderBy("distance", "id")
-    ids = hits.join(entries.select("code", "ids"), "code").select("query", "distance", F.explode("ids").alias("id"))
+        new = _looked_up(pending, cut, cuts, radius, segments, left, parallel)
+        both = new if found is None else new.unionByName(found)
+        # the k + 1 entries of the smallest ids: none beyond them can be shown
+        best = work.save(both.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= k + 1).drop("_n"), "best")
+        covered = BITS if radius == cuts[-1][1] and segments[-1] == m - 1 else m * radius + segments[-1]
+        ready = pending if covered >= BITS else best.filter(F.col("distance") <= covered).groupBy("query").agg(F.sum("n").alias("n")).filter(F.col("n") >= k + 1).select("query")
+        ready = work.save(ready, "ready")
+        done.append(best.join(ready, "query", "left_semi"))
+        found = work.save(best.join(ready, "query", "left_anti"), "found")
+        pending = work.save(pending.join(ready, "query", "left_anti"), "pending")
+    hits = reduce(DataFrame.unionByName, done) if done else pending.selectExpr("query", "query AS code", "0 AS n", "query AS first", "0 AS distance").limit(0)
+    ids = hits.select("query", "code", "distance").join(entries, "code").select("query", "distance", F.explode("ids").alias("id"))
     # equal queries share their list of k + 1
     lists = ids.withColumn("_n", F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))).filter(F.col("_n") <= k + 1).drop("_n")
-    given = asked.select("query_id", F.col("code").alias("query")).join(lists, "query").filter(F.col("id") != F.coalesce("query_id", F.col("id") + 1))
-    ranked = given.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    given = asked.select("query_id", F.col("code").alias("query")).join(lists, "query").filter(F.col("id") != F.col("query_id"))
+    ranked = given.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query").orderBy("distance", "id"))).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", F.col("distance").cast("int").alias("distance"))
 
 
-def _all_values(pending: DataFrame, entries: DataFrame) -> DataFrame:
-    """The last radius, which covers all distances: the queries still open, in blocks, against every entry.
-
-    It is reached where fewer than k + 1 rows lie near a query, as in an index
-    of a few rows.
-    """
-    parts, blocks = 32, -(-pending.count() // QUERY_BLOCK) or 1
-    dealt = pending.select(F.col("code").alias("query"), F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    lists = dealt.groupBy("part", "block").agg(F.collect_list("query").alias("queries"))
-    rows = entries.select("code", F.size("ids").alias("n"), F.pmod(F.xxhash64("code"), F.lit(parts)).cast("int").alias("part"))
-    pairs = rows.join(lists, "part").select("code", "n", F.explode("queries").alias("query"))
-    return pairs.select("query", "code", "n", _distance(F.col("query"), F.col("code")).alias("distance"))
+def _steps(cuts: list[tuple[int, int]]):
+    """radius and the segments that are searched together: one, or all where a radius has few values."""
+    m = len(cuts)
+    for radius in range(max(width for _, width in cuts) + 1):
+        together = m * comb(cuts[-1][1], radius) <= FEW
+        for s in [range(m)] if together else [range(s, s + 1) for s in range(m)]:
+            yield radius, s
+
+
+def _looked_up(pending: DataFrame, cut: DataFrame, cuts: list[tuple[int, int]], radius: int, segments: range, left: int, parallel: int) -> DataFrame:
+    """query, code, n, first, distance of the entries that this step finds and none before."""
+    values = [[sum(1 << b for b in bits) for bits in combinations(range(cuts[s][1]), radius)] for s in segments]
+    spelled = pending.repartition(max(parallel, left * sum(map(len, values)) // SPELLED), "query")
+    flips = F.from_json(F.lit(json.dumps(values)), "array<array<bigint>>")
+    own = F.array(*[_segment(F.col("query"), cuts[s]) for s in segments])
+    probes = spelled.select("query", own.alias("own"), F.posexplode(flips).alias("at", "flips")).select("query", (F.col("at") + segments[0]).alias("segment"), F.explode(F.transform("flips", lambda x: x.bitwiseXOR(F.get("own", F.col("at"))))).alias("value"))
+    differ = [F.bit_count(_segment(F.col("p.query").bitwiseXOR(F.col("c.code")), c)) for c in cuts]
+    before = reduce(Column.__or__, [(d < radius) | ((F.col("p.segment") > s) & (d == radius)) for s, d in enumerate(differ)])
+    # merged: Spark would take the spelled-out values for as few as the queries, and broadcast them
+    pairs = probes.alias("p").join(cut.hint("merge").alias("c"), (F.col("p.segment") == F.col("c.segment")) & (F.col("p.value") == F.col("c.value")) & ~before)
+    return pairs.select("query", "code", "n", "first", _distance(F.col("query"), F.col("code")).alias("distance"))

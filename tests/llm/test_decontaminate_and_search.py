@@ -101,13 +101,35 @@ def test_top_k(spark, case):
         rows = [(i, base[i % 3] if i % 2 else base[0] ^ sum(1 << rng.randrange(60) for _ in range(rng.randrange(4)))) for i in range(300)] + [(0, base[1]), (7, base[2])]
     else:
         rows = [(1, 5), (2, 7), (2, 7), (3, -1)] if case == "few" else []
-    index = spark.createDataFrame([*rows, (None, 3), (99_999, None)], "id long, code long")
-    queries = index.filter("id % 50 = 0 OR id < 4").withColumnRenamed("id", "query_id")
+    index = spark.createDataFrame([(i, c, i, "x") for i, c in [*rows, (None, 3), (99_999, None)]], "id long, code long, n long, query string")
+    queries = index.filter("id % 50 = 0 OR id < 4").withColumnRenamed("id", "query_id").withColumnRenamed("n", "distance")
     found = sorted((r.query_id, r.rank, r.id, r.distance) for r in hamming_topk.top_k(spark, index, queries, k=5).collect())
-    if case == "alike":  # an id with several codes stands once for each
-        assert {(q, r, d) for q, r, _, d in found if q not in (0, 7)} == {(q, r, d) for q, r, _, d in nearest(rows, [(i, c) for i, c in rows if i % 50 == 0 or i < 4], 5) if q not in (0, 7)}
+    want = nearest(rows, [(i, c) for i, c in rows if i % 50 == 0 or i < 4], 5)
+    if case == "alike":  # an id with several codes stands once for each, and gives k rows for each of its own codes
+        assert [x for x in found if x[0] not in (0, 7)] == [x for x in want if x[0] not in (0, 7)]
+        assert {(q, r, d) for q, r, _, d in found} == {(q, r, d) for q, r, _, d in want}
     else:
-        assert found == nearest(rows, [(i, c) for i, c in rows if i % 50 == 0 or i < 4], 5)
+        assert found == want
+
+
+@pytest.mark.parametrize("entries", [1, 2, 3, 500, 2000, 1 << 20, 1 << 40])
+def test_segments(entries):
+    cuts = hamming_topk._cuts(entries)
+    assert [a for a, _ in cuts] == [0, *[a + w for a, w in cuts][:-1]] and sum(w for _, w in cuts) == 64
+    assert all(2**w <= max(2, entries) for _, w in cuts)
+
+
+def test_each_distance_is_covered_when_it_is_said_to_be():
+    """After radius r and segment s every code within m * r + s differs by at most r somewhere up to s, or by less anywhere."""
+    rng = random.Random(2)
+    cuts = hamming_topk._cuts(3000)
+    m = len(cuts)
+    for radius in range(3):
+        for s in range(m):
+            for _ in range(200):
+                code = sum(1 << b for b in rng.sample(range(64), min(64, m * radius + s)))
+                differ = [bin(code >> a & ((1 << w) - 1)).count("1") for a, w in cuts]
+                assert min(differ[: s + 1]) <= radius or min(differ) < radius
 
 
 def test_sign_codes(spark):

@@ -35,10 +35,10 @@ def op4_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "\\### Assistant: </turn> ok"
-    one = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    said = F.lit("\\### Assistant: </turn> ok")
+    one = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(one)
-    return chat.digests(chat.render(turns))
+    return chat.digests(*chat.format_conversations(spark, turns))
 
 
 def op6_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

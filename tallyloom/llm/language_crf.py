@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -318,29 +318,25 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, *, per_label: int = 300, most_chars: int = 4000, most_labels: int = 64) -> Model:
+def learn(docs: DataFrame, *, per_label: int = 300, most_chars: int = 4000) -> Model:
     """Learns from docs (doc_id, text, lang).
 
-    The sample is about per_label rows of each lang, of 1 to most_chars
-    characters, by a hash of the doc_id; at most most_labels langs, the most
-    frequent ones.  Only rows with doc_id, text and lang whose crc32(doc_id)
-    mod 4 is not 2 are looked at.
+    The sample is up to per_label rows of every lang, however many there are,
+    the first by a hash of the doc_id; of a text longer than most_chars it is a
+    stretch of that length, at a place by the hash.  Rows that repeat doc_id, lang
+    and text count once.  Only rows with doc_id, text and lang whose
+    crc32(doc_id) mod 4 is not 2 are looked at.
     """
-    usable = docs.select("doc_id", "text", "lang").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out()).filter(F.char_length("text").between(1, most_chars))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels).collect()
-    rates = {r["lang"]: 1.3 * per_label / r["count"] for r in counts}
-    if not rates:
-        return fit([])
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6
-    wanted = F.lit(False)
-    for lang, rate in sorted(rates.items()):
-        wanted = wanted | ((F.col("lang") == lang) & (chance < rate))
-    rows = usable.filter(wanted).select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", "text").limit(3 * per_label * len(rates)).collect()
-    chosen: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.h, r.doc_id, r.text)):
-        if len(chosen.setdefault(r.lang, [])) < per_label:
-            chosen[r.lang].append(r.text)
-    return fit([(text, lang) for lang, texts in chosen.items() for text in texts])
+    usable = docs.select("doc_id", "text", "lang").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text <> ''").filter(~held_out())
+    usable = usable.withColumns({"h": F.xxhash64("doc_id"), "t": F.xxhash64("text")})
+    # distinct ids, so that a doc_id with many rows takes no other's place
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
+    near = usable.join(sizes, "lang").filter(F.pmod("h", F.lit(1_000_000)) * F.col("n") < 1.5e6 * per_label).drop("n")
+    keys = near.select("lang", "h", "doc_id", "t").distinct()
+    keys = keys.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "t"))).filter(F.col("_n") <= per_label).drop("_n")
+    begin = F.pmod("h", F.greatest(F.char_length("text") - most_chars + 1, F.lit(1))).cast("int") + 1
+    rows = near.join(keys, ["lang", "h", "doc_id", "t"]).groupBy("lang", "h", "doc_id", "t").agg(F.min(F.substr("text", begin, F.lit(most_chars))).alias("text")).collect()
+    return fit([(r.text, r.lang) for r in rows])
 
 
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
@@ -369,7 +365,10 @@ def keep_written(spark: SparkSession, docs: DataFrame, *, least_fit: float = -8.
 
     The fit takes each word in the language that suits it best, so it doesn't
     depend on their number, and a text that switches between languages stays.
+    Where no language is learned, nothing tells, and every row stays.
     """
     model = learn(docs)
+    if not model.labels:
+        return docs
     kept = labelled(spark, docs, model, "_language").filter((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.fit") >= least_fit))
     return kept.drop("_language")

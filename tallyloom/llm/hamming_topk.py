@@ -27,7 +27,7 @@ from .common import Work
 
 BITS = 64
 #: Look-ups of one query up to which a radius takes all segments in one step.
-FEW = 64
+FEW = 4096
 #: Look-ups that one task spells out.
 SPELLED = 500_000
 
@@ -50,9 +50,8 @@ def sign_code(vector: str | Column) -> Column:
 
 
 def _cuts(entries: int) -> list[tuple[int, int]]:
-    """First bit and width of each segment: no wider than log2(entries), so that all values of one are no more than the entries."""
-    width = max(1, min(32, int(log2(max(entries, 2)))))
-    m = -(-BITS // width)
+    """First bit and width of each segment: about log2(entries) bits, so that a value has about one entry."""
+    m = max(2, min(BITS, round(BITS / log2(max(entries, 2)))))
     ends = [BITS * k // m for k in range(m + 1)]
     return [(a, b - a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -82,26 +81,31 @@ def top_k(spark: SparkSession, index: DataFrame, queries: DataFrame, *, k: int =
     kept = rows.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= k + 1)
     entries = work.save(kept.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "entries")
     asked = work.save(queries.select("query_id", "code").dropna().distinct(), "asked")
-    pending = work.save(asked.select(F.col("code").alias("query")).distinct(), "pending")
+    # bound: the distance of a query's last verified entry, beyond which nothing can be shown
+    pending = work.save(asked.select(F.col("code").alias("query"), F.lit(BITS).alias("bound")).distinct(), "pending")
     cuts = _cuts(entries.count())
     m, parallel = len(cuts), spark.sparkContext.defaultParallelism
     cut = work.save(entries.select("code", F.size("ids").alias("n"), F.col("ids")[0].alias("first"), F.posexplode(F.array(*[_segment(F.col("code"), c) for c in cuts])).alias("segment", "value")), "segments")
-    nearest = Window.partitionBy("query").orderBy("distance", "first")
+    own = Window.partitionBy("query")
     found, done = None, []
     for radius, segments in _steps(cuts):
         if not (left := pending.count()):
             break
+        covered = BITS if radius == max(w for _, w in cuts) and segments[-1] == m - 1 else m * radius + segments[-1]
         new = _looked_up(pending, cut, cuts, radius, segments, left, parallel)
         both = new if found is None else new.unionByName(found)
         # the k + 1 entries of the smallest ids: none beyond them can be shown
-        best = work.save(both.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= k + 1).drop("_n"), "best")
-        covered = BITS if radius == cuts[-1][1] and segments[-1] == m - 1 else m * radius + segments[-1]
-        ready = pending if covered >= BITS else best.filter(F.col("distance") <= covered).groupBy("query").agg(F.sum("n").alias("n")).filter(F.col("n") >= k + 1).select("query")
-        ready = work.save(ready, "ready")
-        done.append(best.join(ready, "query", "left_semi"))
-        found = work.save(best.join(ready, "query", "left_anti"), "found")
-        pending = work.save(pending.join(ready, "query", "left_anti"), "pending")
-    hits = reduce(DataFrame.unionByName, done) if done else pending.selectExpr("query", "query AS code", "0 AS n", "query AS first", "0 AS distance").limit(0)
+        best = both.withColumn("_n", F.row_number().over(own.orderBy("distance", "first"))).filter(F.col("_n") <= k + 1).drop("_n")
+        seen, near = F.sum("n").over(own), F.coalesce(F.sum(F.when(F.col("distance") <= covered, F.col("n"))).over(own), F.lit(0))
+        best = work.save(best.withColumns({"bound": F.when(seen >= k + 1, F.max("distance").over(own)).otherwise(BITS), "ready": (near >= k + 1) | F.lit(covered >= BITS)}), "best")
+        done.append(best.filter("ready").select("query", "code", "distance"))
+        if covered >= BITS:
+            break
+        found = best.filter("NOT ready").drop("bound", "ready")
+        each = best.groupBy("query").agg(F.max("bound").alias("_bound"), F.bool_or("ready").alias("ready"))
+        pending = work.save(pending.join(each, "query", "left").filter(~F.coalesce("ready", F.lit(False))).select("query", F.coalesce("_bound", "bound").alias("bound")), "pending")
+    none = pending.select("query", F.col("query").alias("code"), F.lit(0).alias("distance")).filter(F.lit(False))
+    hits = reduce(DataFrame.unionByName, done, none)
     ids = hits.select("query", "code", "distance").join(entries, "code").select("query", "distance", F.explode("ids").alias("id"))
     # equal queries share their list of k + 1
     lists = ids.withColumn("_n", F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))).filter(F.col("_n") <= k + 1).drop("_n")
@@ -125,9 +129,10 @@ def _looked_up(pending: DataFrame, cut: DataFrame, cuts: list[tuple[int, int]],
     spelled = pending.repartition(max(parallel, left * sum(map(len, values)) // SPELLED), "query")
     flips = F.from_json(F.lit(json.dumps(values)), "array<array<bigint>>")
     own = F.array(*[_segment(F.col("query"), cuts[s]) for s in segments])
-    probes = spelled.select("query", own.alias("own"), F.posexplode(flips).alias("at", "flips")).select("query", (F.col("at") + segments[0]).alias("segment"), F.explode(F.transform("flips", lambda x: x.bitwiseXOR(F.get("own", F.col("at"))))).alias("value"))
+    probes = spelled.select("query", "bound", own.alias("own"), F.posexplode(flips).alias("at", "flips")).select("query", "bound", (F.col("at") + segments[0]).alias("segment"), F.explode(F.transform("flips", lambda x: x.bitwiseXOR(F.get("own", F.col("at"))))).alias("value"))
     differ = [F.bit_count(_segment(F.col("p.query").bitwiseXOR(F.col("c.code")), c)) for c in cuts]
     before = reduce(Column.__or__, [(d < radius) | ((F.col("p.segment") > s) & (d == radius)) for s, d in enumerate(differ)])
+    distance = _distance(F.col("p.query"), F.col("c.code"))
     # merged: Spark would take the spelled-out values for as few as the queries, and broadcast them
-    pairs = probes.alias("p").join(cut.hint("merge").alias("c"), (F.col("p.segment") == F.col("c.segment")) & (F.col("p.value") == F.col("c.value")) & ~before)
-    return pairs.select("query", "code", "n", "first", _distance(F.col("query"), F.col("code")).alias("distance"))
+    pairs = probes.alias("p").join(cut.hint("merge").alias("c"), (F.col("p.segment") == F.col("c.segment")) & (F.col("p.value") == F.col("c.value")) & (distance <= F.col("p.bound")) & ~before)
+    return pairs.select("query", "code", "n", "first", distance.alias("distance"))

@@ -6,7 +6,7 @@ the reference and, from 0, in the read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: SAM flags that exclude a read, in the order in which they are looked at.
@@ -57,33 +57,49 @@ def observes(parts: Column, start0: Column, end0: Column) -> Column:
     return F.exists(aligned(parts), lambda b: (b["ref"] - 1 < end0) & (b["ref"] - 1 + b["len"] > start0))
 
 
-def _least_quality(qual: Column) -> Column:
-    """Of Phred+33 letters; -1 for a read without qualities."""
+def _least_quality(qual: Column, size: Column) -> Column:
+    """Of Phred+33 letters; -1 for a read without qualities, or with fewer than size."""
     letters = F.filter(F.split(qual, ""), lambda c: c != "")
-    return F.coalesce(F.array_min(F.transform(letters, lambda c: F.ascii(c) - 33)), F.lit(-1))
+    least = F.array_min(F.transform(letters, lambda c: F.ascii(c) - 33))
+    return F.when((F.char_length(qual) < size) | (qual == "*"), -1).otherwise(F.coalesce(least, F.lit(-1)))
 
 
-def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Column, start: Column, pos: Column, ref: Column, alt: Column, min_mapq: int = 20, min_baseq: int = 20) -> Column:
+def span(parts: Column, seq: Column, qual: Column, pos: Column, size: Column) -> Column:
+    """struct(covered, one, bases, quality) of the read over [pos, pos + size): whether aligned blocks cover it, whether one does, its bases and least quality.
+
+    A sequence that ends before its CIGAR does covers nothing there.
+    """
+    end = pos + size - 1
+    m = aligned(parts)
+    zero = F.lit(0).cast("bigint")
+    reach = F.aggregate(m, zero, lambda a, b: a + F.greatest(zero, F.least(end, b["ref"] + b["len"] - 1, b["ref"] + F.char_length(seq) - b["read"] - 1) - F.greatest(pos, b["ref"]) + 1))
+    one = F.try_element_at(F.filter(m, lambda b: (b["ref"] <= pos) & (b["ref"] + b["len"] - 1 >= end)), F.lit(1))
+    at = (one["read"] + (pos - one["ref"]) + 1).cast("int")
+    bases = F.substring(seq, at, size.cast("int"))
+    quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, at, size.cast("int")), size))
+    return F.struct((reach >= size).alias("covered"), F.coalesce(one.isNotNull() & (F.char_length(bases) == size), F.lit(False)).alias("one"), bases.alias("bases"), quality.alias("quality"))
+
+
+def with_read_class(df: DataFrame, out: str, *, flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Column, start: Column, pos: Column, ref: Column, alt: Column, min_mapq: int = 20, min_baseq: int = 20) -> DataFrame:
+    """df with read_class in a column; blocks and the allele's span are computed once, in projections of their own."""
+    known = df.withColumn("_blocks", blocks(cigar, start))
+    known = known.withColumn("_span", span(F.col("_blocks"), F.upper(seq), qual, pos, F.least(F.char_length(ref), F.char_length(alt))))
+    kind = read_class(flag, mapq, cigar, seq, qual, start, pos, ref, alt, min_mapq, min_baseq, parts=F.col("_blocks"), shared=F.col("_span"))
+    return known.withColumn(out, kind).drop("_blocks", "_span")
+
+
+def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Column, start: Column, pos: Column, ref: Column, alt: Column, min_mapq: int = 20, min_baseq: int = 20, *, parts: Column | None = None, shared: Column | None = None) -> Column:
     """struct(class, reason): EXACT_ALT, CLEAN_REFERENCE or EXCLUDED, and why.
 
     A substitution needs all of its bases in one aligned block; an insertion
     its anchor and exactly the inserted bases behind it; a deletion what it
     keeps in front and exactly the deleted gap.  A null field counts as missing.
+    parts and shared: blocks and the span of the shorter allele, if at hand.
     """
     ref, alt, seq = F.upper(ref), F.upper(alt), F.upper(seq)
-    parts = blocks(cigar, start)
+    parts = blocks(cigar, start) if parts is None else parts
     n_ref, n_alt = F.char_length(ref), F.char_length(alt)
-
-    def span(size: Column) -> tuple[Column, Column, Column, Column]:
-        """Covered, in one block, the bases and the least quality of [pos, pos + size)."""
-        end = pos + size - 1
-        m = aligned(parts)
-        covered = F.aggregate(m, F.lit(0).cast("bigint"), lambda a, b: a + F.greatest(F.lit(0).cast("bigint"), F.least(end, b["ref"] + b["len"] - 1) - F.greatest(pos, b["ref"]) + 1)) >= size
-        one = F.try_element_at(F.filter(m, lambda b: (b["ref"] <= pos) & (b["ref"] + b["len"] - 1 >= end)), F.lit(1))
-        at = (one["read"] + (pos - one["ref"]) + 1).cast("int")
-        bases = F.substring(seq, at, size.cast("int"))
-        quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, at, size.cast("int"))))
-        return covered, one.isNotNull() & (F.char_length(bases) == size), bases, quality
+    shared = span(parts, seq, qual, pos, F.least(n_ref, n_alt)) if shared is None else shared
 
     def out(kind: str, reason: str) -> Column:
         return F.struct(F.lit(kind).alias("class"), F.lit(reason).alias("reason"))
@@ -100,24 +116,24 @@ def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Col
         (ref.isNull() | alt.isNull() | (n_ref == 0) | (n_alt == 0) | (ref == alt), no("INVALID_ALLELES")),
     ]
 
-    def spanned(when: Column, size: Column) -> tuple[list, Column]:
-        covered, one, bases, quality = span(size)
+    def spanned(when: Column, over: Column) -> tuple[list, Column]:
+        covered, one, bases, quality = (over[x] for x in ("covered", "one", "bases", "quality"))
         return [(when & ~covered, no("DOES_NOT_SPAN_COMPLETE_ALLELE")), (when & ~one, no("ALLELE_NOT_CONTIGUOUSLY_ALIGNED")), (when & (quality < min_baseq), no("LOW_ALLELE_BASE_QUALITY"))], bases
 
     # substitutions
     sub = n_ref == n_alt
-    checks, bases = spanned(sub, n_ref)
+    checks, bases = spanned(sub, shared)
     cases += [*checks, (sub & (bases == alt), out("EXACT_ALT", "EXACT_SUBSTITUTION")), (sub & (bases == ref), out("CLEAN_REFERENCE", "EXACT_REFERENCE_HAPLOTYPE")), (sub, no("OTHER_ALLELE"))]
     # insertions behind the anchor
     ins = (n_alt > n_ref) & alt.startswith(ref)
-    checks, bases = spanned(ins, n_ref)
+    checks, bases = spanned(ins, shared)
     behind = pos + n_ref
     inserted = F.filter(parts, lambda b: (b["op"] == "I") & (b["ref"] == behind))
     exact = F.try_element_at(F.filter(inserted, lambda b: F.substring(seq, b["read"] + 1, b["len"]) == F.substring(alt, n_ref + 1, n_alt - n_ref)), F.lit(1))
-    exact_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, exact["read"] + 1, exact["len"])))
-    covered, one, _, _ = span(n_ref + 1)
+    exact_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, exact["read"] + 1, exact["len"]), exact["len"]))
+    one = span(parts, seq, qual, pos, n_ref + 1)["one"]
     next_block = F.try_element_at(F.filter(aligned(parts), lambda b: (b["ref"] <= behind) & (b["ref"] + b["len"] - 1 >= behind)), F.lit(1))
-    next_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, (next_block["read"] + (behind - next_block["ref"]) + 1).cast("int"), F.lit(1))))
+    next_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, (next_block["read"] + (behind - next_block["ref"]) + 1).cast("int"), F.lit(1)), F.lit(1)))
     cases += [
         *checks,
         (ins & (bases != ref), no("OTHER_ANCHOR_ALLELE")),
@@ -131,7 +147,7 @@ def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Col
     ]
     # deletions behind what is kept
     gone = (n_ref > n_alt) & ref.startswith(alt)
-    checks, bases = spanned(gone, n_alt)
+    checks, bases = spanned(gone, shared)
     first, last = pos + n_alt, pos + n_ref - 1
     gaps = F.filter(parts, lambda b: b["op"] == "D")
     cases += [*checks, (gone & (bases != alt), no("OTHER_ANCHOR_ALLELE"))]
@@ -139,7 +155,7 @@ def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Col
         (gone & F.exists(gaps, lambda b: (b["ref"] == first) & (b["ref"] + b["len"] - 1 == last)), out("EXACT_ALT", "EXACT_DELETION")),
         (gone & F.exists(gaps, lambda b: (b["ref"] <= last) & (b["ref"] + b["len"] - 1 >= first)), no("OTHER_DELETION_AT_BREAKPOINT")),
     ]
-    checks, bases = spanned(gone, n_ref)
+    checks, bases = spanned(gone, span(parts, seq, qual, pos, n_ref))
     cases += [*checks, (gone & (bases == ref), out("CLEAN_REFERENCE", "EXACT_REFERENCE_HAPLOTYPE")), (gone, no("OTHER_ALLELE"))]
     found = F.when(*cases[0])
     for condition, value in cases[1:]:

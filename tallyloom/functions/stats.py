@@ -48,19 +48,45 @@ def hypergeom_tail(k: Column, drawn: Column, marked: Column, total: Column, empt
     return F.when(low > high, F.lit(empty)).otherwise(F.least(F.lit(1.0), tail))
 
 
+def ranges(value: str, parts: int = 1024) -> Column:
+    """The number of the range of a value, in the values' order: from 0 to parts, finest around 0."""
+    return F.floor((F.atan(value) / math.pi + 0.5) * parts)
+
+
+def cumulated(df: DataFrame, value: str) -> DataFrame:
+    """value, n (rows of it), below (rows of a lesser one), total: by ranges of the value, so that no task sorts all of them."""
+    each = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).withColumn("_range", ranges(value))
+    sums = each.groupBy("_range").agg(F.sum("n").alias("_sum"))
+    # one row for each range
+    order = Window.orderBy("_range")
+    sums = sums.select("_range", (F.sum("_sum").over(order) - F.col("_sum")).alias("_base"), F.sum("_sum").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    inside = Window.partitionBy("_range").orderBy(value)
+    return each.join(F.broadcast(sums), "_range").select(value, "n", (F.col("_base") + F.sum("n").over(inside) - F.col("n")).alias("below"), "total", "_range")
+
+
 def bh_fdr(df: DataFrame, p: str, partition: list[str], out: str = "fdr") -> DataFrame:
-    """df with Benjamini-Hochberg's q of p inside each partition."""
-    up = Window.partitionBy(*partition).orderBy(p)
-    back = up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    df = df.withColumn("_rank", F.row_number().over(up)).withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy(*partition)))
-    return df.withColumn(out, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_rank")).over(back))).drop("_rank", "_m")
+    """df with Benjamini-Hochberg's q of p inside each partition, null for a null p; equal values have one q."""
+    if partition:
+        up = Window.partitionBy(*partition).orderBy(p)
+        back = up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        df = df.withColumn("_rank", F.row_number().over(up)).withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy(*partition)))
+        return df.withColumn(out, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_rank")).over(back))).drop("_rank", "_m")
+    each = cumulated(df, p).withColumn("_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
+    later = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    least = each.groupBy("_range").agg(F.min("_q").alias("_least")).select("_range", F.min("_least").over(later).alias("_later"))
+    back = Window.partitionBy("_range").orderBy(p).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    each = each.join(F.broadcast(least), "_range").select(p, F.least(F.lit(1.0), F.min("_q").over(back), F.coalesce("_later", F.lit(1.0))).alias(out))
+    return df.join(each, p, "left").select(*df.columns, out)
 
 
 def tied_ranks(df: DataFrame, score: str, partition: list[str], out: str = "rank") -> DataFrame:
-    """df with the average rank of equal scores, in ascending order."""
-    order = Window.partitionBy(*partition).orderBy(score)
-    ties = Window.partitionBy(*partition, score)
-    return df.withColumn(out, F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+    """df with the average rank of equal scores, in ascending order; null for a null score."""
+    if partition:
+        order = Window.partitionBy(*partition).orderBy(score)
+        ties = Window.partitionBy(*partition, score)
+        return df.withColumn(out, F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+    each = cumulated(df, score).select(score, (F.col("below") + (F.col("n") + 1) / 2.0).alias(out))
+    return df.join(each, score, "left").select(*df.columns, out)
 
 
 def two_sided_normal_p(z: Column) -> Column:

@@ -15,9 +15,10 @@ def _lookup(units: dict[str, float], key: Column) -> Column:
 
 
 def parse_bytes(text: Column) -> Column:
-    """``1.5 GB`` in bytes, decimal units; null if it is none."""
+    """``1.5 GB`` in bytes, decimal units; 0 if it is none, null for a null."""
     form = r"(?i)^\s*([\d.]+)\s*([KMGT]?B)\s*$"
-    return F.regexp_extract(text, form, 1).try_cast("double") * _lookup(BYTE_UNITS, F.upper(F.regexp_extract(text, form, 2)))
+    size = F.regexp_extract(text, form, 1).try_cast("double") * _lookup(BYTE_UNITS, F.upper(F.regexp_extract(text, form, 2)))
+    return F.when(text.isNotNull(), F.coalesce(size, F.lit(0.0)))
 
 
 def parse_seconds(text: Column) -> Column:
@@ -29,7 +30,8 @@ def parse_seconds(text: Column) -> Column:
 
 
 def parse_percent(text: Column) -> Column:
-    return F.regexp_extract(text, r"([\d.]+)\s*%", 1).try_cast("double")
+    """The number of ``350%`` or ``350``; null if there is none."""
+    return F.regexp_extract(text, r"^\s*([\d.]+)\s*%?\s*$", 1).try_cast("double")
 
 
 def process_name(text: Column) -> Column:
@@ -43,8 +45,8 @@ def raw_file_name(path: Column) -> Column:
 
 
 def human_size(size: Column) -> Column:
-    """In binary units, one decimal from KiB on."""
-    out = F.when(size < 1024, F.concat(size.cast("long").cast("string"), F.lit(" B")))
+    """In binary units, with one decimal."""
+    out = F.when(size < 1024, F.format_string("%.1f B", size.cast("double")))
     for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
         scaled = F.format_string("%.1f " + unit, size / F.lit(float(1024**k)))
         out = out.otherwise(scaled) if unit == "TiB" else out.when(size < 1024 ** (k + 1), scaled)

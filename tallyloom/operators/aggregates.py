@@ -31,7 +31,7 @@ def stage_summary(variants: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def multi_dimension_counts(df: DataFrame, dims: list[str]) -> DataFrame:
-    """dimension, value, count of each dimension in one pass: grouping sets."""
+    """dimension, value, count of each dimension in one pass over the rows."""
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit("")).alias("value")) for d in dims]))
     return df.select(pairs.alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("count"))
 
@@ -108,21 +108,21 @@ def gene_fold_change(matrix: DataFrame, pairs: DataFrame, value: str = "cpm") ->
 
 def pathway_scores(fold: DataFrame, sets: DataFrame, top: int = 15) -> DataFrame:
     """base, followup, gene_set: genes, median, mean, up and down fractions, the top genes each way."""
+    keys = ["base", "followup", "gene_set"]
     rows = fold.join(sets, "gene")
-    up, down = F.struct((-F.col("log2_fc")).alias("o"), "gene"), F.struct(F.col("log2_fc").alias("o"), "gene")
+    n = rows.groupBy(*keys).agg(F.count("*").alias("genes"), F.median("log2_fc").alias("median"), F.avg("log2_fc").alias("mean"), F.avg((F.col("log2_fc") > 0).cast("double")).alias("up_fraction"), F.avg((F.col("log2_fc") < 0).cast("double")).alias("down_fraction"))
+    # the top genes by rank, so that no group is gathered whole
+    change = F.abs("log2_fc")
+    side = F.when(F.col("log2_fc") > 0, "top_up").when(F.col("log2_fc") < 0, "top_down")
+    best = rows.select(*keys, "gene", change.alias("_c"), side.alias("_side")).filter("_side IS NOT NULL")
+    best = best.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_side").orderBy(F.desc("_c"), "gene"))).filter(F.col("_n") <= top)
 
-    def best(x: Column) -> Column:
-        return F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(x)), 1, top), lambda y: y["gene"].cast("string")), ";")
+    def listed(name: str) -> Column:
+        named = F.array_sort(F.collect_list(F.when(F.col("_side") == name, F.struct("_n", F.col("gene").cast("string").alias("g")))))
+        return F.array_join(F.transform(named, lambda x: x["g"]), ";").alias(name)
 
-    return rows.groupBy("base", "followup", "gene_set").agg(
-        F.count("*").alias("genes"),
-        F.median("log2_fc").alias("median"),
-        F.avg("log2_fc").alias("mean"),
-        F.avg((F.col("log2_fc") > 0).cast("double")).alias("up_fraction"),
-        F.avg((F.col("log2_fc") < 0).cast("double")).alias("down_fraction"),
-        best(F.when(F.col("log2_fc") > 0, up)).alias("top_up"),
-        best(F.when(F.col("log2_fc") < 0, down)).alias("top_down"),
-    )
+    tops = best.groupBy(*keys).agg(listed("top_up"), listed("top_down"))
+    return n.join(tops, keys, "left").withColumns({c: F.coalesce(c, F.lit("")) for c in ("top_up", "top_down")})
 
 
 def recurrence(findings: DataFrame, key: list[str]) -> DataFrame:
@@ -133,8 +133,9 @@ def recurrence(findings: DataFrame, key: list[str]) -> DataFrame:
 
 def trace_summary(tasks: DataFrame, max_cores: float = 32, max_bytes: float = 48e9, max_seconds: float = 43200) -> DataFrame:
     """Per process: tasks, upper median of cores, greatest memory and runtime, failures, warnings."""
-    upper = F.element_at(F.array_sort(F.collect_list("cores")), (F.floor(F.count("cores") / 2) + 1).cast("int"))
-    n = tasks.groupBy("process").agg(F.count("*").alias("tasks"), upper.alias("median_cores"), F.max("rss").alias("max_rss"), F.max("seconds").alias("max_seconds"), F.count_if(~F.col("status").isin("COMPLETED", "CACHED")).alias("failures"))
+    middle = upper_median("cores", ["process"], tasks.filter("cores IS NOT NULL")).withColumnRenamed("upper_median", "median_cores")
+    n = tasks.groupBy("process").agg(F.count("*").alias("tasks"), F.max("rss").alias("max_rss"), F.max("seconds").alias("max_seconds"), F.count_if(~F.col("status").isin("COMPLETED", "CACHED")).alias("failures"))
+    n = n.join(middle, "process", "left").select("process", "tasks", "median_cores", "max_rss", "max_seconds", "failures")
     flags = F.array_compact(F.array(F.when(F.col("median_cores") > max_cores, "cores"), F.when(F.col("max_rss") > max_bytes, "memory"), F.when(F.col("max_seconds") > max_seconds, "runtime")))
     return n.withColumn("warnings", F.array_join(flags, ";"))
 
@@ -165,9 +166,12 @@ def gene_read_counts(blocks: DataFrame, exons: DataFrame, width: int = 1024) ->
     """
     from .joins import range_join
 
-    hits = range_join(blocks, exons, ["chrom"], width).select(F.col("l.fragment").alias("fragment"), F.col("r.gene").alias("gene")).distinct()
-    one = hits.groupBy("fragment").agg(F.count("*").alias("_n"), F.min("gene").alias("gene")).filter("_n = 1")
-    return one.groupBy("gene").agg(F.count("*").alias("n"))
+    # blocks at one place hit the same genes; of a fragment's genes the least and the greatest tell whether there is one
+    places = blocks.select("chrom", "start", "end").distinct()
+    hits = range_join(places, exons.select("chrom", "start", "end", "gene"), ["chrom"], width)
+    genes = hits.groupBy(*[F.col(f"l.{c}").alias(c) for c in ("chrom", "start", "end")]).agg(F.min("r.gene").alias("_low"), F.max("r.gene").alias("_high"))
+    each = blocks.join(genes, ["chrom", "start", "end"]).groupBy("fragment").agg(F.min("_low").alias("gene"), F.max("_high").alias("_high"))
+    return each.filter(F.col("gene") == F.col("_high")).groupBy("gene").agg(F.count("*").alias("n"))
 
 
 def progression_genes(rows: DataFrame, impacts: tuple[str, ...] = ("MODIFIER", "LOW", "MODERATE", "HIGH")) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import stats
@@ -27,11 +27,15 @@ def over_representation(foreground: DataFrame, universe: DataFrame, sets: DataFr
     else:
         drawn = fore.agg(F.count("*").alias("drawn"))
     hits = fore.join(sets, "gene").groupBy(*keys, "term").agg(F.count("*").alias("overlap"), F.array_join(F.array_sort(F.collect_list(F.col("gene").cast("string"))), ";").alias("genes"))
-    # totals are one row; an analysis has every term of the sets: a small table of analyses times the terms
-    base = sizes.join(F.broadcast(total)).join(drawn)
-    rows = base.join(hits, [*keys, "term"], "left").withColumns({"overlap": F.coalesce("overlap", F.lit(0)), "genes": F.coalesce("genes", F.lit(""))})
+    # totals are one row
+    sizes = sizes.join(F.broadcast(total))
     if drop_zero:
-        rows = rows.filter("overlap > 0")
+        rows = hits.join(sizes, "term")
+        rows = rows.join(drawn, keys) if keys else rows.join(F.broadcast(drawn))
+    else:
+        # every analysis has every term of the sets, without overlap too: its result is analyses times terms
+        rows = sizes.join(drawn if keys else F.broadcast(drawn)).join(hits, [*keys, "term"], "left")
+        rows = rows.withColumns({"overlap": F.coalesce("overlap", F.lit(0)), "genes": F.coalesce("genes", F.lit(""))})
     a, b, c = F.col("overlap") + 0.5, F.col("drawn") - F.col("overlap") + 0.5, F.col("size") - F.col("overlap") + 0.5
     d = F.col("total") - F.col("drawn") - F.col("size") + F.col("overlap") + 0.5
     rows = rows.withColumns({"odds": a * d / (b * c), "p": stats.hypergeom_tail(F.col("overlap"), F.col("drawn"), F.col("size"), F.col("total"), empty_p)})
@@ -50,8 +54,12 @@ def ranked_set_test(scores: DataFrame, sets: DataFrame, *, keys: list[str] | Non
     else:
         ranked = ranked.join(F.broadcast(scores.agg(F.count("*").alias("_n"))))
     rows = ranked.join(sets.select("term", "gene").distinct(), "gene")
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.abs("score")).alias("o"), F.col("gene").alias("g")))), 1, leading)
-    n = rows.groupBy(*keys, "term").agg(F.count("*").alias("size"), F.sum("_rank").alias("_sum"), F.first("_n").alias("_n"), F.avg("score").alias("mean"), best.alias("_best"))
+    n = rows.groupBy(*keys, "term").agg(F.count("*").alias("size"), F.sum("_rank").alias("_sum"), F.first("_n").alias("_n"), F.avg("score").alias("mean"))
+    # the leading genes by rank, so that no term is gathered whole
+    first = Window.partitionBy(*keys, "term").orderBy(F.desc(F.abs("score")), "gene")
+    best = rows.select(*keys, "term", "gene", "score").withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= leading)
+    best = best.groupBy(*keys, "term").agg(F.array_sort(F.collect_list(F.struct("_nth", F.col("gene").alias("g")))).alias("_best"))
+    n = n.join(best, [*keys, "term"])
     n = n.filter(F.col("size") < F.col("_n"))
     m, size = F.col("_n"), F.col("size")
     u = F.col("_sum") - size * (size + 1) / 2

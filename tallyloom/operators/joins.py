@@ -31,35 +31,77 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, *
     return both.filter(meet).select("l", "r")
 
 
-def pattern_join(patterns: DataFrame, texts: DataFrame, *, seed: int = 7, window: int = 256, first: bool = False) -> DataFrame:
+#: Letters of patterns of which every task can hold an automaton, about 100 bytes each; more are joined.
+AUTOMATON_LETTERS = 4_000_000
+
+
+def pattern_join(patterns: DataFrame, texts: DataFrame, *, seed: int = 7, window: int = 256, first: bool = False, automaton_letters: int | None = None) -> DataFrame:
     """pattern_id, text_id, position (from 1) of every occurrence, or the first in each text.
 
-    patterns: pattern_id, pattern; texts: text_id, text.  Texts are cut into
-    windows that overlap by the longest pattern; the seed letters at each place
-    meet the patterns' first letters in an equi-join, and the whole pattern is
-    verified.  Patterns shorter than seed join on their own length.  Null or
-    empty patterns match nothing.
+    patterns: pattern_id, pattern; texts: text_id, text.  Patterns that
+    together are short are sought with one automaton a task, in whole texts; others
+    by an equi-join of their first letters with those at each place, whose hits
+    are verified.  Null or empty patterns match nothing.
     """
-    patterns = patterns.filter(F.char_length("pattern") > 0).withColumn("_k", F.least(F.char_length("pattern"), F.lit(seed)))
-    bounds = patterns.agg(F.coalesce(F.max(F.char_length("pattern")), F.lit(1)).alias("longest"), F.coalesce(F.collect_set("_k"), F.array(F.lit(seed))).alias("sizes"))
-    longest, sizes = bounds.first()
-    if not sizes:
-        sizes = [seed]
-    starts = F.sequence(F.lit(0), F.greatest(F.char_length("text") - 1, F.lit(0)), F.lit(window))
-    cut = texts.filter(F.char_length("text") > 0).select("text_id", F.explode(starts).alias("_from"), "text")
-    cut = cut.select("text_id", "_from", F.substring(F.col("text"), F.col("_from") + 1, F.lit(window + longest - 1)).alias("_part"))
-    places = cut.select("text_id", "_from", "_part", F.explode(F.sequence(F.lit(0), F.least(F.char_length("_part"), F.lit(window)) - 1)).alias("_at"))
-    if len(sizes) == 1:
-        seeds = places.withColumn("_k", F.lit(sizes[0]))
+    patterns = patterns.select("pattern_id", "pattern").filter(F.char_length("pattern") > 0)
+    bounds = patterns.agg(F.coalesce(F.sum(F.char_length("pattern")), F.lit(0)), F.coalesce(F.max(F.char_length("pattern")), F.lit(1)), F.collect_set(F.least(F.char_length("pattern"), F.lit(seed)))).first()
+    if bounds[0] <= (AUTOMATON_LETTERS if automaton_letters is None else automaton_letters):
+        hits = _by_automaton(patterns, texts, first)
     else:
-        seeds = places.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in sorted(sizes)])))
-    seeds = seeds.withColumn("_seed", F.substring(F.col("_part"), F.col("_at") + 1, F.col("_k")))
-    asked = patterns.withColumn("_seed", F.substring(F.col("pattern"), F.lit(1), F.col("_k")))
-    hits = seeds.join(asked, ["_k", "_seed"]).filter(F.substring(F.col("_part"), F.col("_at") + 1, F.char_length("pattern")) == F.col("pattern"))
-    hits = hits.select("pattern_id", "text_id", (F.col("_from") + F.col("_at") + 1).alias("position"))
+        hits = _by_seeds(patterns, texts, seed, window, bounds[1], sorted(bounds[2]) or [seed])
     return hits.groupBy("pattern_id", "text_id").agg(F.min("position").alias("position")) if first else hits
 
 
+def _by_automaton(patterns: DataFrame, texts: DataFrame, first: bool) -> DataFrame:
+    """Aho-Corasick over the distinct patterns; ids come by a join on the pattern's number."""
+    spark = patterns.sparkSession
+    known = [r.pattern for r in patterns.select("pattern").distinct().orderBy("pattern").collect()]
+    shared = spark.sparkContext.broadcast(known)
+    texts = texts.select("text_id", "text").filter("text <> ''")
+
+    def find(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        automaton = ahocorasick.Automaton()
+        for i, x in enumerate(shared.value):
+            automaton.add_word(x, (i, len(x)))
+        if not len(automaton):
+            return
+        automaton.make_automaton()
+        for batch in batches:
+            rows, numbers, positions = [], [], []
+            for k, text in enumerate(batch.column(1)):
+                seen = set()
+                for end, (i, n) in automaton.iter(text.as_py()):
+                    if first:
+                        if i in seen:
+                            continue
+                        seen.add(i)
+                    rows.append(k)
+                    numbers.append(i)
+                    positions.append(end - n + 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(positions, pa.int32())], names=["text_id", "_number", "position"])
+
+    kind = texts.schema["text_id"].dataType.simpleString()
+    hits = texts.mapInArrow(find, f"text_id {kind}, _number int, position int")
+    numbered = patterns.join(spark.createDataFrame(list(enumerate(known)), "_number int, pattern string"), "pattern").select("_number", "pattern_id")
+    return hits.join(numbered, "_number").select("pattern_id", "text_id", "position")
+
+
+def _by_seeds(patterns: DataFrame, texts: DataFrame, seed: int, window: int, longest: int, sizes: list[int]) -> DataFrame:
+    """Only a place and its seed travel; the letters are read again where a seed was met."""
+    starts = F.sequence(F.lit(0), F.greatest(F.char_length("text") - 1, F.lit(0)), F.lit(window))
+    cut = texts.filter("text <> ''").select("text_id", F.explode(starts).alias("_from"), "text")
+    cut = cut.select("text_id", "_from", F.substring(F.col("text"), F.col("_from") + 1, F.lit(window + longest - 1)).alias("_part"))
+    asked = patterns.withColumn("_seed", F.left("pattern", F.lit(seed)))
+    places = cut.select("text_id", "_from", F.explode(F.sequence(F.lit(0), F.least(F.char_length("_part"), F.lit(window)) - 1)).alias("_at"), "_part")
+    seeds = reduce(DataFrame.union, [places.select("text_id", "_from", "_at", F.substring(F.col("_part"), F.col("_at") + 1, F.lit(k)).alias("_seed")) for k in sizes])
+    met = seeds.join(asked, "_seed").select("text_id", "_from", "_at", "pattern_id", "pattern")
+    hits = met.join(cut, ["text_id", "_from"]).filter(F.substring(F.col("_part"), F.col("_at") + 1, F.char_length("pattern")) == F.col("pattern"))
+    return hits.select("pattern_id", "text_id", (F.col("_from") + F.col("_at") + 1).alias("position"))
+
+
 def prioritised_join(left: DataFrame, right: DataFrame, attempts: list[list[tuple[str, str]]], key: list[str], order: list[Column] | None = None) -> DataFrame:
     """Each left row (its key is unique) with the best right row: of the first attempt that finds any, then by order.
 
@@ -76,29 +118,35 @@ def prioritised_join(left: DataFrame, right: DataFrame, attempts: list[list[tupl
 
 
 def _checkpoints(df: DataFrame) -> None:
-    """The session's shared folder, or one of our own where none is set."""
+    """The session's shared folder; where none is set, one of our own if the master is local, else an error."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
 
 
 def closure(edges: DataFrame, depth: int = 32) -> DataFrame:
-    """node, ancestor of all nodes of edges (child, parent), a node itself included; cycles do no harm."""
+    """node, ancestor of all nodes of edges (child, parent), a node itself included; cycles do no harm.
+
+    A step joins the pairs that are new with all that are known, so that paths
+    double in length and no pair is extended twice.
+    """
     _checkpoints(edges)
-    reach = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).distinct()
-    nodes = edges.select(F.col("child").alias("node")).union(edges.select("parent")).distinct()
-    reach = reach.union(nodes.select("node", F.col("node").alias("ancestor"))).distinct()
-    count = -1
-    for _ in range(depth):  # each step doubles the length of the paths
-        a, b = reach.alias("a"), reach.alias("b")
-        longer = a.join(b, F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor").distinct().checkpoint()
-        reach, now = longer, longer.count()
-        if now == count:
+    pairs = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node <> ancestor").distinct().checkpoint()
+    known = new = pairs
+    for _ in range(depth):
+        a, b = new.toDF("_a", "_via"), known.toDF("_via", "_b")
+        c, d = known.toDF("_a", "_via"), new.toDF("_via", "_b")
+        longer = a.join(b, "_via").select(F.col("_a").alias("node"), F.col("_b").alias("ancestor")).union(c.join(d, "_via").select("_a", "_b"))
+        new = longer.filter("node <> ancestor").distinct().join(known, ["node", "ancestor"], "left_anti").checkpoint()
+        if new.isEmpty():
             break
-        count = now
-    return reach
+        known = known.union(new)
+    nodes = edges.select(F.col("child").alias("node")).union(edges.select("parent")).distinct()
+    return known.union(nodes.select("node", F.col("node").alias("ancestor")))
 
 
 def split_anchor(peptides: DataFrame, proteins: DataFrame, *, least: int = 4, most_hits: int = 50) -> DataFrame:
@@ -122,19 +170,24 @@ def split_anchor(peptides: DataFrame, proteins: DataFrame, *, least: int = 4, mo
     return rows.withColumn("_n", F.row_number().over(best)).filter("_n = 1").select("peptide", "split", "left_protein", "right_protein")
 
 
-def name_match(names: DataFrame, samples: DataFrame) -> DataFrame:
-    """name, sample: the one sample that stands in a name between boundaries; an error if several do, null if none.
+def name_match(names: DataFrame, samples: DataFrame, *, required: bool = False) -> DataFrame:
+    """name, sample: the one sample that stands in a name between boundaries; an error if several do.
 
-    samples is a design table of a bounded size; its names are taken as one
-    expression.
+    If none does the sample is null or, where it is required, that is an error.
+    A sample's first word meets the words of the name; what stands around is
+    verified.
     """
-    rows = [r[0] for r in samples.select("sample").distinct().orderBy("sample").limit(10_001).collect()]
-    if len(rows) > 10_000:
-        raise ValueError("more than 10000 samples")
-    known = F.array(*[F.lit(x) for x in rows]) if rows else F.array().cast("array<string>")
-    found = F.filter(known, lambda s: F.rlike("name", F.concat(F.lit(r"(?i)(^|[^A-Za-z0-9])\Q"), s, F.lit(r"\E($|[^A-Za-z0-9])"))))
-    named = names.select("name", found.alias("found"))
-    return named.select("name", F.when(F.size("found") > 1, F.raise_error(F.concat(F.lit("several samples: "), F.col("name")))).otherwise(F.try_element_at("found", F.lit(1))).alias("sample"))
+    rows, known = names.select("name").distinct(), samples.select("sample").distinct()
+    word = r"[^\p{Alnum}]+"
+    words = rows.select("name", F.explode(F.array_distinct(F.split(F.lower("name"), word))).alias("_word"))
+    asked = known.withColumn("_word", F.try_element_at(F.filter(F.split(F.lower("sample"), word), lambda x: x != ""), F.lit(1))).filter("_word IS NOT NULL")
+    hits = words.join(asked, "_word").filter(F.rlike("name", F.concat(F.lit(r"(?i)(^|[^A-Za-z0-9])\Q"), "sample", F.lit(r"\E($|[^A-Za-z0-9])"))))
+    n = hits.groupBy("name").agg(F.min("sample").alias("_one"), F.max("sample").alias("_other"))
+    several = F.raise_error(F.concat(F.lit("several samples: "), F.col("name")))
+    found = F.when(F.col("_one") != F.col("_other"), several)
+    if required:
+        found = found.when(F.col("_one").isNull(), F.raise_error(F.concat(F.lit("no sample: "), F.col("name"))))
+    return names.select("name").join(n, "name", "left").select("name", found.otherwise(F.col("_one")).alias("sample"))
 
 
 def genome_slice(df: DataFrame, genome: DataFrame, chunk: int = 65536) -> DataFrame:

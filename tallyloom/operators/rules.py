@@ -40,6 +40,9 @@ PROTEIN_ALTERING = (
     "splice_donor_variant",
 )
 
+#: Those of them that the rules on RNA calls ask for.
+RNA_ALTERING = tuple(x for x in PROTEIN_ALTERING if x != "protein_altering_variant")
+
 #: Hard filters by kind of variant: name, field, whether it fails above or below, bound.
 SNP_FILTERS = (("QD2", "QD", "<", 2.0), ("FS60", "FS", ">", 60.0), ("SOR3", "SOR", ">", 3.0), ("MQ40", "MQ", "<", 40.0), ("MQRankSum-12.5", "MQRankSum", "<", -12.5), ("ReadPosRankSum-8", "ReadPosRankSum", "<", -8.0))
 INDEL_FILTERS = (("QD2", "QD", "<", 2.0), ("FS200", "FS", ">", 200.0), ("SOR10", "SOR", ">", 10.0), ("ReadPosRankSum-20", "ReadPosRankSum", "<", -20.0))
@@ -100,9 +103,9 @@ def hard_filter(df: DataFrame, filters: tuple, out: str = "filter") -> DataFrame
     return df.withColumn(out, F.when(F.size(codes) == 0, "PASS").otherwise(F.array_join(codes, ";")))
 
 
-def protein_altering(consequence: Column) -> Column:
-    """Whether any term of ``a&b`` changes a protein."""
-    return F.arrays_overlap(F.split(F.coalesce(consequence, F.lit("")), "&"), F.array(*[F.lit(x) for x in PROTEIN_ALTERING]))
+def protein_altering(consequence: Column, terms: tuple[str, ...] = PROTEIN_ALTERING) -> Column:
+    """Whether any term of ``a&b`` is one of the terms."""
+    return F.arrays_overlap(F.split(F.coalesce(consequence, F.lit("")), "&"), F.array(*[F.lit(x) for x in terms]))
 
 
 def codon_status(codons: Column, amino_acids: Column, consequence: Column) -> Column:

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _sides(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    a = left.select(*key, F.struct("*").alias("l")).dropDuplicates(key)
-    b = right.select(*key, F.struct("*").alias("r")).dropDuplicates(key)
-    return a.join(b, key, "full")
+def contrast(left: DataFrame, right: DataFrame, key: list[str], names: tuple[str, str, str] = ("shared", "A_only", "B_only"), attributes: list[str] | None = None) -> DataFrame:
+    """key, attributes and contrast: in both, only left or only right; one aggregation, no join.
 
-
-def contrast(left: DataFrame, right: DataFrame, key: list[str], names: tuple[str, str, str] = ("shared", "A_only", "B_only")) -> DataFrame:
-    """key and contrast: in both, only left or only right; each side's distinct keys."""
-    a = left.select(*key).distinct().withColumn("_a", F.lit(True))
-    b = right.select(*key).distinct().withColumn("_b", F.lit(True))
-    both = a.join(b, key, "full")
-    return both.select(*key, F.when(F.col("_a") & F.col("_b"), names[0]).when(F.col("_a"), names[1]).otherwise(names[2]).alias("contrast"))
+    Attributes are those of the key's least row, of the left side where it has one.
+    """
+    attributes = attributes or []
+    rows = left.select(*key, *attributes, F.lit(0).alias("_side")).unionByName(right.select(*key, *attributes, F.lit(1).alias("_side")))
+    first = [F.min(F.struct("_side", *attributes)).alias("_first")] if attributes else []
+    n = rows.groupBy(*key).agg(F.min("_side").alias("_a"), F.max("_side").alias("_b"), *first)
+    side = F.when(F.col("_a") != F.col("_b"), names[0]).when(F.col("_a") == 0, names[1]).otherwise(names[2])
+    return n.select(*key, *[F.col(f"_first.{c}").alias(c) for c in attributes], side.alias("contrast"))
 
 
 def baseline_partition(rows: DataFrame, subject: str, allele: list[str], baseline: str) -> DataFrame:
@@ -39,9 +38,8 @@ def common_exclusive(rows: DataFrame, group: str, member: str, item: str) -> Dat
 
 def caller_sets(left: DataFrame, right: DataFrame, key: list[str], genotype: str) -> DataFrame:
     """key, both genotypes, side and concordance (yes, no, not_comparable) of two callers' alleles; of repeated keys the greatest genotype."""
-    a = left.groupBy(*key).agg(F.max(genotype).alias("left_gt"), F.lit(True).alias("_a"))
-    b = right.groupBy(*key).agg(F.max(genotype).alias("right_gt"), F.lit(True).alias("_b"))
-    both = a.join(b, key, "full")
+    rows = left.select(*key, F.col(genotype).alias("_gt"), F.lit(True).alias("_left")).unionByName(right.select(*key, F.col(genotype).alias("_gt"), F.lit(False).alias("_left")))
+    both = rows.groupBy(*key).agg(F.max(F.when(F.col("_left"), F.col("_gt"))).alias("left_gt"), F.max(F.when(~F.col("_left"), F.col("_gt"))).alias("right_gt"), F.bool_or("_left").alias("_a"), F.bool_or(~F.col("_left")).alias("_b"))
     side = F.when(F.col("_a") & F.col("_b"), "shared").when(F.col("_a"), "left_only").otherwise("right_only")
     same = F.when(F.col("left_gt").isNull() | F.col("right_gt").isNull(), "not_comparable").when(F.col("left_gt") == F.col("right_gt"), "yes").otherwise("no")
     return both.select(*key, "left_gt", "right_gt", side.alias("side"), same.alias("concordance"))

@@ -13,13 +13,13 @@ from tallyloom.functions import alleles, cigar, sequences, units
 from tallyloom.operators import aggregates, enrichment, evidence, joins, rules, sets, windows
 
 
-def rna_variant_validation(calls: DataFrame, genome: DataFrame, fields: list[str], **bounds) -> DataFrame:
+def rna_variant_validation(calls: DataFrame, genome: DataFrame, fields: list[str], consequences: tuple[str, ...] = rules.RNA_ALTERING, **bounds) -> DataFrame:
     """calls (sample, chrom, pos, ref, alt, filter, info, format) with genome_ref, failure_codes, status, observed."""
     ad = F.transform(F.split(F.try_element_at("format", F.lit("AD")), ","), lambda x: x.try_cast("int"))
     depth = F.coalesce(F.try_element_at("format", F.lit("DP")).try_cast("int"), F.lit(0))
     values = F.transform(F.split(F.coalesce(F.try_element_at("info", F.lit("CSQ")), F.lit("")), ","), lambda a: F.split(a, r"\|"))
     term = fields.index("Consequence")
-    altering = F.exists(values, lambda a: rules.protein_altering(F.get(a, F.lit(term))))
+    altering = F.exists(values, lambda a: rules.protein_altering(F.get(a, F.lit(term)), consequences))
     rows = joins.genome_slice(calls.withColumn("length", F.char_length("ref")), genome).drop("length")
     rows = rows.withColumns({"alt_reads": F.coalesce(F.array_max(F.slice(ad, 2, 1000)), F.lit(0)), "depth": depth, "altering": altering})
     found = rules.variant_rules(filter_=F.col("filter"), alt_count=F.size(F.split("alt", ",")), ref=F.col("ref"), genome_ref=F.col("genome_ref"), depth=F.col("depth"), alt_reads=F.col("alt_reads"), altering=F.col("altering"), **bounds)
@@ -57,9 +57,10 @@ def classified_reads(reads: DataFrame, variants: DataFrame, *, width: int = 1024
     left = reads.select("sample", alleles.norm_chrom(F.col("rname")).alias("chrom"), F.col("pos").alias("start"), F.coalesce(ends, F.col("pos")).alias("end"), "qname", "flag", "mapq", "cigar", "seq", "qual")
     right = variants.select("sample", alleles.norm_chrom(F.col("chrom")).alias("chrom"), F.col("pos").alias("start"), (F.col("pos") + F.char_length("ref") - 1).alias("end"), "ref", "alt")
     both = joins.range_join(left, right, ["sample", "chrom"], width, pad=pad)
-    kind = cigar.read_class(F.col("l.flag"), F.col("l.mapq"), F.col("l.cigar"), F.col("l.seq"), F.col("l.qual"), F.col("l.start"), F.col("r.start"), F.col("r.ref"), F.col("r.alt"), min_mapq, min_baseq)
-    rows = both.select(F.col("l.sample").alias("sample"), F.col("l.chrom").alias("chrom"), F.col("r.start").alias("pos"), "r.ref", "r.alt", "l.qname", "l.flag", F.col("l.start").alias("read_start"), "l.cigar", kind.alias("k"))
-    rows = rows.select("*", "k.class", "k.reason").drop("k")
+    rows = both.select(F.col("l.sample").alias("sample"), F.col("l.chrom").alias("chrom"), F.col("r.start").alias("pos"), "r.ref", "r.alt", "l.qname", "l.flag", F.col("l.start").alias("read_start"), "l.cigar", "l.mapq", "l.seq", "l.qual")
+    fields = {c: F.col(c) for c in ("flag", "mapq", "cigar", "seq", "qual", "pos", "ref", "alt")}
+    rows = cigar.with_read_class(rows, "k", start=F.col("read_start"), min_mapq=min_mapq, min_baseq=min_baseq, **fields)
+    rows = rows.select("*", "k.class", "k.reason").drop("k", "mapq", "seq", "qual")
     return rows.dropDuplicates(["sample", "chrom", "pos", "ref", "alt", "qname", "flag", "read_start", "cigar"])
 
 

@@ -340,7 +340,7 @@ def trimmed_alleles(spark, sf_dir):
     return alleles.trim_allele(v).select("p_partkey", "kind", "pos", "ref", "alt")
 
 
-def _reads(spark, sf_dir):
+def _reads(spark, sf_dir, pos: Column | None = None, flag: Column | None = None):
     """A read of each line item: 20 to 60 bases around an intron of 20, at a place of its part."""
     li = table(spark, sf_dir, "lineitem")
     first, second = F.col("l_linenumber") + 10, F.col("l_quantity").cast("int")
@@ -349,11 +349,11 @@ def _reads(spark, sf_dir):
         "l_orderkey",
         "l_linenumber",
         F.col("l_returnflag").alias("chrom"),
-        (F.col("l_partkey") % 500 + 100).alias("pos"),
+        (F.col("l_partkey") % 500 + 100 if pos is None else pos).alias("pos"),
         F.concat(first.cast("string"), F.lit("M20N"), second.cast("string"), F.lit("M")).alias("cigar"),
         seq.alias("seq"),
         F.repeat(F.lit("I"), first + second).alias("qual"),
-        F.when(F.col("l_discount") > 0.08, 1024).otherwise(0).alias("flag"),
+        (F.when(F.col("l_discount") > 0.08, 1024).otherwise(0) if flag is None else flag).alias("flag"),
         F.floor(F.col("l_tax") * 1000).cast("int").alias("mapq"),
     )
 
@@ -377,33 +377,41 @@ SELECT CASE WHEN flag <> 0 THEN 'EXCLUDED' WHEN mapq < 20 THEN 'EXCLUDED' WHEN b
   chrom, count(*) AS n FROM o GROUP BY ALL"""
 )
 def read_classes(spark, sf_dir):
-    r = _reads(spark, sf_dir)
-    c = cigar.read_class(F.col("flag"), F.col("mapq"), F.col("cigar"), F.col("seq"), F.col("qual"), F.col("pos"), F.col("pos") + 11, F.lit("C"), F.lit("G"))
-    return r.select("chrom", c.alias("c")).groupBy("chrom", "c.class", "c.reason").agg(F.count("*").alias("n"))
+    fields = {c: F.col(c) for c in ("flag", "mapq", "cigar", "seq", "qual")}
+    r = cigar.with_read_class(_reads(spark, sf_dir), "c", start=F.col("pos"), pos=F.col("pos") + 11, ref=F.lit("C"), alt=F.lit("G"), **fields)
+    return r.groupBy("chrom", "c.class", "c.reason").agg(F.count("*").alias("n"))
 
 
-@query(_READS + "SELECT chrom, count(*) AS total, count(*) AS mapped, 0::BIGINT AS secondary, 0::BIGINT AS supplementary, count_if(flag = 1024)::BIGINT AS duplicates, 0::BIGINT AS paired, 0::BIGINT AS proper, 0::BIGINT AS read1, 0::BIGINT AS read2 FROM r GROUP BY chrom")
+_FLAGS = {"1": "l_linenumber % 2 = 1", "2": "l_linenumber % 2 = 1 AND l_partkey % 3 > 0", "4": "l_suppkey % 17 = 0", "64": "l_linenumber % 4 = 1", "128": "l_linenumber % 4 = 3", "256": "l_partkey % 11 = 0", "1024": "l_orderkey % 9 = 0", "2048": "l_suppkey % 13 = 0"}
+_COUNTED = {"secondary": "256", "supplementary": "2048", "duplicates": "1024", "paired": "1", "proper": "2", "read1": "64", "read2": "128"}
+
+
+@query("SELECT l_returnflag AS chrom, count(*) AS total, " + f"count_if(NOT ({_FLAGS['4']}))::BIGINT AS mapped, " + ", ".join(f"count_if({_FLAGS[m]})::BIGINT AS {name}" for name, m in _COUNTED.items()) + " FROM lineitem GROUP BY 1")
 def flagstat(spark, sf_dir):
-    return aggregates.flagstat(_reads(spark, sf_dir), ["chrom"])
+    flag = sum((F.when(F.expr(when), int(mask)).otherwise(0) for mask, when in _FLAGS.items()), F.lit(0))
+    return aggregates.flagstat(_reads(spark, sf_dir, flag=flag), ["chrom"])
 
 
-_BLOCKS = _READS + """, b AS (SELECT l_orderkey * 10 + l_linenumber AS fragment, chrom, pos AS start, pos + a - 1 AS end FROM r WHERE flag = 0 UNION ALL SELECT l_orderkey * 10 + l_linenumber, chrom, pos + a + 20, pos + a + 19 + b FROM r WHERE flag = 0),
-e AS (SELECT p_partkey AS gene, ['A', 'N', 'R'][p_partkey % 3 + 1] AS chrom, p_partkey % 500 + 90 AS start, p_partkey % 500 + 90 + p_size % 5 AS end FROM part WHERE p_partkey % 5 = 0)
+_BLOCKS = """
+WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS fragment, l_returnflag AS chrom, l_partkey * 100 + l_suppkey % 100 AS pos, l_linenumber + 10 AS a, l_quantity::INT AS b FROM lineitem WHERE NOT l_discount > 0.08),
+b AS (SELECT fragment, chrom, pos AS start, pos + a - 1 AS end FROM r UNION ALL SELECT fragment, chrom, pos + a + 20, pos + a + 19 + b FROM r),
+e AS (SELECT p_partkey AS gene, ['A', 'N', 'R'][p_partkey // 2 % 3 + 1] AS chrom, p_partkey * 100 + 90 AS start, p_partkey * 100 + 90 + p_size AS end FROM part)
 """
 
 
 def _gene_inputs(spark, sf_dir):
-    r = _reads(spark, sf_dir).filter(cigar.primary(F.col("flag")))
+    """Every part is a gene, next to its neighbour; a read is near its part's."""
+    r = _reads(spark, sf_dir, F.col("l_partkey") * 100 + F.col("l_suppkey") % 100).filter(cigar.primary(F.col("flag")))
     b = r.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fragment"), "chrom", F.explode(cigar.aligned(cigar.blocks(F.col("cigar"), F.col("pos")))).alias("b"))
     b = b.select("fragment", "chrom", F.col("b.ref").alias("start"), (F.col("b.ref") + F.col("b.len") - 1).alias("end"))
     k = F.col("p_partkey")
-    e = table(spark, sf_dir, "part").filter(k % 5 == 0).select(k.alias("gene"), F.get(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (k % 3).cast("int")).alias("chrom"), (k % 500 + 90).alias("start"), (k % 500 + 90 + F.col("p_size") % 5).alias("end"))
+    e = table(spark, sf_dir, "part").select(k.alias("gene"), F.get(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.floor(k / 2) % 3).cast("int")).alias("chrom"), (k * 100 + 90).alias("start"), (k * 100 + 90 + F.col("p_size")).alias("end"))
     return b, e
 
 
 @query(_BLOCKS + ", h AS (SELECT DISTINCT b.fragment, e.gene FROM b JOIN e ON b.chrom = e.chrom AND b.start <= e.end AND e.start <= b.end), o AS (SELECT fragment, min(gene) AS gene FROM h GROUP BY 1 HAVING count(*) = 1) SELECT gene, count(*) AS n FROM o GROUP BY gene")
 def gene_read_counts(spark, sf_dir):
-    return aggregates.gene_read_counts(*_gene_inputs(spark, sf_dir), width=64)
+    return aggregates.gene_read_counts(*_gene_inputs(spark, sf_dir), width=128)
 
 
 _FINDINGS = """
@@ -455,12 +463,12 @@ def range_join(spark, sf_dir):
 
 
 def _patterns(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pattern_id"), F.left("text", F.lit(40)).alias("pattern")), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pattern_id"), F.col("text").alias("pattern")), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
 
 
 _HITS = """
-WITH h AS (SELECT item_id AS pattern_id, doc_id AS text_id, d.lang, d.source, unnest(list_filter(range(1, length(d.text) - 38), lambda i: substr(d.text, i, 40) = left(b.text, 40))) AS position
-  FROM documents d JOIN benchmark b ON contains(d.text, left(b.text, 40)))
+WITH h AS (SELECT item_id AS pattern_id, doc_id AS text_id, d.lang, d.source, unnest(list_filter(range(1, length(d.text) - length(b.text) + 2), lambda i: substr(d.text, i, length(b.text)) = b.text)) AS position
+  FROM documents d JOIN benchmark b ON length(b.text) > 0 AND contains(d.text, b.text))
 """
 
 
@@ -530,7 +538,7 @@ def cap_per_group(spark, sf_dir):
     return windows.cap_per_group(o, ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rank")
 
 
-_INTERVALS = "WITH i AS (SELECT l_suppkey, date_diff('day', DATE '1995-01-01', l_shipdate::DATE) AS s, date_diff('day', DATE '1995-01-01', l_shipdate::DATE) + l_linenumber * 2 AS e FROM lineitem WHERE l_returnflag = 'R')"
+_INTERVALS = "WITH i AS (SELECT l_suppkey, date_diff('day', DATE '1995-01-01', l_shipdate::DATE) AS s, date_diff('day', DATE '1995-01-01', l_shipdate::DATE) + l_linenumber * 2 AS e FROM lineitem)"
 
 
 @query(
@@ -541,7 +549,7 @@ SELECT l_suppkey, min(s)::INTEGER AS start, max(e)::INTEGER AS end, count(*) AS
 )
 def merge_intervals(spark, sf_dir):
     d = F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date"))
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_suppkey", d.alias("start"), (d + F.col("l_linenumber") * 2).alias("end"))
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", d.alias("start"), (d + F.col("l_linenumber") * 2).alias("end"))
     return windows.merge_intervals(li, ["l_suppkey"], 1)
 
 
@@ -554,7 +562,7 @@ SELECT l_suppkey AS gene, min(a)::INTEGER AS start, max(b)::INTEGER AS end, sum(
 )
 def gene_model(spark, sf_dir):
     d = F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date"))
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_suppkey").alias("gene"), d.alias("start"), (d + F.col("l_linenumber") * 2).alias("end"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("gene"), d.alias("start"), (d + F.col("l_linenumber") * 2).alias("end"))
     return aggregates.gene_model(li)
 
 
@@ -578,13 +586,13 @@ def exon_junctions(spark, sf_dir):
 
 @query(
     _JUNCTIONS
-    + """, c AS (SELECT chrom, start, "end", count(*) AS n FROM k WHERE junction_no <= 2 GROUP BY ALL), y AS (SELECT k.transcript, coalesce(c.n, 0) AS n FROM k LEFT JOIN c ON c.chrom = k.chrom AND c.start = k.start AND c."end" = k."end")
-SELECT transcript, count(*) AS n_junctions, min(n)::BIGINT AS min_support, CASE WHEN min(n) < 3 THEN 'REJECTED' ELSE 'RNA_VALIDATED' END AS status FROM y GROUP BY 1"""
+    + """, c AS (SELECT chrom, start, "end", count(*) AS n FROM k GROUP BY ALL), y AS (SELECT k.transcript, coalesce(c.n, 0) AS n FROM k LEFT JOIN c ON c.chrom = k.chrom AND c.start = k.start AND c."end" = k."end")
+SELECT transcript, count(*) AS n_junctions, min(n)::BIGINT AS min_support, CASE WHEN min(n) < 2 THEN 'REJECTED' ELSE 'RNA_VALIDATED' END AS status FROM y GROUP BY 1"""
 )
 def junction_support(spark, sf_dir):
     j = _junctions(spark, sf_dir)
-    counts = j.filter("junction_no <= 2").groupBy("chrom", "start", "end").agg(F.count("*").alias("n"))
-    return rules.with_rules(aggregates.junction_support(j, counts), rules.splice_rules()).select("transcript", "n_junctions", "min_support", "status")
+    counts = j.groupBy("chrom", "start", "end").agg(F.count("*").alias("n"))
+    return rules.with_rules(aggregates.junction_support(j, counts), rules.splice_rules(2)).select("transcript", "n_junctions", "min_support", "status")
 
 
 @query("""
@@ -676,21 +684,34 @@ def ranked_set_test(spark, sf_dir):
     return rounded(enrichment.ranked_set_test(scores, s, with_p=False), "u", "z", "mean").select("term", "size", "u", "z", "mean")
 
 
-@query()
+#: erfc by its series below 3 and by its continued fraction from there.
+_ERFC = """CASE WHEN x < 3 THEN 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 70), lambda n: (CASE WHEN n % 2 = 0 THEN 1 ELSE -1 END) * exp((2 * n + 1) * ln(greatest(x, 1e-300)) - lgamma(n + 1)) / (2 * n + 1)))
+  ELSE exp(-x * x) / sqrt(pi()) / list_reduce(list_prepend(x, list_transform(range(60, 0, -1), lambda n: n / 2.0::DOUBLE)), lambda a, n: x + n / a) END"""
+
+
+@query(
+    _FOLD
+    + f""", r AS (SELECT gene, fc, rank() OVER (ORDER BY fc) + (count(*) OVER (PARTITION BY fc) - 1) / 2 AS rk, count(*) OVER () AS m FROM (SELECT gene, round(fc, 4) AS fc FROM fold)),
+l AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY abs(fc) DESC, gene) AS nth FROM r JOIN part ON p_partkey = gene),
+s AS (SELECT p_type AS term, count(*) AS size, sum(rk) AS rs, any_value(m) AS m, string_agg(gene::VARCHAR, ';' ORDER BY nth) FILTER (nth <= 50) AS "leading" FROM l GROUP BY 1),
+z AS (SELECT *, (rs - size * (size + 1) / 2 - size * (m - size) / 2) / sqrt(size * (m - size) * (m + 1) / 12.0) AS z FROM s WHERE size < m),
+x AS (SELECT *, abs(z) / sqrt(2) AS x FROM z), p AS (SELECT *, {_ERFC} AS p FROM x), k AS (SELECT *, row_number() OVER (ORDER BY p) AS k, count(*) OVER () AS n FROM p)
+SELECT term, size, round(z, 6) AS z, round(p, 6) AS p, round(least(1.0, min(p * n / k) OVER (ORDER BY p, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS fdr, "leading" FROM k"""
+)
 def ranked_set_test_p(spark, sf_dir):
     scores = _fold(spark, sf_dir).select("gene", F.round("log2_fc", 4).alias("score"))
     s = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("gene"), F.col("p_type").alias("term"))
-    return enrichment.ranked_set_test(scores, s).select("term", "size", "z", "p", "fdr", "leading")
+    return rounded(enrichment.ranked_set_test(scores, s).select("term", "size", "z", "p", "fdr", "leading"), "z", "p", "fdr")
 
 
 @query("""
 WITH c AS (SELECT l_returnflag AS sample, l_partkey AS gene, sum(l_quantity) AS count FROM lineitem GROUP BY ALL), t AS (SELECT sample, sum(count) AS tot FROM c GROUP BY 1),
-m AS (SELECT c.*, count / (p_size * 100 / 1000.0::DOUBLE) AS rpk FROM c JOIN part ON p_partkey = gene WHERE p_partkey % 3 > 0), a AS (SELECT sample, sum(rpk) AS al FROM m GROUP BY 1)
+m AS (SELECT c.*, count / (p_size * 100 / 1000.0::DOUBLE) AS rpk FROM c JOIN part ON p_partkey = gene), a AS (SELECT sample, sum(rpk) AS al FROM m GROUP BY 1)
 SELECT m.sample, gene, count, round(count * 1e6 / tot, 6) AS cpm, round(rpk * 1e6 / al, 6) AS tpm FROM m JOIN t ON t.sample = m.sample JOIN a ON a.sample = m.sample
 """)
 def expression_matrix(spark, sf_dir):
     c = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("sample"), F.col("l_partkey").alias("gene")).agg(F.sum("l_quantity").alias("count"))
-    m = table(spark, sf_dir, "part").filter("p_partkey % 3 > 0").select(F.col("p_partkey").alias("gene"), (F.col("p_size") * 100).alias("merged_length"))
+    m = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("gene"), (F.col("p_size") * 100).alias("merged_length"))
     return rounded(aggregates.expression_matrix(c, m), "cpm", "tpm")
 
 
@@ -700,12 +721,12 @@ def expression_summary(spark, sf_dir):
 
 
 @query("""
-WITH x AS (SELECT p_partkey, p_name AS name, p_brand AS analysis, p_retailprice / 600 AS odds, p_size AS size, p_size / 100 AS fdr FROM part WHERE p_retailprice / 600 >= 1.5 AND p_size >= 5),
+WITH x AS (SELECT p_partkey, p_name AS name, p_brand AS analysis, p_retailprice / 600 AS odds, p_size AS size, p_size / 100 AS fdr FROM part WHERE (p_retailprice / 600 >= 1.5 AND p_size >= 5) OR (abs(p_size / 50 - 0.5) >= 0.25 AND abs(p_partkey % 7 - 3) >= 2)),
 d AS (SELECT *, row_number() OVER (PARTITION BY analysis, name ORDER BY fdr, p_partkey) AS n FROM x), r AS (SELECT *, row_number() OVER (PARTITION BY analysis ORDER BY fdr, p_partkey)::INTEGER AS rank FROM d WHERE n = 1)
 SELECT analysis, p_partkey AS term, rank FROM r WHERE rank <= 5
 """)
 def nonredundant_terms(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("term"), F.col("p_name").alias("name"), F.col("p_brand").alias("analysis"), (F.col("p_retailprice") / 600).alias("odds"), F.col("p_size").alias("size"), (F.col("p_size") / 100).alias("fdr"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("z"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("term"), F.col("p_name").alias("name"), F.col("p_brand").alias("analysis"), (F.col("p_retailprice") / 600).alias("odds"), F.col("p_size").alias("size"), (F.col("p_size") / 100).alias("fdr"), (F.col("p_size") / 50 - 0.5).alias("mean"), (F.col("p_partkey") % 7 - 3).alias("z"))
     return windows.nonredundant_terms(p, ["analysis"], 5).select("analysis", "term", "rank")
 
 

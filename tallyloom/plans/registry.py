@@ -1,5 +1,6 @@
 """The library's queries and their SQL."""
 
+from . import more_queries  # registers its queries
 from .queries import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES"]
+__all__ = ["ORACLE", "QUERIES", "more_queries"]

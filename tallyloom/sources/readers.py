@@ -85,9 +85,12 @@ def explode_csq(calls: DataFrame, fields: list[str]) -> DataFrame:
 
 def fasta(spark: SparkSession, paths: Paths) -> DataFrame:
     """file, header, sequence of records over several lines; letters before the first header are an error."""
-    records = spark.read.option("lineSep", "\n>").text(paths).select("value", F.col("_metadata.file_name").alias("file")).filter(F.trim("value") != "")
+    records = spark.read.option("lineSep", "\n>").text(paths).select(F.replace("value", F.lit("\r"), F.lit("")).alias("value"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("nth"))
     # the first record of a file keeps its mark; others lost theirs with the separator
-    body = F.regexp_replace("value", "^>", "")
+    heads = records.groupBy("file").agg(F.min_by("value", F.struct("begin", "nth")).alias("head")).filter(~F.ltrim("head").startswith(">") & (F.trim("head") != "")).select("file")
+    wrong = heads.agg(F.min("file").alias("wrong"))
+    records = records.join(F.broadcast(wrong)).filter(F.trim("value") != "")
+    body = F.when(F.col("wrong").isNotNull(), F.raise_error(F.concat(F.lit("letters before the first header: "), F.col("wrong")))).otherwise(F.regexp_replace("value", r"^\s*>", ""))
     return records.select("file", F.trim(F.split_part(body, F.lit("\n"), F.lit(1))).alias("header"), F.regexp_replace(F.regexp_replace(body, r"^[^\n]*\n?", ""), r"\s", "").alias("sequence"))
 
 
@@ -122,7 +125,8 @@ def gene_counts(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def obo(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """terms (id, name, namespace), edges (child, parent) and aliases (alias, id) of an ontology, without obsolete terms."""
-    stanzas = spark.read.option("lineSep", "\n\n").text(path).filter(F.trim("value").startswith("[Term]")).filter(~F.col("value").rlike(r"(?m)^is_obsolete:\s*true"))
+    text = spark.read.option("lineSep", "\n\n").text(path) if "\r" not in "".join(r[0] for r in spark.read.option("lineSep", "\n").text(path).limit(1).collect()) else spark.read.option("lineSep", "\r\n\r\n").text(path).select(F.replace("value", F.lit("\r"), F.lit("")).alias("value"))
+    stanzas = text.filter(F.trim("value").startswith("[Term]")).filter(~F.col("value").rlike(r"(?m)^is_obsolete:\s*true"))
 
     def tag(name: str) -> Column:
         return F.regexp_extract("value", rf"(?m)^{name}:\s*(\S.*?)\s*$", 1)
@@ -154,8 +158,9 @@ def search_parameters(spark: SparkSession, path: str) -> DataFrame:
 
 def findings(spark: SparkSession, paths: Paths, schema: str) -> tuple[DataFrame, DataFrame]:
     """Line-delimited JSON, and the lines that are none."""
-    rows = spark.read.schema(schema + ", _corrupt_record string").option("mode", "PERMISSIVE").json(paths).cache()
-    return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), rows.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    lines = spark.read.text(paths).filter(F.trim("value") != "")
+    rows = lines.select("value", F.from_json("value", schema + ", _corrupt_record string", {"mode": "PERMISSIVE"}).alias("r"))
+    return rows.filter(F.col("r._corrupt_record").isNull()).select("r.*").drop("_corrupt_record"), rows.filter(F.col("r._corrupt_record").isNotNull()).select(F.col("value").alias("_corrupt_record"))
 
 
 def geometry(spark: SparkSession, path: str) -> DataFrame:

@@ -17,11 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the session's ``spark.checkpoint.dir``.  Where that is unset (a
-    local session, as in tests) a temporary folder is set in its place.
+    It is the session's ``spark.checkpoint.dir``.  Where that is unset in a
+    local session, as in tests, a temporary folder is set in its place; on a
+    cluster, whose executors can't read one, that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)

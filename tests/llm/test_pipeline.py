@@ -73,6 +73,25 @@ def test_empty_and_null_documents(spark, tmp_path):
         path = f"{tmp_path}/{name}"
         spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
         spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
-        assert corpus_pipeline.run(spark, path).count() == 0
+        # without a learned language every row stays; a null text is packed as its end id
+        assert sorted((str(r.doc_id), r.length) for r in corpus_pipeline.run(spark, path).collect()) == sorted((str(r[0]), 1) for r in rows)
     assert public_tokenizers.path("byte_bpe_50k.json")
     assert decontaminate.budget(100, 0.08) == 8
+
+
+def test_rows_without_labels_and_ids_that_repeat(spark, tmp_path):
+    """No label: nothing is rejected as unwritten.  A doc_id with several texts keeps those that no other row stands for."""
+    rng = random.Random(3)
+
+    def text(n):
+        return " ".join("".join(rng.sample(WORDS["en"].split(), 2)) for _ in range(n))
+
+    one, two = text(30), text(30)
+    rows = [(1, one), (1, two), (2, one), (3, text(30)), (3, text(30)), (3, None), (None, "no id")]
+    docs = spark.createDataFrame([(d, t, None, "s", 1, d, "x") for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _row long, component_id string")
+    stages = dict(corpus_pipeline.STAGES)
+    first = stages["language_id"](spark, docs, str(tmp_path))
+    assert first.columns == docs.columns and first.count() == len(rows)
+    second = stages["near_dedup"](spark, first, str(tmp_path))
+    assert second.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in second.collect()) == sorted((str(d), t or "") for d, t in rows if (d, t) != (2, one))

@@ -329,13 +329,16 @@ def learn(docs: DataFrame, *, per_label: int = 300, most_chars: int = 4000) -> M
     """
     usable = docs.select("doc_id", "text", "lang").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text <> ''").filter(~held_out())
     usable = usable.withColumns({"h": F.xxhash64("doc_id"), "t": F.xxhash64("text")})
-    # distinct ids, so that a doc_id with many rows takes no other's place
-    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
-    near = usable.join(sizes, "lang").filter(F.pmod("h", F.lit(1_000_000)) * F.col("n") < 1.5e6 * per_label).drop("n")
+    # distinct ids, so that a doc_id with many rows takes no other's place; one row for each language, as the model has
+    sizes = {r.lang: r.n for r in usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
+    if not sizes:
+        return fit([])
+    known = F.create_map(*[F.lit(x) for pair in sorted(sizes.items()) for x in pair])
+    near = usable.filter(F.pmod("h", F.lit(1_000_000)) * F.element_at(known, F.col("lang")) < 1.5e6 * per_label)
     keys = near.select("lang", "h", "doc_id", "t").distinct()
     keys = keys.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "t"))).filter(F.col("_n") <= per_label).drop("_n")
     begin = F.pmod("h", F.greatest(F.char_length("text") - most_chars + 1, F.lit(1))).cast("int") + 1
-    rows = near.join(keys, ["lang", "h", "doc_id", "t"]).groupBy("lang", "h", "doc_id", "t").agg(F.min(F.substr("text", begin, F.lit(most_chars))).alias("text")).collect()
+    rows = near.join(F.broadcast(keys), ["lang", "h", "doc_id", "t"]).groupBy("lang", "h", "doc_id", "t").agg(F.min(F.substr("text", begin, F.lit(most_chars))).alias("text")).collect()
     return fit([(r.text, r.lang) for r in rows])
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import per_worker
+from .common import Work, per_worker
 
 #: Characters of items that are broadcast at once; a larger test set takes several passes.
 BLOCK_CHARS = 8_000_000
@@ -142,12 +142,7 @@ def _matcher(shared, rate: float):
 
     @F.pandas_udf(RESULT)
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finders = per_worker("finders", dict)  # a task may hold texts against several blocks in turn
-        if run not in finders:
-            if len(finders) > 1:
-                finders.clear()
-            finders[run] = Finder(shared.value, rate)
-        finder = finders[run]
+        finder = per_worker(("finder", run), lambda: Finder(shared.value, rate))
         for texts in batches:
             yield pd.Series([[{"item_id": i, "distance": d, "end": e} for i, d, e in finder.find(x if isinstance(x, str) else None)] for x in texts])
 
@@ -160,13 +155,19 @@ def with_matches(spark: SparkSession, docs: DataFrame, items: DataFrame, *, rate
     Case and the kind of white space make no difference.  Null or empty items
     are found nowhere, null or empty texts hold none; an item as short as
     1 / rate has to stand there unchanged.  An item_id that stands for several
-    texts is found where any of them is.  A column of that name is replaced.
+    texts is found where any of them is.  A column of that name is replaced.  Blocks
+    of BLOCK_CHARS take a pass each, whose rows are written.
     """
-    columns = [_matcher(spark.sparkContext.broadcast(block), rate)("text") for block in _blocks(items)]
+    work, shared = Work(spark, "decontaminate"), None
     docs = docs.drop(name)
-    if not columns:
-        return docs.withColumn(name, F.array().cast(RESULT))
-    return docs.withColumn(name, columns[0] if len(columns) == 1 else F.concat(*columns))
+    for block in _blocks(items):
+        if shared is not None:  # the pass before is written, so that tasks hold one block at a time
+            docs = work.save(docs, "pass")
+            shared.unpersist()
+        again, shared = shared is not None, spark.sparkContext.broadcast(block)
+        new = _matcher(shared, rate)("text")
+        docs = docs.withColumn(name, F.concat(name, new) if again else new)
+    return docs if shared is not None else docs.withColumn(name, F.array().cast(RESULT))
 
 
 def found(spark: SparkSession, docs: DataFrame, items: DataFrame, *, rate: float = 0.08) -> DataFrame:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.lineage import checkpointed
+
 #: Lanczos' approximation of the gamma function for g = 7.
 LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7)
 
@@ -71,6 +73,7 @@ def bh_fdr(df: DataFrame, p: str, partition: list[str], out: str = "fdr") -> Dat
         back = up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
         df = df.withColumn("_rank", F.row_number().over(up)).withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy(*partition)))
         return df.withColumn(out, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_rank")).over(back))).drop("_rank", "_m")
+    df = checkpointed(df)
     each = cumulated(df, p).withColumn("_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
     later = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     least = each.groupBy("_range").agg(F.min("_q").alias("_least")).select("_range", F.min("_least").over(later).alias("_later"))
@@ -85,6 +88,7 @@ def tied_ranks(df: DataFrame, score: str, partition: list[str], out: str = "rank
         order = Window.partitionBy(*partition).orderBy(score)
         ties = Window.partitionBy(*partition, score)
         return df.withColumn(out, F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+    df = checkpointed(df)
     each = cumulated(df, score).select(score, (F.col("below") + (F.col("n") + 1) / 2.0).alias(out))
     return df.join(each, score, "left").select(*df.columns, out)
 

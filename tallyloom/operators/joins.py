@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.lineage import checkpointed
+
 
 def range_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, *, pad: int = 0, how: str = "overlap") -> DataFrame:
     """Pairs of rows with equal keys whose intervals overlap, as structs l and r.
@@ -117,31 +118,19 @@ def prioritised_join(left: DataFrame, right: DataFrame, attempts: list[list[tupl
     return left.join(found, key, "left")
 
 
-def _checkpoints(df: DataFrame) -> None:
-    """The session's shared folder; where none is set, one of our own if the master is local, else an error."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
-
-
 def closure(edges: DataFrame, depth: int = 32) -> DataFrame:
     """node, ancestor of all nodes of edges (child, parent), a node itself included; cycles do no harm.
 
     A step joins the pairs that are new with all that are known, so that paths
     double in length and no pair is extended twice.
     """
-    _checkpoints(edges)
-    pairs = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node <> ancestor").distinct().checkpoint()
+    pairs = checkpointed(edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).filter("node <> ancestor").distinct())
     known = new = pairs
     for _ in range(depth):
         a, b = new.toDF("_a", "_via"), known.toDF("_via", "_b")
         c, d = known.toDF("_a", "_via"), new.toDF("_via", "_b")
         longer = a.join(b, "_via").select(F.col("_a").alias("node"), F.col("_b").alias("ancestor")).union(c.join(d, "_via").select("_a", "_b"))
-        new = longer.filter("node <> ancestor").distinct().join(known, ["node", "ancestor"], "left_anti").checkpoint()
+        new = checkpointed(longer.filter("node <> ancestor").distinct().join(known, ["node", "ancestor"], "left_anti"))
         if new.isEmpty():
             break
         known = known.union(new)

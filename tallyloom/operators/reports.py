@@ -165,7 +165,7 @@ def rank_findings(findings: DataFrame, limit: int = 0) -> DataFrame:
 
 
 def event_read_summary(reads: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, ref, alt, other, alt_fraction (null without either), alt reads by strand and mate, mean mapq and base quality.
+    """keys, ref_reads, alt_reads, other_reads, alt_fraction (null without either), alt reads by strand and mate, mean mapq and base quality.
 
     reads: keys, class, flag, mapq, base_quality (null if there is none).
     """
@@ -175,9 +175,9 @@ def event_read_summary(reads: DataFrame, keys: list[str]) -> DataFrame:
         return F.col("flag").bitwiseAND(F.lit(mask)) != 0
 
     n = reads.groupBy(*keys).agg(
-        F.count_if(ref).alias("ref"),
-        F.count_if(alt).alias("alt"),
-        F.count_if(~alt & ~ref).alias("other"),
+        F.count_if(ref).alias("ref_reads"),
+        F.count_if(alt).alias("alt_reads"),
+        F.count_if(~alt & ~ref).alias("other_reads"),
         F.count_if(alt & ~bit(16)).alias("alt_forward"),
         F.count_if(alt & bit(16)).alias("alt_reverse"),
         F.count_if(alt & bit(64)).alias("alt_r1"),
@@ -185,15 +185,15 @@ def event_read_summary(reads: DataFrame, keys: list[str]) -> DataFrame:
         F.avg("mapq").alias("mean_mapq"),
         F.avg("base_quality").alias("mean_base_quality"),
     )
-    return n.withColumn("alt_fraction", F.try_divide("alt", F.col("alt") + F.col("ref")))
+    return n.withColumn("alt_fraction", F.try_divide("alt_reads", F.col("alt_reads") + F.col("ref_reads")))
 
 
 def allele_read_counts(reads: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, alt, ref, depth (both), alt_fraction, alleles ``REF:n;ALT:n``; a read of one name, flag, place and CIGAR counts once."""
+    """keys, alt_reads, ref_reads, depth (both), alt_fraction, alleles ``REF:n;ALT:n``; a read of one name, flag, place and CIGAR counts once."""
     rows = reads.dropDuplicates([*keys, "qname", "flag", "read_start", "cigar"])
-    n = rows.groupBy(*keys).agg(F.count_if(F.col("class") == "EXACT_ALT").alias("alt"), F.count_if(F.col("class") == "CLEAN_REFERENCE").alias("ref"))
-    both = F.col("alt") + F.col("ref")
-    return n.withColumns({"depth": both, "alt_fraction": cigar.alt_fraction(F.col("alt"), F.col("ref")), "alleles": F.concat(F.lit("REF:"), F.col("ref").cast("string"), F.lit(";ALT:"), F.col("alt").cast("string"))})
+    n = rows.groupBy(*keys).agg(F.count_if(F.col("class") == "EXACT_ALT").alias("alt_reads"), F.count_if(F.col("class") == "CLEAN_REFERENCE").alias("ref_reads"))
+    both = F.col("alt_reads") + F.col("ref_reads")
+    return n.withColumns({"depth": both, "alt_fraction": cigar.alt_fraction(F.col("alt_reads"), F.col("ref_reads")), "alleles": F.concat(F.lit("REF:"), F.col("ref_reads").cast("string"), F.lit(";ALT:"), F.col("alt_reads").cast("string"))})
 
 
 def wanted_features(features: DataFrame, genes: DataFrame) -> DataFrame:

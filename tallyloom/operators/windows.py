@@ -25,9 +25,19 @@ def merge_intervals(df: DataFrame, keys: list[str], touch: int = 1) -> DataFrame
     return rows.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_island")
 
 
-def exon_junctions(exons: DataFrame) -> DataFrame:
-    """transcript, chrom, junction_no, start, end (intron bases), offset (transcript bases before it) from exons (transcript, chrom, start, end)."""
+def exon_junctions(exons: DataFrame, *, by_strand: bool = False) -> DataFrame:
+    """transcript, chrom, junction_no, start, end (intron bases), offset (transcript bases before it) from exons (transcript, chrom, start, end).
+
+    In genomic order; by_strand those of strand - run from the last exon to the first.
+    """
     order = Window.partitionBy("transcript", "chrom").orderBy("start", "end")
+    if by_strand:
+        back = F.when(F.col("strand") == "-", -1).otherwise(1)
+        order = Window.partitionBy("transcript", "chrom").orderBy(F.col("start") * back, F.col("end") * back)
+        rows = exons.withColumns({"_start": F.lead("start").over(order), "_end": F.lead("end").over(order), "junction_no": F.row_number().over(order), "offset": F.sum(F.col("end") - F.col("start") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0))})
+        minus = F.col("strand") == "-"
+        first, last = F.when(minus, F.col("_end")).otherwise(F.col("end")) + 1, F.when(minus, F.col("start")).otherwise(F.col("_start")) - 1
+        return rows.filter(F.col("_start").isNotNull()).select("transcript", "chrom", "junction_no", first.alias("start"), last.alias("end"), "offset")
     rows = exons.withColumns({"_next": F.lead("start").over(order), "junction_no": F.row_number().over(order), "offset": F.sum(F.col("end") - F.col("start") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0))})
     return rows.filter(F.col("_next").isNotNull()).select("transcript", "chrom", "junction_no", (F.col("end") + 1).alias("start"), (F.col("_next") - 1).alias("end"), "offset")
 

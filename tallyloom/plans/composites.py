@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import alleles, cigar, sequences, units
-from tallyloom.operators import aggregates, enrichment, evidence, joins, rules, sets, windows
+from tallyloom.operators import aggregates, enrichment, evidence, joins, reports, rules, sets, windows
 
 
 def rna_variant_validation(calls: DataFrame, genome: DataFrame, fields: list[str], consequences: tuple[str, ...] = rules.RNA_ALTERING, **bounds) -> DataFrame:
@@ -46,22 +46,23 @@ def rna_splice_validation(exons: DataFrame, reads: DataFrame, min_reads: int = 3
     return audited(rules.with_rules(rows, rules.splice_rules(min_reads)), JUNCTIONS=F.col("n_junctions"), MIN=F.col("min_support"))
 
 
-def classified_reads(reads: DataFrame, variants: DataFrame, *, width: int = 1024, min_mapq: int = 20, min_baseq: int = 20, pad: int = 0) -> DataFrame:
+def classified_reads(reads: DataFrame, variants: DataFrame, *, width: int = 1024, min_mapq: int = 20, min_baseq: int = 20, pad: int = 0, across: bool = False) -> DataFrame:
     """reads that overlap a variant of their sample, with class and reason; a read of one name, flag, place and CIGAR counts once.
 
     reads: sample, qname, flag, rname, pos, mapq, cigar, seq, qual; variants:
-    sample, chrom, pos, ref, alt.
+    sample, chrom, pos, ref, alt.  across: every sample's reads meet every
+    variant, and bam is the read's sample.
     """
     parts = cigar.blocks(F.col("cigar"), F.col("pos"))
     ends = F.greatest(F.col("pos"), cigar.alignment_end(parts, F.col("pos")))
     left = reads.select("sample", alleles.norm_chrom(F.col("rname")).alias("chrom"), F.col("pos").alias("start"), F.coalesce(ends, F.col("pos")).alias("end"), "qname", "flag", "mapq", "cigar", "seq", "qual")
     right = variants.select("sample", alleles.norm_chrom(F.col("chrom")).alias("chrom"), F.col("pos").alias("start"), (F.col("pos") + F.char_length("ref") - 1).alias("end"), "ref", "alt")
-    both = joins.range_join(left, right, ["sample", "chrom"], width, pad=pad)
-    rows = both.select(F.col("l.sample").alias("sample"), F.col("l.chrom").alias("chrom"), F.col("r.start").alias("pos"), "r.ref", "r.alt", "l.qname", "l.flag", F.col("l.start").alias("read_start"), "l.cigar", "l.mapq", "l.seq", "l.qual")
+    both = joins.range_join(left, right, ["chrom"] if across else ["sample", "chrom"], width, pad=pad)
+    rows = both.select(F.col("r.sample").alias("sample"), F.col("l.sample").alias("bam"), F.col("l.chrom").alias("chrom"), F.col("r.start").alias("pos"), "r.ref", "r.alt", "l.qname", "l.flag", F.col("l.start").alias("read_start"), "l.cigar", "l.mapq", "l.seq", "l.qual")
     fields = {c: F.col(c) for c in ("flag", "mapq", "cigar", "seq", "qual", "pos", "ref", "alt")}
     rows = cigar.with_read_class(rows, "k", start=F.col("read_start"), min_mapq=min_mapq, min_baseq=min_baseq, **fields)
-    rows = rows.select("*", "k.class", "k.reason").drop("k", "mapq", "seq", "qual")
-    return rows.dropDuplicates(["sample", "chrom", "pos", "ref", "alt", "qname", "flag", "read_start", "cigar"])
+    rows = rows.select("*", "k.class", "k.reason").drop("k", "seq", "qual", *([] if across else ["bam", "mapq"]))
+    return rows.dropDuplicates(["sample", *(["bam"] if across else []), "chrom", "pos", "ref", "alt", "qname", "flag", "read_start", "cigar"])
 
 
 ALLELE = ["sample", "chrom", "pos", "ref", "alt"]
@@ -220,3 +221,78 @@ def last_rows(df: DataFrame, key: list[str], order: str) -> DataFrame:
     """The last row of each key: what a later row replaces goes."""
     w = Window.partitionBy(*key).orderBy(F.desc(order))
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+
+
+def stage_qc(records: DataFrame, keys: list[str]) -> DataFrame:
+    """keys with alleles, kinds, Ti/Tv, contigs, multiallelic alleles, filter counts of records (chrom, ref, alt with ``,``, filter)."""
+    rows = alleles.split_multiallelic(records.withColumn("n_alts", F.size(F.split("alt", ","))))
+    n = aggregates.stage_summary(rows, keys)
+    multi = rows.groupBy(*keys).agg(F.count_if(F.col("n_alts") > 1).alias("multiallelic"))
+    return n.join(multi, keys, "left").join(reports.filter_counts(records, keys), keys, "left")
+
+
+def proteogenomic_evidence(events: DataFrame, annotations: DataFrame, mapping: DataFrame, spectra: DataFrame, junctions: DataFrame, **options) -> dict[str, DataFrame]:
+    """variants and junctions with their evidence, and unique variants over samples; see reports."""
+    rows = reports.variant_evidence_rows(events, annotations, mapping, spectra, **options)
+    key = ["chrom", "pos", "ref", "alt", "altered"]
+    unique = rows.filter(F.size("altered") > 0).groupBy(*key).agg(F.array_sort(F.collect_set("sample")).alias("samples"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("genes")))).alias("genes"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("direct_samples")))).alias("direct_samples"))
+    return {"variants": rows, "junctions": reports.junction_evidence_rows(junctions, spectra), "unique": unique}
+
+
+def proteogenomic_read_validation(reads: DataFrame, variants: DataFrame, features: DataFrame, *, pad: int = 150, width: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """Per event and sample of reads a summary, with the number of features (chrom, start, end, gene) at the event; and the reads.
+
+    Every sample's reads around every event are looked at.
+    """
+    rows = classified_reads(reads, variants, pad=pad, width=width, across=True).withColumn("base_quality", F.lit(None).cast("double"))
+    keys = [*ALLELE, "bam"]
+    places = variants.select(alleles.norm_chrom(F.col("chrom")).alias("chrom"), F.col("pos").alias("start"), F.col("pos").alias("end")).distinct()
+    known = features.select(alleles.norm_chrom(F.col("chrom")).alias("chrom"), "start", "end", "gene")
+    at = joins.range_join(places, known, ["chrom"], width).groupBy(F.col("l.chrom").alias("chrom"), F.col("l.start").alias("pos")).agg(F.count("*").alias("features"))
+    n = reports.event_read_summary(rows, keys).join(at, ["chrom", "pos"], "left").na.fill(0, ["features"])
+    return n, rows
+
+
+def splice_junction_validation(proteins: DataFrame, exons: DataFrame, peptides: DataFrame, *, min_anchor: int = 2) -> dict[str, DataFrame]:
+    """junctions that peptides span, one choice for each peptide and transcript, and proteins without a model, with the reason.
+
+    proteins: header, sequence; exons: transcript, chrom, strand, start, end;
+    peptides: peptide.  A header's transcript and reading frame say where the
+    protein begins in the transcript.
+    """
+    parsed = proteins.withColumn("h", sequences.splice_header(F.col("header"))).select("header", "sequence", "h.*")
+    known = exons.select("transcript").distinct().withColumn("_known", F.lit(True))
+    parsed = parsed.join(known, "transcript", "left")
+    reason = F.when(F.coalesce("transcript", F.lit("")) == "", "NO_TRANSCRIPT_IN_HEADER").when(F.col("orf_start").isNull(), "NO_READING_FRAME").when(F.col("_known").isNull(), "TRANSCRIPT_NOT_IN_MODEL")
+    parsed = parsed.withColumn("reason", reason)
+    usable = parsed.filter("reason IS NULL").withColumn("text_id", F.xxhash64("header", "sequence"))
+    wanted = peptides.select(F.col("peptide").alias("pattern_id"), F.col("peptide").alias("pattern")).distinct()
+    hits = joins.pattern_join(wanted, usable.select("text_id", F.col("sequence").alias("text")))
+    hits = hits.join(usable.select("text_id", "transcript", "orf_start"), "text_id").select(F.col("pattern_id").alias("peptide"), "transcript", "orf_start", F.col("position").alias("start"))
+    spans = windows.junction_phase(windows.exon_junctions(exons, by_strand=True).withColumnsRenamed({"start": "intron_start", "end": "intron_end"}), hits, min_anchor)
+    choice = windows.occurrence_choice(spans.withColumn("validated", F.col("spanning")), ["peptide", "transcript"])
+    return {"spans": spans, "choice": choice, "unresolved": parsed.filter("reason IS NOT NULL").select("header", "reason")}
+
+
+def ms_hypotheses(variants: DataFrame, junctions: DataFrame, integrated: DataFrame, failures: DataFrame) -> DataFrame:
+    """hypothesis, conclusion over evidence tables: altered peptides, novel ones, sample-matched spectra, strict rows, junctions.
+
+    variants and junctions as of proteogenomic_evidence; integrated: strict;
+    failures: the failed tasks, of which there must be none.
+    """
+    matched = F.col("classes.sample_specific")
+    measures = [
+        (variants, {"events": F.count("*"), "altered": F.count_if(F.size("altered") > 0), "novel": F.count_if(F.size("both_absent") > 0), "matched": F.count_if(matched)}),
+        (junctions, {"junctions": F.count("*"), "novel_junctions": F.count_if(F.col("reference_status") == "novel"), "matched_junctions": F.count_if(matched)}),
+        (integrated, {"rows": F.count("*"), "strict": F.count_if("strict")}),
+        (failures, {"failed": F.count("*")}),
+    ]
+    claims = [
+        ("ALTERED_PEPTIDES", F.col("altered") > 0, (F.col("events") > 0) & (F.col("failed") == 0)),
+        ("NOVEL_PEPTIDES", F.col("novel") > 0, F.col("events") > 0),
+        ("SAMPLE_MATCHED_SPECTRA", F.col("matched") > 0, F.col("events") > 0),
+        ("STRICT_EVENTS", F.col("strict") > 0, F.col("rows") > 0),
+        ("NOVEL_JUNCTIONS", F.col("novel_junctions") > 0, F.col("junctions") > 0),
+        ("SAMPLE_MATCHED_JUNCTIONS", F.col("matched_junctions") > 0, F.col("junctions") > 0),
+    ]
+    return reports.hypotheses(measures, claims)

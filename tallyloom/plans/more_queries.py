@@ -381,7 +381,7 @@ def fasta_stats(spark, sf_dir):
 
 @query("""
 WITH r AS (SELECT l_partkey AS event, l_returnflag AS c, (CASE WHEN l_suppkey % 2 = 0 THEN 16 ELSE 0 END) AS s, l_linenumber % 3 AS m, floor(l_tax * 1000)::INT AS q, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_quantity END AS b FROM lineitem)
-SELECT event, count_if(c = 'N')::BIGINT AS ref, count_if(c = 'A')::BIGINT AS alt, count_if(c = 'R')::BIGINT AS other, count_if(c = 'A' AND s = 0)::BIGINT AS alt_forward, count_if(c = 'A' AND s = 16)::BIGINT AS alt_reverse, count_if(c = 'A' AND m = 1)::BIGINT AS alt_r1, count_if(c = 'A' AND m = 2)::BIGINT AS alt_r2,
+SELECT event, count_if(c = 'N')::BIGINT AS ref_reads, count_if(c = 'A')::BIGINT AS alt_reads, count_if(c = 'R')::BIGINT AS other_reads, count_if(c = 'A' AND s = 0)::BIGINT AS alt_forward, count_if(c = 'A' AND s = 16)::BIGINT AS alt_reverse, count_if(c = 'A' AND m = 1)::BIGINT AS alt_r1, count_if(c = 'A' AND m = 2)::BIGINT AS alt_r2,
   round(avg(q), 6) AS mean_mapq, round(avg(b), 6) AS mean_base_quality, round(CASE WHEN count_if(c <> 'R') > 0 THEN count_if(c = 'A')::DOUBLE / count_if(c <> 'R') END, 6) AS alt_fraction FROM r GROUP BY 1
 """)
 def event_read_summary(spark, sf_dir):
@@ -393,7 +393,7 @@ def event_read_summary(spark, sf_dir):
 
 @query("""
 WITH r AS (SELECT DISTINCT l_partkey AS event, 'q' || (l_orderkey % 50) AS q, l_linenumber % 2 AS flag, l_suppkey % 3 AS read_start, first(l_returnflag) OVER (PARTITION BY l_partkey, l_orderkey % 50, l_linenumber % 2, l_suppkey % 3 ORDER BY l_returnflag) AS c FROM lineitem)
-SELECT event, count_if(c = 'A')::BIGINT AS alt, count_if(c = 'N')::BIGINT AS ref, count_if(c IN ('A', 'N'))::BIGINT AS depth, round(CASE WHEN count_if(c IN ('A', 'N')) > 0 THEN count_if(c = 'A')::DOUBLE / count_if(c IN ('A', 'N')) END, 6) AS alt_fraction, 'REF:' || count_if(c = 'N') || ';ALT:' || count_if(c = 'A') AS alleles FROM r GROUP BY 1
+SELECT event, count_if(c = 'A')::BIGINT AS alt_reads, count_if(c = 'N')::BIGINT AS ref_reads, count_if(c IN ('A', 'N'))::BIGINT AS depth, round(CASE WHEN count_if(c IN ('A', 'N')) > 0 THEN count_if(c = 'A')::DOUBLE / count_if(c IN ('A', 'N')) END, 6) AS alt_fraction, 'REF:' || count_if(c = 'N') || ';ALT:' || count_if(c = 'A') AS alleles FROM r GROUP BY 1
 """)
 def allele_read_counts(spark, sf_dir):
     key = ["event", "qname", "flag", "read_start"]

@@ -183,3 +183,39 @@ def event_tables(spark: SparkSession, paths: list[str], columns: dict[str, list[
     if out is None:
         raise ValueError("no table of events")
     return out
+
+
+def discover(spark: SparkSession, paths: Paths, extensions: list[str]) -> DataFrame:
+    """path, size of all files below the paths that end in one of the extensions, once each, in natural order; none is an error."""
+    from tallyloom.functions.units import natural_key
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path", F.col("length").alias("size"))
+    ends = F.array(*[F.lit(x.lower()) for x in extensions])
+    found = files.filter(F.exists(ends, lambda e: F.endswith(F.lower(F.col("path")), e))).distinct()
+    if found.isEmpty():
+        raise ValueError(f"no file ends in {extensions}")
+    return found.orderBy(natural_key(F.col("path")))
+
+
+def raw_file_map(rows: DataFrame, samples: DataFrame) -> DataFrame:
+    """raw_file, sample of a table that names them by any alias; a gap, an unknown sample or two samples of one file are errors."""
+    from tallyloom.functions.units import raw_file_name
+
+    df = coalesce_columns(coalesce_columns(rows, ["raw_file", "Raw file", "raw", "filename"], "_raw"), ["sample", "rna_sample"], "_sample")
+    raw, sample = F.coalesce(raw_file_name(F.trim("_raw")), F.lit("")), F.coalesce(F.trim("_sample"), F.lit(""))
+    named = df.select(raw.alias("raw_file"), sample.alias("sample")).distinct().join(samples.select("sample", F.lit(True).alias("_known")).distinct(), "sample", "left")
+    n = named.groupBy("raw_file").agg(F.min("sample").alias("sample"), F.max("sample").alias("_other"), F.bool_and(F.coalesce("_known", F.lit(False))).alias("_known"))
+
+    def wrong(what: str) -> Column:
+        return F.raise_error(F.concat(F.lit(what + ": "), F.col("raw_file"), F.lit(" "), F.col("sample")))
+
+    checked = F.when((F.col("raw_file") == "") | (F.col("sample") == ""), wrong("incomplete row")).when(F.col("sample") != F.col("_other"), wrong("several samples")).when(~F.col("_known"), wrong("unknown sample")).otherwise(F.col("sample"))
+    return n.select("raw_file", checked.alias("sample"))
+
+
+def vcf_headers(spark: SparkSession, paths: Paths) -> DataFrame:
+    """file, has_format, has_columns, rows, status (PASS or FAIL): whether a file's header states its format and columns."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file"))
+    columns = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"
+    n = lines.groupBy("file").agg(F.bool_or(F.startswith("value", F.lit("##fileformat=VCF"))).alias("has_format"), F.bool_or(F.startswith("value", F.lit(columns))).alias("has_columns"), F.count_if(~F.startswith("value", F.lit("#")) & (F.col("value") != "")).alias("rows"))
+    return n.withColumn("status", F.when(F.col("has_format") & F.col("has_columns"), "PASS").otherwise("FAIL"))

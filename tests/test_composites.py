@@ -1,5 +1,7 @@
 """Composite jobs on a few rows with known results."""
 
+from tallyloom.operators import windows
+from tallyloom.plans import composites
 from tallyloom.plans import composites as c
 
 READ = "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, seq string, qual string"
@@ -87,3 +89,58 @@ def test_peptides_and_catalogue(spark):
     assert (rows["rna_variant"].start0, rows["rna_variant"].end0) == (9, 11)
     assert (rows["fusion"].start0, rows["fusion"].chrom2, rows["fusion"].start2_0) == (199, "4", 299)
     assert (rows["splice_junction"].start0, rows["splice_junction"].end0) == (99, 150)
+
+
+def test_stage_qc(spark):
+    rows = [("s", "1", "A", "G,*", "PASS"), ("s", "1", "AC", "A", "LOW"), ("s", "2", "C", "A,T", "PASS"), ("t", "1", "A", "AT", ".")]
+    got = {r.sample: r for r in composites.stage_qc(spark.createDataFrame(rows, "sample string, chrom string, ref string, alt string, filter string"), ["sample"]).collect()}
+    s = got["s"]
+    assert (s.alleles, s.snvs, s.indels, s.transitions, s.transversions, s.multiallelic, s.filters) == (4, 3, 1, 2, 1, 3, "LOW:1;PASS:2")
+    assert got["t"].multiallelic == 0 and got["t"].ti_tv is None
+
+
+def test_reads_of_all_samples_around_an_event(spark):
+    reads = [("S1", "q1", 0, "chr1", 100, 60, "10M", "AAAAACAAAA", "I" * 10), ("S2", "q2", 16 + 64, "chr1", 100, 60, "10M", "AAAAAGAAAA", "I" * 10), ("S2", "q3", 0, "chr1", 200, 60, "10M", "A" * 10, "I" * 10), ("S2", "q4", 0, "chr2", 100, 60, "10M", "A" * 10, "I" * 10)]
+    df = spark.createDataFrame(reads, "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, seq string, qual string")
+    variants = spark.createDataFrame([("S1", "1", 105, "C", "G")], "sample string, chrom string, pos long, ref string, alt string")
+    features = spark.createDataFrame([("chr1", 1, 105, "g"), ("1", 106, 200, "h")], "chrom string, start long, end long, gene string")
+    n, rows = composites.proteogenomic_read_validation(df, variants, features)
+    got = {r.bam: r for r in n.collect()}
+    assert (got["S1"].ref_reads, got["S1"].alt_reads, got["S1"].other_reads, got["S1"].features) == (1, 0, 0, 1)
+    assert (got["S2"].ref_reads, got["S2"].alt_reads, got["S2"].other_reads, got["S2"].alt_reverse, got["S2"].alt_r1, got["S2"].alt_fraction) == (0, 1, 1, 1, 1, 1.0)
+    assert rows.count() == 3
+
+
+def test_splice_junctions_by_strand(spark):
+    exons = [("ENST1", "1", "+", 101, 130), ("ENST1", "1", "+", 201, 260), ("ENST2", "1", "-", 101, 130), ("ENST2", "1", "-", 201, 260)]
+    df = spark.createDataFrame(exons, "transcript string, chrom string, strand string, start long, end long")
+    got = {r.transcript: (r.start, r.end, r.offset) for r in windows.exon_junctions(df, by_strand=True).collect()}
+    assert got == {"ENST1": (131, 200, 30), "ENST2": (131, 200, 60)}
+    proteins = [("S|SPLICE|ENST1:1-90(+)", "MKTAYIAKQRQISFVKSHFSRQLEERLGLI"), ("S|SPLICE|ENST9:1-90(+)", "MMMM"), ("nothing", "MKT"), ("S|SPLICE|ENST1", "MKT")]
+    out = composites.splice_junction_validation(spark.createDataFrame(proteins, "header string, sequence string"), df, spark.createDataFrame([("KQRQISF",), ("MKTA",), ("QISF",)], "peptide string"))
+    spans = {r.peptide: (r.left, r.right, r.spanning) for r in out["spans"].collect()}
+    # the junction lies behind residue 10
+    assert spans == {"KQRQISF": (3, 4, True), "QISF": (0, 4, False)}
+    assert {r.peptide: r.choice for r in out["choice"].collect()} == {"KQRQISF": "VALIDATED", "QISF": "FIRST"}
+    assert {r.header: r.reason for r in out["unresolved"].collect()} == {"S|SPLICE|ENST9:1-90(+)": "TRANSCRIPT_NOT_IN_MODEL", "nothing": "NO_TRANSCRIPT_IN_HEADER", "S|SPLICE|ENST1": "NO_READING_FRAME"}
+
+
+def test_evidence_and_hypotheses(spark):
+    events = spark.createDataFrame([("A", "1", 5, "C", "T", "ENST1.2", "g", "missense_variant"), ("B", "1", 5, "C", "T", "ENST1.3", "g", "missense_variant"), ("A", "2", 9, "C", "T", "ENST2", "h", "x")], "sample string, chrom string, pos long, ref string, alt string, transcript string, gene string, consequence string")
+    notes = [("A", "1", 5, "C", "T", "ENST1", "p", "h1", "PEPTK", "VALIDATED_SUBSTITUTION", 2, "no"), ("A", "1", 5, "C", "G", "ENST1.9", "p", "h2", "other", "PEPTIDE_NOT_FOUND", 2, "no")]
+    annotations = spark.createDataFrame(notes, "sample string, chrom string, pos long, ref string, alt string, transcript string, hgvsp string, header string, sequence string, status string, msms int, in_reference string")
+    mapping = spark.createDataFrame([("PEPTK", True)], "sequence string, canonical_absent boolean")
+    spectra = spark.createDataFrame([("PEPTK", "A", True, True), ("PEPTK", "B", False, True), ("JUNC", "B", True, True)], "sequence string, sample string, direct boolean, clean boolean")
+    junctions = spark.createDataFrame([("junc", "j1", "novel", 4, 2, 3, "B", True), ("junc", "j1", "novel", 4, 2, 3, "A", True), ("junc", "j2", "novel", 4, 2, 3, "A", False)], "sequence string, junction string, reference_status string, support int, left int, right int, sample string, spanning boolean")
+    out = composites.proteogenomic_evidence(events, annotations, mapping, spectra, junctions, min_length=5)
+    got = {(r.sample, r.pos): r for r in out["variants"].collect()}
+    a = got["A", 5]
+    assert (a.all_peptides, a.altered, a.search_consistent, a.both_absent, a.category, a.classes.sample_specific, a.only_transferred) == (["OTHER", "PEPTK"], ["PEPTK"], ["PEPTK"], ["PEPTK"], "ALTERED_RESIDUE", True, ["B"])
+    assert got["B", 5].category == got["A", 9].category == "RNA_ONLY"
+    strict = composites.proteogenomic_evidence(events, annotations, mapping, spectra, junctions, min_length=9, match_alt=True)["variants"].filter("sample = 'A' AND pos = 5").first()
+    assert strict.all_peptides == ["PEPTK"] and strict.search_consistent == []
+    j = out["junctions"].collect()
+    assert len(j) == 1 and j[0].source_samples == ["A", "B"] and j[0].classes.rna_and_direct == ["B"]
+    integrated, failures = spark.createDataFrame([(True,)], "strict boolean"), spark.createDataFrame([(1,)], "task_id int")
+    h = {r.hypothesis: r.conclusion for r in composites.ms_hypotheses(out["variants"], out["junctions"], integrated, failures).collect()}
+    assert h == {"ALTERED_PEPTIDES": "NOT_EVALUABLE", "NOVEL_PEPTIDES": "SUPPORTED", "SAMPLE_MATCHED_SPECTRA": "SUPPORTED", "STRICT_EVENTS": "SUPPORTED", "NOVEL_JUNCTIONS": "SUPPORTED", "SAMPLE_MATCHED_JUNCTIONS": "SUPPORTED"}

@@ -98,3 +98,28 @@ def test_streams_agree_with_tables(spark, tmp_path):
     got = {(str(r.window_start), r.process): (r.tasks, r.max_seconds, r.failures) for r in spark.read.parquet(str(tmp_path / "roll")).collect()}
     want = {(str(r.window_start), r.process): (r.tasks, r.max_seconds, r.failures) for r in jobs.rollup(df).collect()}
     assert {k: v for k, v in got.items() if k[0] < "2024-02"} == want
+
+
+def test_discovery_maps_and_headers(spark, tmp_path):
+    for name, text in (("a10.vcf", "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n1\t5\n"), ("b/a2.vcf", "1\t5\n"), ("c.txt", "x\n")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    assert [r.path.rsplit("/", 1)[-1] for r in readers.discover(spark, str(tmp_path), [".VCF"]).collect()] == ["a10.vcf", "a2.vcf"]
+    with pytest.raises(ValueError):
+        readers.discover(spark, str(tmp_path), [".bam"])
+    got = {r.file: (r.rows, r.status) for r in readers.vcf_headers(spark, [str(tmp_path / "a10.vcf"), str(tmp_path / "b/a2.vcf")]).collect()}
+    assert got == {"a10.vcf": (1, "PASS"), "a2.vcf": (1, "FAIL")}
+    samples = spark.createDataFrame([("S1",), ("S2",)], "sample string")
+    rows = spark.createDataFrame([("D:\\x\\r1.raw", "S1"), ("r1.raw", "S1"), ("r2", "S2")], ["Raw file", "rna_sample"])
+    assert {r.raw_file: r["sample"] for r in readers.raw_file_map(rows, samples).collect()} == {"r1": "S1", "r2": "S2"}
+    for bad in (("r1", "S2"), ("r3", "S9"), ("r3", None)):
+        with pytest.raises(Exception):
+            readers.raw_file_map(rows.union(spark.createDataFrame([bad], "a string, b string")), samples).collect()
+
+
+def test_letters_before_the_first_header(spark, tmp_path):
+    (tmp_path / "good.fa").write_text(">h1\r\nMK\r\nTA\r\n>h2\r\nAA\r\n")
+    assert sorted((r.header, r.sequence) for r in readers.fasta(spark, str(tmp_path / "good.fa")).collect()) == [("h1", "MKTA"), ("h2", "AA")]
+    (tmp_path / "bad.fa").write_text("MKT\n>h1\nAA\n")
+    with pytest.raises(Exception, match="before the first header"):
+        readers.fasta(spark, str(tmp_path / "bad.fa")).collect()

@@ -406,7 +406,7 @@ def allele_read_counts(spark, sf_dir):
 
 @query("""
 WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey % 500 + 100 AS pos, l_linenumber + 10 AS a, l_quantity::INT AS b, l_linenumber % 3 AS m, l_suppkey % 2 AS s FROM lineitem)
-SELECT l_orderkey, l_linenumber, CASE m WHEN 1 THEN 'R1' WHEN 2 THEN 'R2' ELSE 'UNPAIRED' END AS mate, CASE WHEN s = 0 THEN '-' ELSE '+' END AS strand, CASE WHEN 16 <= a THEN 16 WHEN 16 > a + 20 AND 16 <= a + 20 + b THEN 16 - 20 END AS read_position, pos + a + 20 + b - 1 AS alignment_end FROM r
+SELECT l_orderkey, l_linenumber, CASE m WHEN 1 THEN 'R1' WHEN 2 THEN 'R2' ELSE 'UNPAIRED' END AS mate, CASE WHEN s = 0 THEN '-' ELSE '+' END AS strand, (CASE WHEN 16 <= a THEN 16 WHEN 16 > a + 20 AND 16 <= a + 20 + b THEN 16 - 20 END)::BIGINT AS read_position, pos + a + 20 + b - 1 AS alignment_end FROM r
 """)
 def read_provenance(spark, sf_dir):
     mate = F.when(_c("l_linenumber") % 3 == 1, 64).when(_c("l_linenumber") % 3 == 2, 128).otherwise(0)

@@ -17,22 +17,41 @@ from tallyloom.llm.registry import vocabulary
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents in which no learned language is found."""
+    """Without documents that no learned language fits: texts without a letter, null ones too, and unusual letters.
+
+    Every row is judged by its own text, so repeated rows, null doc_ids and ids
+    of several texts stay or go alike.  Without a label every row stays; an
+    empty table stays empty.  All columns are kept, whatever their names.
+    """
     return language_crf.keep_written(spark, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: similarity 0.8 or more on five-word shingles."""
+    """One document of each group of near-duplicates: similarity 0.8 or more on five-word shingles.
+
+    That of the smallest doc_id stays, of equal ones any one row.  Every row is a
+    document of its own, so a doc_id loses no text that no other row stands
+    for.  Null doc_ids, null texts and texts without a word all stay; an empty
+    table stays empty.
+    """
     return near_dups.deduplicate(spark, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold an item of the benchmark, within its edit budget."""
+    """Without documents that hold an item of the benchmark, within its edit budget.
+
+    Null and empty texts and items hold nothing and are found nowhere.  Repeated
+    rows and null doc_ids go by their texts; without items every row stays.
+    """
     return decontaminate.without_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the documents' pieces in sequences of 2048 tokens."""
+    """Places of the documents' pieces in sequences of 2048 tokens.
+
+    A null or empty text is one piece, its end id.  Every row has its own place,
+    repeated ones too; an empty table gives none.
+    """
     return packing.pack_documents(spark, docs, vocabulary("byte_bpe_50k.json"))
 
 

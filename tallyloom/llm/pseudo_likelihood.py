@@ -22,15 +22,17 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Work
+from .tokens import in_runs
 
 #: Words that the network tells apart, by frequency; the rest share BUCKETS ids by hash.
 GROUPS = 32
@@ -40,56 +42,51 @@ SIDE = 2
 DIM = 16
 #: Words that pass through the network at once.
 BATCH = 20_000
-#: Words of the texts whose bucketed words are looked up together.
-BLOCK_WORDS = 1_000_000
 #: Into how many groups the tasks' results are averaged, level after level.
 FANS = (1024, 32, 1)
 
 
-def words_of(text: str | None) -> list[str]:
-    return text.lower().split() if text else []
-
-
-def _bucket(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+@dataclass
+class Words:
+    """The words of a run of texts: distinct ones, the place of each word among them, and how many each text has."""
 
+    distinct: list[str]
+    at: np.ndarray
+    lengths: np.ndarray
 
-class _Ids(dict):
-    """Ids of words, with as many bucketed words as fit."""
 
-    def __missing__(self, word: str) -> int:
-        found = SIZE - BUCKETS + _bucket(word)
-        if len(self) < 200_000:
-            self[word] = found
-        return found
+def split_words(texts: pa.Array) -> Words:
+    """In lower case, cut at Unicode white space; a null text has none."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    begins = np.asarray(lists.offsets)
+    flat = lists.values.slice(begins[0], begins[-1] - begins[0]).dictionary_encode()
+    distinct, at = flat.dictionary.to_pylist(), np.asarray(flat.indices)
+    full = np.array([bool(x) for x in distinct], bool)[at]  # white space at an end leaves an empty word
+    upto = np.concatenate([[0], np.cumsum(full)])[begins - begins[0]]
+    return Words(distinct, at[full], np.diff(upto))
 
 
-class _Numbers(dict):
-    """Numbers of words in the order in which they are first asked for."""
+def words_of(text: str | None) -> list[str]:
+    found = split_words(pa.array([text], pa.string()))
+    return [found.distinct[i] for i in found.at]
 
-    def __init__(self):
-        super().__init__()
-        self.names: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self.names)
-        self.names.append(word)
-        return n
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 @dataclass
 class Vocabulary:
     ids: dict[str, int]
-    _known: _Ids | None = field(default=None, init=False, repr=False, compare=False)
 
-    def encode_words(self, words: list[str]) -> np.ndarray:
+    def of(self, words: Words) -> np.ndarray:
         """Ids; words that the network doesn't tell apart share the last BUCKETS ids."""
-        if self._known is None:
-            self._known = _Ids(self.ids)
-        return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
+        known, low = self.ids.get, SIZE - BUCKETS
+        each = np.fromiter((low + _bucket(x) if (i := known(x)) is None else i for x in words.distinct), np.int64, len(words.distinct))
+        return each[words.at]
 
     def encode(self, text: str | None) -> np.ndarray:
-        return self.encode_words(words_of(text))
+        return self.of(split_words(pa.array([text], pa.string())))
 
 
 @dataclass
@@ -195,8 +192,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     for batch in batches:
-        for x in batch.column(0):
-            counts.update(words_of(x.as_py()))
+        for a, b in in_runs(batch.column(0)):
+            words = split_words(batch.column(0).slice(a, b - a))
+            n = np.bincount(words.at, minlength=len(words.distinct))
+            counts.update({x: k for x, k in zip(words.distinct, n.tolist(), strict=True) if k})
             if len(counts) > 300_000:
                 yield out()
                 counts.clear()
@@ -221,25 +220,14 @@ def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> tuple[Vocab
     return Vocabulary({r.word: i for i, r in enumerate(top)}), counts
 
 
-def _runs(vocab: Vocabulary, column: pa.Array, rare: Callable[[list[str], np.ndarray], None] | None = None) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Rows, their ids end to end and their lengths, some BATCH words at a time; a longer text comes alone.
-
-    rare is told the words and ids of each row, in order.
-    """
-    rows, parts, size = [], [], 0
-    for i, x in enumerate(column):
-        words = words_of(x.as_py())
-        ids = vocab.encode_words(words)
-        if rare:
-            rare(words, ids)
-        if size and size + len(ids) > BATCH:
-            yield rows, np.concatenate(parts), np.array([len(p) for p in parts])
-            rows, parts, size = [], [], 0
-        rows.append(i)
-        parts.append(ids)
-        size += len(ids)
-    if rows:
-        yield rows, np.concatenate(parts), np.array([len(p) for p in parts])
+def _parts(lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Rows and words (first and behind the last of each) of stretches of some BATCH words; a longer text comes alone."""
+    ends = np.cumsum(lengths)
+    row, word = 0, 0
+    while row < len(lengths):
+        to = max(row + 1, int(np.searchsorted(ends, word + BATCH, side="right")))
+        yield row, to, word, int(ends[to - 1])
+        row, word = to, int(ends[to - 1])
 
 
 def targets(lengths: np.ndarray, turn: int, rounds: int, mask_one_in: int) -> Iterator[np.ndarray]:
@@ -287,13 +275,17 @@ def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, counts: np.nd
                 waiting[k], sizes[k] = [], 0
 
             for batch in batches:
-                for _, ids, lengths in _runs(vocab, batch.column(0)):
-                    around = windows(ids, lengths)
-                    for k, chosen in enumerate(targets(lengths, turn, rounds, mask_one_in)):
-                        waiting[k].append((around[chosen], ids[chosen]))
-                        sizes[k] += len(chosen)
-                        if sizes[k] >= 4096:
-                            follow(k)
+                for a, b in in_runs(batch.column(0)):
+                    words = split_words(batch.column(0).slice(a, b - a))
+                    every = vocab.of(words)
+                    for row, to, first, last in _parts(words.lengths):
+                        ids, lengths = every[first:last], words.lengths[row:to]
+                        around = windows(ids, lengths)
+                        for k, chosen in enumerate(targets(lengths, turn, rounds, mask_one_in)):
+                            waiting[k].append((around[chosen], ids[chosen]))
+                            sizes[k] += len(chosen)
+                            if sizes[k] >= 4096:
+                                follow(k)
             for k, size in enumerate(sizes):
                 if size:
                     follow(k)
@@ -340,46 +332,39 @@ def score(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, net: Network,
 
         vocab, flat, logs = shared.value
         net = Network(flat)
-        # a block is a run of rows that number their bucketed words together
-        block, seen, numbers = TaskContext.get().partitionId() << 32, 0, _Numbers()
+        # a block is a run of rows; its first row carries the block's distinct bucketed words, the rows their numbers
+        block = (TaskContext.get().partitionId() << 32) - 1
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            blocks, begins, fresh, rare = [], [], [], []
-
-            def bucketed(words, ids, blocks=blocks, begins=begins, fresh=fresh, rare=rare):
-                nonlocal block, seen, numbers
-                if seen >= BLOCK_WORDS:
-                    block, seen, numbers = block + 1, 0, _Numbers()
-                seen += len(words)
-                begins.append(len(numbers.names))
-                own = [words[i] for i in np.flatnonzero(ids >= low).tolist()]
-                rare.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
-                blocks.append(block)
-                fresh.append(numbers.names[begins[-1] :])
-
-            for rows, ids, lengths in _runs(vocab, batch.column(1), bucketed if whole else None):
-                n[rows] = lengths
-                if not len(ids):
+            for a, b in in_runs(batch.column(1)):
+                block += 1
+                doc_ids, words = batch.column(0).slice(a, b - a), split_words(batch.column(1).slice(a, b - a))
+                ids, total = vocab.of(words), np.zeros(b - a)
+                for row, to, first, last in _parts(words.lengths):
+                    if first == last:
+                        continue
+                    own, lengths = ids[first:last], words.lengths[row:to]
+                    around = windows(own, lengths)
+                    found = np.concatenate([log_probs(net, around[k : k + BATCH], own[k : k + BATCH]) for k in range(0, len(own), BATCH)]).astype(np.float64)
+                    if whole:
+                        found[own >= low] -= logs[own[own >= low] - low]
+                    full = np.flatnonzero(lengths > 0)
+                    total[row + full] = np.add.reduceat(found, (np.cumsum(lengths) - lengths)[full])
+                if not whole:
+                    yield _scores(doc_ids, words.lengths, total)
                     continue
-                around = windows(ids, lengths)
-                found = np.concatenate([log_probs(net, around[k : k + BATCH], ids[k : k + BATCH]) for k in range(0, len(ids), BATCH)]).astype(np.float64)
-                if whole:
-                    found[ids >= low] -= logs[ids[ids >= low] - low]
-                full = lengths > 0
-                total[np.array(rows)[full]] = np.add.reduceat(found, (np.cumsum(lengths) - lengths)[full])
-            if not whole:
-                yield _scores(batch.column(0), n, total)
-                continue
-            ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(blocks, pa.int64()), pa.array(begins, pa.int32()), pa.array(fresh, pa.list_(pa.string())), lists], names=["doc_id", "n_words", "log_prob", "block", "begin", "fresh", "rare"])
+                rare = ids >= low
+                used, numbers = np.unique(words.at[rare], return_inverse=True)
+                ends = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], np.cumsum(words.lengths)])]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32()))
+                fresh = [[words.distinct[i] for i in used]] + [None] * (b - a - 1)
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(words.lengths, pa.int64()), pa.array(total), pa.array([block] * (b - a), pa.int64()), pa.array(fresh, pa.list_(pa.string())), lists], names=["doc_id", "n_words", "log_prob", "block", "fresh", "rare"])
 
     schema = "doc_id long, n_words long, log_prob double"
     docs = docs.select("doc_id", "text")
     if not whole:
         return docs.mapInArrow(run, schema + ", mean_log_prob double")
-    rows = Work(spark, "pseudo-likelihood").save(docs.mapInArrow(run, schema + ", block long, begin int, fresh array<string>, rare array<int>"), "rows")
-    words = rows.select("block", "begin", F.posexplode("fresh").alias("at", "word")).select(F.col("block").alias("of"), (F.col("begin") + F.col("at")).alias("number"), "word")
+    rows = Work(spark, "pseudo-likelihood").save(docs.mapInArrow(run, schema + ", block long, fresh array<string>, rare array<int>"), "rows")
+    words = rows.select(F.col("block").alias("of"), F.posexplode("fresh").alias("number", "word"))
     # a word seen once has log n = 0
     found = words.join(counted.filter("n > 1").hint("merge"), "word").select("of", "number", F.log("n").alias("log_n"))
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -106,6 +107,36 @@ def test_wrapped_notices_and_every_license(spark):
     assert [x[:2] for x in license_scan.scan_text("Some title\n\n" + text)] == [(2, "mit-text")]
 
 
+def longest_common(a, b):
+    """Length of the longest common subsequence, word by word."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_planted_wordings_against_all_templates_without_gate_and_compression():
+    """Wrapped anywhere, with a few words of long ones lost: the longest template whose words stand in the text in order."""
+    rng = random.Random(21)
+    names = [(n, license_scan._WORD.findall(license_scan.wording(t))) for n, t in license_scan.TEMPLATES]
+    filler = ["zorva", "plim", "quatto", "brensh", "ulda", "kwimp", "sorrel", "dantu"]
+    for k, (_, template) in enumerate(license_scan.TEMPLATES):
+        words = template.replace("#", "2.0").split()
+        if len(words) > 40:
+            words = [w for w in words if rng.random() > 0.03]
+        words = [rng.choice(filler) for _ in range(rng.randrange(30))] + words + [rng.choice(filler) for _ in range(rng.randrange(30))]
+        text = "".join(w + ("\n# " if k % 2 and rng.random() < 0.15 else "\n" if rng.random() < 0.1 else " ") for w in words)
+        own = license_scan._WORD.findall(license_scan.wording(text))
+        fits = [(len(t), n) for n, t in names if longest_common(t, own) >= (0.9 if len(t) >= 12 else 1) * len(t)]
+        found = license_scan.scan_text(text)
+        assert found and max(found, key=lambda x: x[4])[1] == max(fits)[1], (template[:40], found, fits)
+    assert license_scan.scan_text(" ".join(rng.choice(filler) for _ in range(400))) == []
+    # no template is behind the gate
+    assert all(license_scan._KEY.search(t) for _, t in license_scan.TEMPLATES)
+
+
 # --- scoring
 
 
@@ -184,8 +215,16 @@ def test_training_learns_both_sides(spark):
     assert by[1] > flat[1] + 0.5 and by[1] > by[2] + 0.5
 
 
-def test_every_word_is_scored_itself(spark, monkeypatch):
-    monkeypatch.setattr(pl, "BLOCK_WORDS", 300)
+def test_split_words():
+    texts = pa.array(["  A b\n\tb ", None, "", " ", "É é x", "one"])
+    words = pl.split_words(texts)
+    assert words.lengths.tolist() == [3, 0, 0, 0, 3, 1]
+    assert [words.distinct[i] for i in words.at] == ["a", "b", "b", "é", "é", "x", "one"]
+    assert pl.words_of(" A  b ") == ["a", "b"] and pl.words_of(None) == []
+    assert list(pl._parts(np.array([0, 0]))) and [r for a, b, _, _ in pl._parts(np.array([3, pl.BATCH, 2, 0, 5])) for r in range(a, b)] == list(range(5))
+
+
+def test_every_word_is_scored_itself(spark):
     rng = random.Random(12)
     rows = [(i, " ".join(f"w{min(rng.randrange(3000), rng.randrange(3000))}" for _ in range(rng.randrange(0, 90)))) for i in range(120)]
     rows += [(500, "w1 onlyhere w2"), (501, "w1 thrice w2"), (501, "w1 thrice w2"), (None, "thrice ünïcode"), (502, None), (503, " ")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, pseudo_likelihood, rans_files, unigram_counts
+from . import chat, content_sort, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, pseudo_likelihood, rans_files, unigram_counts
 from .common import Work, table
 
 
@@ -64,6 +64,10 @@ def op10_odd_sketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(spark, table(spark, sf_dir, "documents"), near_dups.Similarity(width=2, percent=80))
 
 
+def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +81,7 @@ QUERIES = {
         op8_best_fit_packing,
         op9_rans_token_files,
         op10_odd_sketch_near_dups,
+        op13_content_sort,
     )
 }
 
@@ -126,5 +131,12 @@ SELECT conv_id, count(*) AS n_turns,
   sum({_ESCAPED.format("role")} + length(role) - length(replace(role, ':', '')) + {_ESCAPED.format("text")} + 14)::BIGINT AS formatted_chars,
   count(*) FILTER (role = 'assistant') AS n_examples
 FROM turns GROUP BY conv_id
+""",
+    "op13_content_sort": r"""
+WITH rows AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content, length(coalesce(text, '')) AS chars FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY content)::BIGINT AS group_size, row_number() OVER best = 1 AS kept, sha256(content) AS text_sha256
+FROM rows WINDOW best AS (PARTITION BY content ORDER BY chars DESC, doc_id NULLS LAST)
 """,
 }

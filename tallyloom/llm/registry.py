@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, pseudo_likelihood, rans_files, unigram_counts
+from . import chat, content_sort, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, pseudo_likelihood, rans_files, turn_repair, unigram_counts
 from .common import Work, table
 
 
@@ -64,6 +64,11 @@ def op10_odd_sketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(spark, table(spark, sf_dir, "documents"), near_dups.Similarity(width=2, percent=80))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.repaired_digests(turns, *turn_repair.repair(spark, turn_repair.damage(turns)))
+
+
 def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
         op8_best_fit_packing,
         op9_rans_token_files,
         op10_odd_sketch_near_dups,
+        op11_turn_repair,
         op13_content_sort,
     )
 }
@@ -89,6 +95,17 @@ _ESCAPED = "(length({0}) + length({0}) - length(replace({0}, '\\', '')) + length
 
 _CODE = " + ".join(f"(CASE WHEN embedding[{i + 1}] > 0 AND NOT isnan(embedding[{i + 1}]) THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END)" for i in range(64))
 
+
+def _moved(stays: str, comes: str, initial: str) -> str:
+    """SQL: the least (cost, audit) of a state after a row: deleted, kept or given another role."""
+    options = [f"{{'c': {stays}.c + 2, 'a': {stays}.a || 'D'}}"] if stays != "NULL" else []
+    if comes != "NULL":
+        options += [f"CASE WHEN NOT goes AND initial = {initial} THEN {{'c': {comes}.c + more, 'a': {comes}.a || 'K'}} END"]
+        if initial != "'s'":
+            options += [f"CASE WHEN NOT goes THEN {{'c': {comes}.c + 1 + more, 'a': {comes}.a || 'R'}} END"]
+    return f"list_min(list_filter([{', '.join(options)}], lambda x: x.c IS NOT NULL))"
+
+
 ORACLE = {
     "op6_hamming_topk": f"""
 WITH codes AS (SELECT DISTINCT vec_id AS id, {_CODE} AS code FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) >= 64),
@@ -131,6 +148,73 @@ SELECT conv_id, count(*) AS n_turns,
   sum({_ESCAPED.format("role")} + length(role) - length(replace(role, ':', '')) + {_ESCAPED.format("text")} + 14)::BIGINT AS formatted_chars,
   count(*) FILTER (role = 'assistant') AS n_examples
 FROM turns GROUP BY conv_id
+""",
+    "op11_turn_repair": rf"""
+WITH RECURSIVE crcs AS (
+  SELECT list(list_reduce(range(8), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) AS r(i)
+),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT) AS bytes
+  FROM conversations
+),
+kinds AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS kind FROM keyed, crcs
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS time,
+    CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'x' END AS initial, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS said
+  FROM damaged
+),
+faulty AS (
+  SELECT *, CASE WHEN said = '' THEN 'blank' WHEN time > 1 THEN 'duplicate' WHEN said[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial AS pair
+  FROM placed
+),
+closed AS MATERIALIZED (
+  SELECT conv_id, k, initial, fault IN ('blank', 'duplicate') AS goes, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM faulty
+),
+search(conv_id, k, s0, s1, s2, s3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0, 'a': ''}}, NULL::STRUCT(c INTEGER, a VARCHAR), {{'c': 5, 'a': 'I'}}, {{'c': 10, 'a': 'II'}} FROM closed
+  UNION ALL
+  SELECT conv_id, k, n0, n1, list_min(list_filter([n2, {{'c': n0.c + 5, 'a': n0.a || 'I'}}, {{'c': n1.c + 5, 'a': n1.a || 'I'}}, {{'c': n3.c + 5, 'a': n3.a || 'I'}}], lambda x: x.c IS NOT NULL)),
+    list_min(list_filter([n3, {{'c': n2.c + 5, 'a': n2.a || 'I'}}, {{'c': n0.c + 10, 'a': n0.a || 'II'}}, {{'c': n1.c + 10, 'a': n1.a || 'II'}}], lambda x: x.c IS NOT NULL))
+  FROM (
+    SELECT r.conv_id, r.k, {_moved("s0", "NULL", "NULL")} AS n0, {_moved("s1", "s0", "'s'")} AS n1,
+      list_min(list_filter([{_moved("s2", "s0", "'u'")}, {_moved("NULL", "s1", "'u'")}, {_moved("NULL", "s3", "'u'")}], lambda x: x.c IS NOT NULL)) AS n2, {_moved("s3", "s2", "'a'")} AS n3
+    FROM search s JOIN closed r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.k = s.k + 1
+  )
+),
+ended AS (
+  SELECT conv_id, list_min(list_filter([s0, s3], lambda x: x.c IS NOT NULL)) AS best FROM search QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1
+),
+letters AS (
+  SELECT conv_id, i, best.a[i] AS letter FROM ended, unnest(range(1, length(best.a) + 1)) AS u(i)
+),
+numbered AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY i) AS k, sum((letter <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY i) AS j FROM letters
+),
+finals AS (
+  SELECT l.conv_id, l.i, l.j, l.letter, f.role, CASE WHEN l.letter = 'I' THEN '' ELSE f.text END AS text,
+    first_value(l.letter = 'K' AND f.initial = 's') OVER (PARTITION BY l.conv_id ORDER BY l.j)::INT AS shift
+  FROM numbered l LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.k = l.k WHERE l.letter <> 'D'
+),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (j - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS said FROM finals GROUP BY conv_id
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+)
+SELECT i.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate, coalesce(c.truncated, 0)::BIGINT AS truncated,
+  coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(e.best.c, 0)::BIGINT AS cost, coalesce(e.best.a, '') AS audit, sha256(coalesce(t.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM i.conv_id
 """,
     "op13_content_sort": r"""
 WITH rows AS (

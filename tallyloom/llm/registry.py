@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content_sort, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, pseudo_likelihood, rans_files, turn_repair, unigram_counts
+from . import chat, content_sort, decontaminate, hamming_topk, language_crf, license_scan, near_dups, packing, phrase_mining, pseudo_likelihood, rans_files, turn_repair, unigram_counts
 from .common import Work, table
 
 
@@ -69,6 +69,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repaired_digests(turns, *turn_repair.repair(spark, turn_repair.damage(turns)))
 
 
+def op12_phrase_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES = {
         op9_rans_token_files,
         op10_odd_sketch_near_dups,
         op11_turn_repair,
+        op12_phrase_filters,
         op13_content_sort,
     )
 }
@@ -165,10 +170,13 @@ damaged AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
   FROM kinds, range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)
 ),
+timed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS time FROM damaged
+),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS time,
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time) AS k,
     CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'x' END AS initial, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS said
-  FROM damaged
+  FROM timed
 ),
 faulty AS (
   SELECT *, CASE WHEN said = '' THEN 'blank' WHEN time > 1 THEN 'duplicate' WHEN said[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
@@ -215,6 +223,32 @@ SELECT i.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIG
   coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(e.best.c, 0)::BIGINT AS cost, coalesce(e.best.a, '') AS audit, sha256(coalesce(t.said, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM i.conv_id
+""",
+    "op12_phrase_filters": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+f AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g, count(*) AS f
+  FROM lists, (VALUES (1), (2), (3), (4)) AS v(m), unnest(range(1, len(w) - m + 2)) AS u(i) GROUP BY ALL
+),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, g, f AS a, string_split(g, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+longer AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS g, max(a) AS longer FROM candidates, (VALUES (2), (3)) AS v(s), unnest(range(1, m - s + 2)) AS u(i) WHERE s < m GROUP BY ALL
+),
+cuts AS (
+  SELECT c.lang, c.g, c.a, k, l.f AS l, r.f AS r, ((2000000 * c.a::HUGEINT) // (l.f::HUGEINT + r.f::HUGEINT))::BIGINT AS score
+  FROM candidates c, unnest(range(1, m)) AS u(k)
+  JOIN f l ON l.lang = c.lang AND l.g = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = c.lang AND r.g = array_to_string(w[k + 1:], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.g) AS rank, b.g AS phrase, b.a, b.l, b.r, b.score
+  FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.g = b.g WHERE o.longer IS NULL OR 100 * o.longer < 80 * b.a
+)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
 """,
     "op13_content_sort": r"""
 WITH rows AS (

@@ -56,6 +56,12 @@ def common_prefix(a: Column, b: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), most), F.lit(0), lambda best, n: F.when(F.left(a, n) == F.left(b, n), n).otherwise(best))
 
 
+def annotated_forms(ref: Column, alt: Column) -> Column:
+    """Array of the ways in which an annotation may name an allele: as it is, without the base it shares with ref, ``-`` if nothing is left."""
+    rest = F.substring(alt, 2, 1 << 30)
+    return F.when(F.left(ref, F.lit(1)) == F.left(alt, F.lit(1)), F.array(alt, F.when(rest == "", "-").otherwise(rest))).otherwise(F.array(alt))
+
+
 def trim_allele(df: DataFrame, pos: str = "pos", ref: str = "ref", alt: str = "alt") -> DataFrame:
     """df with pos, ref and alt trimmed: the common suffix first, then the prefix, at least one base kept in each."""
     r, a = F.col(ref), F.col(alt)

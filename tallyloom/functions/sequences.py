@@ -106,6 +106,24 @@ def variant_header(header: Column) -> Column:
     )
 
 
+def allele_token(header: Column) -> Column:
+    """Struct of a header's first word ``sample|var_._chrom.pos.ref.alt_transcript_product``; null fields without one."""
+    token = F.regexp_extract(header, r"^\s*(\S+)", 1)
+    parts = r"(?i)^([^|]+)\|var_\.?_([^._]+)\.(\d+)\.([^._]+)\.([^_]+)_(ENST\d+(?:\.\d+)?)_(\d+)$"
+    field = lambda k: F.when(F.regexp_extract(token, parts, 1) != "", F.regexp_extract(token, parts, k))
+    return F.struct(
+        token.alias("token"),
+        field(1).alias("sample"),
+        F.regexp_replace(field(2), "^chr", "").alias("chrom"),
+        field(3).try_cast("long").alias("pos"),
+        field(4).alias("ref"),
+        field(5).alias("alt"),
+        field(6).alias("transcript"),
+        strip_version(field(6)).alias("transcript_base"),
+        field(7).alias("product"),
+    )
+
+
 def splice_header(header: Column) -> Column:
     """Struct of a splice protein's header: transcript and its reading frame ``start-end(strand)``."""
     frame = r":(\d+)-(\d+)\(([+-])\)"

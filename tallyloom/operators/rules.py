@@ -165,24 +165,18 @@ def mismatch_diagnosis(chrom: Column, ref: Column, alt: Column, ref_codon: Colum
     )
 
 
-def peptide_event(peptide: Column, start: Column, alt_seq: Column, ref_seq: Column, position: tuple[Column, Column], amino_acids: Column, consequence: Column) -> Column:
+def peptide_event(peptide: Column, start: Column, alt_seq: Column, ref_seq: Column, position: tuple[Column, Column], amino_acids: Column, consequence: Column, changes: Column) -> Column:
     """Whether a peptide proves a protein change: the status of a decision list.
 
-    start is 0-based, negative if the peptide isn't in the changed protein.
-    The changed span is what common prefix and suffix leave; a change of
-    several separate spans counts as one from the first to the last.
+    start is 0-based, negative if the peptide isn't in the changed protein;
+    changes are the changed spans of alt_seq (see annotation.changed_spans).
     """
-    from tallyloom.functions.alleles import common_prefix, common_suffix
-
     ref_aa, alt_aa = F.split_part(F.upper(amino_acids), F.lit("/"), F.lit(1)), F.split_part(F.upper(amino_acids), F.lit("/"), F.lit(2))
     terms = F.split(F.coalesce(consequence, F.lit("")), "&")
     first, last = position
     end = start + F.char_length(peptide)
-    pre = common_prefix(ref_seq, alt_seq)
-    room = F.least(F.char_length(ref_seq), F.char_length(alt_seq)) - pre
-    post = F.least(common_suffix(ref_seq, alt_seq), room)
-    low, high = pre, F.char_length(alt_seq) - post
-    overlap = (ref_seq != alt_seq) & F.when(low == high, (start < low) & (end > low)).otherwise((start < high) & (end > low))
+    # an empty span, where letters are missing, has to lie inside the peptide
+    overlap = F.exists(F.coalesce(changes, F.array().cast("array<struct<low:int,high:int>>")), lambda c: (start < c["high"]) & (end > c["low"]))
     single = F.array_contains(terms, "missense_variant") & (first == last) & (F.char_length(ref_aa) == 1) & (F.char_length(alt_aa) == 1)
 
     def at(seq: Column, i: Column) -> Column:

@@ -1,6 +1,6 @@
 """The library's queries and their SQL."""
 
-from . import more_queries  # registers its queries
+from . import annotation_queries, more_queries  # register their queries
 from .queries import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "more_queries"]
+__all__ = ["ORACLE", "QUERIES", "annotation_queries", "more_queries"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.sequences import protein_position
-from tallyloom.operators import aggregates, enrichment, evidence, joins, quality, rules, sets, windows
+from tallyloom.operators import aggregates, annotation, enrichment, evidence, joins, quality, rules, sets, windows
 
 
 def plan(df):
@@ -101,7 +101,8 @@ def test_peptide_event(spark):
         ("QQ", 3, "MKTQQQ", "MKTQQ", "4", "A/X", "x", "PEPTIDE_DOES_NOT_COVER_EVENT"),
     ]
     df = spark.createDataFrame([(i, *r[:7]) for i, r in enumerate(rows)], "i int, peptide string, start int, alt_seq string, ref_seq string, pos string, aa string, term string")
-    got = {r.i: r.s for r in df.select("i", rules.peptide_event(F.col("peptide"), F.col("start"), F.col("alt_seq"), F.col("ref_seq"), protein_position(F.col("pos")), F.col("aa"), F.col("term")).alias("s")).collect()}
+    df = annotation.changed_spans(df)
+    got = {r.i: r.s for r in df.select("i", rules.peptide_event(F.col("peptide"), F.col("start"), F.col("alt_seq"), F.col("ref_seq"), protein_position(F.col("pos")), F.col("aa"), F.col("term"), F.col("changes")).alias("s")).collect()}
     assert got == {i: r[7] for i, r in enumerate(rows)}
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.lineage import checkpointed
+from tallyloom.functions.lineage import checkpointed, ranged
 
 #: Lanczos' approximation of the gamma function for g = 7.
 LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7)
@@ -50,14 +50,9 @@ def hypergeom_tail(k: Column, drawn: Column, marked: Column, total: Column, empt
     return F.when(low > high, F.lit(empty)).otherwise(F.least(F.lit(1.0), tail))
 
 
-def ranges(value: str, parts: int = 1024) -> Column:
-    """The number of the range of a value, in the values' order: from 0 to parts, finest around 0."""
-    return F.floor((F.atan(value) / math.pi + 0.5) * parts)
-
-
 def cumulated(df: DataFrame, value: str) -> DataFrame:
-    """value, n (rows of it), below (rows of a lesser one), total: by ranges of the value, so that no task sorts all of them."""
-    each = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).withColumn("_range", ranges(value))
+    """value, n (rows of it), below (rows of a lesser one), total, _range: by ranges of the distinct values, so that no task sorts all of them."""
+    each = ranged(df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")), [F.asc(value)])
     sums = each.groupBy("_range").agg(F.sum("n").alias("_sum"))
     # one row for each range
     order = Window.orderBy("_range")

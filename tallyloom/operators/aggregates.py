@@ -164,11 +164,13 @@ def gene_read_counts(blocks: DataFrame, exons: DataFrame, width: int = 1024) ->
     blocks: chrom, start, end, fragment of primary reads' aligned blocks;
     exons: chrom, start, end, gene.
     """
+    from tallyloom.functions.lineage import checkpointed
+
     from .joins import range_join
 
     # blocks at one place hit the same genes; of a fragment's genes the least and the greatest tell whether there is one
     places = blocks.select("chrom", "start", "end").distinct()
-    hits = range_join(places, exons.select("chrom", "start", "end", "gene"), ["chrom"], width)
+    hits = range_join(checkpointed(places), exons.select("chrom", "start", "end", "gene"), ["chrom"], width)
     genes = hits.groupBy(*[F.col(f"l.{c}").alias(c) for c in ("chrom", "start", "end")]).agg(F.min("r.gene").alias("_low"), F.max("r.gene").alias("_high"))
     each = blocks.join(genes, ["chrom", "start", "end"]).groupBy("fragment").agg(F.min("_low").alias("gene"), F.max("_high").alias("_high"))
     return each.filter(F.col("gene") == F.col("_high")).groupBy("gene").agg(F.count("*").alias("n"))

@@ -10,46 +10,91 @@ from pyspark.sql import functions as F
 from tallyloom.functions.lineage import checkpointed
 
 
-def range_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, *, pad: int = 0, how: str = "overlap") -> DataFrame:
+#: Rows of one side that a bin may have before it is split, and the bins that are split at most; any other has at most one row in so many.
+BIN_ROWS = 20_000
+SPLIT_BINS = 10_000
+#: A level's bins are so many times as wide as those of the one below, and the most bins that an interval is dealt to on its own level.
+LEVEL, MOST_BINS = 32, 16
+
+
+def range_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, *, pad: int = 0, how: str = "overlap", adaptive: bool = True) -> DataFrame:
     """Pairs of rows with equal keys whose intervals overlap, as structs l and r.
 
     Both sides have the keys and ``start`` and ``end`` (closed, whole numbers).
     Intervals are dealt to bins of width; a pair is kept in the bin where the
-    later one begins, so none comes twice.  pad widens the left intervals.
-    how: overlap, or within (the right one inside the left one).  Null bounds
-    match nothing.
+    later one begins, so none comes twice.  Intervals longer than MOST_BINS bins
+    stand on coarser levels, and a pair is made on the coarser of its two.
+    Where a bin has more than BIN_ROWS rows of a side, that side's rows are
+    dealt to parts and the other's are given to each.  Without adaptive, bins
+    aren't counted before and there is one level.  pad widens the left
+    intervals.  how: overlap, or within (the right one inside the left one).
+    Null bounds match nothing.
     """
 
-    def dealt(df: DataFrame, name: str, by: int) -> DataFrame:
+    def bounded(df: DataFrame, name: str, by: int) -> DataFrame:
         low, high = F.col("start") - by, F.col("end") + by
         rows = df.filter(F.col("start") <= F.col("end")).select(F.struct("*").alias(name), *[F.col(k).alias(f"_{k}") for k in keys], low.alias(f"{name}_low"), high.alias(f"{name}_high"))
-        return rows.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(f"{name}_low") / width), F.floor(F.col(f"{name}_high") / width))))
-
-    both = dealt(left, "l", pad).join(dealt(right, "r", 0), [f"_{k}" for k in keys] + ["_bin"])
-    meet = (F.col("l_low") <= F.col("r_high")) & (F.col("r_low") <= F.col("l_high")) & (F.col("_bin") == F.floor(F.greatest("l_low", "r_low") / width))
+        bins = (F.col(f"{name}_high") - F.col(f"{name}_low")) / (width * MOST_BINS)
+        level = F.when(bins <= 1, 0).otherwise(F.ceil(F.log(bins) / F.log(F.lit(float(LEVEL)))))
+        return rows.withColumn(f"{name}_level", level.cast("int") if adaptive else F.lit(0))
+
+    def dealt(df: DataFrame, name: str, levels: list[int]) -> DataFrame:
+        """Rows at their own level, or at each coarser one of the other side's."""
+        at = F.array_distinct(F.transform(F.array(*[F.lit(x) for x in levels]), lambda x: F.greatest(x, F.col(f"{name}_level"))))
+        rows = df.withColumn("_level", F.explode(at) if adaptive else F.lit(0))
+        size = F.lit(width) * F.pow(F.lit(LEVEL), F.col("_level")).cast("long")
+        return rows.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(f"{name}_low") / size), F.floor(F.col(f"{name}_high") / size))))
+
+    by = [*[f"_{k}" for k in keys], "_level", "_bin"]
+    a, b = bounded(left, "l", pad), bounded(right, "r", 0)
+    if adaptive:
+        sides = [sorted(r[0] for r in x.select(f"{n}_level").distinct().collect()) for x, n in ((a, "l"), (b, "r"))]  # a handful of levels
+        a, b = dealt(a, "l", sides[1] or [0]), dealt(b, "r", sides[0] or [0])
+        counts = a.select(*by, F.lit(1).alias("_l"), F.lit(0).alias("_r")).union(b.select(*by, F.lit(0), F.lit(1))).groupBy(*by).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+        # bins with rows of one side alone make no pair
+        hot = counts.filter((F.greatest("_l", "_r") > BIN_ROWS) & (F.least("_l", "_r") > 0)).orderBy(F.desc(F.greatest("_l", "_r")), *by).limit(SPLIT_BINS)
+        parts = {n: F.when(F.col(f"_{n}") > BIN_ROWS, F.ceil(F.col(f"_{n}") / BIN_ROWS)).otherwise(1).cast("int").alias(f"_parts_{n}") for n in "lr"}
+        hot = checkpointed(hot.select(*by, *parts.values()))
+        a, b = split(a, hot, by, "l", "r"), split(b, hot, by, "r", "l")
+        by = [*by, "_part_l", "_part_r"]
+    else:
+        a, b = dealt(a, "l", [0]), dealt(b, "r", [0])
+    both = a.join(b, by)
+    size = F.lit(width) * F.pow(F.lit(LEVEL), F.col("_level")).cast("long")
+    meet = (F.col("l_low") <= F.col("r_high")) & (F.col("r_low") <= F.col("l_high")) & (F.col("_bin") == F.floor(F.greatest("l_low", "r_low") / size))
+    meet = meet & (F.col("_level") == F.greatest("l_level", "r_level"))
     if how == "within":
         meet = meet & (F.col("r_low") >= F.col("l_low")) & (F.col("r_high") <= F.col("l_high"))
     return both.filter(meet).select("l", "r")
 
 
+def split(rows: DataFrame, hot: DataFrame, by: list[str], own: str, other: str) -> DataFrame:
+    """rows with _part_l and _part_r: in bins of hot, one of their own side's parts and every one of the other's."""
+    rows = rows.join(F.broadcast(hot), by, "left")
+    mine = F.coalesce(F.pmod(F.xxhash64(own), F.col(f"_parts_{own}")).cast("int"), F.lit(0))
+    every = F.sequence(F.lit(0), F.coalesce(F.col(f"_parts_{other}"), F.lit(1)) - 1)
+    return rows.withColumns({f"_part_{own}": mine, f"_part_{other}": F.explode(every)}).drop("_parts_l", "_parts_r")
+
+
 #: Letters of patterns of which every task can hold an automaton, about 100 bytes each; more are joined.
 AUTOMATON_LETTERS = 4_000_000
 
 
-def pattern_join(patterns: DataFrame, texts: DataFrame, *, seed: int = 7, window: int = 256, first: bool = False, automaton_letters: int | None = None) -> DataFrame:
+def pattern_join(patterns: DataFrame, texts: DataFrame, *, seed: int = 7, first: bool = False, automaton_letters: int | None = None) -> DataFrame:
     """pattern_id, text_id, position (from 1) of every occurrence, or the first in each text.
 
     patterns: pattern_id, pattern; texts: text_id, text.  Patterns that
     together are short are sought with one automaton a task, in whole texts; others
-    by an equi-join of their first letters with those at each place, whose hits
-    are verified.  Null or empty patterns match nothing.
+    by their first letters: a bitmap of these drops nearly all places of the
+    texts, the rest is joined and verified.  A text_id is one text's.  Null or
+    empty patterns match nothing.
     """
     patterns = patterns.select("pattern_id", "pattern").filter(F.char_length("pattern") > 0)
-    bounds = patterns.agg(F.coalesce(F.sum(F.char_length("pattern")), F.lit(0)), F.coalesce(F.max(F.char_length("pattern")), F.lit(1)), F.collect_set(F.least(F.char_length("pattern"), F.lit(seed)))).first()
+    bounds = patterns.agg(F.coalesce(F.sum(F.char_length("pattern")), F.lit(0)), F.collect_set(F.least(F.char_length("pattern"), F.lit(seed)))).first()
     if bounds[0] <= (AUTOMATON_LETTERS if automaton_letters is None else automaton_letters):
         hits = _by_automaton(patterns, texts, first)
     else:
-        hits = _by_seeds(patterns, texts, seed, window, bounds[1], sorted(bounds[2]) or [seed])
+        hits = _by_seeds(patterns, texts, seed, sorted(bounds[1]) or [seed])
     return hits.groupBy("pattern_id", "text_id").agg(F.min("position").alias("position")) if first else hits
 
 
@@ -90,17 +135,72 @@ def _by_automaton(patterns: DataFrame, texts: DataFrame, first: bool) -> DataFra
     return hits.join(numbered, "_number").select("pattern_id", "text_id", "position")
 
 
-def _by_seeds(patterns: DataFrame, texts: DataFrame, seed: int, window: int, longest: int, sizes: list[int]) -> DataFrame:
-    """Only a place and its seed travel; the letters are read again where a seed was met."""
-    starts = F.sequence(F.lit(0), F.greatest(F.char_length("text") - 1, F.lit(0)), F.lit(window))
-    cut = texts.filter("text <> ''").select("text_id", F.explode(starts).alias("_from"), "text")
-    cut = cut.select("text_id", "_from", F.substring(F.col("text"), F.col("_from") + 1, F.lit(window + longest - 1)).alias("_part"))
+#: Bits of the patterns' seeds that every task holds for one seed length, at most: 16 MB; more patterns let more places through.
+SEED_BITS = 1 << 27
+
+
+def _hashes(text: str, size: int):
+    """Hashes of a text's stretches of size letters, by place."""
+    import numpy as np
+
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(letters) - size + 1
+    found = np.zeros(max(n, 0), np.uint64)
+    for k in range(size if n > 0 else 0):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + letters[k : k + n]
+    found ^= found >> np.uint64(31)
+    return found * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(20)
+
+
+def _by_seeds(patterns: DataFrame, texts: DataFrame, seed: int, sizes: list[int]) -> DataFrame:
+    """Places whose seed is among the patterns' go on; of these the pattern's letters are compared in the text.
+
+    A task knows the seeds by a bitmap for each length, made by aggregation, so
+    patterns pass through neither driver nor task; that of shorter patterns is
+    asked only where there are any.
+    """
+    spark = patterns.sparkSession
     asked = patterns.withColumn("_seed", F.left("pattern", F.lit(seed)))
-    places = cut.select("text_id", "_from", F.explode(F.sequence(F.lit(0), F.least(F.char_length("_part"), F.lit(window)) - 1)).alias("_at"), "_part")
-    seeds = reduce(DataFrame.union, [places.select("text_id", "_from", "_at", F.substring(F.col("_part"), F.col("_at") + 1, F.lit(k)).alias("_seed")) for k in sizes])
-    met = seeds.join(asked, "_seed").select("text_id", "_from", "_at", "pattern_id", "pattern")
-    hits = met.join(cut, ["text_id", "_from"]).filter(F.substring(F.col("_part"), F.col("_at") + 1, F.char_length("pattern")) == F.col("pattern"))
-    return hits.select("pattern_id", "text_id", (F.col("_from") + F.col("_at") + 1).alias("position"))
+    total = asked.agg(F.approx_count_distinct("_seed")).first()[0]
+    bits = min(SEED_BITS, 1 << max(15, (16 * total - 1).bit_length()))
+
+    def hashed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            seeds = batch.column(0).to_pylist()
+            found = [(len(x), int(_hashes(x, len(x))[0] % bits)) for x in seeds]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int64())], ["size", "at"])
+
+    marks = asked.select("_seed").distinct().mapInArrow(hashed, "size int, at long")
+    pages = marks.groupBy("size", F.bitmap_bucket_number(F.col("at") + 1).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("at") + 1)).alias("bits"))
+    shared = spark.sparkContext.broadcast([tuple(r) for r in pages.collect()])  # SEED_BITS for each length at most
+
+    def places(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        known = {k: np.zeros(bits // 8, np.uint8) for k in sizes}
+        for size, page, found in shared.value:
+            at = (page - 1) * len(found)
+            part = np.frombuffer(found, np.uint8)[: bits // 8 - at]
+            known[size][at : at + len(part)] = part
+        for batch in batches:
+            rows, starts, seeds = [], [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                for size in sizes:
+                    at = _hashes(text, size) % np.uint64(bits)
+                    hit = np.flatnonzero(known[size][(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+                    rows += [k] * len(hit)
+                    starts += hit.tolist()
+                    seeds += [text[x : x + size] for x in hit]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(seeds, pa.string())], ["text_id", "_at", "_seed"])
+
+    kind = texts.schema["text_id"].dataType.simpleString()
+    texts = texts.select("text_id", "text").filter("text <> ''")
+    met = texts.mapInArrow(places, f"text_id {kind}, _at int, _seed string").join(asked, "_seed")
+    hits = met.join(texts, "text_id").filter(F.substring(F.col("text"), F.col("_at") + 1, F.char_length("pattern")) == F.col("pattern"))
+    return hits.select("pattern_id", "text_id", (F.col("_at") + 1).alias("position"))
 
 
 def prioritised_join(left: DataFrame, right: DataFrame, attempts: list[list[tuple[str, str]]], key: list[str], order: list[Column] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import alleles, cigar
+from tallyloom.functions.lineage import numbered
 from tallyloom.operators import rules
 
 #: The order of impacts, and ranks of consequences.
@@ -152,13 +153,7 @@ def rank_findings(findings: DataFrame, limit: int = 0) -> DataFrame:
     order = [F.desc(impact_rank(F.col("impact"))), F.desc(strength), F.desc(F.coalesce("alt_fraction", F.lit(-1.0))), F.desc("callable"), F.asc("event")]
     if limit > 0:
         findings = findings.orderBy(*order).limit(limit)
-    # ranks inside an impact, and the impacts by their counts
-    level = impact_rank(F.col("impact"))
-    rows = findings.withColumn("_level", level)
-    inside = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_level").orderBy(*order)))
-    sizes = rows.groupBy("_level").agg(F.count("*").alias("_n"))
-    base = sizes.select("_level", F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_level")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    return inside.join(F.broadcast(base), "_level").withColumn("rank", (F.col("_base") + F.col("_nth")).cast("int")).drop("_level", "_nth", "_base")
+    return numbered(findings, order, "rank").withColumn("rank", F.col("rank").cast("int"))
 
 
 # --- reads around events -------------------------------------------------------

@@ -172,3 +172,75 @@ def test_contract_and_ledger(spark):
     assert {r.process: r.status for r in aggregates.process_contract(tasks, need).collect()} == {"A": "FAIL", "B": "PASS", "C": "FAIL"}
     assert [r.task_id for r in aggregates.failure_ledger(tasks).collect()] == [2]
     assert {(r.problem, r.value) for r in quality.trace_check(tasks).collect()} == {("BAD_STATUS", "FAILED"), ("DUPLICATE_TASK", "3")}
+
+
+def test_range_join_of_a_hot_bin_and_long_intervals(spark, monkeypatch):
+    """Nine tenths of the rows in one bin, and intervals of all lengths."""
+    monkeypatch.setattr(joins, "BIN_ROWS", 50)
+    rng = random.Random(4)
+    a = [("x", i, s := 500 + rng.randrange(8), s + rng.randrange(3)) for i in range(900)] + [(rng.choice("xy"), 1000 + i, s := rng.randrange(2000), s + rng.choice([0, 5, 300, 1500])) for i in range(100)]
+    b = [("x", i, s := 500 + rng.randrange(8), s) for i in range(30)] + [(rng.choice("xy"), 100 + i, s := rng.randrange(2000), s + rng.choice([0, 40, 1999])) for i in range(40)]
+    left, right = (spark.createDataFrame(r, "k string, i int, start long, end long") for r in (a, b))
+    out = joins.range_join(left, right, ["k"], 8, pad=1)
+    got = sorted((r.l.i, r.r.i) for r in out.collect())
+    assert got == sorted((i, j) for k, i, s, e in a for m, j, t, u in b if k == m and s - 1 <= u and t <= e + 1)
+    # no key of the join holds more of a side's rows than twice a part
+    hot = spark.createDataFrame([("x", 0, 62, 10, 1), ("x", 0, 63, 10, 1)], "_k string, _level int, _bin long, _parts_l int, _parts_r int")
+    rows = left.select(F.struct("*").alias("l"), F.col("k").alias("_k"), F.lit(0).alias("_level"), F.floor(F.col("start") / 8).alias("_bin"))
+    dealt = joins.split(rows, hot, ["_k", "_level", "_bin"], "l", "r").groupBy("_k", "_bin", "_part_l").count()
+    assert dealt.agg(F.max("count")).first()[0] < 100
+
+
+def test_ranges_of_values_over_300_powers_of_ten(spark):
+    """No range holds over twice its share of p-values, and ranks and rates are those of a sort."""
+    from tallyloom.functions import stats
+
+    rng = random.Random(2)
+    p = [10.0 ** -rng.uniform(0, 300) for _ in range(4000)] + [0.5] * 50 + [0.0, 1.0, None]
+    df = spark.createDataFrame(list(enumerate(p)), "i int, p double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = [r["count"] for r in stats.cumulated(df, "p").groupBy("_range").count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    held = sorted(x for x in p if x is not None)
+    got = {r.i: (r.fdr, r["rank"]) for r in stats.tied_ranks(stats.bh_fdr(df, "p", []), "p", []).collect()}
+    last = {x: k for k, x in enumerate(held, 1)}
+    least, q = 1.0, {}
+    for x in sorted(last, reverse=True):
+        least = min(least, x * len(held) / last[x])
+        q[x] = least
+    first = {x: k for k, x in reversed(list(enumerate(held, 1)))}
+    for i, x in enumerate(p):
+        if x is None:
+            assert got[i] == (None, None)
+        else:
+            assert got[i][0] == pytest.approx(q[x], rel=1e-12, abs=1e-300) and got[i][1] == (first[x] + last[x]) / 2
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 15])
+def test_pattern_join_beyond_the_automaton(spark, monkeypatch, bits):
+    monkeypatch.setattr(joins, "SEED_BITS", bits)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdeé猫 ") for _ in range(n))
+    texts = [(i, word(rng.randrange(0, 700))) for i in range(30)] + [(50, None), (51, ""), (52, "a" * 300), (53, "ab")]
+    patterns = [(i, texts[i % 30][1][3 : 3 + rng.randrange(1, 30)]) for i in range(60)] + [(90, None), (91, ""), (92, "aaaaaaaaa"), (93, "ab"), (94, "é"), (95, texts[0][1][3:20] + "!")]
+    p, t = spark.createDataFrame(patterns, "pattern_id int, pattern string"), spark.createDataFrame(texts, "text_id int, text string")
+    want = sorted((i, j, k + 1) for i, x in patterns if x for j, y in texts if y for k in range(len(y)) if y.startswith(x, k))
+    assert sorted(map(tuple, joins.pattern_join(p, t, automaton_letters=0).collect())) == want
+    none = joins.pattern_join(p.filter("pattern_id < 0"), t, automaton_letters=-1)
+    assert none.collect() == []
+
+
+def test_seed_bitmap_lets_few_places_through(spark):
+    """Of 200,000 places in the texts about those of true seeds go on, not one a letter."""
+    rng = random.Random(1)
+    texts = [(i, "".join(rng.choice("abcdefghijklmnop") for _ in range(2000))) for i in range(100)]
+    patterns = [(i, texts[i][1][50:80]) for i in range(50)]
+    out = joins.pattern_join(spark.createDataFrame(patterns, "pattern_id int, pattern string"), spark.createDataFrame(texts, "text_id int, text string"), automaton_letters=0)
+    assert out.count() == 50
+    places = out._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in places
+    seeds = {x[:7] for _, x in patterns}
+    known = {int(joins._hashes(x, 7)[0]) % (1 << 15) for x in seeds}
+    through = sum(int(h) % (1 << 15) in known for _, text in texts for h in joins._hashes(text, 7))
+    assert through < 600

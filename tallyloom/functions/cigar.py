@@ -6,6 +6,10 @@ the reference and, from 0, in the read.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -188,3 +192,36 @@ def primary(flag: Column, mapq: Column | None = None, min_mapq: int = 20) -> Col
     """Neither unmapped nor secondary, supplementary, duplicate or failed; and of min_mapq, if given."""
     kept = flag.bitwiseAND(F.lit(sum(mask for mask, _ in EXCLUDING_FLAGS))) == 0
     return kept if mapq is None else kept & (mapq >= min_mapq)
+
+
+#: What says something in a pile-up's text: a hidden sign, an indel's head, a base.
+_PILEUP = re.compile(r"(\^.?)|([+-])([0-9]+)|([.,ACGTNacgtn])", re.DOTALL)
+
+
+def pileup_counts(text: Column, reference: Column) -> Column:
+    """Map of the bases and indels in a pile-up's text to their numbers.
+
+    ``.`` and ``,`` are the reference's base, letters their own; ``+`` or ``-``
+    with a length and so many letters is an indel, named by the reference, its
+    sign and letters.  ``^`` hides the next sign; all others say nothing.  An
+    indel that the text's end cuts counts with the letters that it has.  How far
+    an indel reaches stands in its head, so no pattern finds its end; a
+    vectorised function goes from head to head.
+    """
+
+    def count(texts: pd.Series, references: pd.Series) -> pd.Series:
+        found = []
+        for t, r in zip(texts, references, strict=True):
+            counts: Counter[str] = Counter()
+            at = 0
+            while t and (m := _PILEUP.search(t, at)):
+                at = m.end()
+                if m[2]:
+                    counts[f"{r.upper()}{m[2]}{t[at : at + int(m[3])].upper()}"] += 1
+                    at += int(m[3])
+                elif m[4]:
+                    counts[r.upper() if m[4] in ".," else m[4].upper()] += 1
+            found.append(dict(counts))
+        return pd.Series(found)
+
+    return F.pandas_udf(count, "map<string,int>")(text, reference)

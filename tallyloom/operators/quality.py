@@ -44,6 +44,27 @@ def finding_invariants(findings: DataFrame) -> DataFrame:
     )
 
 
+def region_invariants(findings: DataFrame) -> DataFrame:
+    """Breaches by findings (event_id, event_type, stated_type, regions, context, visual_status) of what their regions have to be."""
+    roles = F.transform("regions", lambda r: r["role"])
+    seen = F.when(F.coalesce("context", F.lit(0)) > 0, "CONTEXT_ALIGNMENTS_AVAILABLE").otherwise("NO_CONTEXT_ALIGNMENTS")
+    wrong = F.exists("regions", lambda r: (F.coalesce(r["chrom"], F.lit("")) == "") | (r["start0"] < 0) | (r["end0"] <= r["start0"]))
+    there = F.size("regions") > 0
+    kind = F.col("event_type")
+    return violations(
+        findings.withColumn("regions", F.coalesce("regions", F.array().cast("array<struct<chrom:string,start0:bigint,end0:bigint,role:string>>"))),
+        "event_id",
+        {
+            "NO_REGIONS": ~there,
+            "EVENT_TYPE": there & ~F.col("stated_type").eqNullSafe(kind),
+            "INVALID_REGION": there & wrong,
+            "FUSION_BREAKPOINTS": there & (kind == "FUSION") & ((F.size("regions") < 2) | (F.array_sort(F.array_distinct(roles)) != F.array(F.lit("BREAKPOINT_1"), F.lit("BREAKPOINT_2")))),
+            "SPLICE_REGIONS": there & (kind == "SPLICE_JUNCTION") & F.exists(roles, lambda r: r != "JUNCTION"),
+            "VISUAL_STATUS": there & kind.isin("FUSION", "SPLICE_JUNCTION", "CONTEXT_EVENT") & ~F.col("visual_status").eqNullSafe(seen),
+        },
+    )
+
+
 def duplicates(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
 
@@ -72,10 +93,45 @@ def rectangular(spark: SparkSession, paths: str | list[str], sep: str = "\t") ->
     return lines.join(head, "file").groupBy("file").agg((F.count("*") - 1).alias("rows"), F.count_if(F.col("w") != F.col("h")).alias("bad_rows"))
 
 
+#: Bytes that a task reads of a file at once, and that tasks are dealt at least.
+BLOCK_BYTES, TASK_BYTES = 1 << 22, 1 << 28
+
+
 def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path, size, modified, sha256 of all files below a folder."""
+    """path, size, modified, sha256 of all files below a folder, of any size.
+
+    Tasks stream the files, dealt by size, so no file is a value.  They open
+    them with Arrow's file systems, which know local and mounted folders and the
+    usual stores; a path of another scheme is read by Spark, up to its limit of
+    2 GB a file.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
-    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    listed = files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    total = listed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*"), F.first("path")).first()
+    if total[2] and total[2].split(":", 1)[0] not in ("file", "s3", "gs", "hdfs", "abfs", "abfss"):
+        return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    tasks = max(1, min(total[1], total[0] // TASK_BYTES + 1))
+
+    def digest(batches):
+        import hashlib
+        import urllib.parse
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for name in batch.column(0).to_pylist():
+                # Arrow wants file:///x with escapes, Spark gives file:/x without
+                store, place = (fs.LocalFileSystem(), "/" + name.split(":", 1)[1].lstrip("/")) if name.startswith("file:") else fs.FileSystem.from_uri(urllib.parse.quote(name, safe=":/@"))
+                sha = hashlib.sha256()
+                with store.open_input_stream(place, buffer_size=0) as stream:
+                    while block := stream.read(BLOCK_BYTES):
+                        sha.update(block)
+                found.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "sha256"])
+
+    return listed.repartition(tasks, "path", "size").mapInArrow(digest, "path string, size long, modified timestamp, sha256 string")
 
 
 def verify_manifest(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -103,10 +159,3 @@ def coverage_diff(declared: DataFrame, observed: DataFrame, required: DataFrame)
     """name, problem: required but not declared, or declared but not observed."""
     a = required.select("name").subtract(declared.select("name")).withColumn("problem", F.lit("NOT_DECLARED"))
     return a.union(declared.select("name").subtract(observed.select("name")).withColumn("problem", F.lit("NOT_OBSERVED")))
-
-
-def output_guard(df: DataFrame, most_rows: int) -> DataFrame:
-    """df, or an error where it has more rows."""
-    if df.limit(most_rows + 1).count() > most_rows:
-        raise ValueError(f"more than {most_rows} rows")
-    return df

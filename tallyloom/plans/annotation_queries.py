@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import annotation
-
-from .queries import query, table
+from tallyloom.functions import cigar
+from tallyloom.operators import annotation, evidence, joins, quality
+from tallyloom.plans.queries import _HITS, _patterns, query, table
 
 #: Protein, variant, its kind and transcript of each part and flag.
 _PROTEINS = """
@@ -116,3 +116,71 @@ def variant_peptides(spark, sf_dir):
 @query(_PEPTIDES + "SELECT DISTINCT peptide, token, 'no matching annotation' AS reason FROM r WHERE noted IS NULL UNION SELECT DISTINCT peptide, 'Q|var_' || k, 'variant header not found' FROM d")
 def unresolved_peptides(spark, sf_dir):
     return _variant_peptides(spark, sf_dir)[1]
+
+
+# --- events ---------------------------------------------------------------------
+
+_REGIONS = """
+WITH e AS (SELECT 'e' || c_custkey AS event, c_nationkey::VARCHAR AS chrom, c_custkey * 10 AS start0, CASE WHEN c_custkey % 7 > 0 THEN c_custkey * 10 + 5 END AS end0,
+  CASE WHEN c_custkey % 2 = 0 THEN 'x' || c_nationkey END AS chrom2, c_custkey * 20 AS start2_0, c_custkey * 20 + CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 1 END AS end2 FROM customer),
+f AS (SELECT o_orderkey AS event_id, o_custkey AS c, ['rna_variant', 'splice_junction', 'x;fusion', 'other'][o_orderkey % 4 + 1] AS classes, o_orderkey % 4 = 0 AS allele, o_orderkey % 5 AS n FROM orders),
+t AS (SELECT *, CASE WHEN allele THEN CASE WHEN n = 0 THEN 'SNV' ELSE 'INSERTION' END ELSE ['SPLICE_JUNCTION', 'FUSION', 'CONTEXT_EVENT'][event_id % 4] END AS event_type FROM f),
+s AS (SELECT event_id, event_type, nth, event, chrom, start0, end0, chrom2, start2_0, end2 FROM t CROSS JOIN (VALUES (0), (1), (2)) AS v(nth) JOIN e ON e.event = 'e' || CASE nth WHEN 0 THEN c WHEN 1 THEN c ELSE c + 1 END),
+r AS (
+  SELECT event_id, event_type, nth * 2 AS place, chrom, start0, end0, CASE WHEN event_type = 'SPLICE_JUNCTION' THEN 'JUNCTION' ELSE 'BREAKPOINT_1' END AS role FROM s WHERE end0 IS NOT NULL
+  UNION ALL SELECT event_id, event_type, nth * 2 + 1, chrom2, start2_0, end2, 'BREAKPOINT_2' FROM s WHERE chrom2 IS NOT NULL),
+g AS (SELECT event_id, event_type, chrom, start0, end0, role, min(place) AS place FROM r WHERE event_type IN ('SPLICE_JUNCTION', 'FUSION', 'CONTEXT_EVENT') GROUP BY ALL
+  UNION ALL SELECT event_id, event_type, '1', greatest(0, event_id - 1), greatest(0, event_id - 1) + 1, 'TARGET_ALLELE', 0 FROM t WHERE allele),
+a AS (SELECT t.event_id, t.event_type, coalesce(string_agg(g.chrom || ':' || g.start0 || '-' || g.end0 || ' ' || g.role, ';' ORDER BY place), '') AS regions, count(g.role) AS n,
+  bool_or(g.end0 <= g.start0) AS bad, array_to_string(list_sort(list(DISTINCT g.role)), ',') AS roles FROM t LEFT JOIN g ON g.event_id = t.event_id GROUP BY ALL)
+"""
+
+
+def _regions(spark, sf_dir):
+    c = F.col("c_custkey")
+    e = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("e"), c).alias("event"), F.col("c_nationkey").cast("string").alias("chrom"), (c * 10).alias("start0"), F.when(c % 7 > 0, c * 10 + 5).alias("end0"),
+        F.when(c % 2 == 0, F.concat(F.lit("x"), "c_nationkey")).alias("chrom2"), (c * 20).alias("start2_0"), (c * 20 + F.when(c % 11 == 0, 0).otherwise(1)).alias("end2"),
+    )
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    classes = F.get(F.array(*[F.lit(x) for x in ("rna_variant", "splice_junction", "x;fusion", "other")]), (k % 4).cast("int"))
+    names = F.concat(F.lit("e"), c, F.lit(";e"), c, F.lit(";e"), c + 1, F.lit(";gone"))
+    f = table(spark, sf_dir, "orders").select(k.alias("event_id"), classes.alias("classes"), names.alias("source_events"), F.lit("1").alias("chrom"), k.alias("pos"), F.when(k % 4 == 0, "A").alias("ref"), F.when(k % 4 == 0, F.when(k % 5 == 0, "T").otherwise("AT")).alias("alt"))
+    return evidence.event_regions(f, e)
+
+
+@query(_REGIONS + "SELECT event_id, event_type, regions FROM a")
+def event_regions(spark, sf_dir):
+    text = F.transform("regions", lambda r: F.concat(r["chrom"], F.lit(":"), r["start0"], F.lit("-"), r["end0"], F.lit(" "), r["role"]))
+    return _regions(spark, sf_dir).select("event_id", "event_type", F.array_join(text, ";").alias("regions"))
+
+
+@query(
+    _REGIONS
+    + """, v AS (SELECT event_id, list_filter([CASE WHEN n = 0 THEN 'NO_REGIONS' END, CASE WHEN n > 0 AND event_id % 13 = 0 AND event_type <> 'SNV' THEN 'EVENT_TYPE' END, CASE WHEN bad THEN 'INVALID_REGION' END,
+  CASE WHEN n > 0 AND event_type = 'FUSION' AND (n < 2 OR roles <> 'BREAKPOINT_1,BREAKPOINT_2') THEN 'FUSION_BREAKPOINTS' END, CASE WHEN event_type = 'SPLICE_JUNCTION' AND contains(roles, 'BREAKPOINT_2') THEN 'SPLICE_REGIONS' END,
+  CASE WHEN n > 0 AND event_type IN ('SPLICE_JUNCTION', 'FUSION', 'CONTEXT_EVENT') AND event_id % 3 > 0 THEN 'VISUAL_STATUS' END], lambda x: x IS NOT NULL) AS v FROM a)
+SELECT event_id, unnest(v) AS violation FROM v"""
+)
+def region_invariants(spark, sf_dir):
+    k = F.col("event_id")
+    stated = F.when(k % 13 == 0, "SNV").otherwise(F.col("event_type"))
+    rows = _regions(spark, sf_dir).withColumns({"stated_type": stated, "context": k % 3, "visual_status": F.lit("NO_CONTEXT_ALIGNMENTS")})
+    return quality.region_invariants(rows)
+
+
+@query(_HITS + "SELECT pattern_id, text_id, position FROM h")
+def pattern_join_seeded(spark, sf_dir):
+    """As pattern_join_all, by the way for patterns beyond an automaton."""
+    return joins.pattern_join(*_patterns(spark, sf_dir), seed=12, automaton_letters=0)
+
+
+@query("""
+WITH l AS (SELECT l_returnflag, l_linenumber AS dots, l_partkey % 3 AS ins, l_suppkey % 4 AS t, l_orderkey % 2 AS del FROM lineitem)
+SELECT l_returnflag, base, sum(n)::BIGINT AS n FROM (SELECT l_returnflag, 'G' AS base, dots AS n FROM l UNION ALL SELECT l_returnflag, 'G+AC', ins FROM l UNION ALL SELECT l_returnflag, 'T', t FROM l UNION ALL SELECT l_returnflag, 'G-NNNNNNNNNNN', del FROM l) GROUP BY ALL
+""")
+def pileup_counts(spark, sf_dir):
+    times = lambda text, n: F.array_join(F.array_repeat(F.lit(text), n.cast("int")), "")
+    text = F.concat(times(".", F.col("l_linenumber")), times("+2aC", F.col("l_partkey") % 3), F.lit("^+"), times("t", F.col("l_suppkey") % 4), times("-11" + "n" * 11, F.col("l_orderkey") % 2), F.lit("$*"))
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", F.explode(cigar.pileup_counts(text, F.lit("g"))).alias("base", "n"))
+    return rows.groupBy("l_returnflag", "base").agg(F.sum("n").alias("n"))

@@ -683,15 +683,18 @@ def complete_audit_codes(spark, sf_dir):
     return composites.complete_audit(_audits(spark, sf_dir))["codes"]
 
 
-@query(_VARIANTS + ", a AS (SELECT p_partkey, sample, chrom, pos, ref, alt FROM v) SELECT sample || '_' || chrom AS place, count(*) AS n, min(pos - 1) AS first0, max(pos - 1 + length(ref)) AS last0 FROM a GROUP BY ALL")
+@query(_VARIANTS + """, f AS (SELECT DISTINCT l_returnflag AS g1, l_linestatus AS g2, 'c' || l_linenumber AS c1, l_suppkey AS p1, 'd' || l_linenumber AS c2, l_partkey AS p2 FROM lineitem),
+j AS (SELECT DISTINCT 'T' || o_custkey AS t, 'c' || o_custkey % 5 AS chrom, o_orderkey AS a, o_orderkey + 100 AS b FROM orders)
+SELECT 'rna_variant' AS class, chrom, count(DISTINCT sample || '_' || pos || '_' || ref || '_' || alt) AS events, min(pos - 1) AS first0, max(pos - 1 + length(ref)) AS last0, NULL::BIGINT AS last2 FROM v GROUP BY 2
+UNION ALL SELECT 'fusion', c1, count(*), min(p1 - 1), max(p1), max(p2) FROM f GROUP BY 2 UNION ALL SELECT 'splice_junction', chrom, count(*), min(a - 1), max(b), NULL FROM j GROUP BY 2
+""")
 def event_catalogue(spark, sf_dir):
     v = _variants(spark, sf_dir).select("sample", "chrom", "pos", "ref", "alt")
-    fusions = spark.createDataFrame([], "gene1 string, gene2 string, breakpoint1 string, breakpoint2 string")
-    junctions = spark.createDataFrame([], "transcript string, chrom string, start long, end long")
-    out = composites.event_catalogue(v, fusions, junctions).withColumn("place", _c("chrom"))
-    samples = v.select(sequences.safe_id(*[_c(c) for c in composites.ALLELE]).alias("event"), "sample").distinct()
-    rows = out.join(samples, "event").select(_text(_c("sample"), "_", _c("chrom")).alias("place"), "start0", "end0")
-    return rows.groupBy("place").agg(F.count("*").alias("n"), F.min("start0").alias("first0"), F.max("end0").alias("last0"))
+    li = table(spark, sf_dir, "lineitem")
+    fusions = li.select(_c("l_returnflag").alias("gene1"), _c("l_linestatus").alias("gene2"), _text("c", _c("l_linenumber"), ":", _c("l_suppkey")).alias("breakpoint1"), _text("d", _c("l_linenumber"), ":", _c("l_partkey")).alias("breakpoint2"))
+    junctions = table(spark, sf_dir, "orders").select(_text("T", _c("o_custkey")).alias("transcript"), _text("c", _c("o_custkey") % 5).alias("chrom"), _c("o_orderkey").alias("start"), (_c("o_orderkey") + 100).alias("end"))
+    out = composites.event_catalogue(v, fusions, junctions)
+    return out.groupBy("class", "chrom").agg(F.countDistinct("event").alias("events"), F.min("start0").alias("first0"), F.max("end0").alias("last0"), F.max("end2").alias("last2"))
 
 
 @query("""

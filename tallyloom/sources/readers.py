@@ -67,20 +67,80 @@ def vcf(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
+#: Files whose headers are given to every task; those of more are joined by a shuffle.
+HEADER_FILES = 10_000
+
+
+def vcf_file_headers(spark: SparkSession, paths: Paths) -> DataFrame:
+    """path, columns (the names of sample columns), fields (the annotation's, null without a header) of each file."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path")).filter(F.startswith("value", F.lit("#")))
+    names = F.split(F.rtrim(F.col("value")), "\t")
+    columns = F.when(F.startswith("value", F.lit("#CHROM\t")), F.slice(names, F.lit(10), F.greatest(F.size(names) - 9, F.lit(0))))
+    stated = F.regexp_extract("value", r"^##INFO=<ID=CSQ.*Format: ([^\">]+)", 1)
+    fields = F.when(stated != "", F.transform(F.split(stated, r"\|"), lambda x: F.trim(x)))
+    return lines.groupBy("path").agg(F.max(columns).alias("columns"), F.max(fields).alias("fields"))
+
+
+def vcf_calls(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Calls of files with different headers: path, sample, column, chrom, pos, id, ref, alt, qual, filter, info, format, fields.
+
+    A row per record and sample column, one with a null column where a file has
+    none.  sample is the file's name up to its first dot, column the sample
+    column's name; fields is the file's own order of annotation fields.  A
+    record with fewer sample values than columns has null formats for the rest.
+    """
+    headers = vcf_file_headers(spark, paths)
+    if headers.limit(HEADER_FILES + 1).count() <= HEADER_FILES:
+        headers = F.broadcast(headers)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path")).filter(~F.col("value").startswith("#") & (F.col("value") != ""))
+    lines = lines.join(headers, "path", "left").withColumn("f", F.split("value", "\t"))
+    columns = F.when(F.size("columns") > 0, F.transform("columns", lambda c, i: F.struct(c.alias("name"), (i + 10).alias("at")))).otherwise(F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(10).alias("at"))))
+    rows = lines.withColumn("c", F.explode(columns))
+    f, value = F.col("f"), F.try_element_at("f", F.col("c.at"))
+    entries = F.transform(F.arrays_zip(F.split(F.try_element_at(f, F.lit(9)), ":").alias("k"), F.split(value, ":").alias("v")), lambda x: F.struct(x["k"].alias("key"), x["v"].alias("value")))
+    return rows.select(
+        "path",
+        F.regexp_extract("path", r"([^/.]+)[^/]*$", 1).alias("sample"),
+        F.col("c.name").alias("column"),
+        f[0].alias("chrom"),
+        f[1].try_cast("long").alias("pos"),
+        f[2].alias("id"),
+        f[3].alias("ref"),
+        f[4].alias("alt"),
+        f[5].try_cast("double").alias("qual"),
+        f[6].alias("filter"),
+        info_map(f[7]).alias("info"),
+        F.when(value.isNotNull(), _last_wins(entries)).alias("format"),
+        "fields",
+    )
+
+
 def csq_fields(spark: SparkSession, path: str) -> list[str]:
-    """The order of annotation fields that a VCF's header states."""
-    found = spark.read.text(path).filter(F.col("value").startswith("##INFO=<ID=CSQ")).select(F.regexp_extract("value", r"Format: ([^\">]+)", 1)).limit(1).collect()
-    if not found or not found[0][0]:
-        raise ValueError(f"{path}: no annotation header")
-    return [x.strip() for x in found[0][0].split("|")]
+    """The order of annotation fields that the headers of a path's files state; other orders among them are an error (see vcf_calls)."""
+    found = vcf_file_headers(spark, path).filter("fields IS NOT NULL").select("fields").distinct().limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path}: " + ("several orders of annotation fields" if found else "no annotation header"))
+    return list(found[0][0])
 
 
-def explode_csq(calls: DataFrame, fields: list[str]) -> DataFrame:
-    """One row per annotation, its fields as a map; missing ones are empty."""
+def explode_csq(calls: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """One row per annotation, its fields as a map; missing ones are empty.
+
+    Without fields every row's own column ``fields`` names them; an annotation
+    in a file that states no order is an error.
+    """
     rows = calls.withColumn("_one", F.explode(F.split(F.try_element_at("info", F.lit("CSQ")), ",")))
+    names = F.array(*[F.lit(x) for x in fields]) if fields else F.coalesce("fields", F.raise_error(F.concat(F.lit("no annotation header: "), F.col("path"))).cast("array<string>"))
     values = F.split("_one", r"\|")
-    padded = F.slice(F.concat(values, F.array_repeat(F.lit(""), len(fields))), 1, len(fields))
-    return rows.withColumn("csq", F.map_from_arrays(F.array(*[F.lit(x) for x in fields]), padded)).drop("_one")
+    padded = F.slice(F.concat(values, F.array_repeat(F.lit(""), F.size(names))), F.lit(1), F.size(names))
+    return rows.filter("_one <> ''").withColumn("csq", F.map_from_arrays(names, padded)).drop("_one")
+
+
+def annotations(calls: DataFrame) -> DataFrame:
+    """vcf_calls as annotation.annotation_index takes them: one row per record's annotation, whatever its file's order of fields."""
+    rows = explode_csq(calls.dropDuplicates(["path", "chrom", "pos", "ref", "alt", "id"]))
+    named = {"allele": "Allele", "feature": "Feature", "protein_position": "Protein_position", "hgvsp": "HGVSp", "amino_acids": "Amino_acids", "consequence": "Consequence", "protein_id": "ENSP", "gene": "SYMBOL", "impact": "IMPACT"}
+    return rows.select(F.upper("sample").alias("sample"), F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", "ref", F.col("alt").alias("alts"), *[F.coalesce(F.try_element_at("csq", F.lit(k)), F.lit("")).alias(n) for n, k in named.items()])
 
 
 def fasta(spark: SparkSession, paths: Paths) -> DataFrame:

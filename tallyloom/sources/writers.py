@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -45,5 +48,79 @@ def fasta(df: DataFrame, path: str, prefix: Column | None = None) -> None:
     df.select(F.concat(F.lit(">"), head, F.lit("\n"), F.col("sequence")).alias("value")).write.mode("overwrite").text(path)
 
 
-def append_history(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def _files(df: DataFrame):
+    """The JVM's file system classes, which reach every store that Spark does."""
+    jvm = df.sparkSession._jvm
+    fs = jvm.org.apache.hadoop.fs
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    return lambda path: (fs.Path(path).getFileSystem(conf), fs.Path(path))
+
+
+def append_once(df: DataFrame, path: str, run: str) -> bool:
+    """Appends df to a history under the name of its run, once; whether this call did.
+
+    Parts are written first and named by no one; the file ``commits/<run>``,
+    made only where it isn't there yet, publishes them at once.  A repeat of a
+    run, at the same time too, changes nothing, and what a failed one has
+    written isn't read.
+    """
+    at = _files(df)
+    safe = "".join(c if c.isalnum() or c in "-." else f"_{ord(c):x}" for c in run)
+    fs, commit = at(f"{path}/commits/{safe}")
+    if fs.exists(commit):
+        return False
+    part = f"{safe}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/parts/{part}")
+    _, draft = at(f"{path}/drafts/{part}")
+    out = fs.create(draft, False)
+    out.write(bytearray(f"{part}\n".encode()))
+    out.close()
+    fs.mkdirs(commit.getParent())
+    # a rename doesn't replace what is there
+    if fs.exists(commit) or not fs.rename(draft, commit):
+        fs.delete(at(f"{path}/parts/{part}")[1], True)
+        fs.delete(draft, False)
+        return False
+    return True
+
+
+def read_history(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The published runs' rows; before the first one none."""
+    empty = spark.createDataFrame([], schema)
+    fs, commits = _files(empty)(f"{path}/commits")
+    if not fs.exists(commits):
+        return empty
+    parts = [r.value for r in spark.read.text(f"{path}/commits").filter("value <> ''").collect()]  # a line a run
+    return spark.read.schema(schema).parquet(*[f"{path}/parts/{x}" for x in parts]) if parts else empty
+
+
+class TooLarge(ValueError):
+    """An output beyond its bound; nothing was published."""
+
+
+def guarded(df: DataFrame, path: str, *, most_rows: int | None = None, most_bytes: int | None = None, write: Callable[[DataFrame, str], None] | None = None) -> dict[str, int]:
+    """Writes df, published at path only if it is within both bounds; rows and bytes.
+
+    df is evaluated once: rows are observed as they are written, bytes are
+    those of the files.  Beyond a bound what was written goes and TooLarge is
+    raised; path stays as it was.  write(df, path) writes it, Parquet otherwise.
+    """
+    seen = Observation()
+    at = _files(df)
+    draft = f"{path.rstrip('/')}-draft-{uuid.uuid4().hex}"
+    try:
+        (write or (lambda d, p: d.write.parquet(p)))(df.observe(seen, F.count(F.lit(1)).alias("rows")), draft)
+        fs, folder = at(draft)
+        found = {"rows": seen.get["rows"], "bytes": fs.getContentSummary(folder).getLength()}
+        for name, most in (("rows", most_rows), ("bytes", most_bytes)):
+            if most is not None and found[name] > most:
+                raise TooLarge(f"{path}: {found[name]} {name}, {most} at most")
+        fs, target = at(path)
+        if fs.exists(target):
+            fs.delete(target, True)
+        fs.rename(folder, target)
+        return found
+    finally:
+        fs, folder = at(draft)
+        if fs.exists(folder):
+            fs.delete(folder, True)

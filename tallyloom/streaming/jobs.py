@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.operators.aggregates import failure_ledger
+from tallyloom.sources.writers import append_once
 
 
 def ledger(tasks: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
@@ -15,6 +16,17 @@ def ledger(tasks: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -
     return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ledger_once(tasks: DataFrame, path: str, checkpoint: str, name: str) -> StreamingQuery:
+    """As ledger, into a history that takes each batch once (see writers.append_once), a repeated one too."""
+
+    def publish(batch: DataFrame, number: int) -> None:
+        if not append_once(batch, path, f"{name}-{number}"):
+            batch.write.format("noop").mode("overwrite").save()  # the batch's state has to be written even so
+
+    rows = failure_ledger(tasks).withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["task_id"])
+    return rows.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def rollup(tasks: DataFrame, window: str = "1 hour", delay: str = "1 day", max_seconds: float = 43200) -> DataFrame:
     """Per process and window: tasks, greatest and mean runtime, failures, a warning; works on streams and on tables."""
     rows = tasks.withWatermark("ts", delay) if tasks.isStreaming else tasks

@@ -158,8 +158,6 @@ def test_quality(spark, tmp_path):
     manifest = files.select("path", "sha256").union(spark.createDataFrame([("gone", "00")], "path string, sha256 string"))
     assert sorted(r.status for r in quality.verify_manifest(files, manifest).collect()) == ["MISSING", "OK", "OK"]
     assert {r.label: r.status for r in quality.artifact_contract(files, [("tables", r"\.tsv$", 2), ("maps", r"\.bam$", 1)]).collect()} == {"tables": "PASS", "maps": "FAIL"}
-    with pytest.raises(ValueError):
-        quality.output_guard(files, 1)
     with pytest.raises(ValueError):
         quality.require_columns(files, ["path", "nothing"])
     sheet = spark.createDataFrame([("A", "S1", "G", "true"), ("A", "S1", "G", "TRUE"), ("C", "", "H", "maybe")], "sample string, srr string, subject string, baseline string")
@@ -244,3 +242,69 @@ def test_seed_bitmap_lets_few_places_through(spark):
     known = {int(joins._hashes(x, 7)[0]) % (1 << 15) for x in seeds}
     through = sum(int(h) % (1 << 15) in known for _, text in texts for h in joins._hashes(text, 7))
     assert through < 600
+
+
+def test_event_regions_and_their_rules(spark):
+    findings = [
+        ("SNV1", "rna_variant", "E0", "1", 10, "A", "T"),
+        ("INS1", "rna_variant", "", "1", 20, "A", "AG"),
+        ("DEL1", "rna_variant", None, "1", 30, "ATG", "A"),
+        ("SPL1", "splice_junction;x", "J1;J1;J2;gone", "2", 100, "", ""),
+        ("FUS1", "x;fusion", "F1", "3", 200, "", ""),
+        ("FUS2", "fusion", "F2", "3", 200, "", ""),
+        ("CTX1", "other", "J1", "3", 200, None, None),
+        ("CTX2", None, None, None, None, None, None),
+    ]
+    events = [("J1", "2", 99, 150, "", None, None), ("J2", "2", 200, 250, None, None, None), ("F1", "3", 199, 200, "4", 299, 300), ("F2", "3", None, 200, "4", 299, 300)]
+    f = spark.createDataFrame(findings, "event_id string, classes string, source_events string, chrom string, pos long, ref string, alt string")
+    e = spark.createDataFrame(events, "event string, chrom string, start0 long, end0 long, chrom2 string, start2_0 long, end2 long")
+    rows = evidence.event_regions(f, e)
+    got = {r.event_id: (r.event_type, [tuple(x) for x in r.regions]) for r in rows.collect()}
+    assert got == {
+        "SNV1": ("SNV", [("1", 9, 10, "TARGET_ALLELE")]),
+        "INS1": ("INSERTION", [("1", 19, 20, "TARGET_ALLELE")]),
+        "DEL1": ("DELETION", [("1", 29, 32, "TARGET_ALLELE")]),
+        "SPL1": ("SPLICE_JUNCTION", [("2", 99, 150, "JUNCTION"), ("2", 200, 250, "JUNCTION")]),
+        "FUS1": ("FUSION", [("3", 199, 200, "BREAKPOINT_1"), ("4", 299, 300, "BREAKPOINT_2")]),
+        "FUS2": ("FUSION", [("4", 299, 300, "BREAKPOINT_2")]),
+        "CTX1": ("CONTEXT_EVENT", [("2", 99, 150, "BREAKPOINT_1")]),
+        "CTX2": ("CONTEXT_EVENT", []),
+    }
+    stated = F.when(F.col("event_id") == "INS1", "SNV").otherwise(F.col("event_type"))
+    rows = rows.withColumns({"stated_type": stated, "context": F.when(F.col("event_id") == "SPL1", 1), "visual_status": F.lit("NO_CONTEXT_ALIGNMENTS")})
+    rows = rows.withColumn("regions", F.when(F.col("event_id") == "DEL1", F.transform("regions", lambda r: r.withField("end0", r["start0"]))).otherwise(F.col("regions")))
+    breaches = {(r.event_id, r.violation) for r in quality.region_invariants(rows).collect()}
+    assert breaches == {("INS1", "EVENT_TYPE"), ("DEL1", "INVALID_REGION"), ("SPL1", "VISUAL_STATUS"), ("FUS2", "FUSION_BREAKPOINTS"), ("CTX2", "NO_REGIONS")}
+
+
+def pileup(text, reference):
+    """The counts, sign by sign."""
+    found, k, reference = {}, 0, reference.upper()
+    add = lambda x: found.__setitem__(x, found.get(x, 0) + 1)
+    while k < len(text):
+        c, k = text[k], k + 1
+        if c == "^":
+            k += 1
+        elif c in ".,":
+            add(reference)
+        elif c.upper() in "ACGTN":
+            add(c.upper())
+        elif c in "+-":
+            digits = ""
+            while k < len(text) and text[k] in "0123456789":
+                digits, k = digits + text[k], k + 1
+            if digits:
+                add(reference + c + text[k : k + int(digits)].upper())
+                k += int(digits)
+    return found
+
+
+def test_pileup_counts(spark):
+    from tallyloom.functions.cigar import pileup_counts
+
+    rng = random.Random(7)
+    texts = ["", None, ".,.+2ACg-1t*$^]A", "+3AC", "-", "+", "+0A", "^+2.", "..-12acgtacgtacgtA", "^", "+-1A", "+2^]A", "1234", "+1^A"]
+    texts += ["".join(rng.choice(".,ACgtN^$*+-12") for _ in range(rng.randrange(40))) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", pileup_counts(F.col("t"), F.lit("g")).alias("n")).collect()
+    for r in rows:
+        assert r.n == pileup(texts[r.i] or "", "g"), texts[r.i]

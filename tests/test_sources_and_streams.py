@@ -5,6 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.operators import quality
 from tallyloom.sources import readers, writers
 from tallyloom.streaming import jobs
 
@@ -78,9 +79,6 @@ def test_writers(spark, tmp_path):
     assert readers.fasta(spark, str(tmp_path / "f")).first().header == "S|VARIANT|h1"
     writers.bed(df, str(tmp_path / "b"), F.col("header"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "b")).collect())[0] == "1\t5\t9\th1"
-    for _ in range(2):
-        writers.append_history(df, str(tmp_path / "h"))
-    assert spark.read.parquet(str(tmp_path / "h")).count() == 4
     assert writers.compact_rows(df, ["header", "sequence"]).first().row == '["h1","MK"]'
 
 
@@ -123,3 +121,78 @@ def test_letters_before_the_first_header(spark, tmp_path):
     (tmp_path / "bad.fa").write_text("MKT\n>h1\nAA\n")
     with pytest.raises(Exception, match="before the first header"):
         readers.fasta(spark, str(tmp_path / "bad.fa")).collect()
+
+
+def test_histories_take_a_run_once(spark, tmp_path):
+    path, schema = str(tmp_path / "h"), "a int, b string"
+    one, two = (spark.createDataFrame([(k, "x")], schema) for k in (1, 2))
+    assert writers.read_history(spark, path, schema).count() == 0
+    assert [writers.append_once(one, path, "run/1"), writers.append_once(one, path, "run/1"), writers.append_once(two, path, "run:1")] == [True, False, True]
+    # what a run that failed has written isn't published
+    two.write.parquet(f"{path}/parts/lost")
+    assert sorted(r.a for r in writers.read_history(spark, path, schema).collect()) == [1, 2]
+
+
+def test_a_repeated_batch_is_published_once(spark, tmp_path):
+    rows = [(i % 9, "P", "2024-01-01 00:10:00", "FAILED", 1, 1.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "task_id int, process string, t string, status string, exit int, seconds double").withColumn("ts", F.to_timestamp("t")).drop("t")
+    df.repartition(2).write.parquet(str(tmp_path / "in"))
+    for checkpoint in ("c1", "c2"):  # the second, without the first one's state, sees all batches again
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        jobs.ledger_once(stream, str(tmp_path / "out"), str(tmp_path / checkpoint), "ledger").awaitTermination()
+    got = writers.read_history(spark, str(tmp_path / "out"), "task_id int, status string").collect()
+    assert sorted(r.task_id for r in got) == list(range(9))
+
+
+def test_guarded_writes(spark, tmp_path):
+    path = str(tmp_path / "g")
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).mapInArrow(counted, "id long")
+    assert writers.guarded(df, path, most_rows=100, most_bytes=1 << 20)["rows"] == 100
+    assert calls.value == 100  # evaluated once
+    for bounds in ({"most_rows": 5}, {"most_bytes": 10}):
+        with pytest.raises(writers.TooLarge):
+            writers.guarded(spark.range(7), path, **bounds)
+        assert spark.read.parquet(path).count() == 100
+    writers.guarded(spark.range(7), path, most_rows=7, write=lambda d, p: d.write.json(p))
+    assert spark.read.json(path).count() == 7 and [x.name for x in tmp_path.iterdir()] == ["g"]
+
+
+def test_inventory_of_a_file_over_two_gigabytes(spark, tmp_path):
+    import hashlib
+
+    with (tmp_path / "large file%20.bin").open("wb") as out:
+        out.truncate(3 << 30)
+    (tmp_path / "é.txt").write_bytes(b"abc")
+    got = {r.path.rsplit(".", 1)[-1]: (r.size, r.sha256) for r in quality.inventory(spark, str(tmp_path)).collect()}
+    sha, block = hashlib.sha256(), bytes(1 << 24)
+    for _ in range(3 << 6):
+        sha.update(block)
+    assert got == {"bin": (3 << 30, sha.hexdigest()), "txt": (3, hashlib.sha256(b"abc").hexdigest())}
+
+
+def test_files_of_different_headers_together(spark, tmp_path):
+    """Each file's rows go by its own sample columns and order of annotation fields."""
+    head = "##fileformat=VCFv4.2\n##INFO=<ID=CSQ,Number=.,Description=\"x Format: {}\">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO{}\n"
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "S1.x.vcf").write_text(head.format("Allele|Consequence|Feature", "\tFORMAT\tT\tN") + "chr1\t10\t.\tA\tG\t1\tPASS\tCSQ=G|missense|E1,G|stop|E2\tGT:DP\t0/1:5\t0/0:7\n1\t11\t.\tA\tC\t.\tPASS\tX=1\tGT\t0/1\n")
+    (tmp_path / "S1.vcf").write_text(head.format("Feature | Allele|Consequence", "") + "1\t10\t.\tA\tT\t.\tPASS\tCSQ=E9|T\n")
+    (tmp_path / "none.vcf").write_text("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n1\t12\t.\tA\tT\t.\tPASS\tX=1\n")
+    paths = [str(tmp_path / x) for x in ("a/S1.x.vcf", "S1.vcf", "none.vcf")]
+    calls = readers.vcf_calls(spark, paths)
+    got = sorted(((r["sample"], r["column"], r.chrom, r.pos, r.format) for r in calls.collect()), key=str)
+    assert got == sorted([("S1", "T", "chr1", 10, {"GT": "0/1", "DP": "5"}), ("S1", "N", "chr1", 10, {"GT": "0/0", "DP": "7"}), ("S1", "T", "1", 11, {"GT": "0/1"}), ("S1", "N", "1", 11, None), ("S1", None, "1", 10, None), ("none", None, "1", 12, None)], key=str)
+    notes = sorted((r.alts, r.allele, r.feature, r.consequence) for r in readers.annotations(calls).collect())
+    assert notes == [("G", "G", "E1", "missense"), ("G", "G", "E2", "stop"), ("T", "T", "E9", "")]
+    with pytest.raises(ValueError, match="several orders"):
+        readers.csq_fields(spark, paths)
+    assert readers.csq_fields(spark, paths[1]) == ["Feature", "Allele", "Consequence"]
+    bad = calls.filter("sample = 'none'").withColumn("info", F.create_map(F.lit("CSQ"), F.lit("T|x")))
+    with pytest.raises(Exception, match="no annotation header"):
+        readers.explode_csq(bad).collect()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Work, per_worker
+from .common import Work, free_name, per_worker
 
 #: Characters of items that are broadcast at once; a larger test set takes several passes.
 BLOCK_CHARS = 8_000_000
@@ -96,12 +96,20 @@ class Finder:
         if not self.items or not text:
             return []
         text = normalized(text)
-        spans: dict[int, list[tuple[int, int]]] = {}
+        # each item's stretches, joined as hits arrive: those of one piece come in order, those of several nearly so
+        spans: dict[int, list[list[int]]] = {}
         for end, (size, uses) in self.automaton.iter(text):
             for k, at in uses:
                 item = self.items[k]
                 begin = end + 1 - size - at  # where the item would begin without an edit in front
-                spans.setdefault(k, []).append((begin - item.most, begin + len(item.text) + item.most))
+                a, b = begin - item.most, begin + len(item.text) + item.most
+                own = spans.setdefault(k, [])
+                if own and own[-1][0] <= a <= own[-1][1]:
+                    own[-1][1] = max(own[-1][1], b)
+                elif own and a <= own[-1][0] <= b:
+                    own[-1][0], own[-1][1] = a, max(own[-1][1], b)
+                else:
+                    own.append([a, b])
         out = []
         for k, found in spans.items():
             item, best = self.items[k], None
@@ -178,4 +186,5 @@ def found(spark: SparkSession, docs: DataFrame, items: DataFrame, *, rate: float
 
 def without_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, *, rate: float = 0.08) -> DataFrame:
     """docs, all columns, without the documents that hold an item."""
-    return with_matches(spark, docs, items, rate=rate, name="_matches").filter(F.size("_matches") == 0).drop("_matches")
+    name = free_name(docs, "_matches")
+    return with_matches(spark, docs, items, rate=rate, name=name).filter(F.size(name) == 0).drop(name)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import per_worker
+from .common import free_name, per_worker
 
 BUCKETS = 1 << 16
 #: Words whose scores a worker keeps.
@@ -373,5 +373,6 @@ def keep_written(spark: SparkSession, docs: DataFrame, *, least_fit: float = -8.
     model = learn(docs)
     if not model.labels:
         return docs
-    kept = labelled(spark, docs, model, "_language").filter((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.fit") >= least_fit))
-    return kept.drop("_language")
+    name = free_name(docs, "_language")
+    kept = labelled(spark, docs, model, name).filter((F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.fit") >= least_fit))
+    return kept.drop(name)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Work, per_worker
+from .common import Work, free_name, per_worker
 
 #: Words whose hashes a worker keeps.
 KEPT_WORDS = 300_000
@@ -354,12 +354,10 @@ def deduplicate(spark: SparkSession, docs: DataFrame, like: Similarity | None =
     stay whose text no other row of their group stands for.  Rows with a null
     doc_id, and texts without a word, all stay.  Other columns may have any names.
     """
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
+    row, first = free_name(docs, "_row"), free_name(docs, "_kept")
     # rows are numbered as they are written, so that their numbers stay the same however often they are read
     rows = Work(spark, "dedup").save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     named = rows.filter("doc_id IS NOT NULL")
     groups = near_duplicates(spark, named.select(F.col(row).alias("doc_id"), "text"), like).select(F.col("doc_id").alias(row), "component_id")
-    kept = named.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias("_kept")).select(F.col(f"_kept.{row}").alias(row))
+    kept = named.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias(first)).select(F.col(f"{first}.{row}").alias(row))
     return named.join(kept, row, "left_semi").unionByName(rows.filter("doc_id IS NULL")).drop(row)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Work
+from .common import Work, free_name
 from .tokens import encoder, in_runs, with_end
 
 #: Rows that share a length are ranked in groups of about this size.
@@ -259,27 +259,28 @@ def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = 2048) -> Dat
     gives none.  Columns named sequence_id or offset are replaced.
     """
     pieces = pieces.drop("sequence_id", "offset")
-    # the rows' numbers are written with them, so that they stay the same however often they are read
-    rows = Work(spark, "pack").save(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    # helpers have names of their own; the rows' numbers are written with them, so that they stay the same however often they are read
+    row, group, n, base, rank, at = (free_name(pieces, x) for x in ("_row", "_group", "_n", "_base", "_rank", "_place"))
+    rows = Work(spark, "pack").save(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
     histogram = {r.length: r.n for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     shared = spark.sparkContext.broadcast(Places(solve(histogram, capacity).rows))
 
     # ranks within a length, in groups small enough for one task however many pieces share it
     most = max(histogram.values(), default=0)
     groups = max(1, -(-most // RANK_GROUP), spark.sparkContext.defaultParallelism * 4 if most > 1000 else 1)
-    rows = rows.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
-    before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    bases = rows.groupBy("length", "_group").agg(F.count("*").alias("_n")).select("length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("length", "_group").orderBy("_row")
-    ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1).join(bases, ["length", "_group"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
+    rows = rows.withColumn(group, F.pmod(F.xxhash64(row), F.lit(groups)))
+    before = Window.partitionBy("length").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    bases = rows.groupBy("length", group).agg(F.count("*").alias(n)).select("length", group, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base))
+    inside = Window.partitionBy("length", group).orderBy(row)
+    ranked = rows.withColumn(rank, F.row_number().over(inside) - 1).join(bases, ["length", group]).withColumn(rank, F.col(rank) + F.col(base))
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         sequence, offset = shared.value.of(length.to_numpy(np.int64), rank.to_numpy(np.int64))
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    placed = ranked.withColumn("_place", place("length", "_rank"))
-    return placed.select(*[F.col(f"`{c}`") for c in pieces.columns], "_place.sequence_id", "_place.offset")
+    placed = ranked.withColumn(at, place("length", rank))
+    return placed.select(*[F.col(f"`{c}`") for c in pieces.columns], f"{at}.sequence_id", f"{at}.offset")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0) -> DataFrame:

@@ -137,3 +137,15 @@ def test_sign_codes(spark):
     df = spark.createDataFrame(rows, "id long, v array<float>")
     got = {r.id: r.c for r in df.select("id", hamming_topk.sign_code("v").alias("c")).collect()}
     assert got == {1: ((2**64 - 1) & ~0b11110) - 2**64, 2: None, 3: None, 4: 0}
+
+
+def test_a_long_text_of_one_letter():
+    """Stretches are joined as hits arrive, so a repeated piece takes no memory for each hit."""
+    import tracemalloc
+
+    finder = decontaminate.Finder([(1, "a" * 300), (2, "ab" * 50)], 0.08)
+    tracemalloc.start()
+    found = finder.find("a" * 20_000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(1, 0, 300)] and most < 10_000_000

@@ -95,3 +95,27 @@ def test_rows_without_labels_and_ids_that_repeat(spark, tmp_path):
     second = stages["near_dedup"](spark, first, str(tmp_path))
     assert second.columns == docs.columns
     assert sorted((str(r.doc_id), r.text or "") for r in second.collect()) == sorted((str(d), t or "") for d, t in rows if (d, t) != (2, one))
+
+
+def test_columns_of_any_name_come_through(spark, tmp_path):
+    """Helper columns take names that the caller's don't have, in any case of letters."""
+    from tallyloom.llm import packing
+    from tallyloom.llm.registry import vocabulary
+
+    docs, _ = tables(spark, tmp_path)
+    names = ["_language", "_MATCHES", "_row", "_kept", "_group", "_place", "component_id", "matches"]
+    rich = docs
+    for k, x in enumerate(names):
+        rich = rich.withColumn(x, docs["n_chars"] + k)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rich, str(tmp_path))
+        assert out.columns == rich.columns
+        kept = out.collect()
+        assert kept and all(r[x] == r.n_chars + k for r in kept for k, x in enumerate(names))
+        assert len(kept) == stage(spark, docs, str(tmp_path)).count()
+    pieces = packing.cut_documents(docs, vocabulary("byte_bpe_50k.json"))
+    extra = ["_row", "_Group", "_rank", "_place", "_n", "_base"]
+    for k, x in enumerate(extra):
+        pieces = pieces.withColumn(x, pieces["length"] + k)
+    placed = packing.pack(spark, pieces).collect()
+    assert len(placed) == pieces.count() and all(r[x] == r.length + k for r in placed for k, x in enumerate(extra))

@@ -1,17 +1,20 @@
 """License scans: how much a license's wording helps to compress a block.
 
 Runs of neighbouring lines around those that could speak of a license, joined
-across line breaks, are searched for the places that a template fits by the
-exact differences in wording.  The lines of such a place are the block: it is
-compressed by itself and with the template as raw dictionary, and every template
-that saves something is told, except within one that saves more.
+across line breaks, are cut into overlapping blocks of a few times a template's
+length.  A block is compressed by itself and with each template as raw
+dictionary; templates are ranked by what they save, and only those that save a
+good part of what they save on themselves are held against the block's words:
+the exact differences in wording confirm a winner and tell where it stands.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
@@ -57,8 +60,14 @@ CANDIDATE = r"(?i)licen[sc]e|copyright|permission|redistribut|public domain|righ
 _KEY = re.compile(CANDIDATE)
 #: Marks of a comment at a line's beginning.
 _MARK = re.compile(r"^\s*(?:#+|//+|/?\*+/?|--+|;+|%+|dnl\b|rem\b)(?:\s+|$)", re.IGNORECASE)
-#: Words that may stand between those of a template; lines further off are another block.
+#: Words that may stand between those of a template, at most, and at most as many as it has; lines further off are another block.
 SLACK = 64
+#: The share of what a template saves on itself that it has to save on a block.
+LEAST_SAVING = 0.3
+#: Templates are asked about blocks after their lengths: up to so many words, or more.
+CLASSES = (5, 8, 16, 48)
+#: Level of all compressions: below 0 letters stay as they are, so that a saving is what matches save and no byte of chance.
+COMPRESSION = -1
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*|#")
 _VERSION = re.compile(r"\d+(?:[.\-]\d+)*")
 _NUMBER = re.compile(f"#|{_VERSION.pattern}")
@@ -69,17 +78,43 @@ def wording(text: str) -> str:
     return " ".join(_VERSION.sub("#", text.lower().replace("(c)", "copyright")).split())
 
 
+@dataclass(frozen=True)
+class Template:
+    number: int
+    name: str
+    words: list[str]
+    compressor: object
+    #: Bytes that a block has to save with it.
+    least: float
+    slack: int
+
+
+def _compressor(kept=None):
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=COMPRESSION, write_content_size=False, dict_data=kept)
+
+
+def _size(compressor, text: str) -> int:
+    return len(compressor.compress(text.encode()))
+
+
 @lru_cache(maxsize=1)
-def _prepared():
+def _prepared() -> tuple[object, list[tuple[int, list[Template]]]]:
+    """A compressor without dictionary, and the templates by the words that their blocks have."""
     import zstandard
 
-    plain = zstandard.ZstdCompressor(level=19, write_content_size=False)
-    out = []
-    for name, template in TEMPLATES:
-        text = wording(template)
+    plain, found = _compressor(), []
+    for k, (name, template) in enumerate(TEMPLATES):
+        words = _WORD.findall(wording(template))
+        text = " ".join(words)
         kept = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append((name, _WORD.findall(text), zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=kept)))
-    return plain, out, max(len(words) for _, words, _ in out)
+        kept.precompute_compress(level=COMPRESSION)
+        own = _compressor(kept)
+        found.append(Template(k, name, words, own, LEAST_SAVING * (_size(plain, text) - _size(own, text)), min(SLACK, len(words))))
+    classes = [[t for t in found if bisect_left(CLASSES, len(t.words)) == k] for k in range(len(CLASSES) + 1)]
+    # half a block holds any wording that a template fits, so one of two overlapping blocks has it whole
+    return plain, [(2 * max(len(t.words) + t.slack for t in ts), ts) for ts in classes if ts]
 
 
 def _may_fit(template: list[str], words: list[str], least_cover: float) -> bool:
@@ -87,31 +122,32 @@ def _may_fit(template: list[str], words: list[str], least_cover: float) -> bool:
     return len(own.difference(words)) <= (1 - least_cover) * len(template) + 1e-9
 
 
-def _places(template: list[str], words: list[str], least_cover: float) -> Iterator[tuple[list[int], list[str], list[str]]]:
+def _places(template: Template, words: list[str], least_cover: float) -> Iterator[tuple[list[int], list[str], list[str]]]:
     """(places of its words, missing words, added words) of each place of a block that a template fits.
 
     Its words stand there in order up to the share least_cover, and nothing that
     they are about is denied: no other license's letters (as the -sa of cc
     by-sa) stand where they end.
     """
-    matcher = difflib.SequenceMatcher(None, [], template, autojunk=False)
+    own = template.words
+    matcher = difflib.SequenceMatcher(None, [], own, autojunk=False)
     open_ = [(0, len(words))]
     while open_:
         low, high = open_.pop()
         # template is the second sequence, so that its index is made once
-        if not _may_fit(template, words[low:high], least_cover):
+        if not _may_fit(own, words[low:high], least_cover):
             continue
         matcher.set_seq1(words[low:high])
         at, in_template, size = matcher.find_longest_match()
         if not size:
             continue
-        begin = max(low, low + at - in_template - SLACK)
-        end = min(high, low + at + len(template) - in_template + SLACK)
-        codes = difflib.SequenceMatcher(None, template, words[begin:end], autojunk=False).get_opcodes()
+        begin = max(low, low + at - in_template - template.slack)
+        end = min(high, low + at + len(own) - in_template + template.slack)
+        codes = difflib.SequenceMatcher(None, own, words[begin:end], autojunk=False).get_opcodes()
         same = [begin + k for op, _, _, c, d in codes if op == "equal" for k in range(c, d)]
-        missing = [w for op, a, b, _, _ in codes if op in ("replace", "delete") for w in template[a:b]]
+        missing = [w for op, a, b, _, _ in codes if op in ("replace", "delete") for w in own[a:b]]
         first, last = (same[0], same[-1] + 1) if same else (0, 0)
-        fits = len(same) >= least_cover * len(template) and not (len(template) < 12 and any(len(x) <= 8 and x not in ("the", "a", "an") for x in missing))
+        fits = len(same) >= least_cover * len(own) and not (len(own) < 12 and any(len(x) <= 8 and x not in ("the", "a", "an") for x in missing))
         if fits:
             added = [w for op, _, _, c, d in codes if op in ("replace", "insert") for w in words[max(begin + c, first) : min(begin + d, last)]]
             yield same, missing, added
@@ -121,37 +157,46 @@ def _places(template: list[str], words: list[str], least_cover: float) -> Iterat
             open_ += [(low, low + at), (low + at + size, high)]
 
 
+@lru_cache(maxsize=4096)
+def _confirmed(kind: int, block: tuple[str, ...], least_cover: float) -> list[tuple[Template, list[int], list[str], list[str]]]:
+    """The places in a block of the templates that save enough on it, those that save most first; equal blocks are asked once."""
+    plain, classes = _prepared()
+    text = " ".join(block)
+    own = _size(plain, text)
+    ranked = sorted(((own - _size(t.compressor, text), t) for t in classes[kind][1]), key=lambda x: (-x[0], x[1].number))
+    return [(t, *place) for saved, t in ranked if saved > 0 and saved >= t.least for place in _places(t, list(block), least_cover)]
+
+
 def _found(lines: list[str], least_cover: float) -> list[tuple]:
-    """(first line, *fields) of every confirmed template of a block, in the order of the lines."""
-    bare = [wording(_MARK.sub("", x)) for x in lines]
-    words, line_of, numbers = [], [], []
-    for k, text in enumerate(bare):
-        own = _WORD.findall(text)
+    """(first line, *fields) of every confirmed template of a run of lines, in the order of the lines."""
+    words, line_of, numbers, begins = [], [], [], [0]
+    for k, line in enumerate(lines):
+        bare = _MARK.sub("", line)
+        own = _WORD.findall(wording(bare))
         words += own
-        found = iter(_NUMBER.findall(_MARK.sub("", lines[k])))
+        begins.append(len(words))
+        found = iter(_NUMBER.findall(bare))
         numbers += [next(found) if x == "#" else None for x in own]
         line_of += [k] * len(own)
-    if not words:
-        return []
-    plain, templates, _ = _prepared()
-
-    def size(compressor, text: str) -> int:
-        return len(compressor.compress(text.encode()))
-
-    fits = []
-    for k, (name, template, compressor) in enumerate(templates):
-        if not _may_fit(template, words, least_cover):
-            continue
-        for same, missing, added in _places(template, words, least_cover):
-            a, b = line_of[same[0]], line_of[same[-1]]
-            text = " ".join(filter(None, bare[a : b + 1]))
-            own = size(plain, text)
-            saved = own - size(compressor, text)
-            if saved > 0:
-                version = next((numbers[x] for x in same if words[x] == "#" and numbers[x] != "#"), None)
-                fits.append((saved, len(template), -k, same, (a, name, version, own, saved, len(same) / len(template), missing, added)))
+    plain, classes = _prepared()
+    sizes: dict[tuple[int, str], tuple[int, int]] = {}
+    fits = {}
+    for kind, (span, _) in enumerate(classes):
+        for low in range(0, max(1, len(words) - span // 2), span // 2):
+            for template, same, missing, added in _confirmed(kind, tuple(words[low : low + span]), least_cover):
+                same = [low + x for x in same]
+                if (template.number, *same) in fits:
+                    continue
+                a, b = line_of[same[0]], line_of[same[-1]]
+                text = " ".join(words[begins[a] : begins[b + 1]])
+                if (template.number, text) not in sizes:
+                    sizes[template.number, text] = _size(plain, text), _size(template.compressor, text)
+                own, kept = sizes[template.number, text]
+                if own > kept:
+                    version = next((numbers[x] for x in same if words[x] == "#" and numbers[x] != "#"), None)
+                    fits[template.number, *same] = (own - kept, len(template.words), -template.number, same, (a, template.name, version, own, own - kept, len(same) / len(template.words), missing, added))
     out, taken = [], set()
-    for _, _, _, same, fields in sorted(fits, key=lambda x: (-x[0], -x[1], -x[2], x[3])):
+    for _, _, _, same, fields in sorted(fits.values(), key=lambda x: (-x[0], -x[1], -x[2], x[3])):
         # a wording within a confirmed one tells nothing more
         if not taken.issuperset(same):
             taken.update(same)
@@ -175,7 +220,7 @@ def scan_text(text: str, least_cover: float = 0.9) -> list[tuple]:
     keys = [k for k, line in enumerate(lines) if _KEY.search(line)]
     if not keys:
         return []
-    reach = _prepared()[2] + SLACK
+    reach = max(span for span, _ in _prepared()[1]) // 2
     sizes = [len(line.split()) for line in lines]
     runs: list[list[int]] = []
     for k in keys:

@@ -137,6 +137,50 @@ def test_planted_wordings_against_all_templates_without_gate_and_compression():
     assert all(license_scan._KEY.search(t) for _, t in license_scan.TEMPLATES)
 
 
+def test_savings_decide(monkeypatch):
+    """With compressors that save alike nothing is found, and of two templates the one that saves more wins."""
+    text = "Released under the MIT License."
+    assert [x[1] for x in license_scan.scan_text(text)] == ["mit"]
+    license_scan._confirmed.cache_clear()
+    with monkeypatch.context() as patch:
+        patch.setattr(license_scan, "_size", lambda compressor, text: 50)
+        assert license_scan.scan_text(text) == []
+    license_scan._confirmed.cache_clear()
+
+
+def test_long_texts_of_notices_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    found = license_scan.scan_text("\n".join(["Released under the MIT License."] * 20_000))
+    assert [x[0] for x in found] == list(range(20_000)) and time.perf_counter() - began < 10
+    seconds = []
+    for n in (500, 2000):
+        began = time.perf_counter()
+        assert len(license_scan.scan_text("\n".join(f"Released under the MIT License. word{'abc'[k % 3] * (1 + k % 97)}" for k in range(n)))) == n
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 10 * seconds[0]
+
+
+def test_no_wording_is_lost_to_the_savings():
+    """Every place that the words confirm without compression, in texts of several licenses, is found with it."""
+    rng = random.Random(4)
+    _, classes = license_scan._prepared()
+    every = [t for _, ts in classes for t in ts]
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randrange(1, 5)):
+            t = rng.choice(every)
+            words += ["".join(rng.choice("bdfhklmopqrtuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(rng.randrange(25))]
+            words += [w for w in t.words if len(t.words) < 12 or rng.random() > 0.05]
+        for kind, (span, ts) in enumerate(classes):
+            for low in range(0, max(1, len(words) - span // 2), span // 2):
+                block = words[low : low + span]
+                plain = {(t.number, *same) for t in ts for same, _, _ in license_scan._places(t, block, 0.9)}
+                got = {(t.number, *same) for t, same, _, _ in license_scan._confirmed(kind, tuple(block), 0.9)}
+                assert plain == got
+
+
 # --- scoring
 
 

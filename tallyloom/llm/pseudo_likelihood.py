@@ -10,11 +10,10 @@ ones apart and the buckets that the others share; the rest of a bucketed word's
 probability, its share of the bucket, comes from the counts of the whole corpus
 by a join, so that nothing that is gathered grows with the input.
 
-Training passes over the whole corpus in rounds: each task masks the places of
-every text share by share, other shares each round, until every place has been a
-target, and follows their gradient from the shared parameters; the tasks'
-results are averaged, weighted by their words, in three levels, so that no step
-gathers the results of all tasks.
+Training passes over the whole corpus in steps.  A text belongs to a shard by its
+hash; a step sums up the gradient of all words of a shard over the cluster, each
+word masked from its own prediction, and the driver follows it.  So what is
+learned doesn't depend on the number of tasks.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ SIDE = 2
 DIM = 16
 #: Words that pass through the network at once.
 BATCH = 20_000
-#: Into how many groups the tasks' results are averaged, level after level.
+#: Into how many groups the tasks' sums are added up, level after level.
 FANS = (1024, 32, 1)
 
 
@@ -155,8 +154,9 @@ def log_probs(net: Network, around: np.ndarray, ids: np.ndarray, gradient: Netwo
         gradient.group += hidden.T @ p
         gradient.group_bias += p.sum(axis=0)
         back = p @ net.group.T
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    small = group.astype(np.uint8)  # short numbers are sorted by radix
+    order = np.argsort(small, kind="stable")
+    ends = np.searchsorted(small[order], np.arange(GROUPS + 1))
     for g in range(GROUPS):
         rows = order[ends[g] : ends[g + 1]]
         if not len(rows):
@@ -177,8 +177,9 @@ def log_probs(net: Network, around: np.ndarray, ids: np.ndarray, gradient: Netwo
         gradient.bias += back.sum(axis=0)
         for k in range(2 * SIDE):
             # sums by id: sorted, then in runs
-            by = np.argsort(around[:, k], kind="stable")
-            keys = around[by, k]
+            keys = around[:, k].astype(np.uint16)
+            by = np.argsort(keys, kind="stable")
+            keys = keys[by]
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
             if len(first):
                 gradient.around[k][keys[first]] += np.add.reduceat(back[by], first)
@@ -230,85 +231,97 @@ def _parts(lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         row, word = to, int(ends[to - 1])
 
 
-def targets(lengths: np.ndarray, turn: int, rounds: int, mask_one_in: int) -> Iterator[np.ndarray]:
-    """The places that a round masks, one in mask_one_in of each text at a time, from an offset by the text.
+def sharded(docs: DataFrame, vocab: Vocabulary, shards: int) -> DataFrame:
+    """shard, lengths, ids: the texts in the network's numbers; a text's shard is by its hash, however the table is dealt."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
-    Over rounds 0 to rounds - 1 every place comes, once if rounds is at most mask_one_in.
-    """
-    n = np.repeat(lengths, lengths)
-    at = np.arange(len(n)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    share = (at + n) % mask_one_in
-    for k in range(mask_one_in):
-        if k % rounds == turn % mask_one_in:
-            yield np.flatnonzero(share == k)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = shared.value
+        for batch in batches:
+            for a, b in in_runs(batch.column(0)):
+                words, of = split_words(batch.column(0).slice(a, b - a)), np.asarray(batch.column(1).slice(a, b - a))
+                ids, shard = vocab.of(words).astype(np.uint16), np.repeat(of, words.lengths)
+                here = np.unique(of[words.lengths > 0])
+                lengths = [words.lengths[(of == k) & (words.lengths > 0)].astype(np.int32).tobytes() for k in here]
+                yield pa.RecordBatch.from_arrays([pa.array(here, pa.int32()), pa.array(lengths, pa.binary()), pa.array([ids[shard == k].tobytes() for k in here], pa.binary())], names=["shard", "lengths", "ids"])
+
+    rows = docs.select("text", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int").alias("shard")).filter("text IS NOT NULL")
+    return rows.mapInArrow(encode, "shard int, lengths binary, ids binary")
 
 
-def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, *, rounds: int = 2, mask_one_in: int = 8, step: float = 0.1) -> Network:
-    """The network after some rounds over all texts.
+def gradient(rows: DataFrame, net: Network) -> tuple[np.ndarray, float] | None:
+    """The sum over all words of rows (lengths, ids) of the gradient, and how many words there are; None without any.
 
-    A step masks one place in mask_one_in of each text; the rounds together take
-    every place.  A round is the weighted mean of the tasks' results.
+    Tasks' sums are added up in levels, so that no step gathers those of all
+    tasks; the driver sees one vector of a fixed size.
     """
-    net = Network.initial(counts)
     parts = 16
     width = -(-Network.size() // parts)
-    docs = docs.select("text")
-    for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((vocab, net.flat))
-
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            vocab, flat = shared.value
-            own, squares = Network(flat.copy()), np.full(len(flat), 1e-3, np.float32)
-            seen, waiting, sizes = 0, [[] for _ in range(mask_one_in)], [0] * mask_one_in
-
-            def follow(k):
-                nonlocal seen
-                around, ids = (np.concatenate(x) for x in zip(*waiting[k], strict=True))
-                grad = Network(np.zeros(len(flat), np.float32))
-                log_probs(own, around, ids, grad)
-                grad.flat /= math.sqrt(len(ids))
-                np.add(squares, grad.flat * grad.flat, out=squares)
-                own.flat[:] += step * grad.flat / np.sqrt(squares)
-                seen += len(ids)
-                waiting[k], sizes[k] = [], 0
-
-            for batch in batches:
-                for a, b in in_runs(batch.column(0)):
-                    words = split_words(batch.column(0).slice(a, b - a))
-                    every = vocab.of(words)
-                    for row, to, first, last in _parts(words.lengths):
-                        ids, lengths = every[first:last], words.lengths[row:to]
-                        around = windows(ids, lengths)
-                        for k, chosen in enumerate(targets(lengths, turn, rounds, mask_one_in)):
-                            waiting[k].append((around[chosen], ids[chosen]))
-                            sizes[k] += len(chosen)
-                            if sizes[k] >= 4096:
-                                follow(k)
-            for k, size in enumerate(sizes):
-                if size:
-                    follow(k)
-            if seen:
-                part = TaskContext.get().partitionId()
-                blocks = [own.flat[k * width : (k + 1) * width].tolist() for k in range(parts)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([part] * parts, pa.int32()), pa.array([float(seen)] * parts, pa.float64()), pa.array(blocks, pa.list_(pa.float32()))], names=["block", "part", "weight", "values"])
-
-        def mean(table: pa.Table) -> pa.Table:
-            weight = np.array(table.column("weight").to_pylist())
-            total = sum(w * np.asarray(v.values) for w, v in zip(weight, table.column("values"), strict=True)) / weight.sum()
-            first = [table.column(k)[0].as_py() for k in ("block", "part")]
-            return pa.table([pa.array([first[0]], pa.int32()), pa.array([first[1]], pa.int32()), pa.array([weight.sum()]), pa.array([total.astype(np.float32)], pa.list_(pa.float32()))], names=["block", "part", "weight", "values"])
-
-        schema = "block int, part int, weight double, values array<float>"
-        results = docs.mapInArrow(learn, schema)
-        for fan in FANS:
-            results = results.withColumn("part", F.pmod("part", F.lit(fan))).groupBy("block", "part").applyInArrow(mean, schema)
-        # one vector of a fixed size
-        blocks = {r.block: r["values"] for r in results.collect()}
-        if len(blocks) == parts:
-            net = Network(np.concatenate([np.array(blocks[k], np.float32) for k in range(parts)]))
-        shared.unpersist()
+    shared = rows.sparkSession.sparkContext.broadcast(net.flat)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        own, grad, seen = Network(shared.value), Network(np.zeros(Network.size(), np.float32)), 0
+        total = np.zeros(Network.size())
+        for batch in batches:
+            for lengths, ids in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                lengths, ids = np.frombuffer(lengths, np.int32), np.frombuffer(ids, np.uint16).astype(np.int64)
+                for row, to, first, last in _parts(lengths):
+                    around = windows(ids[first:last], lengths[row:to])
+                    for k in range(first, last, BATCH):
+                        log_probs(own, around[k - first : k - first + BATCH], ids[k : min(last, k + BATCH)], grad)
+                    seen += last - first
+                    total += grad.flat
+                    grad.flat[:] = 0
+        if seen:
+            part = TaskContext.get().partitionId()
+            blocks = [total[k * width : (k + 1) * width].tolist() for k in range(parts)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([part] * parts, pa.int32()), pa.array([float(seen)] * parts), pa.array(blocks, pa.list_(pa.float64()))], names=["block", "part", "words", "sums"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.asarray(v.values) for v in table.column("sums"))
+        first = [table.column(k)[0].as_py() for k in ("block", "part")]
+        return pa.table([pa.array([first[0]], pa.int32()), pa.array([first[1]], pa.int32()), pa.array([float(sum(table.column("words").to_pylist()))]), pa.array([total], pa.list_(pa.float64()))], names=["block", "part", "words", "sums"])
+
+    schema = "block int, part int, words double, sums array<double>"
+    tasks = rows.rdd.getNumPartitions()
+    results = rows.select("lengths", "ids").mapInArrow(learn, schema)
+    for fan in [x for x in FANS if x == 1 or x < tasks]:
+        results = results.withColumn("part", F.pmod("part", F.lit(fan))).groupBy("block", "part").applyInArrow(added, schema)
+    found = {r.block: r for r in results.collect()}
+    shared.unpersist()
+    if len(found) < parts:
+        return None
+    return np.concatenate([np.array(found[k].sums) for k in range(parts)]), found[0].words
+
+
+def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, *, shards: int = 16, rounds: int = 1, step: float = 0.1) -> Network:
+    """The network after some rounds over all texts, a step a shard.
+
+    Every word of every text is a target once a round.  A step follows the mean
+    gradient of a shard of the whole corpus (with momentum, divided by its mean
+    size, smaller towards the end), so the network doesn't depend on how many
+    tasks there are.
+    """
+    work = Work(spark, "training")
+    path = work.path("shards")
+    sharded(docs, vocab, shards).write.partitionBy("shard").parquet(path)
+    table = spark.read.schema("lengths binary, ids binary, shard int").parquet(path)
+    net = Network.initial(counts)
+    mean, square, n, steps = np.zeros(Network.size()), np.zeros(Network.size()), 0, shards * rounds
+    for k in range(steps):
+        found = gradient(table.filter(F.col("shard") == k % shards), net)
+        if found is None:
+            continue
+        total, words = found
+        n += 1
+        grad = total / words
+        mean, square = 0.8 * mean + 0.2 * grad, 0.95 * square + 0.05 * grad * grad
+        rate = step * (1 - 0.9 * k / steps)
+        net.flat[:] += (rate * (mean / (1 - 0.8**n)) / (np.sqrt(square / (1 - 0.95**n)) + 1e-7)).astype(np.float32)
+    table._work_path = path
+    work.drop(table)
     return net
 
 

@@ -252,7 +252,7 @@ def test_training_learns_both_sides(spark):
     docs = spark.createDataFrame([*corpus(600, rng), (10_000, None)], "doc_id long, text string").repartition(3)
     vocab, counts = pl.vocabulary(docs)
     assert set(vocab.ids) == {"alpha", "beta", "gamma", "pi", "rho", "sigma"}
-    net = pl.train(spark, docs, vocab, counts, rounds=4, step=0.3)
+    net = pl.train(spark, docs, vocab, counts, shards=4, rounds=4, step=0.2)
     tests = spark.createDataFrame([(1, "alpha beta gamma alpha beta gamma alpha"), (2, "alpha gamma pi beta rho beta gamma")], "doc_id long, text string")
     by = {r.doc_id: r.mean_log_prob for r in pl.score(spark, tests, vocab, net).collect()}
     flat = {r.doc_id: r.mean_log_prob for r in pl.score(spark, tests, vocab, pl.Network.initial(counts)).collect()}
@@ -294,12 +294,23 @@ def test_every_word_is_scored_itself(spark):
     assert np.allclose([x[2] for x in got], [x[2] for x in expected], rtol=1e-4)
 
 
-def test_rounds_mask_every_place():
-    lengths = np.array([5, 0, 17, 1, 40])
-    for rounds, one_in in ((2, 8), (4, 8), (3, 8), (1, 8)):
-        chosen = [x for turn in range(rounds) for x in pl.targets(lengths, turn, rounds, one_in)]
-        assert sorted(np.concatenate(chosen)) == list(range(63))
-        assert len(chosen) == one_in
+def test_every_word_is_a_target_however_the_table_is_dealt(spark):
+    """On 1 and 20 partitions the same shards, the same network and scores, better than the words' frequencies on texts left out."""
+    rng = random.Random(14)
+    rows = [*corpus(900, rng), (5000, None), (5001, ""), (5002, "alpha " * 30_000)]
+    train, held = rows[:700] + rows[-3:], rows[700:-3]
+    docs = spark.createDataFrame(train, "doc_id long, text string")
+    vocab, counts = pl.vocabulary(docs)
+    nets = []
+    for n in (1, 20):
+        shards = pl.sharded(docs.repartition(n), vocab, 4).groupBy("shard").agg({"shard": "count"}).count()
+        assert shards == 4
+        words = sum(len(np.frombuffer(r.ids, np.uint16)) for r in pl.sharded(docs.repartition(n), vocab, 4).collect())
+        assert words == sum(len(pl.words_of(t)) for _, t in train)
+        nets.append(pl.train(spark, docs.repartition(n), vocab, counts, shards=4))
+    tests = spark.createDataFrame(held, "doc_id long, text string")
+    means = [np.mean([r.mean_log_prob for r in pl.score(spark, tests, vocab, x).collect()]) for x in (*nets, pl.Network.initial(counts))]
+    assert abs(means[0] - means[1]) < 0.02 and min(means[:2]) > means[2] + 0.1
 
 
 def test_empty_corpus(spark):

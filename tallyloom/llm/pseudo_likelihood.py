@@ -121,30 +121,29 @@ class Network:
 
 def windows(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """(words, 2 * SIDE) ids around each word of texts laid end to end; SIZE stands for no word."""
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    begins = ends - np.repeat(lengths, lengths)
-    at = np.arange(len(ids))
+    # texts with room for no word between them
+    at = np.arange(len(ids)) + SIDE * (1 + np.repeat(np.arange(len(lengths)), lengths))
+    padded = np.full(len(ids) + SIDE * (len(lengths) + 1), SIZE, np.int64)
+    padded[at] = ids
     out = np.empty((len(ids), 2 * SIDE), np.int64)
     for k, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        to = at + step
-        inside = (to >= begins) & (to < ends)
-        out[:, k] = np.where(inside, ids[np.where(inside, to, 0)], SIZE)
+        out[:, k] = padded[at + step]
     return out
 
 
-def _soft(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax by rows, and the rows' log-sums."""
+def _soft(x: np.ndarray, shares: bool = True) -> tuple[np.ndarray | None, np.ndarray]:
+    """Softmax by rows, if asked for, and the rows' log-sums."""
     top = x.max(axis=1, keepdims=True)
     e = np.exp(x - top)
     total = e.sum(axis=1, keepdims=True)
-    return e / total, np.log(total[:, 0]) + top[:, 0]
+    return e / total if shares else None, np.log(total[:, 0]) + top[:, 0]
 
 
 def log_probs(net: Network, around: np.ndarray, ids: np.ndarray, gradient: Network | None = None) -> np.ndarray:
     """Of each word given its window; adds the gradient of their sum, if asked for."""
     hidden = np.tanh(sum(net.around[k][around[:, k]] for k in range(2 * SIDE)) + net.bias)
     group, word = ids // GROUPS, ids % GROUPS
-    p, log_sum = _soft(hidden @ net.group + net.group_bias)
+    p, log_sum = _soft(hidden @ net.group + net.group_bias, gradient is not None)
     n = np.arange(len(ids))
     out = (hidden * net.group.T[group]).sum(axis=1) + net.group_bias[group] - log_sum
     back = None
@@ -163,7 +162,7 @@ def log_probs(net: Network, around: np.ndarray, ids: np.ndarray, gradient: Netwo
             continue
         h, w = hidden[rows], word[rows]
         x = h @ net.word[g] + net.word_bias[g]
-        p, log_sum = _soft(x)
+        p, log_sum = _soft(x, gradient is not None)
         m = np.arange(len(rows))
         out[rows] += x[m, w] - log_sum
         if gradient is not None:

@@ -238,19 +238,26 @@ def closure(edges: DataFrame, depth: int = 32) -> DataFrame:
     return known.union(nodes.select("node", F.col("node").alias("ancestor")))
 
 
-def split_anchor(peptides: DataFrame, proteins: DataFrame, *, least: int = 4, most_hits: int = 50) -> DataFrame:
+def split_anchor(peptides: DataFrame, proteins: DataFrame, *, least: int = 4) -> DataFrame:
     """Peptides whose left part stands in one protein and right part in another: the most balanced split of each.
 
-    peptides: peptide; proteins: protein_id, sequence.  Result: peptide, split,
-    left_protein, right_protein.  As the operator's feature, of each part the
-    most_hits first proteins by id are looked at.
+    peptides: peptide; proteins: protein_id, sequence, either repeated or not.
+    Result: peptide, split, left_protein, right_protein, of equal splits the
+    first and of proteins the least ids.  Of each part the two proteins of the
+    least ids are all that is needed: two parts stand in different proteins if
+    and only if they have two ids between them.
     """
+
+    def least_two(rows: DataFrame, key: str) -> DataFrame:
+        order = Window.partitionBy(key).orderBy("protein_id")
+        return rows.select(key, "protein_id").distinct().withColumn("_n", F.row_number().over(order)).filter("_n <= 2").drop("_n")
+
     size = F.char_length("peptide")
     splits = peptides.filter(size >= 2 * least).select("peptide", F.explode(F.sequence(F.lit(least), size - least)).alias("split"))
     parts = splits.select(F.substring("peptide", F.lit(1), F.col("split")).alias("pattern")).union(splits.select(F.expr("substring(peptide, split + 1)"))).distinct()
-    texts = proteins.select(F.col("protein_id").alias("text_id"), F.col("sequence").alias("text"))
-    hits = pattern_join(parts.withColumn("pattern_id", F.col("pattern")), texts, seed=least, first=True)
-    ranked = hits.withColumn("_n", F.row_number().over(Window.partitionBy("pattern_id").orderBy("text_id"))).filter(F.col("_n") <= most_hits)
+    texts = proteins.select("protein_id", F.col("sequence").alias("text"), F.sha2("sequence", 256).alias("text_id"))
+    hits = pattern_join(parts.withColumn("pattern_id", F.col("pattern")), texts.select("text_id", "text").distinct(), seed=least, first=True)
+    ranked = least_two(hits.join(least_two(texts, "text_id"), "text_id"), "pattern_id").withColumnRenamed("protein_id", "text_id")
     left = ranked.select(F.col("pattern_id").alias("_left"), F.col("text_id").alias("left_protein"))
     right = ranked.select(F.col("pattern_id").alias("_right"), F.col("text_id").alias("right_protein"))
     rows = splits.withColumns({"_left": F.substring("peptide", F.lit(1), F.col("split")), "_right": F.expr("substring(peptide, split + 1)")})

@@ -111,8 +111,12 @@ def codon_mismatch_report(rows: DataFrame) -> DataFrame:
     return rows.withColumn("category", category).withColumn("needs_manual_review", F.col("category").isin("UNEXPLAINED_TRANSLATION_MISMATCH", "CODON_CHANGE_INCONSISTENT_WITH_VCF_ALLELES"))
 
 
-def progression_analysis(variants: DataFrame, samples: DataFrame, gene_sets: DataFrame) -> dict[str, DataFrame]:
-    """partition, genes, enrichment and contrasts of variants (sample, chrom, pos, ref, alt, gene, impact) by samples (subject, sample, baseline)."""
+def progression_analysis(variants: DataFrame, samples: DataFrame, gene_sets: DataFrame, background: DataFrame | None = None) -> dict[str, DataFrame]:
+    """partition, genes, enrichment and contrasts of variants (sample, chrom, pos, ref, alt, gene, impact) by samples (subject, sample, baseline).
+
+    background: gene, of the calls that a new variant is measured against; all
+    variants' genes without it.
+    """
     key = ["chrom", "pos", "ref", "alt"]
     rows = variants.join(samples, "sample")
     split = sets.baseline_partition(rows, "subject", key, "baseline")
@@ -124,7 +128,7 @@ def progression_analysis(variants: DataFrame, samples: DataFrame, gene_sets: Dat
     return {
         "partition": split,
         "genes": aggregates.progression_genes(new),
-        "enrichment": enrichment.over_representation(new.select("sample", "gene"), variants.select("gene"), gene_sets, keys=["sample"]),
+        "enrichment": enrichment.over_representation(new.select("sample", "gene"), (variants if background is None else background).select("gene"), gene_sets, keys=["sample"]),
         "contrasts": both.select("subject", "a", "b", *key, kind.alias("contrast")),
     }
 

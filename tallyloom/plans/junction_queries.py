@@ -1,6 +1,6 @@
-"""Peptides over junctions on the driver's tables, with SQL for DuckDB.
+"""Peptides over junctions and tests of variant sets on the driver's tables, with SQL for DuckDB.
 
-A part is a peptide: its name's words around its number in letters, once
+In the first a part is a peptide: its name's words around its number in letters, once
 forwards and once backwards.  A return flag is a sample.
 """
 
@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import junctions
-from tallyloom.plans.queries import query, table
+from tallyloom.operators import enrichment, junctions
+from tallyloom.plans import composites
+from tallyloom.plans.queries import query, rounded, table
 
 #: Both halves of each part's peptide, and the flags that it was sold under.
 _HALVES = """
@@ -142,3 +143,68 @@ UNION ALL SELECT pep, '', 'candidate row contains no splice FASTA header' FROM p
 )
 def splice_peptides_unresolved(spark, sf_dir):
     return _splice_peptides(spark, sf_dir)["unresolved"]
+
+
+# --- variant sets ----------------------------------------------------------------
+
+#: A segment is a subject, its statuses of orders samples (F the baseline), a part a gene, its brand a set.
+_VARIANT_SETS = """
+WITH held AS (SELECT DISTINCT c_mktsegment AS subject, o_orderstatus AS sample, l_partkey AS gene FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE l_quantity >= 49 AND o_orderstatus <> 'F'),
+design AS (SELECT subject, list_sort(list(DISTINCT sample)) AS everyone FROM held GROUP BY 1),
+each AS (SELECT subject, gene, list(sample) AS inside FROM held GROUP BY ALL),
+label AS (SELECT subject, 'common_all_progression' AS analysis, array_to_string(everyone, ',') AS members FROM design UNION ALL SELECT subject, s || kind, s FROM (SELECT subject, unnest(everyone) AS s FROM design), (VALUES ('_all'), ('_exclusive')) AS v(kind)),
+fore AS (SELECT l.subject, analysis, members, gene FROM label l JOIN each USING (subject) JOIN design USING (subject) WHERE CASE WHEN analysis LIKE 'common%' THEN len(inside) = len(everyone) WHEN ends_with(analysis, '_all') THEN list_contains(inside, members) ELSE inside = [members] END),
+u AS (SELECT p_partkey AS gene, p_brand AS term FROM part WHERE p_partkey % 7 > 0 AND p_size > 3),
+st AS (SELECT term, count(*) AS size FROM u GROUP BY 1 HAVING count(*) BETWEEN 3 AND 5000),
+dr AS (SELECT l.*, count(u.gene) AS drawn FROM label l LEFT JOIN fore USING (subject, analysis, members) LEFT JOIN u ON u.gene = fore.gene GROUP BY ALL),
+h AS (SELECT subject, analysis, term, count(*) AS overlap FROM fore JOIN u USING (gene) GROUP BY ALL),
+t AS (SELECT dr.*, st.term, size, coalesce(overlap, 0) AS overlap, (SELECT count(*) FROM u) AS total FROM dr CROSS JOIN st LEFT JOIN h ON h.subject = dr.subject AND h.analysis = dr.analysis AND h.term = st.term),
+p AS (SELECT *, least(1.0, list_sum(list_transform(range(greatest(overlap, drawn + size - total), least(drawn, size) + 1), lambda x: exp(lgamma(size + 1) - lgamma(x + 1) - lgamma(size - x + 1) + lgamma(total - size + 1) - lgamma(drawn - x + 1) - lgamma(total - size - drawn + x + 1) - lgamma(total + 1) + lgamma(drawn + 1) + lgamma(total - drawn + 1))))) AS p FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY subject, analysis ORDER BY p) AS k, count(*) OVER (PARTITION BY subject, analysis) AS m FROM p),
+q AS (SELECT *, least(1.0, min(p * m / k) OVER (PARTITION BY subject, analysis ORDER BY p, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS fdr FROM r)
+"""
+
+
+def _variant_sets(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_mktsegment").alias("subject"), F.col("o_orderstatus").alias("status"))
+    li = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    # a sample is of one subject
+    named = F.concat("subject", F.lit("/"), "status")
+    genes = li.select(named.alias("sample"), F.col("l_partkey").alias("gene"))
+    samples = o.select("subject", named.alias("sample"), (F.col("status") == "F").alias("baseline")).distinct()
+    parts = table(spark, sf_dir, "part")
+    universe = parts.filter("p_partkey % 7 > 0").select(F.col("p_partkey").alias("gene"))
+    sets = parts.filter("p_size > 3").select(F.col("p_partkey").alias("gene"), F.col("p_brand").alias("term"))
+    rows, summary = enrichment.variant_set_tests(genes, samples, universe, sets, smallest=3, largest=5000)
+    plain = lambda c: F.regexp_replace(c, "[A-Z]+/", "").alias(c)
+    return [df.withColumns({"analysis": plain("analysis"), "members": plain("members")}) for df in (rows, summary)]
+
+
+@query(_VARIANT_SETS + "SELECT subject, analysis, members, term, size, overlap, drawn, total, round(p, 6) AS p, round(fdr, 6) AS fdr FROM q")
+def variant_set_tests(spark, sf_dir):
+    return rounded(_variant_sets(spark, sf_dir)[0], "p", "fdr").select("subject", "analysis", "members", "term", "size", "overlap", "drawn", "total", "p", "fdr")
+
+
+@query(_VARIANT_SETS + "SELECT subject, analysis, members, drawn AS foreground, (SELECT count(*) FROM u) AS background, count(term) AS terms, count_if(fdr <= 0.1)::BIGINT AS significant FROM dr LEFT JOIN q USING (subject, analysis, members, drawn) GROUP BY ALL")
+def variant_set_summary(spark, sf_dir):
+    return _variant_sets(spark, sf_dir)[1]
+
+
+_BACKGROUND = """
+WITH v AS (SELECT DISTINCT l_returnflag AS sample, l_partkey AS pos, l_suppkey AS gene FROM lineitem),
+new AS (SELECT DISTINCT sample, gene FROM v WHERE sample <> 'N' AND pos NOT IN (SELECT pos FROM v WHERE sample = 'N')),
+u AS (SELECT s_suppkey AS gene, s_nationkey AS term FROM supplier WHERE s_acctbal > 0),
+f AS (SELECT sample, count(*) AS drawn FROM new JOIN u USING (gene) GROUP BY 1),
+h AS (SELECT sample, term, count(*) AS overlap FROM new JOIN u USING (gene) GROUP BY ALL),
+st AS (SELECT term, count(*) AS size FROM u GROUP BY 1)
+SELECT f.sample, st.term, size, coalesce(overlap, 0) AS overlap, drawn, (SELECT count(*) FROM u) AS total FROM f CROSS JOIN st LEFT JOIN h ON h.sample = f.sample AND h.term = st.term
+"""
+
+
+@query(_BACKGROUND)
+def progression_enrichment(spark, sf_dir):
+    v = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("sample"), F.lit("1").alias("chrom"), F.col("l_partkey").alias("pos"), F.lit("A").alias("ref"), F.lit("T").alias("alt"), F.col("l_suppkey").alias("gene"), F.lit("HIGH").alias("impact"))
+    samples = v.select(F.lit("T").alias("subject"), "sample", (F.col("sample") == "N").alias("baseline")).distinct()
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("gene"), F.col("s_nationkey").alias("term"), "s_acctbal")
+    out = composites.progression_analysis(v, samples, s.select("gene", "term"), s.filter("s_acctbal > 0").select("gene"))["enrichment"]
+    return out.select("sample", "term", "size", "overlap", "drawn", "total")

@@ -104,3 +104,18 @@ def test_splice_peptides_errors_and_empty(spark):
         splice(spark, one, [("S.fa", protein, "MAK")], [("S", "STRG.1.1", c, "+", 1, 9, "") for c in "12"])["detailed"].collect()
     out = splice(spark, [], [], [])
     assert all(df.collect() == [] for df in out.values())
+
+
+def test_variant_sets_without_genes(spark):
+    """A single follow-up has all three analyses alike; samples without genes and subjects without follow-ups have none; an empty analysis stays."""
+    from tallyloom.operators import enrichment
+
+    genes = spark.createDataFrame([("a", "g1"), ("a", "g1"), ("a", "gx"), ("b", "g1"), ("c", "g2"), ("z", "g3")], "sample string, gene string")
+    samples = spark.createDataFrame([("S", "a", False), ("T", "b", False), ("T", "c", False), ("T", "none", False), ("U", "z", True)], "subject string, sample string, baseline boolean")
+    universe = spark.createDataFrame([("g1",), ("g2",), ("g3",), ("alone",)], "gene string")
+    sets = spark.createDataFrame([("g1", "t"), ("g2", "t"), ("g3", "w"), ("gx", "w")], "gene string, term string")
+    rows, summary = enrichment.variant_set_tests(genes, samples, universe, sets, smallest=1)
+    got = {(r.subject, r.analysis): (r.members, r.foreground, r.background, r.terms) for r in summary.collect()}
+    assert got == {("S", "common_all_progression"): ("a", 1, 3, 2), ("S", "a_all"): ("a", 1, 3, 2), ("S", "a_exclusive"): ("a", 1, 3, 2), ("T", "common_all_progression"): ("b,c", 0, 3, 2), ("T", "b_all"): ("b", 1, 3, 2), ("T", "b_exclusive"): ("b", 1, 3, 2), ("T", "c_all"): ("c", 1, 3, 2), ("T", "c_exclusive"): ("c", 1, 3, 2)}
+    p = {(r.analysis, r.term): round(r.p, 6) for r in rows.filter("subject = 'T'").collect()}
+    assert p["common_all_progression", "t"] == p["common_all_progression", "w"] == 1 and p["b_all", "t"] == 0.666667

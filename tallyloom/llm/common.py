@@ -51,6 +51,7 @@ class Work:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.saved: list[DataFrame] = []
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -60,6 +61,7 @@ class Work:
         df.write.option("compression", compression).parquet(path := self.path(name))
         found = self.spark.read.schema(df.schema).parquet(path)
         found._work_path = path
+        self.saved.append(found)
         return found
 
     def drop(self, *tables: DataFrame) -> None:
@@ -68,6 +70,12 @@ class Work:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._work_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Deletes all saved tables but these: what a run's result still reads."""
+        paths = {df._work_path for df in tables}
+        self.drop(*(df for df in self.saved if df._work_path not in paths))
+        self.saved = list(tables)
+
 
 _WORKER: dict[Hashable, Any] = {}
 

@@ -10,10 +10,10 @@ confirmed on the full sets.
 No step makes all pairs of a group.  Documents of one set are one node.  In a
 band's bucket each node is compared with one pivot, and where components stay
 apart, those outside the largest with a few more.  The nodes that are then still
-outside their bucket's largest component are compared with all of it, in blocks,
-and with each other, so no link that would join two components is missed among
-the candidates.  In a bucket with many of the latter, pairs have to share one
-more band; a pair at exactly 0.8 lacks that with a chance of 2e-7.
+outside their bucket's largest component are compared with its nodes of such
+buckets, in blocks, and with each other, in squares of two parts of a bucket, so
+no link that would join two components is missed among the candidates, however
+many a bucket holds.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ TURNS = 3
 BLOCK, INSIDE = 32, 2000
 #: Pairs of one node that are compared in one task; with more, its set goes to several.
 HOT_PAIRS = 1000
-#: Leftovers of a bucket that are paired as they are; more have to share another band.
-FEW = 64
+#: Leftovers of a bucket in one part; each two parts of a bucket meet in a task of their own.
+PART = 1000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -305,15 +305,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, like: Similarity | Non
         if not found.isEmpty():
             labels = work.save(renamed(labels, merged(found)), "labels")
 
-    # nodes outside their bucket's largest component against all of that component: blocks of sets against its nodes
+    # nodes outside their bucket's largest component against its nodes of open buckets: blocks of sets against nodes
     rest = work.save(named.join(mains.select("bucket", "main"), "bucket").filter("component <> main"), "rest")
     if rest.isEmpty():
+        work.keep(features, classes, labels)
         return _result(features, reps, labels)
     full = nodes.join(sets, "node")
     asked = rest.select("main", "node").distinct()
     asked = asked.join(asked.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks")), "main").withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks"))).drop("_blocks").join(full, "node")
     blocks = asked.groupBy("main", "block").agg(F.collect_list(F.struct("node", "n", "sketch", "shingles")).alias("block_sets"))
-    whole = labels.join(mains.select(F.col("main").alias("component")).distinct(), "component", "left_semi").withColumnRenamed("component", "main")
+    whole = work.save(named.join(mains.select("bucket", "main"), "bucket").join(asked.select("main").distinct(), "main", "left_semi").filter("component = main").select("main", "node").distinct(), "whole")
     parts = whole.groupBy("main").agg(F.ceil(F.count("*") / INSIDE).alias("_parts"))
     whole = whole.join(parts, "main").withColumn("part", F.pmod(F.xxhash64("node"), F.col("_parts"))).drop("_parts").join(full, "node")
     blocks = blocks.join(parts, "main").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
@@ -322,20 +323,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, like: Similarity | Non
     names = merged(found)
     labels, rest = work.save(renamed(labels, names), "labels"), work.save(renamed(rest, names), "rest")
 
-    # and against each other, where they share a bucket; in a bucket of many, one more band
-    sizes = rest.groupBy("bucket").agg(F.count("*").alias("_left"), F.min("component").alias("_one"), F.max("component").alias("_other")).filter("_one <> _other").select("bucket", "_left")
-    rows = rest.join(sizes, "bucket").select("bucket", "node", "component", "_left").join(classes.select("node", "n", "sketch", "bands"), "node")
-    few = rows.filter(F.col("_left") <= FEW).withColumn("band", F.lit(0).cast("long"))
-    many = rows.filter(F.col("_left") > FEW).withColumn("band", F.explode("bands")).filter("band <> bucket")
-    rows = few.unionByName(many)
+    # and against each other, where they share a bucket: each two of its parts are a key of their own
+    sizes = rest.groupBy("bucket").agg(F.ceil(F.count("*") / PART).alias("_parts"), F.min("component").alias("_one"), F.max("component").alias("_other")).filter("_one <> _other").select("bucket", "_parts")
+    rows = rest.join(sizes, "bucket").select("bucket", "node", "component", "_parts").join(classes.select("node", "n", "sketch", "bands"), "node")
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("node"), F.col("_parts"))).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    rows = rows.withColumns({"low": F.least("_part", "_other"), "high": F.greatest("_part", "_other")})
     x, y = rows.alias("x"), rows.alias("y")
     # a pair that no main held is left over in all buckets that it shares, so it is taken in the first of them, once
-    shared = F.array_sort(F.array_intersect("x.bands", "y.bands"))
-    once = (F.get(shared, F.lit(0)) == F.col("x.bucket")) & ((F.col("x.band") == 0) | (F.get(shared, F.lit(1)) == F.col("x.band")))
-    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _close(like, _of("x"), _of("y")) & once)
+    first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
+    # two of one part would meet in each of its squares; they are taken in the part's own
+    own = (F.col("x._part") != F.col("y._part")) | (F.col("x.low") == F.col("x.high"))
+    same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    pairs = x.join(y, same & (F.col("x.node") < F.col("y.node")) & own & (F.col("x.component") != F.col("y.component")) & _close(like, _of("x"), _of("y")) & first)
     found = linked(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     if not found.isEmpty():
         labels = work.save(renamed(labels, merged(found)), "labels")
+    work.keep(features, classes, labels)
     return _result(features, reps, labels)
 
 

@@ -60,10 +60,10 @@ def test_empty(spark):
     check(spark, [(1, None), (2, "")])
 
 
-@pytest.mark.parametrize("width,turns,few", [(2, 3, 64), (5, 0, 64), (5, 0, 2)])
-def test_groups_at_the_threshold(spark, monkeypatch, width, turns, few):
+@pytest.mark.parametrize("width,turns,part", [(2, 3, 1000), (5, 0, 1000), (5, 0, 7)])
+def test_groups_at_the_threshold(spark, monkeypatch, width, turns, part):
     monkeypatch.setattr(near_dups, "TURNS", turns)
-    monkeypatch.setattr(near_dups, "FEW", few)
+    monkeypatch.setattr(near_dups, "PART", part)
     monkeypatch.setattr(near_dups, "HOT_PAIRS", 20)
     monkeypatch.setattr(near_dups, "INSIDE", 25)
     rng = random.Random(width)
@@ -79,6 +79,38 @@ def test_groups_at_the_threshold(spark, monkeypatch, width, turns, few):
     check(spark, rows, width)
 
 
+@pytest.mark.parametrize("groups,part", [(50, 1000), (500, 20)])
+def test_many_leftovers_of_one_bucket_lose_no_link(spark, monkeypatch, groups, part):
+    """Pairs that share a long passage with all others and are near each other alone."""
+    monkeypatch.setattr(near_dups, "TURNS", 0)
+    monkeypatch.setattr(near_dups, "PART", part)
+    rng = random.Random(groups)
+    common = [f"c{i}" for i in range(90)]
+    rows = []
+    for g in range(groups):
+        own = [f"g{g}w{i}" for i in range(60)]
+        for k in range(2):
+            words = common + own
+            for _ in range(rng.randrange(3)):
+                words[90 + rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            rows.append((g * 2 + k, " ".join(words)))
+    rng.shuffle(rows)
+    check(spark, rows, 5)
+
+
+def test_a_run_keeps_only_what_its_result_reads(spark):
+    import os
+
+    from tallyloom.llm.common import shared_dir
+
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    rows = [(i, " ".join(f"w{j}" for j in range(20 + i % 3))) for i in range(30)]
+    check(spark, rows)
+    (run,) = (d for d in set(os.listdir(root)) - before if d.startswith("near-dups-"))
+    assert sorted(d.split("-", 1)[1] for d in os.listdir(f"{root}/{run}")) == ["classes", "features", "labels"]
+
+
 def test_sketches_tell_similarity():
     import numpy as np
 

@@ -68,13 +68,16 @@ def classified_reads(reads: DataFrame, variants: DataFrame, *, width: int = 1024
 ALLELE = ["sample", "chrom", "pos", "ref", "alt"]
 
 
-def variant_codon_validation(variants: DataFrame, reads: DataFrame, annotations: DataFrame, genome: DataFrame, *, min_alt: int = 3, min_fraction: float = 0.05) -> DataFrame:
+def variant_codon_validation(variants: DataFrame, reads: DataFrame, annotations: DataFrame, genome: DataFrame, *, min_alt: int = 3, min_fraction: float = 0.05, chunk: int = 65536) -> DataFrame:
     """One row per variant and annotation with read counts, codon status, failure codes and overall status.
 
-    annotations: ALLELE and codons, amino_acids, consequence, transcript.
+    annotations: ALLELE and codons, amino_acids, consequence, transcript; their
+    contigs may be named with or without ``chr``.  genome is in pieces of chunk
+    bases.
     """
+    annotations = annotations.withColumn("chrom", alleles.norm_chrom(F.col("chrom")))
     reads_by = read_counts(classified_reads(reads, variants))
-    rows = joins.genome_slice(variants.withColumn("length", F.char_length("ref")), genome).drop("length").withColumn("chrom", alleles.norm_chrom(F.col("chrom")))
+    rows = joins.genome_slice(variants.withColumn("length", F.char_length("ref")), genome, chunk).drop("length").withColumn("chrom", alleles.norm_chrom(F.col("chrom")))
     rows = rows.join(reads_by, ALLELE, "left").na.fill(0, ["alt_reads", "ref_reads", "excluded_reads"]).join(annotations, ALLELE, "left")
     codon = rules.codon_status(F.col("codons"), F.col("amino_acids"), F.col("consequence"))
     kind = alleles.allele_type(F.col("ref"), F.col("alt"))

@@ -68,8 +68,13 @@ def _least_quality(qual: Column, size: Column) -> Column:
     return F.when((F.char_length(qual) < size) | (qual == "*"), -1).otherwise(F.coalesce(least, F.lit(-1)))
 
 
+def _numbers(letters: Column) -> Column:
+    """``Q;Q`` of Phred+33 letters."""
+    return F.array_join(F.transform(F.filter(F.split(letters, ""), lambda c: c != ""), lambda c: (F.ascii(c) - 33).cast("string")), ";")
+
+
 def span(parts: Column, seq: Column, qual: Column, pos: Column, size: Column) -> Column:
-    """struct(covered, one, bases, quality) of the read over [pos, pos + size): whether aligned blocks cover it, whether one does, its bases and least quality.
+    """struct(covered, one, bases, letters, quality) of the read over [pos, pos + size): whether aligned blocks cover it, whether one does, its bases, their quality letters and the least of these.
 
     A sequence that ends before its CIGAR does covers nothing there.
     """
@@ -80,8 +85,9 @@ def span(parts: Column, seq: Column, qual: Column, pos: Column, size: Column) ->
     one = F.try_element_at(F.filter(m, lambda b: (b["ref"] <= pos) & (b["ref"] + b["len"] - 1 >= end)), F.lit(1))
     at = (one["read"] + (pos - one["ref"]) + 1).cast("int")
     bases = F.substring(seq, at, size.cast("int"))
-    quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, at, size.cast("int")), size))
-    return F.struct((reach >= size).alias("covered"), F.coalesce(one.isNotNull() & (F.char_length(bases) == size), F.lit(False)).alias("one"), bases.alias("bases"), quality.alias("quality"))
+    letters = F.when(qual == "*", "").otherwise(F.substring(qual, at, size.cast("int")))
+    quality = _least_quality(letters, size)
+    return F.struct((reach >= size).alias("covered"), F.coalesce(one.isNotNull() & (F.char_length(bases) == size), F.lit(False)).alias("one"), bases.alias("bases"), letters.alias("letters"), quality.alias("quality"))
 
 
 def with_read_class(df: DataFrame, out: str, *, flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Column, start: Column, pos: Column, ref: Column, alt: Column, min_mapq: int = 20, min_baseq: int = 20) -> DataFrame:
@@ -93,11 +99,13 @@ def with_read_class(df: DataFrame, out: str, *, flag: Column, mapq: Column, ciga
 
 
 def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Column, start: Column, pos: Column, ref: Column, alt: Column, min_mapq: int = 20, min_baseq: int = 20, *, parts: Column | None = None, shared: Column | None = None) -> Column:
-    """struct(class, reason): EXACT_ALT, CLEAN_REFERENCE or EXCLUDED, and why.
+    """struct(class, reason, observed, quality): EXACT_ALT, CLEAN_REFERENCE or EXCLUDED, why, what the read shows, qualities of that as ``Q;Q``.
 
     A substitution needs all of its bases in one aligned block; an insertion
     its anchor and exactly the inserted bases behind it; a deletion what it
     keeps in front and exactly the deleted gap.  A null field counts as missing.
+    observed and quality are empty where the read shows nothing at the allele; a
+    deletion is seen as ``first-last``, with the qualities of what is kept.
     parts and shared: blocks and the span of the shorter allele, if at hand.
     """
     ref, alt, seq = F.upper(ref), F.upper(alt), F.upper(seq)
@@ -105,11 +113,13 @@ def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Col
     n_ref, n_alt = F.char_length(ref), F.char_length(alt)
     shared = span(parts, seq, qual, pos, F.least(n_ref, n_alt)) if shared is None else shared
 
-    def out(kind: str, reason: str) -> Column:
-        return F.struct(F.lit(kind).alias("class"), F.lit(reason).alias("reason"))
+    nothing = F.lit("")
+
+    def out(kind: str, reason: str, observed: Column = nothing, quality: Column = nothing) -> Column:
+        return F.struct(F.lit(kind).alias("class"), F.lit(reason).alias("reason"), observed.alias("observed"), quality.alias("quality"))
 
-    def no(reason: str) -> Column:
-        return out("EXCLUDED", reason)
+    def no(reason: str, observed: Column = nothing, quality: Column = nothing) -> Column:
+        return out("EXCLUDED", reason, observed, quality)
 
     cases: list[tuple[Column, Column]] = [(flag.isNull() | start.isNull(), no("MALFORMED_SAM_RECORD"))]
     cases += [(flag.bitwiseAND(F.lit(mask)) != 0, no(reason)) for mask, reason in EXCLUDING_FLAGS]
@@ -124,43 +134,50 @@ def read_class(flag: Column, mapq: Column, cigar: Column, seq: Column, qual: Col
         covered, one, bases, quality = (over[x] for x in ("covered", "one", "bases", "quality"))
         return [(when & ~covered, no("DOES_NOT_SPAN_COMPLETE_ALLELE")), (when & ~one, no("ALLELE_NOT_CONTIGUOUSLY_ALIGNED")), (when & (quality < min_baseq), no("LOW_ALLELE_BASE_QUALITY"))], bases
 
+    kept = _numbers(shared["letters"])
     # substitutions
     sub = n_ref == n_alt
     checks, bases = spanned(sub, shared)
-    cases += [*checks, (sub & (bases == alt), out("EXACT_ALT", "EXACT_SUBSTITUTION")), (sub & (bases == ref), out("CLEAN_REFERENCE", "EXACT_REFERENCE_HAPLOTYPE")), (sub, no("OTHER_ALLELE"))]
+    cases += [*checks, (sub & (bases == alt), out("EXACT_ALT", "EXACT_SUBSTITUTION", bases, kept)), (sub & (bases == ref), out("CLEAN_REFERENCE", "EXACT_REFERENCE_HAPLOTYPE", bases, kept)), (sub, no("OTHER_ALLELE", bases, kept))]
     # insertions behind the anchor
     ins = (n_alt > n_ref) & alt.startswith(ref)
     checks, bases = spanned(ins, shared)
     behind = pos + n_ref
     inserted = F.filter(parts, lambda b: (b["op"] == "I") & (b["ref"] == behind))
     exact = F.try_element_at(F.filter(inserted, lambda b: F.substring(seq, b["read"] + 1, b["len"]) == F.substring(alt, n_ref + 1, n_alt - n_ref)), F.lit(1))
-    exact_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, exact["read"] + 1, exact["len"]), exact["len"]))
+    exact_letters = F.when(qual == "*", "").otherwise(F.substring(qual, exact["read"] + 1, exact["len"]))
+    exact_quality = _least_quality(exact_letters, exact["len"])
+    added, seen = F.substring(alt, n_ref + 1, n_alt - n_ref), F.array_join(F.transform(inserted, lambda b: F.substring(seq, b["read"] + 1, b["len"])), ";")
     one = span(parts, seq, qual, pos, n_ref + 1)["one"]
     next_block = F.try_element_at(F.filter(aligned(parts), lambda b: (b["ref"] <= behind) & (b["ref"] + b["len"] - 1 >= behind)), F.lit(1))
-    next_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, (next_block["read"] + (behind - next_block["ref"]) + 1).cast("int"), F.lit(1)), F.lit(1)))
+    next_at = (next_block["read"] + (behind - next_block["ref"]) + 1).cast("int")
+    next_quality = F.when(qual == "*", -1).otherwise(_least_quality(F.substring(qual, next_at, F.lit(1)), F.lit(1)))
+    next_number = next_quality.cast("string")
     cases += [
         *checks,
-        (ins & (bases != ref), no("OTHER_ANCHOR_ALLELE")),
-        (ins & exact.isNotNull() & (exact_quality < min_baseq), no("LOW_INSERTION_BASE_QUALITY")),
-        (ins & exact.isNotNull(), out("EXACT_ALT", "EXACT_INSERTION")),
-        (ins & (F.size(inserted) > 0), no("OTHER_INSERTION_AT_BREAKPOINT")),
+        (ins & (bases != ref), no("OTHER_ANCHOR_ALLELE", bases, kept)),
+        (ins & exact.isNotNull() & (exact_quality < min_baseq), no("LOW_INSERTION_BASE_QUALITY", added, _numbers(exact_letters))),
+        (ins & exact.isNotNull(), out("EXACT_ALT", "EXACT_INSERTION", added, _numbers(exact_letters))),
+        (ins & (F.size(inserted) > 0), no("OTHER_INSERTION_AT_BREAKPOINT", seen)),
         (ins & next_block.isNull(), no("DOES_NOT_SPAN_BOTH_SIDES_OF_INSERTION")),
         (ins & ~one, no("INSERTION_BREAKPOINT_NOT_CONTIGUOUSLY_ALIGNED")),
-        (ins & (next_quality < min_baseq), no("LOW_BREAKPOINT_BASE_QUALITY")),
-        (ins, out("CLEAN_REFERENCE", "REFERENCE_CONTIGUOUS_ACROSS_INSERTION_BREAKPOINT")),
+        (ins & (next_quality < min_baseq), no("LOW_BREAKPOINT_BASE_QUALITY", F.substring(seq, next_at, F.lit(1)), next_number)),
+        (ins, out("CLEAN_REFERENCE", "REFERENCE_CONTIGUOUS_ACROSS_INSERTION_BREAKPOINT", ref, F.concat_ws(";", kept, next_number))),
     ]
     # deletions behind what is kept
     gone = (n_ref > n_alt) & ref.startswith(alt)
     checks, bases = spanned(gone, shared)
     first, last = pos + n_alt, pos + n_ref - 1
     gaps = F.filter(parts, lambda b: b["op"] == "D")
-    cases += [*checks, (gone & (bases != alt), no("OTHER_ANCHOR_ALLELE"))]
+    cases += [*checks, (gone & (bases != alt), no("OTHER_ANCHOR_ALLELE", bases, kept))]
     cases += [
-        (gone & F.exists(gaps, lambda b: (b["ref"] == first) & (b["ref"] + b["len"] - 1 == last)), out("EXACT_ALT", "EXACT_DELETION")),
+        (gone & F.exists(gaps, lambda b: (b["ref"] == first) & (b["ref"] + b["len"] - 1 == last)), out("EXACT_ALT", "EXACT_DELETION", F.concat_ws("-", first, last), kept)),
         (gone & F.exists(gaps, lambda b: (b["ref"] <= last) & (b["ref"] + b["len"] - 1 >= first)), no("OTHER_DELETION_AT_BREAKPOINT")),
     ]
-    checks, bases = spanned(gone, span(parts, seq, qual, pos, n_ref))
-    cases += [*checks, (gone & (bases == ref), out("CLEAN_REFERENCE", "EXACT_REFERENCE_HAPLOTYPE")), (gone, no("OTHER_ALLELE"))]
+    whole = span(parts, seq, qual, pos, n_ref)
+    checks, bases = spanned(gone, whole)
+    over = _numbers(whole["letters"])
+    cases += [*checks, (gone & (bases == ref), out("CLEAN_REFERENCE", "EXACT_REFERENCE_HAPLOTYPE", bases, over)), (gone, no("OTHER_ALLELE", bases, over))]
     found = F.when(*cases[0])
     for condition, value in cases[1:]:
         found = found.when(condition, value)

@@ -47,7 +47,7 @@ def rna_splice_validation(exons: DataFrame, reads: DataFrame, min_reads: int = 3
 
 
 def classified_reads(reads: DataFrame, variants: DataFrame, *, width: int = 1024, min_mapq: int = 20, min_baseq: int = 20, pad: int = 0, across: bool = False) -> DataFrame:
-    """reads that overlap a variant of their sample, with class and reason; a read of one name, flag, place and CIGAR counts once.
+    """reads that overlap a variant of their sample, with class, reason, observed and base_quality (of its first base); a read of one name, flag, place and CIGAR counts once.
 
     reads: sample, qname, flag, rname, pos, mapq, cigar, seq, qual; variants:
     sample, chrom, pos, ref, alt.  across: every sample's reads meet every
@@ -61,7 +61,8 @@ def classified_reads(reads: DataFrame, variants: DataFrame, *, width: int = 1024
     rows = both.select(F.col("r.sample").alias("sample"), F.col("l.sample").alias("bam"), F.col("l.chrom").alias("chrom"), F.col("r.start").alias("pos"), "r.ref", "r.alt", "l.qname", "l.flag", F.col("l.start").alias("read_start"), "l.cigar", "l.mapq", "l.seq", "l.qual")
     fields = {c: F.col(c) for c in ("flag", "mapq", "cigar", "seq", "qual", "pos", "ref", "alt")}
     rows = cigar.with_read_class(rows, "k", start=F.col("read_start"), min_mapq=min_mapq, min_baseq=min_baseq, **fields)
-    rows = rows.select("*", "k.class", "k.reason").drop("k", "seq", "qual", *([] if across else ["bam", "mapq"]))
+    first = F.split_part("k.quality", F.lit(";"), F.lit(1)).try_cast("int")
+    rows = rows.select("*", "k.class", "k.reason", "k.observed", F.when(first >= 0, first).alias("base_quality")).drop("k", "seq", "qual", *([] if across else ["bam", "mapq"]))
     return rows.dropDuplicates(["sample", *(["bam"] if across else []), "chrom", "pos", "ref", "alt", "qname", "flag", "read_start", "cigar"])
 
 
@@ -251,7 +252,7 @@ def proteogenomic_read_validation(reads: DataFrame, variants: DataFrame, feature
 
     Every sample's reads around every event are looked at.
     """
-    rows = classified_reads(reads, variants, pad=pad, width=width, across=True).withColumn("base_quality", F.lit(None).cast("double"))
+    rows = classified_reads(reads, variants, pad=pad, width=width, across=True)
     keys = [*ALLELE, "bam"]
     places = variants.select(alleles.norm_chrom(F.col("chrom")).alias("chrom"), F.col("pos").alias("start"), F.col("pos").alias("end")).distinct()
     known = features.select(alleles.norm_chrom(F.col("chrom")).alias("chrom"), "start", "end", "gene")

@@ -86,6 +86,22 @@ def variant_codon_validation(spark, sf_dir):
     return rows.select(*composites.ALLELE, "transcript", "alt_reads", "ref_reads", "excluded_reads", "genome_status", "read_status", "codon_status", F.array_join("failure_codes", ";").alias("codes"), "primary_failure", "overall_status")
 
 
+_AROUND = _PLACED.format(pad=150).replace("JOIN r ON v.sample = r.sample AND", "JOIN r ON").replace("r.* EXCLUDE (sample)", "r.* RENAME (sample AS bam)")
+
+
+@query(
+    _AROUND
+    + """, g AS (SELECT sample, chrom, pos, ref, alt, bam, count_if(class = 'CLEAN_REFERENCE')::BIGINT AS ref_reads, count_if(class = 'EXACT_ALT')::BIGINT AS alt_reads, count_if(class = 'EXCLUDED')::BIGINT AS other_reads, count_if(class = 'EXACT_ALT' AND flag & 16 = 0)::BIGINT AS alt_forward, count_if(class = 'EXACT_ALT' AND flag & 16 <> 0)::BIGINT AS alt_reverse,
+  count_if(class = 'EXACT_ALT' AND flag & 64 <> 0)::BIGINT AS alt_r1, count_if(class = 'EXACT_ALT' AND flag & 192 = 128)::BIGINT AS alt_r2, round(avg(mapq), 6) AS mean_mapq, avg(CASE WHEN flag < 1024 AND mapq >= 20 AND place IS NOT NULL THEN 40 END) AS mean_base_quality FROM k GROUP BY ALL)
+SELECT g.*, round(alt_reads::DOUBLE / nullif(alt_reads + ref_reads, 0), 6) AS alt_fraction, (SELECT count(*) FROM part WHERE p_partkey * 100 + p_size <= pos AND p_partkey * 100 + p_size + 99 >= pos)::BIGINT AS features FROM g"""
+)
+def proteogenomic_read_validation(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    features = table(spark, sf_dir, "part").select(F.lit("chr1").alias("chrom"), (k * 100 + s).alias("start"), (k * 100 + s + 99).alias("end"), k.alias("gene"))
+    n = composites.proteogenomic_read_validation(_placed_reads(spark, sf_dir), _placed_variants(spark, sf_dir), features)[0]
+    return rounded(n, "mean_mapq", "alt_fraction")
+
+
 @query(f"SELECT p_partkey, category, category IN ('UNEXPLAINED_TRANSLATION_MISMATCH', 'CODON_CHANGE_INCONSISTENT_WITH_VCF_ALLELES') AS needs_manual_review FROM ({ORACLE['codon_mismatches']})")
 def codon_mismatch_report(spark, sf_dir):
     ref, alt, ref_aa, alt_aa = _codons()

@@ -108,7 +108,8 @@ def test_reads_of_all_samples_around_an_event(spark):
     got = {r.bam: r for r in n.collect()}
     assert (got["S1"].ref_reads, got["S1"].alt_reads, got["S1"].other_reads, got["S1"].features) == (1, 0, 0, 1)
     assert (got["S2"].ref_reads, got["S2"].alt_reads, got["S2"].other_reads, got["S2"].alt_reverse, got["S2"].alt_r1, got["S2"].alt_fraction) == (0, 1, 1, 1, 1, 1.0)
-    assert rows.count() == 3
+    assert rows.count() == 3 and {r.qname: (r.observed, r.base_quality) for r in rows.collect()} == {"q1": ("C", 40), "q2": ("G", 40), "q3": ("", None)}
+    assert {r.mean_base_quality for r in n.collect()} == {40.0}
 
 
 def test_splice_junctions_by_strand(spark):

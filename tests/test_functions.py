@@ -43,6 +43,10 @@ def test_read_classes(spark):
     got = {r.i: (r.c["class"], r.c["reason"]) for r in df.select("i", cigar.read_class(*[F.col(c) for c in df.columns[1:]]).alias("c")).collect()}
     for i, (*_, kind, reason) in enumerate(READS):
         assert got[i] == (kind, reason), READS[i]
+    few = [("10M", "ACGTACGTAC", "ABCDEFGHIJ", 101, "CG", "TT"), ("3M2I5M", "ACGTTACGTA", "ABCDEFGHIJ", 102, "G", "GTT"), ("3M2I5M", "ACGTTACGTA", "ABCDEFGHIJ", 102, "G", "GA"), ("10M", "ACGTACGTAC", "ABCDEFGHIJ", 102, "G", "GA"), ("10M", "ACGTACGTAC", "ABCD!FGHIJ", 103, "T", "TA"), ("3M2D7M", "ACGTACGTAC", "ABCDEFGHIJ", 102, "GAA", "G"), ("10M", "ACGTACGTAC", "ABCDEFGHIJ", 102, "GTA", "G"), ("10M", "ACGTACGTAC", "ABCDEFGHIJ", 102, "GTC", "G"), ("3M20N7M", "ACGTACGTAC", "ABCDEFGHIJ", 110, "G", "T")]
+    seen = spark.createDataFrame([(i, 0, 60, c, s, q, 100, p, r, a) for i, (c, s, q, p, r, a) in enumerate(few)], df.schema)
+    shown = {r.i: (r.c["class"], r.c["observed"], r.c["quality"]) for r in seen.select("i", cigar.read_class(*[F.col(c) for c in df.columns[1:]]).alias("c")).collect()}
+    assert [shown[i] for i in range(len(few))] == [("CLEAN_REFERENCE", "CG", "33;34"), ("EXACT_ALT", "TT", "35;36"), ("EXCLUDED", "TT", ""), ("CLEAN_REFERENCE", "G", "34;35"), ("EXCLUDED", "A", "0"), ("EXACT_ALT", "103-104", "34"), ("CLEAN_REFERENCE", "GTA", "34;35;36"), ("EXCLUDED", "GTA", "34;35;36"), ("EXCLUDED", "", "")]
     assert [got[100 + i][1] for i in range(8)] == ["UNMAPPED", "SECONDARY", "SUPPLEMENTARY", "DUPLICATE_FLAG", "QC_FAIL", "LOW_MAPQ", "LOW_ALLELE_BASE_QUALITY", "LOW_ALLELE_BASE_QUALITY"]
 
 

@@ -318,7 +318,7 @@ def stage_inventory(spark, sf_dir):
     return reports.stage_inventory(r, ["file"])
 
 
-@query("SELECT c_custkey AS sample, count_if(o_orderstatus = 'O')::BIGINT AS \"O\", count_if(o_orderstatus = 'F')::BIGINT AS \"F\" FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
+@query("SELECT c_custkey AS sample, count(*) FILTER (o_orderstatus = 'O') AS \"O\", count(*) FILTER (o_orderstatus = 'F') AS \"F\" FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
 def comparative_matrix(spark, sf_dir):
     n = table(spark, sf_dir, "orders").groupBy(_c("o_custkey").alias("sample"), _c("o_orderstatus").alias("stage")).agg(F.count("*").alias("n"))
     return reports.comparative_matrix(n, table(spark, sf_dir, "customer").select(_c("c_custkey").alias("sample")), ["O", "F"])

@@ -20,9 +20,11 @@ def merge_intervals(df: DataFrame, keys: list[str], touch: int = 1) -> DataFrame
     """keys, start, end, n of merged closed intervals; those up to touch apart are one."""
     order = Window.partitionBy(*keys).orderBy("start", "end")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("_new", F.when(F.col("start") > F.max("end").over(before) + touch, 1).when(F.max("end").over(before).isNull(), 1).otherwise(0))
+    # each interval once, so that the order has no ties
+    rows = df.groupBy(*keys, "start", "end").agg(F.count("*").alias("_rows"))
+    rows = rows.withColumn("_new", F.when(F.col("start") > F.max("end").over(before) + touch, 1).when(F.max("end").over(before).isNull(), 1).otherwise(0))
     rows = rows.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_island")
+    return rows.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("_rows").alias("n")).drop("_island")
 
 
 def exon_junctions(exons: DataFrame, *, by_strand: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import sequences
+from tallyloom.functions.lineage import checkpointed
 from tallyloom.operators import evidence, joins, rules, windows
 
 #: What is reported of a fusion's calls.
@@ -55,11 +56,13 @@ def junction_peptides(peptides: DataFrame, proteins: DataFrame, calls: DataFrame
     rows = peptides.withColumn("sequence", F.upper(F.trim("sequence"))).filter("sequence <> ''").withColumn("_pattern", sequences.normalize_sequence(F.col("sequence"), merge_il))
     kept = (F.col("role") == "CANONICAL") | (F.contains(F.upper("header"), F.concat(F.lit("|"), F.col("role"), F.lit("|"))) & ~((F.col("role") == "SPLICE") & F.contains(F.upper("header"), F.lit("|FUSION|"))))
     known = proteins.filter(kept).select("role", "file", "header", sequences.normalize_sequence(F.col("sequence"), merge_il).alias("text")).filter("text <> ''").withColumn("text_id", F.sha2("text", 256))
+    # proteins and hits are read by many branches: each is made once
+    known = checkpointed(known)
     # a sequence that many samples share is searched once
     patterns = rows.select(F.col("_pattern").alias("pattern_id"), F.col("_pattern").alias("pattern")).distinct()
     found = joins.pattern_join(patterns, known.select("text_id", "text").distinct())
     places = found.withColumnRenamed("pattern_id", "_pattern").groupBy("_pattern", "text_id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("position")).alias("starts"))
-    hits = places.join(known.drop("text"), "text_id").withColumns({"sample": sequences.header_sample(F.col("header")), "genes": fusion_genes(F.col("header"))})
+    hits = checkpointed(places.join(known.drop("text"), "text_id")).withColumns({"sample": sequences.header_sample(F.col("header")), "genes": fusion_genes(F.col("header"))})
 
     canonical = hits.filter("role = 'CANONICAL'").groupBy("_pattern").agg(F.sum("n").alias("canonical_matches"))
     novel = hits.filter("role <> 'CANONICAL'").withColumnRenamed("role", "class")
@@ -72,7 +75,7 @@ def junction_peptides(peptides: DataFrame, proteins: DataFrame, calls: DataFrame
     shown = windows.cap_per_group(shown.drop("rank").withColumn("start", F.explode("starts")), ["_pattern", "class"], ["file", "header", "start"], most_headers)
     span = F.concat(first_word(F.col("header")), F.lit(":"), "start", F.lit("-"), F.col("start") + F.char_length("_pattern") - 1)
     lists = shown.groupBy("_pattern", "class").agg(F.array_sort(F.collect_list(F.struct("rank", "header", span.alias("place")))).alias("_shown"))
-    of_class = totals.join(lists, ["_pattern", "class"]).join(canonical, "_pattern", "left").na.fill(0, ["canonical_matches"])
+    of_class = checkpointed(totals.join(lists, ["_pattern", "class"]).join(canonical, "_pattern", "left").na.fill(0, ["canonical_matches"]))
 
     asked = of_class.filter("canonical_matches = 0").select(F.col("_pattern").alias("peptide")).distinct()
     splits = joins.split_anchor(asked, known.filter("role = 'CANONICAL'").select(F.col("header").alias("protein_id"), F.col("text").alias("sequence")), least=least)

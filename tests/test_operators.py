@@ -308,3 +308,27 @@ def test_pileup_counts(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", pileup_counts(F.col("t"), F.lit("g")).alias("n")).collect()
     for r in rows:
         assert r.n == pileup(texts[r.i] or "", "g"), texts[r.i]
+
+
+def test_split_parts_meet_texts_whole(spark, monkeypatch):
+    """Peptides that share their first and last letters: parts go on where they stand, not wherever their first letters do."""
+    kept = []
+    wanted = joins._by_seeds
+
+    def seen(patterns, texts, seed, sizes):
+        kept.append((seed, sizes))
+        return wanted(patterns, texts, seed, sizes)
+
+    monkeypatch.setattr(joins, "_by_seeds", seen)
+    rows = [("AAAA" + f"{k:04d}".translate(str.maketrans("0123456789", "CDEFGHKMNP")) + "WWWW") for k in range(50)]
+    peptides = spark.createDataFrame([(x,) for x in rows], "peptide string")
+    proteins = spark.createDataFrame([(f"L{k}", "M" + x[:8]) for k, x in enumerate(rows)] + [(f"R{k}", x[8:] + "K" + x[6:] * (k % 2)) for k, x in enumerate(rows)], "protein_id string, sequence string")
+    got = {r.peptide: (r.split, r.left_protein, r.right_protein) for r in joins.split_anchor(peptides, proteins).collect()}
+    texts = [(r.protein_id, r.sequence) for r in proteins.collect()]
+    for x in rows:
+        found = []
+        for k in range(4, len(x) - 3):
+            a, b = (sorted(i for i, t in texts if part in t)[:2] for part in (x[:k], x[k:]))
+            found += [(-min(k, len(x) - k), k, i, j) for i in a for j in b if i != j]
+        assert got.get(x) == (min(found)[1:] if found else None)
+    assert kept and all(seed >= max(sizes) and len(sizes) == 5 for seed, sizes in kept)

@@ -168,6 +168,8 @@ def gene_read_counts(blocks: DataFrame, exons: DataFrame, width: int = 1024) ->
 
     from .joins import range_join
 
+    # blocks are read from their CIGARs once, and read twice
+    blocks = checkpointed(blocks.select("chrom", "start", "end", "fragment"))
     # blocks at one place hit the same genes; of a fragment's genes the least and the greatest tell whether there is one
     places = blocks.select("chrom", "start", "end").distinct()
     hits = range_join(checkpointed(places), exons.select("chrom", "start", "end", "gene"), ["chrom"], width)

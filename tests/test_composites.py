@@ -145,3 +145,19 @@ def test_evidence_and_hypotheses(spark):
     integrated, failures = spark.createDataFrame([(True,)], "strict boolean"), spark.createDataFrame([(1,)], "task_id int")
     h = {r.hypothesis: r.conclusion for r in composites.ms_hypotheses(out["variants"], out["junctions"], integrated, failures).collect()}
     assert h == {"ALTERED_PEPTIDES": "NOT_EVALUABLE", "NOVEL_PEPTIDES": "SUPPORTED", "SAMPLE_MATCHED_SPECTRA": "SUPPORTED", "STRICT_EVENTS": "SUPPORTED", "NOVEL_JUNCTIONS": "SUPPORTED", "SAMPLE_MATCHED_JUNCTIONS": "SUPPORTED"}
+
+
+def test_reads_travel_once_to_be_counted_once(spark):
+    """Pairs lie by their bins after the join: double reads leave there, without a second exchange of rows."""
+    rows = [("S", f"q{k % 300}", 0, "chr1", 100 * (k % 300), 60, "50M", "A" * 50, "I" * 50) for k in range(600)]
+    reads = spark.createDataFrame(rows, "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, seq string, qual string")
+    variants = spark.createDataFrame([("S", "1", 100 * k + 10, "A", "T") for k in range(300)], "sample string, chrom string, pos long, ref string, alt string")
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = composites.classified_reads(reads, variants)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 300 and {r["class"] for r in found.collect()} == {"CLEAN_REFERENCE"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+    assert plan.count("Exchange hashpartitioning") == 2

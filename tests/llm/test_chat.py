@@ -1,5 +1,8 @@
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallyloom.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, start string, chars long"
@@ -53,6 +56,22 @@ def test_examples_hold_all_before_and_only_the_reply(spark):
     assert sorted((r.loss_start, r.target) for r in spans) == [(r.loss_start, r.target) for r in rows]
 
 
+def test_contexts_are_read_through_their_pointers(spark):
+    streams = chat.render(frame(spark, ROWS)).cache()
+    spans = chat.examples(streams)
+    rows = chat.contexts(streams, spans).collect()
+    assert len(rows) == sum(r[2] == "assistant" for r in ROWS)
+    assert all(r.context_start == 0 and r.context_end == r.read_chars == r.loss_start and r.read_hash == r.context_hash for r in rows)
+    assert len({r.read_hash for r in rows}) == len(rows)
+    # another letter in a turn before, two turns that change places, and a pointer beside its place
+    turn = F.expr("conv_id = 1 AND place = 2")
+    other = streams.withColumn("rendered", F.when(turn, F.replace("rendered", F.lit("hi"), F.lit("ho"))).otherwise(F.col("rendered")))
+    moved = streams.withColumn("place", F.when(F.expr("conv_id = 1 AND place < 3"), 3 - F.col("place")).otherwise(F.col("place")))
+    for wrong in ((other, spans), (moved, spans), (streams, spans.withColumn("context_end", F.col("context_end") - 1)), (streams, spans.withColumn("context_start", F.lit(1)))):
+        with pytest.raises(Exception, match="context of an example"):
+            chat.digests(*wrong).collect()
+
+
 def test_empty(spark):
     assert chat.digests(*chat.format_conversations(spark, frame(spark, []))).count() == 0
 

@@ -114,21 +114,22 @@ def junction_peptides(peptides: DataFrame, proteins: DataFrame, calls: DataFrame
 def splice_protein(header: Column) -> Column:
     """Struct of a splice protein's header ``sample|SPLICE|transcript.pN ... STRG.1.1:4-90(+)``; null without that."""
     token = first_word(header)
-    frame = r"(?:^|\s)(STRG\.\d+\.\d+):(\d+)-(\d+)\(([+-])\)"
-    at = lambda k: F.regexp_extract(header, frame, k)
+    # matched once, then cut: name:low-high(strand)
+    frame = F.regexp_extract(header, r"(?:^|\s)(STRG\.\d+\.\d+:\d+-\d+\([+-]\))", 1)
+    span = F.substring_index(F.substring_index(frame, ":", -1), "(", 1)
     name = F.regexp_extract(token, r"\|SPLICE\|(.*)$", 1)
-    low, high = at(2).try_cast("long"), at(3).try_cast("long")
+    low, high = F.substring_index(span, "-", 1).try_cast("long"), F.substring_index(span, "-", -1).try_cast("long")
     found = F.struct(
         token.alias("token"),
         F.upper(F.substring_index(token, "|", 1)).alias("sample"),
         name.alias("protein_id"),
         F.when(F.contains(name, F.lit(".p")), F.regexp_extract(name, r"^(.*)\.p.*?$", 1)).otherwise(name).alias("transcript"),
-        at(1).alias("placed_transcript"),
+        F.substring_index(frame, ":", 1).alias("placed_transcript"),
         F.least(low, high).alias("orf_start"),
         F.greatest(low, high).alias("orf_end"),
-        at(4).alias("orientation"),
+        F.left(F.right(frame, F.lit(2)), F.lit(1)).alias("orientation"),
     )
-    return F.when(F.contains(token, F.lit("|SPLICE|")) & (at(1) != ""), found)
+    return F.when(F.contains(token, F.lit("|SPLICE|")) & (frame != ""), found)
 
 
 def transcript_models(exons: DataFrame, attributes: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -178,16 +179,18 @@ def splice_peptides(candidates: DataFrame, proteins: DataFrame, exons: DataFrame
     asked = asked.withColumns({"sample": F.upper(F.substring_index("asked", "|", 1)), "protein_id": F.regexp_extract("asked", r"\|SPLICE\|(.*)$", 1)})
 
     h = F.col("_h")
-    known = proteins.withColumn("_h", splice_protein(F.col("header"))).filter("_h IS NOT NULL")
+    # exploded, so that conditions on its fields don't parse the header again
+    known = proteins.withColumn("_h", F.explode(F.array(splice_protein(F.col("header"))))).filter("_h IS NOT NULL")
     of_file = F.substring_index("file", ".", 1)
     sample = F.when(h["sample"] == of_file, h["sample"]).otherwise(F.raise_error(F.concat(F.lit("protein of sample "), h["sample"], F.lit(" in file "), "file")))
     known = known.select("file", "header", F.regexp_replace(F.upper("sequence"), r"\*+$", "").alias("protein"), sample.alias("sample"), *[h[c].alias(c) for c in ("token", "protein_id", "transcript", "placed_transcript", "orf_start", "orf_end", "orientation")])
-    # both look-ups are one: a first word names sample and protein
-    rows = asked.join(known, ["sample", "protein_id"], "left").withColumn("_exact", F.coalesce(F.col("token") == F.col("asked"), F.lit(False)))
-    rows = rows.withColumn("_any", F.max("_exact").over(Window.partitionBy("_row", "asked"))).filter("_exact OR NOT _any").drop("_exact", "_any")
-    lost = rows.filter("token IS NULL").select("_row.sequence", F.col("asked").alias("header"), F.lit("header not found in supplied splice FASTAs").alias("reason"))
-    rows = rows.filter("token IS NOT NULL").withColumn("sequence", F.col("_row.sequence"))
-    rows = windows.best_by(rows, ["sequence", "sample", "protein_id", "file"], ["token", "header", "protein", F.col("_row.pep").asc_nulls_last(), "_row"])
+    # both look-ups are one: a first word names sample and protein; whether any protein has the word itself is known before rows meet
+    of_name = Window.partitionBy("sample", "protein_id")
+    rows = asked.join(known.withColumn("_tokens", F.collect_set("token").over(of_name)), ["sample", "protein_id"], "left")
+    rows = rows.filter("token IS NULL OR token = asked OR NOT array_contains(_tokens, asked)").drop("_tokens").withColumn("sequence", F.col("_row.sequence"))
+    # rows stay where the look-up put them; those without a protein all stay, too
+    best = Window.partitionBy("sample", "protein_id", "sequence", "file").orderBy("token", "header", "protein", F.col("_row.pep").asc_nulls_last(), "_row")
+    rows = rows.withColumn("_n", F.row_number().over(best)).filter("_n = 1 OR token IS NULL").drop("_n")
 
     def times(text: Column, part: Column) -> tuple[Column, Column]:
         """Where part first stands in text, and whether again; overlapping too."""
@@ -201,19 +204,24 @@ def splice_peptides(candidates: DataFrame, proteins: DataFrame, exons: DataFrame
     rows = rows.withColumns({"peptide_end": F.col("peptide_start") + F.char_length("sequence") - 1, "protein_length": F.char_length("protein")})
 
     models, junctions = transcript_models(exons, attributes)
-    tries = rows.select("sample", "transcript", "placed_transcript").distinct()
-    tries = tries.select("*", F.posexplode(F.array("transcript", "placed_transcript")).alias("_n", "model")).join(models, ["sample", "model"])
-    chosen = windows.best_by(tries, ["sample", "transcript", "placed_transcript"], ["_n"]).drop("_n")
-    rows = rows.join(chosen, ["sample", "transcript", "placed_transcript"], "left")
+    # by the transcript's name, else by that of its reading frame; rows without a protein look for their own names, not all for null
+    named = F.col("transcript")
+    of_model = ["chrom", "strand", *attributes]
+    one = models.select("sample", F.col("model").alias("_name"), F.struct("model", *of_model).alias("_by_name"))
+    other = models.select("sample", F.col("model").alias("_place"), F.struct("model", *of_model).alias("_by_place"))
+    rows = rows.withColumns({"_name": F.coalesce(named, "protein_id"), "_place": F.coalesce("placed_transcript", "protein_id")})
+    rows = rows.join(one, ["sample", "_name"], "left").join(other, ["sample", "_place"], "left")
+    chosen = F.coalesce("_by_name", "_by_place")
+    rows = rows.withColumns({c: chosen[c] for c in ["model", *of_model]}).drop("_name", "_place", "_by_name", "_by_place")
     nt = F.col("orf_end") - F.col("orf_start") + 1
     rows = rows.withColumn("orf_length_status", F.when(F.abs(nt - F.col("protein_length") * 3) <= 3, "consistent").otherwise(F.concat(F.lit("mismatch:"), nt, F.lit("nt_vs_"), F.col("protein_length") * 3, F.lit("nt"))))
-    fault = F.when(F.col("_again"), "peptide has multiple occurrences in splice protein").when(F.col("peptide_start") == 0, "peptide not found in splice protein").when(F.col("model").isNull(), "sample-specific transcript not found in supplied GTF")
+    fault = F.when(F.col("token").isNull(), "header not found in supplied splice FASTAs").when(F.col("_again"), "peptide has multiple occurrences in splice protein").when(F.col("peptide_start") == 0, "peptide not found in splice protein").when(F.col("model").isNull(), "sample-specific transcript not found in supplied GTF")
     rows = rows.withColumn("reason", fault).drop("_again")
 
     a, b = rows.alias("a"), junctions.withColumn("_met", F.lit(True)).alias("b")
     inside = F.col("a.reason").isNull() & (F.col("a.sample") == F.col("b.sample")) & (F.col("a.model") == F.col("b.model")) & (F.col("b.after_nt") >= F.col("a.orf_start")) & (F.col("b.after_nt") < F.col("a.orf_end"))
     met = a.join(b, inside, "left").select("a.*", *[f"b.{c}" for c in ("junction_no", "left_exon", "right_exon", "after_nt", "donor", "acceptor", "_met")])
-    faulty = met.filter("_met IS NULL").select("sequence", F.col("token").alias("header"), F.coalesce("reason", F.lit("ORF contains no internal exon boundary")).alias("reason"))
+    faulty = met.filter("_met IS NULL").select("sequence", F.coalesce("token", "asked").alias("header"), F.coalesce("reason", F.lit("ORF contains no internal exon boundary")).alias("reason"))
 
     coding = F.col("after_nt") - F.col("orf_start") + 1
     phase = F.pmod(coding, F.lit(3))
@@ -239,4 +247,4 @@ def splice_peptides(candidates: DataFrame, proteins: DataFrame, exons: DataFrame
     new = detailed.filter("classification = 'exact-junction-spanning' AND reference_status = 'novel'")
     first = windows.best_by(new, ["sequence", "sample", "junction"], [F.desc(F.least("anchor_left", "anchor_right")), "token", "file", "junction_no"])
     prioritized = first.orderBy(F.coalesce("pep", F.lit(1)), F.desc(F.coalesce("msms", F.lit(0))), "sequence", "sample", "junction")
-    return {"detailed": detailed, "prioritized": prioritized, "unresolved": bare.union(lost).union(faulty)}
+    return {"detailed": detailed, "prioritized": prioritized, "unresolved": bare.union(faulty)}

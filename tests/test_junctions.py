@@ -119,3 +119,11 @@ def test_variant_sets_without_genes(spark):
     assert got == {("S", "common_all_progression"): ("a", 1, 3, 2), ("S", "a_all"): ("a", 1, 3, 2), ("S", "a_exclusive"): ("a", 1, 3, 2), ("T", "common_all_progression"): ("b,c", 0, 3, 2), ("T", "b_all"): ("b", 1, 3, 2), ("T", "b_exclusive"): ("b", 1, 3, 2), ("T", "c_all"): ("c", 1, 3, 2), ("T", "c_exclusive"): ("c", 1, 3, 2)}
     p = {(r.analysis, r.term): round(r.p, 6) for r in rows.filter("subject = 'T'").collect()}
     assert p["common_all_progression", "t"] == p["common_all_progression", "w"] == 1 and p["b_all", "t"] == 0.666667
+
+
+def test_splice_queries_read_proteins_and_flags_once(spark):
+    from tallyloom.plans import registry
+
+    for name in ("splice_peptides", "splice_peptides_unresolved"):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan and plan.count("Window") <= 4  # 30 times and 10 windows before

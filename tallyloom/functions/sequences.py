@@ -110,7 +110,9 @@ def allele_token(header: Column) -> Column:
     """Struct of a header's first word ``sample|var_._chrom.pos.ref.alt_transcript_product``; null fields without one."""
     token = F.regexp_extract(header, r"^\s*(\S+)", 1)
     parts = r"(?i)^([^|]+)\|var_\.?_([^._]+)\.(\d+)\.([^._]+)\.([^_]+)_(ENST\d+(?:\.\d+)?)_(\d+)$"
-    field = lambda k: F.when(F.regexp_extract(token, parts, 1) != "", F.regexp_extract(token, parts, k))
+    # matched once: a word has no line feed, one that doesn't fit stays one piece
+    fields = F.split(F.regexp_replace(token, parts, "\n$1\n$2\n$3\n$4\n$5\n$6\n$7"), "\n")
+    field = lambda k: F.get(fields, F.lit(k))
     return F.struct(
         token.alias("token"),
         field(1).alias("sample"),

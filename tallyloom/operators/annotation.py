@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -9,11 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import alleles, sequences
+from tallyloom.functions.lineage import checkpointed
 from tallyloom.operators.rules import peptide_event
 
 #: An annotation's key, and what makes it the better one of several: a protein position, a protein change, amino acids.
 PLACE = ["chrom", "pos", "ref", "feature"]
 BETTER = ["protein_position", "hgvsp", "amino_acids"]
+#: Compared pairs of proteins that a task keeps; then it begins anew.
+KEPT_PAIRS = 1000
 
 
 def changed_spans(df: DataFrame, ref: str = "ref_seq", alt: str = "alt_seq", out: str = "changes") -> DataFrame:
@@ -21,19 +25,24 @@ def changed_spans(df: DataFrame, ref: str = "ref_seq", alt: str = "alt_seq", out
 
     Spans lie between the matching blocks: the longest common run first, then
     those on its left and right.  An empty span marks where letters of ref are
-    missing.  Every distinct pair is compared once.
+    missing.  A task keeps the last pairs that it compared, so that rows of one
+    pair that lie together cost one comparison.
     """
 
-    def compare(refs: pd.Series, alts: pd.Series) -> pd.Series:
-        found = []
-        for a, b in zip(refs, alts, strict=True):
-            steps = SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
-            found.append([{"low": low, "high": high} for kind, _, _, low, high in steps if kind != "equal"])
-        return pd.Series(found)
+    def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        kept: dict[tuple[str, str], list | None] = {}
+        for refs, alts in batches:
+            found = []
+            for pair in zip(refs, alts, strict=True):
+                if pair not in kept:
+                    if len(kept) >= KEPT_PAIRS:
+                        kept.clear()
+                    same = None in pair or pair[0] == pair[1]
+                    kept[pair] = None if same else [{"low": low, "high": high} for kind, _, _, low, high in SequenceMatcher(None, *pair, autojunk=False).get_opcodes() if kind != "equal"]
+                found.append(kept[pair])
+            yield pd.Series(found, dtype=object)
 
-    pairs = df.select(ref, alt).filter(F.col(ref) != F.col(alt)).distinct()
-    pairs = pairs.withColumn(out, F.pandas_udf(compare, "array<struct<low:int,high:int>>")(ref, alt))
-    return df.join(pairs, [ref, alt], "left")
+    return df.withColumn(out, F.pandas_udf(compare, "array<struct<low:int,high:int>>")(ref, alt))
 
 
 def annotation_index(annotations: DataFrame) -> DataFrame:
@@ -101,25 +110,32 @@ def variant_peptides(candidates: DataFrame, proteins: DataFrame, annotations: Da
     one's status; several are ambiguous.  Headers that aren't of variants are
     left out; null peptides are too.
     """
-    tokens = F.transform(F.filter(F.transform(F.split("headers", ";"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit("|var_"))), lambda x: F.regexp_extract(x, r"^(\S+)", 1))
-    asked = candidates.filter("peptide IS NOT NULL").select(F.upper("peptide").alias("peptide"), F.explode(F.array_distinct(tokens)).alias("token")).distinct()
-    known = proteins.withColumn("_v", sequences.allele_token(F.col("header"))).filter("_v.sample IS NOT NULL")
+    headers = candidates.filter("peptide IS NOT NULL").select(F.upper("peptide").alias("peptide"), F.explode(F.split("headers", ";")).alias("_header")).filter(F.contains("_header", F.lit("|var_")))
+    asked = headers.select("peptide", F.regexp_extract(F.trim("_header"), r"^(\S+)", 1).alias("token")).distinct()
+    # exploded, so that conditions on its fields don't parse the header again
+    known = proteins.withColumn("_v", F.explode(F.array(sequences.allele_token(F.col("header"))))).filter("_v.sample IS NOT NULL")
     known = known.select(F.col("_v.token").alias("token"), F.upper("_v.sample").alias("sample"), "_v.chrom", "_v.pos", "_v.ref", "_v.alt", "_v.transcript", F.col("sequence").alias("alt_seq"), "file").distinct()
+    known = checkpointed(known)
     # annotations are looked up once an allele, not once a peptide
     alleles_ = known.select("sample", "chrom", "pos", "ref", "alt", "transcript").distinct().withColumn("_key", F.struct("sample", "chrom", "pos", "ref", "alt", "transcript"))
     known = known.withColumn("_key", F.struct("sample", "chrom", "pos", "ref", "alt", "transcript")).join(annotated(alleles_, annotations, "_key").select("_key", "annotation"), "_key").drop("_key")
+    # peptides meet these, and the references that are wanted come from them
+    known = checkpointed(known)
     rows = asked.join(known, "token", "left")
     missing = F.when(F.col("alt_seq").isNull(), "variant header not found").when(F.col("annotation").isNull(), "no matching annotation")
     unresolved = rows.filter(missing.isNotNull()).select("peptide", "token", missing.alias("reason")).distinct()
     rows = rows.filter(missing.isNull())
     names = reference_sequences(references)
     protein = F.col("annotation.protein_id")
-    wanted = known.filter("annotation IS NOT NULL").select("transcript", protein.alias("_protein")).distinct()
-    tries = wanted.select("transcript", "_protein", F.posexplode(F.array("transcript", sequences.strip_version(F.col("transcript")), "_protein", sequences.strip_version(F.col("_protein")))).alias("_n", "name"))
+    changed = known.filter("annotation IS NOT NULL").select("transcript", protein.alias("_protein"), "alt_seq").distinct()
+    tries = changed.select("transcript", "_protein").distinct().select("transcript", "_protein", F.posexplode(F.array("transcript", sequences.strip_version(F.col("transcript")), "_protein", sequences.strip_version(F.col("_protein")))).alias("_n", "name"))
     found = tries.join(names, "name").groupBy("transcript", "_protein").agg(F.min_by("sequence", "_n").alias("ref_seq"))
+    # a protein is held against its reference once, not once a peptide and sample
+    a, b = changed.alias("a"), found.alias("b")
+    found = changed_spans(a.join(b, (F.col("a.transcript") == F.col("b.transcript")) & F.col("a._protein").eqNullSafe(F.col("b._protein"))).select("a.*", "b.ref_seq"))
     a, b = rows.withColumn("_protein", protein).alias("a"), found.alias("b")
-    rows = a.join(b, (F.col("a.transcript") == F.col("b.transcript")) & F.col("a._protein").eqNullSafe(F.col("b._protein")), "left").select("a.*", "b.ref_seq")
-    rows = changed_spans(rows)
+    same = (F.col("a.transcript") == F.col("b.transcript")) & F.col("a._protein").eqNullSafe(F.col("b._protein")) & (F.col("a.alt_seq") == F.col("b.alt_seq"))
+    rows = a.join(b, same, "left").select("a.*", "b.ref_seq", "b.changes")
     plain = {c: F.col(c) for c in ("peptide", "alt_seq", "ref_seq")}
     merged = {c: sequences.norm_amino_acids(x, True) for c, x in plain.items()}
     starts = occurrences(plain["alt_seq"], plain["peptide"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions import cigar
+from tallyloom.functions.lineage import checkpointed
 from tallyloom.operators import annotation, evidence, joins, quality
 from tallyloom.plans.queries import _HITS, _patterns, query, table
 
@@ -42,7 +43,8 @@ def _variants(spark, sf_dir):
     base = F.concat(F.lit("ENST"), F.col("k") + 1000)
     token = F.concat("sample", F.lit("|var_._chr"), "p_size", F.lit("."), F.col("k") * 100, F.lit(".G.T_"), base, F.lit(".1_0"))
     rest = F.when(F.col("consequence") == "frameshift_variant", "").otherwise(F.col("b"))
-    return p.join(flags, "k").withColumns({"base": base, "token": token, "ref_seq": F.concat("a", F.lit("J"), "b"), "alt_seq": F.concat("a", "changed", rest)})
+    # many branches read the variants: they are made once
+    return checkpointed(p.join(flags, "k").withColumns({"base": base, "token": token, "ref_seq": F.concat("a", F.lit("J"), "b"), "alt_seq": F.concat("a", "changed", rest)}))
 
 
 def _notes(v):

@@ -90,3 +90,11 @@ def test_variant_peptides(spark):
     one = rows.filter("peptide = 'MKTLL'").first()
     assert (one.status, one.match_mode, one.start, one.in_reference) == ("VALIDATED_SUBSTITUTION", "I/L-equivalent", 2, "no")
     assert [r.peptide for r in annotation.prioritised(rows).collect()] == ["KTA", "MKTLL"]
+
+
+def test_variants_are_read_once(spark):
+    from tallyloom.plans import registry
+
+    for name, joins in (("variant_peptides", 4), ("unresolved_peptides", 1)):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan and plan.count("Join") <= joins  # 39 and 9 joins before

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.sequences import protein_position
-from tallyloom.operators import aggregates, annotation, enrichment, evidence, joins, quality, rules, sets, windows
+from tallyloom.operators import aggregates, annotation, enrichment, evidence, joins, quality, reports, rules, sets, windows
 
 
 def plan(df):
@@ -332,3 +332,11 @@ def test_split_parts_meet_texts_whole(spark, monkeypatch):
             found += [(-min(k, len(x) - k), k, i, j) for i in a for j in b if i != j]
         assert got.get(x) == (min(found)[1:] if found else None)
     assert kept and all(seed >= max(sizes) and len(sizes) == 5 for seed, sizes in kept)
+
+
+def test_allele_read_counts_are_hashed(spark):
+    rows = [(1, "q", 0, 5, "10M", "EXCLUDED"), (1, "q", 0, 5, "10M", "EXACT_ALT"), (1, "q", 0, 5, "10M", "CLEAN_REFERENCE"), (1, "q", 0, 6, "10M", "CLEAN_REFERENCE"), (2, "q", 0, 5, "10M", "EXCLUDED")]
+    reads = spark.createDataFrame(rows, "event int, qname string, flag int, read_start int, cigar string, class string")
+    n = reports.allele_read_counts(reads, ["event"])
+    assert {r.event: (r.alt_reads, r.ref_reads, r.depth) for r in n.collect()} == {1: (1, 1, 2), 2: (0, 0, 0)}
+    assert "SortAggregate" not in n._jdf.queryExecution().executedPlan().toString()

@@ -277,6 +277,52 @@ def test_event_regions_and_their_rules(spark):
     assert breaches == {("INS1", "EVENT_TYPE"), ("DEL1", "INVALID_REGION"), ("SPL1", "VISUAL_STATUS"), ("FUS2", "FUSION_BREAKPOINTS"), ("CTX2", "NO_REGIONS")}
 
 
+#: Findings and events, as event_regions takes them.
+FINDING, EVENT = "event_id string, classes string, source_events string, chrom string, pos long, ref string, alt string", "event string, chrom string, start0 long, end0 long, chrom2 string, start2_0 long, end2 long"
+
+
+def test_findings_share_lists_of_events(spark):
+    """Each list meets the events once; what it gives is right for every kind, and doesn't depend on event_id."""
+    findings = [("A", "fusion", "E2;E1;E2;gone"), ("B", "splice_junction", "E2;E1;E2;gone"), ("B", "other", "E2;E1;E2;gone"), (None, "other", "E1"), ("C", "rna_variant", "E1"), ("D", "fusion", None)]
+    f = spark.createDataFrame([(*r, "1", 5, *(("A", "T") if r[1] == "rna_variant" else ("", ""))) for r in findings], FINDING)
+    e = spark.createDataFrame([("E1", "2", 10, 20, "3", 30, 40), ("E2", "4", 50, 60, None, None, None)], EVENT)
+    rows = evidence.event_regions(f, e)
+    one, two, four = ("2", 10, 20), ("3", 30, 40, "BREAKPOINT_2"), ("4", 50, 60)
+    found = ("E2", "E1", "E2")
+    assert sorted(((r.event_id, r.event_type, tuple(tuple(x) for x in r.regions), tuple(r.found_events)) for r in rows.collect()), key=str) == sorted(
+        [
+            ("A", "FUSION", ((*four, "BREAKPOINT_1"), (*one, "BREAKPOINT_1"), two), found),
+            ("B", "SPLICE_JUNCTION", ((*four, "JUNCTION"), (*one, "JUNCTION"), two), found),
+            ("B", "CONTEXT_EVENT", ((*four, "BREAKPOINT_1"), (*one, "BREAKPOINT_1"), two), found),
+            (None, "CONTEXT_EVENT", ((*one, "BREAKPOINT_1"), two), ("E1",)),
+            ("C", "SNV", (("1", 4, 5, "TARGET_ALLELE"),), ("E1",)),
+            ("D", "FUSION", (), ()),
+        ],
+        key=str,
+    )
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    exploded = next(k for k, x in enumerate(plan) if "Generate posexplode" in x)
+    assert "Aggregate [" in next(x for x in plan[exploded + 1 :] if "Project" not in x and "Filter" not in x)
+
+
+def test_many_findings_of_one_list_are_split(spark):
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        k = F.col("id")
+        f = spark.range(0, 40000, 1, 8).select(k.cast("string").alias("event_id"), F.lit("fusion").alias("classes"), F.when(k % 100 > 0, "E1;E2").otherwise(F.concat(F.lit("E"), k)).alias("source_events"), F.lit("1").alias("chrom"), k.alias("pos"), F.lit("").alias("ref"), F.lit("").alias("alt"))
+        e = spark.createDataFrame([("E1", "2", 10, 20, "3", 30, 40), ("E2", "4", 50, 60, None, None, None), ("E100", "4", 50, 60, None, None, None)], EVENT)
+        rows = evidence.event_regions(f, e)
+        sizes = sorted(len(r.regions) for r in rows.collect())
+        assert sizes == [0] * 399 + [1] + [3] * 39600
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def pileup(text, reference):
     """The counts, sign by sign."""
     found, k, reference = {}, 0, reference.upper()

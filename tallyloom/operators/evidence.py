@@ -113,12 +113,13 @@ def event_regions(findings: DataFrame, events: DataFrame) -> DataFrame:
     region = lambda c, a, b, r: F.struct(F.col(c).alias("chrom"), F.col(a).cast("long").alias("start0"), F.col(b).cast("long").alias("end0"), F.lit(r).alias("role"))
     both = F.array(region("chrom", "start0", "end0", "BREAKPOINT_1"), region("chrom2", "start2_0", "end2", "BREAKPOINT_2"))
     whole = F.filter(both, lambda r: (F.coalesce(r["chrom"], F.lit("")) != "") & r["start0"].isNotNull() & r["end0"].isNotNull())
-    met = asked.join(events, "event").select("_names", F.xxhash64("_names").alias("_hash"), "_nth", "event", whole.alias("_regions"))
-    # a window sorts a list's events once; dealt by the hash, too, so that the join below has a shuffle of its own, which Spark splits where many findings share a list
-    nth = Window.partitionBy("_hash", "_names").orderBy("_nth")
+    met = asked.join(events, "event").select(F.col("_names").cast("binary").alias("_list"), "_nth", "event", whole.alias("_regions"))
+    # a window sorts a list's events once; it goes by the list's bytes, so that the join below, by its text, has a shuffle of its own:
+    # Spark splits that where many findings share a list, and no task holds the sorts of both
+    nth = Window.partitionBy("_list").orderBy("_nth")
     gathered = F.array_sort(F.collect_list(F.struct("_nth", "event", "_regions")).over(nth.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    lists = met.select("_names", gathered.alias("_met"), F.row_number().over(nth).alias("_n")).filter("_n = 1")
-    lists = lists.select("_names", F.array_distinct(F.flatten(F.transform("_met", lambda x: x["_regions"]))).alias("_places"), F.transform("_met", lambda x: x["event"]).alias("_found"))
+    lists = met.select("_list", gathered.alias("_met"), F.row_number().over(nth).alias("_n")).filter("_n = 1")
+    lists = lists.select(F.col("_list").cast("string").alias("_names"), F.array_distinct(F.flatten(F.transform("_met", lambda x: x["_regions"]))).alias("_places"), F.transform("_met", lambda x: x["event"]).alias("_found"))
     start0 = F.greatest(F.lit(0), F.col("pos") - 1).cast("long")
     own = F.array(F.struct(F.col("chrom").alias("chrom"), start0.alias("start0"), (start0 + F.greatest(F.lit(1), F.char_length("ref"))).alias("end0"), F.lit("TARGET_ALLELE").alias("role")))
     none = F.array().cast("array<struct<chrom:string,start0:bigint,end0:bigint,role:string>>")

@@ -55,12 +55,13 @@ def junction_peptides(peptides: DataFrame, proteins: DataFrame, calls: DataFrame
     """
     rows = peptides.withColumn("sequence", F.upper(F.trim("sequence"))).filter("sequence <> ''").withColumn("_pattern", sequences.normalize_sequence(F.col("sequence"), merge_il))
     kept = (F.col("role") == "CANONICAL") | (F.contains(F.upper("header"), F.concat(F.lit("|"), F.col("role"), F.lit("|"))) & ~((F.col("role") == "SPLICE") & F.contains(F.upper("header"), F.lit("|FUSION|"))))
-    known = proteins.filter(kept).select("role", "file", "header", sequences.normalize_sequence(F.col("sequence"), merge_il).alias("text")).filter("text <> ''").withColumn("text_id", F.sha2("text", 256))
+    known = proteins.filter(kept).select("role", "file", "header", sequences.normalize_sequence(F.col("sequence"), merge_il).alias("text")).filter("text <> ''").withColumn("text_id", F.unhex(F.md5("text")))
     # proteins and hits are read by many branches: each is made once
     known = checkpointed(known)
     # a sequence that many samples share is searched once
     patterns = rows.select(F.col("_pattern").alias("pattern_id"), F.col("_pattern").alias("pattern")).distinct()
-    found = joins.pattern_join(patterns, known.select("text_id", "text").distinct())
+    # whole up to PART_SEED letters: many peptides may begin alike
+    found = joins.pattern_join(patterns, known.select("text_id", "text").distinct(), seed=joins.PART_SEED)
     places = found.withColumnRenamed("pattern_id", "_pattern").groupBy("_pattern", "text_id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("position")).alias("starts"))
     hits = checkpointed(places.join(known.drop("text"), "text_id")).withColumns({"sample": sequences.header_sample(F.col("header")), "genes": fusion_genes(F.col("header"))})
 
@@ -80,7 +81,7 @@ def junction_peptides(peptides: DataFrame, proteins: DataFrame, calls: DataFrame
     asked = of_class.filter("canonical_matches = 0").select(F.col("_pattern").alias("peptide")).distinct()
     splits = joins.split_anchor(asked, known.filter("role = 'CANONICAL'").select(F.col("header").alias("protein_id"), F.col("text").alias("sequence")), least=least)
     gene = lambda c: F.substring_index(c, "(", 1).alias(c)
-    reads = calls.select(F.upper("sample").alias("sample"), gene("gene1"), gene("gene2"), *CALL_ATTRIBUTES).distinct()
+    reads = calls.select(F.upper("sample").alias("sample"), gene("gene1"), gene("gene2"), *CALL_ATTRIBUTES)
     of_call = novel.filter("class = 'FUSION'").select("_pattern", "sample", F.col("genes")[0].alias("gene1"), F.col("genes")[1].alias("gene2")).distinct()
     sets = of_call.join(reads, ["sample", "gene1", "gene2"]).groupBy("_pattern").agg(*[F.collect_set(F.when(F.col(c) != "", F.col(c))).alias(f"_{c}") for c in CALL_ATTRIBUTES])
 

@@ -1,5 +1,7 @@
 """Peptides over junctions against small cases by hand."""
 
+import random
+
 import pytest
 
 from tallyloom.operators import joins, junctions
@@ -59,6 +61,54 @@ def test_split_anchor_needs_two_proteins(spark):
     assert [tuple(r) for r in joins.split_anchor(peptides, proteins).collect()] == [("GGGGTTTT", 4, 2, 3)]
 
 
+def test_splits_seek_only_what_several_proteins_hold(spark, monkeypatch):
+    """Every part of every peptide was sought; an id that was null took one of a part's two places."""
+    sought = []
+    wanted = joins._by_seeds
+
+    def seen(patterns, *rest):
+        sought.extend(r.pattern for r in patterns.collect())
+        return wanted(patterns, *rest)
+
+    monkeypatch.setattr(joins, "_by_seeds", seen)
+    code = lambda k: f"{k:04d}".translate(str.maketrans("0123456789", "CDEFGHKMNP"))
+    rows = [f"AAAA{code(k)}{code(k)}WWWW" for k in range(40)]
+    own = [(f"L{k}", x[:8]) for k, x in enumerate(rows)] + [(f"R{k}", x[8:]) for k, x in enumerate(rows)]
+    peptides = spark.createDataFrame([(x,) for x in rows] + [("GGGGTTTT",)], "peptide string")
+    proteins = spark.createDataFrame([*own, (None, "GGGG"), ("1", "GGGGxTTTT"), ("2", "GGGG")], "protein_id string, sequence string")
+    got = {r.peptide: (r.split, r.left_protein, r.right_protein) for r in joins.split_anchor(peptides, proteins).collect()}
+    assert got == {x: (8, f"L{k}", f"R{k}") for k, x in enumerate(rows)} | {"GGGGTTTT": (4, "2", "1")}
+    assert sought == ["GGGG"]
+
+
+@pytest.mark.parametrize("keys", [joins.START_KEYS, 0])
+def test_splits_of_random_peptides(spark, monkeypatch, keys):
+    monkeypatch.setattr(joins, "START_KEYS", keys)
+    rng = random.Random(3)
+    word = lambda least, most: "".join(rng.choice("ACD") for _ in range(rng.randint(least, most)))
+    texts = [(rng.randrange(20), word(0, 14)) for _ in range(40)]
+    rows = {word(4, 15) for _ in range(300)}
+    out = joins.split_anchor(spark.createDataFrame([(x,) for x in rows], "peptide string"), spark.createDataFrame(texts, "protein_id int, sequence string"))
+    want = set()
+    for x in rows:
+        sides = [(k, *({i for i, t in texts if part in t} for part in (x[:k], x[k:]))) for k in range(4, len(x) - 3)]
+        found = [(-min(k, len(x) - k), k, i, j) for k, a, b in sides for i in a for j in b if i != j]
+        want |= {(x, *min(found)[1:])} if found else set()
+    assert set(map(tuple, out.collect())) == want and len(want) > 50
+
+
+def test_peptides_that_begin_alike_are_sought_whole(spark, monkeypatch):
+    """Beyond the automaton seeds of 7 letters met every text with such a beginning: rows grew with the square of the table."""
+    monkeypatch.setattr(joins, "AUTOMATON_LETTERS", 0)
+    seeds = []
+    wanted = joins._by_seeds
+    monkeypatch.setattr(joins, "_by_seeds", lambda patterns, texts, seed, sizes: (seeds.append((seed, sizes)), wanted(patterns, texts, seed, sizes))[1])
+    rows = [(f"ALMONDAA{a}{b}CCCC", 0.0, 50.0, 2, "x") for a in "CDEFG" for b in "CDEFG"] + [("ALMONDAA" + "ACDEFGHK" * 5, 0.0, 50.0, 2, "x")]
+    got = found(spark, rows, [("SPLICE", "g", f"s|SPLICE|STRG.{k}.1.p1", "K" + r[0]) for k, r in enumerate(rows)])
+    assert {x[0] for x in got} == {r[0] for r in rows} and {r.positions for r in got.values()} == {f"s|SPLICE|STRG.{k}.1.p1:2-{1 + len(r[0])}" for k, r in enumerate(rows)}
+    assert seeds[0] == (32, [14, 32])
+
+
 PROTEINS, EXONS, LISTED = "file string, header string, sequence string", "sample string, transcript string, chrom string, strand string, start long, end long, gene_id string", "transcript string, chrom string, strand string, start long, end long"
 
 

@@ -1,6 +1,10 @@
 """Composite jobs on a few rows with known results."""
 
-from tallyloom.operators import windows
+import random
+
+import pytest
+
+from tallyloom.operators import joins, reports, windows
 from tallyloom.plans import composites
 from tallyloom.plans import composites as c
 
@@ -112,6 +116,33 @@ def test_reads_of_all_samples_around_an_event(spark):
     assert {r.mean_base_quality for r in n.collect()} == {40.0}
 
 
+@pytest.mark.parametrize("bin_width", [16, 1 << 16])
+def test_reads_around_an_event_are_counted_without_pairs(spark, monkeypatch, bin_width):
+    """The summary equals that of all pairs: repeated and long reads, events of several positions over a bin's end, missing qualities."""
+    rng = random.Random(11)
+    reads = []
+    for k in range(150):
+        shape = rng.choice(["10M", "5M3D5M", "4M40N6M", "10M", "6M2I4M", "*"])
+        n = {"6M2I4M": 12, "*": 0}.get(shape, 10)
+        reads.append((rng.choice("ST"), f"q{k % 140}", rng.choice([0, 16, 64, 128 + 16, 1024]), rng.choice(["chr1", "2"]), rng.randrange(1, 120), rng.choice([0, 19, 20, 60, None]), shape, "".join(rng.choice("AC") for _ in range(n)) or None, "".join(rng.choice("I+") for _ in range(n)) or "*"))
+    reads += [("U", "u", 0, "1", 50, 60, "10M", "A" * 10, "I" * 10)] + reads[:40]
+    df = spark.createDataFrame(reads, "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, seq string, qual string")
+    alleles_ = [("A", "C"), ("C", "A"), ("AAC", "A"), ("A", "AC"), ("A" * 40, "A"), ("AC", "CA")]
+    events = [(rng.choice("ST"), rng.choice(["1", "chr2"]), rng.randrange(1, 150), *rng.choice(alleles_)) for _ in range(60)]
+    variants = spark.createDataFrame([*events, *events[:9], ("S", "3", 5, "A", "C")], "sample string, chrom string, pos long, ref string, alt string")
+    features = spark.createDataFrame([("1", 1, 60, "g")], "chrom string, start long, end long, gene string")
+    _, rows = composites.proteogenomic_read_validation(df, variants, features, pad=7)
+    keys = [*composites.ALLELE, "bam"]
+    want = reports.event_read_summary(rows, keys)
+    pads = []
+    wanted = joins.range_join
+    monkeypatch.setattr(joins, "range_join", lambda *a, **o: (pads.append(o.get("pad", 0)), wanted(*a, **o))[1])
+    monkeypatch.setattr(reports, "COUNT_BIN", bin_width)
+    got = composites.proteogenomic_read_counts(df, variants, features, pad=7)
+    assert set(map(tuple, got.select(*want.columns).collect())) == set(map(tuple, want.collect())) and got.count() == want.count() > 100
+    assert pads == [0, 0]
+
+
 def test_splice_junctions_by_strand(spark):
     exons = [("ENST1", "1", "+", 101, 130), ("ENST1", "1", "+", 201, 260), ("ENST2", "1", "-", 101, 130), ("ENST2", "1", "-", 201, 260)]
     df = spark.createDataFrame(exons, "transcript string, chrom string, strand string, start long, end long")
